@@ -74,11 +74,11 @@ def sales(t: Mapping[str, DataFrame]) -> Frames:
 
 def counters(t: Mapping[str, DataFrame]) -> Frames:
     """Payments are orders taken per priority, rentals are customers, inventory is nations and
-    the store is the region."""
+    the store is the region. Orders in status P have no rental."""
     return {
         "payment": t["orders"].select(
             F.col("o_orderkey").alias("payment_id"), F.col("o_orderpriority").alias("staff_id"),
-            F.nullif("o_custkey", F.lit(899)).alias("rental_id"),
+            F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("rental_id"),
             money("o_totalprice").alias("amount"), F.col("o_orderdate").alias("payment_date")),
         "rental": t["customer"].select(F.col("c_custkey").alias("rental_id"),
                                        F.col("c_nationkey").alias("inventory_id")),

@@ -1,0 +1,182 @@
+"""Tables kept as parquet snapshots, with a log that says which snapshot is current.
+
+A change writes new snapshots first, checks them, and then commits all of them with one small file
+in the log. A reader therefore sees all tables of a group changed, or none. A snapshot is never
+written twice, so nobody reads files that are being replaced. The log entry of a version is made
+with "error if it exists": of two writers that start from one version, the second one fails and
+leaves the tables as they were.
+
+The folder must be one that all executors can reach.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Mapping
+from functools import reduce
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tableflow.functions.columns import size_pretty
+from tableflow.operators.audit import audit
+from tableflow.sources.contracts import Contract
+from tableflow.sources.tables import seed_frame
+
+LOG = "version long, group string, table_name string, snapshot string"
+
+
+class ContractViolation(Exception):
+    """The new tables break their contracts; nothing was published."""
+
+    def __init__(self, violations: list):
+        self.violations = violations
+        super().__init__("; ".join(f"{v.table_name}: {v.rule}: {v.violations} (e.g. {v.sample})"
+                                   for v in violations))
+
+
+class TableStore:
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark = spark
+        self.folder = folder.rstrip("/")
+
+    # Reading
+
+    def _log(self) -> DataFrame:
+        try:
+            return (self.spark.read.schema(LOG).option("recursiveFileLookup", True)
+                    .json(f"{self.folder}/log"))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return seed_frame(self.spark, [], LOG)
+
+    def current(self) -> tuple[int, dict[str, str]]:
+        """Latest version and the current snapshot of each table (one log row per table comes to
+        the driver)."""
+        rows = (self._log().groupBy("table_name")
+                .agg(F.max("version").alias("version"),
+                     F.max_by("snapshot", "version").alias("snapshot")).collect())
+        return (max((row.version for row in rows), default=0),
+                {row.table_name: row.snapshot for row in rows})
+
+    def exists(self, name: str) -> bool:
+        return name in self.current()[1]
+
+    def path(self, name: str) -> str:
+        return f"{self.folder}/{self.current()[1][name]}"
+
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(self.path(name))
+
+    def frames(self) -> dict[str, DataFrame]:
+        return {name: self.spark.read.parquet(f"{self.folder}/{snapshot}")
+                for name, snapshot in self.current()[1].items()}
+
+    # Writing
+
+    def publish(self, group: str, frames: Mapping[str, DataFrame],
+                contracts: Mapping[str, Contract] | None = None) -> int:
+        """Make the frames the current tables, all or none; return the new version.
+
+        With contracts the written snapshots are audited together with the other current tables,
+        and a violation raises ``ContractViolation`` before anything becomes current.
+        """
+        version, known = self.current()
+        version += 1
+        written = {}
+        for name, frame in frames.items():
+            written[name] = f"tables/{name}/{uuid.uuid4().hex}"
+            frame.write.mode("errorifexists").parquet(f"{self.folder}/{written[name]}")
+        if contracts:
+            self._check({**known, **written}, set(written), contracts)
+        entry = seed_frame(self.spark, [(version, group, name, snapshot)
+                                        for name, snapshot in written.items()], LOG)
+        entry.coalesce(1).write.mode("errorifexists").json(f"{self.folder}/log/{version:012d}")
+        return version
+
+    def _check(self, snapshots: Mapping[str, str], changed: set[str],
+               contracts: Mapping[str, Contract]) -> None:
+        """Audit the changed tables and the tables that refer to them."""
+        touched = {name: contract for name, contract in contracts.items()
+                   if name in changed or any(k.parent in changed for k in contract.foreign_keys)}
+        frames = {name: self.spark.read.parquet(f"{self.folder}/{snapshot}")
+                  for name, snapshot in snapshots.items()}
+        broken = audit(frames, touched).where("violations > 0").collect()
+        if broken:
+            raise ContractViolation(broken)
+
+    def create(self, name: str, frame: DataFrame) -> int:
+        """New table from a query; an error if the table is there."""
+        if self.exists(name):
+            raise ValueError(f"table {name} exists")
+        return self.publish(f"create {name}", {name: frame})
+
+    def create_missing(self, contracts: Mapping[str, Contract]) -> list[str]:
+        """Empty tables for all contracts whose table is absent; return their names."""
+        known = self.current()[1]
+        missing = {name: seed_frame(self.spark, [], contract.schema)
+                   for name, contract in contracts.items() if name not in known}
+        if missing:
+            self.publish("create missing", missing)
+        return list(missing)
+
+    def truncate(self, name: str) -> int:
+        """Make the table empty without looking at its rows."""
+        return self.publish(f"truncate {name}",
+                            {name: seed_frame(self.spark, [], self.read(name).schema)})
+
+    def compact(self, name: str, target_bytes: int) -> int:
+        """Rewrite the table into files of about ``target_bytes``.
+
+        Small files are packed together as they are read, in a session of their own with that
+        packing size, so the rows are not shuffled.
+        """
+        packing = self.spark.newSession()
+        packing.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
+        packing.conf.set("spark.sql.files.openCostInBytes", "0")
+        packing.conf.set("spark.sql.files.minPartitionNum", "1")
+        return TableStore(packing, self.folder).publish(
+            f"compact {name}", {name: packing.read.parquet(self.path(name))})
+
+    def reclaim(self) -> list[str]:
+        """Delete the snapshots that were replaced; return their paths. Only for times when no
+        reader can still be on an older version."""
+        current = set(self.current()[1].values())
+        replaced = [row.snapshot for row in self._log().select("snapshot").distinct().collect()
+                    if row.snapshot not in current]
+        jvm, configuration = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        gone = []
+        for snapshot in replaced:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{snapshot}")
+            if path.getFileSystem(configuration).delete(path, True):
+                gone.append(snapshot)
+        return gone
+
+    # Reporting
+
+    def footprint(self, like: str = "%") -> DataFrame:
+        """Rows, files and bytes of the current tables whose name matches the pattern."""
+        return footprint(self.spark, {name: f"{self.folder}/{snapshot}"
+                                      for name, snapshot in self.current()[1].items()}, like)
+
+
+def footprint(spark: SparkSession, paths: Mapping[str, str], like: str = "%") -> DataFrame:
+    """Columns table_name, row_count, files, total_bytes, total.
+
+    Sizes come from a file listing, row counts from the parquet footers; no column is read. A name
+    that does not match is dropped when the plan is made, so its files are not touched.
+    """
+    parts = []
+    for name, path in paths.items():
+        files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                 .load(path).agg(F.count("length").alias("files"),
+                                 F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes")))
+        rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count"))
+        parts.append(rows.select(
+            F.lit(name).alias("table_name"), "row_count",
+            files.select("files").scalar().alias("files"),
+            files.select("total_bytes").scalar().alias("total_bytes")))
+    sizes = reduce(DataFrame.unionByName, parts).where(F.col("table_name").like(like))
+    return sizes.withColumn("total", size_pretty("total_bytes"))
