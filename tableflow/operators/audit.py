@@ -30,7 +30,8 @@ def audit(tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract]) ->
         if name not in tables:
             continue
         df = tables[name]
-        parts.append(row_rules(df, contract))
+        if row_conditions(df, contract):
+            parts.append(row_rules(df, contract))
         parts.extend(unique_rule(df, name, keys)
                      for keys in (contract.primary_key, *contract.uniques) if keys)
         parts.extend(reference_rule(df, name, key, tables[key.parent])
@@ -41,10 +42,11 @@ def audit(tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract]) ->
 def row_conditions(df: DataFrame, contract: Contract) -> dict[str, Column]:
     """Rule name -> condition that is true for an offending row (a NULL check result passes)."""
     rules: dict[str, Column] = {}
+    required = [column.name for column in contract.columns if not column.nullable]
+    for name in dict.fromkeys([*contract.primary_key, *required]):
+        rules[f"not null {name}"] = F.col(name).isNull()
     for column in contract.columns:
         value = F.col(column.name)
-        if not column.nullable:
-            rules[f"not null {column.name}"] = value.isNull()
         if column.length is not None:
             rules[f"length {column.name}"] = F.length(value) > column.length
         if df.schema[column.name].dataType != column.type and \

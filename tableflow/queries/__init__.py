@@ -4,6 +4,6 @@ rows it covers. The jobs read the whole sales tables of a folder."""
 from __future__ import annotations
 
 from tableflow.queries.registry import REGISTRY
-from tableflow.queries import basics, reports  # noqa: F401  (register)
+from tableflow.queries import audits, basics, changes, loads, reports  # noqa: F401  (register)
 
 __all__ = ["REGISTRY"]

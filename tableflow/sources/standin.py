@@ -99,3 +99,127 @@ def rentals(t: Mapping[str, DataFrame], since: dt.date) -> Frames:
         "rental": t["lineitem"].where(F.col("l_shipdate") >= F.lit(since))
         .select(F.col("l_orderkey").alias("inventory_id")),
     }
+
+
+def rental_tables(t: Mapping[str, DataFrame]) -> Frames:
+    """All tables the change jobs read, with the columns of their contracts: films and items are
+    parts, actors and staff are suppliers, stores and addresses are nations, languages are regions.
+    Orders are rentals of their first part, and the payments for them."""
+    updated = F.lit(dt.date(2002, 1, 1)).alias("last_update")
+    firsts = t["lineitem"].groupBy("l_orderkey").agg(F.min("l_partkey").alias("inventory_id"))
+    rented = t["orders"].join(firsts, F.col("o_orderkey") == F.col("l_orderkey"))
+    nation, part, supplier = t["nation"], t["part"], t["supplier"]
+    no_staff = F.lit(0).cast("long").alias("staff_id")
+    return {
+        "language": t["region"].select(F.col("r_regionkey").cast("long").alias("language_id"),
+                                       F.col("r_name").alias("name")),
+        "film": part.select(
+            F.col("p_partkey").alias("film_id"),
+            F.concat_ws(" ", "p_name", "p_partkey").alias("title"),
+            F.col("p_size").alias("release_year"),
+            (F.col("p_retailprice") / 100).cast("decimal(5,2)").alias("rental_rate"),
+            F.lit(None).cast("string").alias("rating"), F.lit(7).alias("rental_duration"),
+            F.lit(0).cast("long").alias("language_id"), updated),
+        "actor": supplier.select(F.col("s_suppkey").alias("actor_id"),
+                                 F.col("s_nationkey").cast("string").alias("first_name"),
+                                 F.col("s_name").alias("last_name"), updated),
+        "film_actor": t["lineitem"].select(F.col("l_suppkey").alias("actor_id"),
+                                           F.col("l_partkey").alias("film_id"))
+        .distinct().withColumn("last_update", updated),
+        "address": nation.select(F.col("n_nationkey").cast("long").alias("address_id"),
+                                 F.col("n_name").alias("address"),
+                                 F.lit(None).cast("string").alias("address2")),
+        "store": nation.select(F.col("n_nationkey").cast("long").alias("store_id"),
+                               F.col("n_nationkey").cast("long").alias("address_id")),
+        "staff": supplier.select(F.col("s_suppkey").alias("staff_id"),
+                                 F.lit("-").alias("first_name"), F.col("s_name").alias("last_name"),
+                                 F.col("s_nationkey").cast("long").alias("store_id")),
+        "customer": t["customer"].select(
+            F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("first_name"),
+            F.col("c_name").alias("last_name"), F.lit(None).cast("string").alias("email"),
+            F.col("c_nationkey").cast("long").alias("store_id"),
+            F.col("c_nationkey").cast("long").alias("address_id"), F.lit(0).alias("active"),
+            updated),
+        "inventory": part.select(F.col("p_partkey").alias("inventory_id"),
+                                 F.col("p_partkey").alias("film_id"),
+                                 F.lit(1).cast("long").alias("store_id"), updated),
+        "rental": rented.select(F.col("o_orderkey").alias("rental_id"), "inventory_id",
+                                F.col("o_custkey").alias("customer_id"),
+                                F.col("o_orderdate").alias("rental_date"), no_staff, updated),
+        "payment": rented.select(
+            F.col("o_orderkey").alias("payment_id"), F.col("o_custkey").alias("customer_id"),
+            no_staff, F.col("o_orderkey").alias("rental_id"),
+            (F.col("o_totalprice") / 1000).cast("decimal(5,2)").alias("amount"),
+            F.col("o_orderdate").alias("payment_date")),
+    }
+
+
+def marketplace_batches(t: Mapping[str, DataFrame]) -> Frames:
+    """Batches for the marketplace load. Customers are users and buyers, suppliers are the sellers
+    among them, parts are products. An order's time is its day plus a microsecond per key, which
+    makes it unique, so the look-ups by time do not fan out."""
+    def numbered(prefix: str, key: str):
+        return F.concat(F.lit(prefix), F.lpad(F.col(key).cast("string"), 9, "0"))
+
+    time = F.expr("o_orderdate + make_dt_interval(0, 0, 0, o_orderkey * 0.000001BD)")
+    next_day = time + F.expr("INTERVAL 1 DAY")
+    balance, lines = F.col("c_acctbal"), t["lineitem"]
+    product = F.concat_ws(" ", "p_name", "p_partkey").alias("product")
+    orders = t["orders"].select("*", time.alias("order_time"))
+    buyer = numbered("Customer#", "o_custkey").alias("email")
+    bought = (lines.groupBy("l_orderkey", "l_partkey")
+              .agg(F.sum("l_quantity").cast("int").alias("quantity"),
+                   F.max("l_extendedprice").cast("decimal(10,2)").alias("price_snapshot"),
+                   F.max("l_linenumber").alias("line"))
+              .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+              .join(t["part"].select("p_partkey", product), F.col("l_partkey") == F.col("p_partkey")))
+    first_seller = lines.groupBy("l_partkey").agg(F.min("l_suppkey").alias("seller"))
+    moved = (lines.groupBy("l_partkey", F.col("l_returnflag").alias("reason"))
+             .agg(F.sum("l_quantity").cast("int").alias("moved"),
+                  F.max("l_shipdate").alias("changed_at"))
+             .join(t["part"].select("p_partkey", product), F.col("l_partkey") == F.col("p_partkey")))
+    placed = orders.select("order_time", F.lit("Pending").alias("status"),
+                           F.col("order_time").alias("changed_at"))
+    closed = (orders.where(F.col("o_orderstatus") == "F")
+              .select("order_time", F.lit("Shipped").alias("status"), next_day.alias("changed_at")))
+    return {
+        "users": t["customer"].select(
+            F.col("c_name").alias("email"), F.sha2("c_name", 256).alias("password_hash"),
+            F.lit(dt.datetime(2001, 1, 1)).cast("timestamp_ntz").alias("created_at")),
+        "buyers": t["customer"].select(
+            F.col("c_name").alias("email"),
+            F.greatest(F.floor(balance), F.lit(0)).cast("int").alias("loyalty_points"),
+            F.when(balance >= 6000, "gold").when(balance >= 2000, "silver").otherwise("bronze")
+            .alias("membership_level")),
+        "sellers": t["supplier"].select(numbered("Customer#", "s_suppkey").alias("email"),
+                                        F.col("s_name").alias("store_name"),
+                                        F.lit(None).cast("string").alias("store_description")),
+        "categories": t["part"].select(F.col("p_type").alias("name")).distinct(),
+        "products": t["part"].join(first_seller, F.col("p_partkey") == F.col("l_partkey")).select(
+            numbered("Supplier#", "seller").alias("store_name"), product.alias("name"),
+            F.col("p_retailprice").cast("decimal(10,2)").alias("price")),
+        "product_categories": t["part"].select(product, F.col("p_type").alias("category")),
+        "orders": orders.select(buyer, F.col("order_time").alias("created_at"),
+                                F.col("o_totalprice").cast("decimal(12,2)").alias("total_price")),
+        "order_items": bought.select("order_time", "product", "quantity", "price_snapshot"),
+        "payments": orders.select(
+            "order_time", F.col("o_totalprice").cast("decimal(12,2)").alias("amount"),
+            F.when(F.col("o_orderstatus") == "F", "Credit Card")
+            .when(F.col("o_orderstatus") == "O", "PayPal").otherwise("Bank Transfer")
+            .alias("method")),
+        "shipments": orders.where(F.col("o_orderstatus") != "P").select(
+            "order_time", F.concat(F.lit("Street "), "o_custkey").alias("address"),
+            F.when(F.col("o_orderstatus") == "F", next_day).alias("shipped_at")),
+        "reviews": bought.groupBy("o_custkey", "product").agg(
+            (F.max("line") % 5 + 1).alias("rating"), F.max("order_time").alias("created_at"))
+        .select(buyer, "product", "rating", F.lit(None).cast("string").alias("comment"),
+                "created_at"),
+        "inventory_history": moved.select(
+            "product", F.when(F.col("reason") == "R", F.col("moved")).otherwise(-F.col("moved"))
+            .alias("quantity"), "changed_at", "reason"),
+        "order_status_history": placed.unionByName(closed),
+        "discounts": t["part"].where(F.col("p_type") == "PROMO").select(
+            product, F.col("p_size").cast("decimal(5,2)").alias("discount_percent"),
+            F.lit(dt.date(2024, 3, 1)).alias("start_date"),
+            F.lit(dt.date(2024, 3, 31)).alias("end_date")),
+    }
