@@ -1,0 +1,194 @@
+"""Snapshots and their log: groups, refusals, conflicts, compaction, footprint."""
+
+import datetime as dt
+import os
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import PySparkException
+
+from tableflow.plans import rental_changes
+from tableflow.plans.bulk import lifecycle
+from tableflow.sources.contracts import Contract, reference
+from tableflow.sources.rental import RENTAL
+from tableflow.sources.store import ContractViolation, TableStore
+from tableflow.sources.tables import seed_frame
+
+CONTRACTS = {c.name: c for c in (
+    Contract("parents", (), primary_key=("p",)),
+    Contract("children", (), primary_key=("c",), foreign_keys=(reference("p", "parents"),)))}
+
+
+def frames(spark, parents, children):
+    return {"parents": seed_frame(spark, [(p,) for p in parents], "p int"),
+            "children": seed_frame(spark, children, "c int, p int")}
+
+
+def state(store):
+    return {name: sorted(tuple(r) for r in df.collect()) for name, df in store.frames().items()}
+
+
+def test_group_is_published_whole_or_not_at_all(spark, folder):
+    store = TableStore(spark, folder)
+    store.publish("good", frames(spark, [1, 2], [(1, 1)]), CONTRACTS)
+    before = state(store)
+    with pytest.raises(ContractViolation) as caught:
+        store.publish("bad", frames(spark, [3], [(1, 3), (2, 1)]), CONTRACTS)
+    assert [(v.table_name, v.violations, v.sample) for v in caught.value.violations] == [
+        ("children", 1, '{"p":1}')]
+    assert state(store) == before
+
+
+def test_parent_change_is_checked_against_unchanged_children(spark, folder):
+    store = TableStore(spark, folder)
+    store.publish("good", frames(spark, [1, 2], [(1, 1)]), CONTRACTS)
+    with pytest.raises(ContractViolation):
+        store.publish("bad", {"parents": seed_frame(spark, [(2,)], "p int")}, CONTRACTS)
+    store.publish("fine", {"parents": seed_frame(spark, [(1,)], "p int")}, CONTRACTS)
+    assert state(store)["parents"] == [(1,)]
+
+
+def test_failing_job_changes_nothing(spark, folder):
+    store = TableStore(spark, folder)
+    store.create("t", seed_frame(spark, [(1,)], "k int"))
+    bad = store.read("t").selectExpr("CAST(CONCAT('x', k) AS INT) AS k")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        store.publish("change", {"t": bad})
+    assert state(store) == {"t": [(1,)]}
+
+
+def test_second_writer_from_one_version_fails(spark, folder):
+    store = TableStore(spark, folder)
+    store.create("t", seed_frame(spark, [(1,)], "k int"))
+    late = TableStore(spark, folder)
+    seen = late.current()
+    store.publish("first", {"t": seed_frame(spark, [(2,)], "k int")})
+    late.current = lambda: seen
+    with pytest.raises(PySparkException, match="PATH_ALREADY_EXISTS"):
+        late.publish("second", {"t": seed_frame(spark, [(3,)], "k int")})
+    assert state(store) == {"t": [(2,)]}
+
+
+def test_a_table_can_be_rewritten_from_itself(spark, folder):
+    store = TableStore(spark, folder)
+    store.create("t", spark.range(10))
+    store.publish("less", {"t": store.read("t").where("id > 5")})
+    assert store.read("t").count() == 4
+
+
+def test_create_fails_if_there_and_create_missing_does_not(spark, folder):
+    store = TableStore(spark, folder)
+    assert store.current() == (0, {})
+    some = {name: RENTAL[name] for name in ("film", "language")}
+    assert store.create_missing(some) == ["film", "language"]
+    assert store.create_missing(some) == []
+    assert store.read("film").schema == RENTAL["film"].schema
+    with pytest.raises(ValueError):
+        store.create("film", store.read("film"))
+
+
+def test_footprint_compact_truncate_reclaim(spark, folder):
+    store = TableStore(spark, folder)
+    store.create("big_table", spark.range(1000).repartition(6))
+    store.create("bigger", spark.range(5))
+    found = store.footprint("big_table%").collect()
+    sizes = [os.path.getsize(os.path.join(store.path("big_table"), f))
+             for f in os.listdir(store.path("big_table")) if f.endswith(".parquet")]
+    assert [(r.table_name, r.row_count, r.files, r.total_bytes) for r in found] == [
+        ("big_table", 1000, 6, sum(sizes))]
+    assert found[0].total == f"{sum(sizes)} bytes"
+    assert store.footprint("big_table_").count() == 0
+    store.compact("big_table", 64 << 20)
+    row = store.footprint("big_table").first()
+    assert (row.row_count, row.files) == (1000, 1) and row.total_bytes < sum(sizes)
+    store.truncate("big_table")
+    assert store.footprint("big_table").first().row_count == 0
+    assert store.read("big_table").schema == spark.range(1).schema
+    assert len(store.reclaim()) == 2
+    assert store.reclaim() == []
+    assert store.read("bigger").count() == 5
+
+
+def test_bulk_lifecycle(spark, folder):
+    after = lifecycle(TableStore(spark, folder), "bulk", 10_000, "some_22_letter_prefix_")
+    assert [rows for rows, _ in after.values()] == [10_000, 6_667, 6_667, 0]
+    assert after["compact"][1] < after["create"][1]
+
+
+# The change set, applied to a store twice
+
+AS_OF = dt.datetime(2025, 2, 3, 4, 5)
+DAY = dt.datetime(2016, 1, 1)
+
+
+def rental_store(spark, folder, english=1):
+    old, D = dt.date(2006, 1, 1), Decimal
+    data = {
+        "language": [(i, "English") for i in range(1, english + 1)] + [(9, "French")],
+        "film": [(1, "Old Film", 2001, D("1.99"), "PG", 3, 9, old)],
+        "category": [], "film_category": [],
+        "actor": [(1, "Old", "Actor", old)], "film_actor": [(1, 1, old)],
+        "address": [(5, "1 Quay", None), (6, "2 Mill", None)],
+        "store": [(4, 5), (3, 6)], "staff": [(8, "S", "T", 3), (7, "S", "T", 4)],
+        "customer": [(1, "A", "B", None, 4, 6, 1, old), (2, "C", "D", None, 4, 6, 0, old),
+                     (3, "E", "F", None, 4, 6, 0, old)],
+        "inventory": [(1, 1, 4, old)],
+        "rental": [(i, 1, 2 + i % 2, DAY, 7, old) for i in range(1, 7)] + [(7, 1, 1, DAY, 7, old)],
+        "payment": [(i, 2 + i % 2, 7, i, D("1.00"), DAY) for i in range(1, 7)],
+    }
+    store = TableStore(spark, folder)
+    store.publish("start", {name: seed_frame(spark, data[name], contract.schema)
+                            for name, contract in RENTAL.items()}, RENTAL)
+    return store
+
+
+def change_set(spark, least=3):
+    films = [("North", Decimal("4.99"), 7, "English"), ("South", Decimal("9.99"), 14, "English")]
+    return rental_changes.ChangeSet(
+        films=seed_frame(spark, films, rental_changes.FILMS),
+        actors=seed_frame(spark, [("Vera", "Lund"), ("Old", "Actor")], rental_changes.ACTORS),
+        links=seed_frame(spark, [("Vera", "Lund", "North"), ("Old", "Actor", "South"),
+                                 ("Old", "Actor", "Old Film"), ("No", "One", "North")],
+                         rental_changes.LINKS),
+        prices=seed_frame(spark, [(f[0], f[1]) for f in films], "title string, rate decimal(5,2)"),
+        customer={"first_name": "Iris", "last_name": "Moor", "email": "iris@example.org", "active": 1},
+        least_rentals=least, least_payments=least,
+        rental_day=dt.date(2017, 1, 10), payment_day=dt.date(2017, 1, 15))
+
+
+def test_change_set_and_second_run(spark, folder):
+    store = rental_store(spark, folder)
+    rental_changes.apply(store, change_set(spark), AS_OF)
+    after = state(store)
+    today, day = AS_OF.date(), dt.datetime
+    assert [r[:4] for r in after["film"]] == [
+        (1, "Old Film", 2001, Decimal("1.99")), (2, "North", None, Decimal("4.99")),
+        (3, "South", None, Decimal("9.99"))]
+    assert len(after["actor"]) == 2 and len(after["film_actor"]) == 3
+    assert [r[1:] for r in after["inventory"]][1:] == [(2, 3, today), (3, 3, today)]
+    assert after["customer"][1] == (2, "Iris", "Moor", "iris@example.org", 3, 5, 1, today)
+    assert {r[2] for r in after["rental"] if r[0] <= 7} == {3, 1}
+    new = [r for r in after["rental"] if r[0] > 7]
+    assert [r[2:] for r in new] == [(2, day(2017, 1, 10), 7, today)] * 2
+    paid = [r for r in after["payment"] if r[0] > 6]
+    assert sorted((r[1], r[2], r[4], r[5]) for r in paid) == [
+        (2, 7, Decimal("4.99"), day(2017, 1, 15)), (2, 7, Decimal("9.99"), day(2017, 1, 15))]
+    assert {r[3] for r in paid} == {r[0] for r in new}
+
+
+@pytest.mark.parametrize("english, films", [(0, 0), (2, 4)])
+def test_films_per_matching_language(spark, folder, english, films):
+    store = rental_store(spark, folder, english)
+    _, added = rental_changes.add_films(store.frames(), change_set(spark).films, AS_OF)
+    assert added.count() == films
+
+
+def test_nobody_eligible_changes_nobody(spark, folder):
+    tables = rental_store(spark, folder).frames()
+    eligible = rental_changes.eligible_customers(tables, 4, 4)
+    new, changed = rental_changes.rewrite_customer(tables, eligible, {"active": 1}, AS_OF)
+    assert changed.count() == 0
+    assert sorted(new.collect()) == sorted(tables["customer"].collect())
+    assert sorted(r[0] for r in rental_changes.eligible_customers(tables, 3, 3).collect()) == [2, 3]
+    cleared = rental_changes.clear_history(tables, "No", "One")
+    assert cleared["payment"].count() == 6 and cleared["rental"].count() == 7
