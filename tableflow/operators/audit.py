@@ -3,20 +3,18 @@
 All rules that look at single rows share one scan and one aggregate per table. A uniqueness rule is
 one aggregate on its keys. A reference rule folds the child to its distinct keys before the join,
 so a hot key is one row by then.
+
+The rules are SQL expressions, as the checks of a contract are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from functools import reduce
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tableflow.sources.contracts import Contract
-
-RESULT = "table_name string, rule string, violations long, sample string"
+from tableflow.sources.contracts import Contract, ForeignKey
 
 
 def audit(tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract]) -> DataFrame:
@@ -30,72 +28,86 @@ def audit(tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract]) ->
         if name not in tables:
             continue
         df = tables[name]
-        if row_conditions(df, contract):
-            parts.append(row_rules(df, contract))
+        rules = row_conditions(df, contract)
+        if rules:
+            parts.append(row_rules(df, contract, rules))
         parts.extend(unique_rule(df, name, keys)
                      for keys in (contract.primary_key, *contract.uniques) if keys)
         parts.extend(reference_rule(df, name, key, tables[key.parent])
                      for key in contract.foreign_keys if key.parent in tables)
-    return reduce(DataFrame.unionByName, parts)
+    return _union(parts)
 
 
-def row_conditions(df: DataFrame, contract: Contract) -> dict[str, Column]:
+def row_conditions(df: DataFrame, contract: Contract) -> dict[str, str]:
     """Rule name -> condition that is true for an offending row (a NULL check result passes)."""
-    rules: dict[str, Column] = {}
+    rules: dict[str, str] = {}
+    types = {field.name: field.dataType for field in df.schema}
     required = [column.name for column in contract.columns if not column.nullable]
     for name in dict.fromkeys([*contract.primary_key, *required]):
-        rules[f"not null {name}"] = F.col(name).isNull()
+        rules[f"not null {name}"] = f"`{name}` IS NULL"
     for column in contract.columns:
-        value = F.col(column.name)
         if column.length is not None:
-            rules[f"length {column.name}"] = F.length(value) > column.length
-        if df.schema[column.name].dataType != column.type and \
-                isinstance(column.type, T.DecimalType):
-            rules[f"type {column.name}"] = value.isNotNull() & value.try_cast(column.type).isNull()
+            rules[f"length {column.name}"] = f"length(`{column.name}`) > {column.length}"
+        if isinstance(column.type, T.DecimalType) and types[column.name] != column.type:
+            rules[f"type {column.name}"] = (
+                f"`{column.name}` IS NOT NULL AND "
+                f"try_cast(`{column.name}` AS {column.type.simpleString()}) IS NULL")
     for name, condition in contract.checks.items():
-        rules[f"check {name}"] = ~F.expr(condition)
+        rules[f"check {name}"] = f"NOT ({condition})"
     for name, expression in contract.computed.items():
-        rules[f"computed {name}"] = ~F.col(name).eqNullSafe(
-            F.expr(expression).cast(contract.type_of(name)))
+        type_name = contract.type_of(name).simpleString()
+        rules[f"computed {name}"] = f"NOT (`{name}` <=> CAST({expression} AS {type_name}))"
     return rules
 
 
-def row_rules(df: DataFrame, contract: Contract) -> DataFrame:
-    rules = row_conditions(df, contract)
-    shown = contract.primary_key or contract.column_names
-    sample = F.to_json(F.struct(*shown))
-    aggregates = []
-    for i, condition in enumerate(rules.values()):
-        aggregates.append(F.count(F.when(condition, F.lit(1))).alias(f"n{i}"))
-        aggregates.append(F.min(F.when(condition, sample)).alias(f"s{i}"))
-    counted = df.agg(*aggregates)
-    rows = F.array(*[F.struct(F.lit(contract.name).alias("table_name"), F.lit(rule).alias("rule"),
-                              F.col(f"n{i}").alias("violations"), F.col(f"s{i}").alias("sample"))
-                     for i, rule in enumerate(rules)])
-    return counted.select(F.inline(rows))
+def row_rules(df: DataFrame, contract: Contract, rules: Mapping[str, str]) -> DataFrame:
+    """All row rules of one table in one aggregate."""
+    key = _json(contract.primary_key or contract.column_names)
+    counted = df.selectExpr(*[
+        aggregate for i, condition in enumerate(rules.values()) for aggregate in (
+            f"count_if({condition}) AS n{i}", f"min(CASE WHEN {condition} THEN {key} END) AS s{i}")])
+    found = ", ".join(
+        f"struct({_text(contract.name)} AS table_name, {_text(rule)} AS rule, "
+        f"n{i} AS violations, s{i} AS sample)" for i, rule in enumerate(rules))
+    return counted.selectExpr(f"inline(array({found}))")
 
 
-def unique_rule(df: DataFrame, name: str, keys: tuple[str, ...]) -> DataFrame:
+def unique_rule(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once; keys with a NULL in them are exempt."""
-    repeated = (df.select(*keys).dropna("any").groupBy(*keys)
-                .agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1"))
-    return _one_row(repeated.agg(F.count(F.lit(1)).alias("violations"),
-                                 F.min(F.to_json(F.struct(*keys))).alias("sample")),
-                    name, f"unique {', '.join(keys)}")
+    return (_copies(df, keys).where("_rows > 1")
+            .selectExpr(*_found(name, f"unique {', '.join(keys)}", "count(1)", keys)))
 
 
-def reference_rule(df: DataFrame, name: str, key, parent: DataFrame) -> DataFrame:
+def reference_rule(df: DataFrame, name: str, key: ForeignKey, parent: DataFrame) -> DataFrame:
     """Child rows whose key has no parent; keys with a NULL in them are exempt."""
-    used = (df.select(*key.columns).dropna("any").groupBy(*key.columns)
-            .agg(F.count(F.lit(1)).alias("_rows")))
-    known = parent.select(*[F.col(theirs).alias(ours)
-                            for ours, theirs in zip(key.columns, key.parent_columns)])
-    orphans = used.join(known, list(key.columns), "left_anti")
-    return _one_row(orphans.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("violations"),
-                                F.min(F.to_json(F.struct(*key.columns))).alias("sample")),
-                    name, f"reference {', '.join(key.columns)} -> {key.parent}")
-
-
-def _one_row(counted: DataFrame, name: str, rule: str) -> DataFrame:
-    return counted.select(F.lit(name).alias("table_name"), F.lit(rule).alias("rule"),
-                          F.col("violations").cast("long").alias("violations"), "sample")
+    known = parent.selectExpr(*[f"`{theirs}` AS `{ours}`"
+                                for ours, theirs in zip(key.columns, key.parent_columns)])
+    orphans = _copies(df, key.columns).join(known, list(key.columns), "left_anti")
+    rule = f"reference {', '.join(key.columns)} -> {key.parent}"
+    return orphans.selectExpr(*_found(name, rule, "coalesce(sum(_rows), 0)", key.columns))
+
+
+def _copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    known = " AND ".join(f"`{key}` IS NOT NULL" for key in keys)
+    return df.where(known).groupBy(*keys).count().withColumnRenamed("count", "_rows")
+
+
+def _found(name: str, rule: str, violations: str, keys: Iterable[str]) -> list[str]:
+    return [f"{_text(name)} AS table_name", f"{_text(rule)} AS rule",
+            f"CAST({violations} AS BIGINT) AS violations", f"min({_json(keys)}) AS sample"]
+
+
+def _json(columns: Iterable[str]) -> str:
+    return f"to_json(struct({', '.join(f'`{column}`' for column in columns)}))"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _union(parts: Sequence[DataFrame]) -> DataFrame:
+    """Union in halves: every step is analysed anew, so a chain of unions would be slow to plan."""
+    if len(parts) == 1:
+        return parts[0]
+    middle = len(parts) // 2
+    return _union(parts[:middle]).union(_union(parts[middle:]))

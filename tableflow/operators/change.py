@@ -45,7 +45,8 @@ def delete_rows(df: DataFrame, predicate: Column) -> DataFrame:
 
 def delete_where(df: DataFrame, selector: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows whose key is not in ``selector``."""
-    return df.join(selector.select(*on).distinct(), list(on), "left_anti")
+    gone = selector.select(*on).distinct()
+    return df.join(gone, list(on), "left_anti").select(*df.columns)
 
 
 def cascade_delete(tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract],

@@ -65,7 +65,7 @@ def unseen(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFram
     """
     keys = list(keys)
     present = target.select(*keys).join(batch.select(*keys), keys, "left_semi").distinct()
-    return batch.join(present, keys, "left_anti")
+    return batch.join(present, keys, "left_anti").select(*batch.columns)
 
 
 def link_by_names(mapping: DataFrame, left: DataFrame, left_on: Sequence[str],

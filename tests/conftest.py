@@ -11,7 +11,8 @@ from tableflow.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("tests", master="local[8]", settings={
-        "spark.sql.shuffle.partitions": "4",
+        "spark.sql.shuffle.partitions": "2",
+        "spark.default.parallelism": "2",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",

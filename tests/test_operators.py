@@ -20,7 +20,7 @@ from tableflow.sources.contracts import (
 from tableflow.sources.tables import seed_frame, series
 
 AS_OF = dt.datetime(2025, 2, 3, 4, 5)
-SLOW = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+SLOW = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 
 
 def rows(df):
