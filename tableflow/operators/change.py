@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableflow.operators.load import with_computed
+from tableflow.operators.lookups import without
 from tableflow.session import materialise
 from tableflow.sources.contracts import Contract, children_first
 
@@ -45,8 +46,7 @@ def delete_rows(df: DataFrame, predicate: Column) -> DataFrame:
 
 def delete_where(df: DataFrame, selector: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows whose key is not in ``selector``."""
-    gone = selector.select(*on).distinct()
-    return df.join(gone, list(on), "left_anti").select(*df.columns)
+    return without(df, selector, on)
 
 
 def cascade_delete(tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract],

@@ -56,16 +56,22 @@ def only_value(rows: DataFrame, column: str) -> Column:
     return rows.select(column).scalar()
 
 
+def without(rows: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key is not in ``others``; a NULL in a key never matches. ``distinct`` folds a hot
+    key of the others before it is shuffled."""
+    keys = list(keys)
+    return rows.join(others.select(*keys).distinct(), keys, "left_anti").select(*rows.columns)
+
+
 def unseen(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``batch`` whose key is not in ``target``; a NULL in a key never matches.
+    """``without``, for a batch that may be much smaller than the target.
 
     Only keys of the batch can matter, so the target is first cut down to them. A small batch is
-    then broadcast over the target, and the target's rows are not shuffled. ``distinct`` folds a
-    hot target key before it is shuffled.
+    then broadcast over the target, and the target's rows are not shuffled.
     """
     keys = list(keys)
-    present = target.select(*keys).join(batch.select(*keys), keys, "left_semi").distinct()
-    return batch.join(present, keys, "left_anti").select(*batch.columns)
+    present = target.select(*keys).join(batch.select(*keys), keys, "left_semi")
+    return without(batch, present, keys)
 
 
 def link_by_names(mapping: DataFrame, left: DataFrame, left_on: Sequence[str],

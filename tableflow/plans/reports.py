@@ -126,20 +126,21 @@ def top_staff_own_store(t: Frames, year: int, k: int) -> DataFrame:
 def top_staff_by_last_date(t: Frames, year: int, k: int) -> DataFrame:
     """As above, but a row per payment on the last date, and the limit counts those rows.
 
-    The payments are folded per staff member and date, which gives the number of payments on the
-    last date without joining the payments again. A staff member can fill at most ``k`` rows of
-    the result, so no more repeats than that are made.
+    Everybody in the ranking has at least one such row, so only the first ``k`` of it can be shown.
+    Those ``k`` rows are sent to the payments to count their ties; the payments are not shuffled
+    for it. A staff member can fill at most ``k`` rows, so no more repeats than that are made.
     """
-    per_date = (t["payment"].where(within_year("payment_date", year))
-                .groupBy("staff_id", "payment_date")
-                .agg(F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("payments")))
-    per_staff = per_date.groupBy("staff_id").agg(
-        F.sum("amount").cast(MONEY).alias("total_revenue"),
-        F.max_by("payments", "payment_date").alias("last_date_payments"))
+    paid = t["payment"].where(within_year("payment_date", year))
+    ranked = paid.groupBy("staff_id").agg(F.sum("amount").cast(MONEY).alias("total_revenue"),
+                                          F.max("payment_date").alias("payment_date"))
     order = [descending("total_revenue"), ascending("staff_id")]
-    best = per_staff.join(t["staff"], "staff_id").orderBy(*order).limit(k)
-    repeats = F.sequence(F.lit(1), F.least("last_date_payments", F.lit(k)).cast("int"))
-    return (best.withColumn("_copy", F.explode(repeats)).orderBy(*order).limit(k)
+    best = ranked.join(t["staff"], "staff_id").orderBy(*order).limit(k)
+    last = ["staff_id", "payment_date"]
+    ties = (paid.select(*last).join(F.broadcast(best.select(*last)), last, "left_semi")
+            .groupBy("staff_id").agg(F.count(F.lit(1)).alias("ties")))
+    repeats = F.sequence(F.lit(1), F.least("ties", F.lit(k)).cast("int"))
+    return (best.join(ties, "staff_id").withColumn("_copy", F.explode(repeats))
+            .orderBy(*order).limit(k)
             .select("first_name", "last_name", "store_id", "total_revenue"))
 
 
