@@ -249,6 +249,19 @@ def create_table_as(t):
     return store.read("spending")
 
 
+@register("create_missing_tables", "S8", sql="""
+SELECT 'spending' AS table_name, COUNT(DISTINCT o_custkey) AS row_count FROM orders
+UNION ALL SELECT 'order_log', 0""")
+def create_missing_tables(t):
+    """Of two tables one is there and keeps its rows, the other is made empty."""
+    store = _new_store(t)
+    spending = t["orders"].groupBy("o_custkey").agg(F.sum("o_totalprice").alias("spent"))
+    store.create("spending", spending)
+    store.create_missing({"spending": Contract("spending", (Column("o_custkey", ID),)),
+                          "order_log": ORDER_LOG})
+    return _row_counts(store.frames())
+
+
 @register("truncate_table", "M5 S5", sql="""
 SELECT COUNT(*) AS before, CAST(0 AS BIGINT) AS after FROM orders""")
 def truncate_table(t):

@@ -25,7 +25,7 @@ def _loaded(t, names=tuple(marketplace.LOOKUPS)):
 
 # Marketplace ------------------------------------------------------------------------------------
 
-@register("load_marketplace", "L1 M1 J8 J13 J14 S2 S6 S8 C8 C9 C10", sql="""
+@register("load_marketplace", "L1 M1 J8 J13 J14 S2 S6 C8 C9 C10", sql="""
 WITH bought AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem),
      sold AS (SELECT DISTINCT l_partkey FROM lineitem)
 SELECT 'users' AS table_name, COUNT(*) AS row_count FROM customer
@@ -157,7 +157,7 @@ def rewrite_customer(t):
         "customer_id", "first_name", "email", "store_id", "active", "last_update")
 
 
-@register("clear_history", "L4 M3 M10", sql=f"""
+@register("clear_history", "L4 M3", sql=f"""
 WITH {_FREQUENT},
 left_over AS (SELECT * FROM orders WHERE o_custkey <> (SELECT chosen FROM frequent)
               AND o_orderkey IN (SELECT l_orderkey FROM lineitem))

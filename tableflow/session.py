@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,9 +39,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="run-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="run-")
 
 
 def materialise(df: DataFrame) -> DataFrame:
