@@ -19,10 +19,14 @@ def update_rows(df: DataFrame, hit: Column, assignments: Mapping[str, object],
     """Set columns where ``hit`` is true (NULL counts as false); return the new table and the
     changed rows. Computed columns follow."""
     marked = df.withColumn("_hit", F.coalesce(hit, F.lit(False)))
-    changed = marked.select(*[
-        F.when(F.col("_hit"), _value(assignments[name]).cast(field.dataType))
-        .otherwise(F.col(name)).alias(name) if name in assignments else F.col(name)
-        for name, field in ((field.name, field) for field in df.schema)], "_hit")
+    columns = []
+    for field in df.schema:
+        column = F.col(field.name)
+        if field.name in assignments:
+            new = _value(assignments[field.name]).cast(field.dataType)
+            column = F.when(F.col("_hit"), new).otherwise(column).alias(field.name)
+        columns.append(column)
+    changed = marked.select(*columns, "_hit")
     if contract is not None:
         changed = with_computed(changed, contract)
     return changed.drop("_hit"), changed.where("_hit").drop("_hit")
@@ -31,9 +35,10 @@ def update_rows(df: DataFrame, hit: Column, assignments: Mapping[str, object],
 def update_where(df: DataFrame, selector: DataFrame, on: Sequence[str],
                  assignments: Mapping[str, object],
                  contract: Contract | None = None) -> tuple[DataFrame, DataFrame]:
-    """``update_rows`` for the rows whose key is in ``selector``."""
+    """``update_rows`` for the rows whose key is in ``selector`` (its keys are written out first,
+    see ``delete_where``)."""
     on = list(on)
-    chosen = selector.select(*on).distinct().withColumn("_chosen", F.lit(True))
+    chosen = materialise(selector.select(*on).distinct()).withColumn("_chosen", F.lit(True))
     new, affected = update_rows(df.join(chosen, on, "left"), F.col("_chosen"), assignments,
                                 contract)
     return new.select(*df.columns), affected.select(*df.columns)
@@ -45,8 +50,12 @@ def delete_rows(df: DataFrame, predicate: Column) -> DataFrame:
 
 
 def delete_where(df: DataFrame, selector: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows whose key is not in ``selector``."""
-    return without(df, selector, on)
+    """Rows whose key is not in ``selector``.
+
+    The keys are written out first. Their size is then known when the join is planned: few keys are
+    broadcast and the table is not shuffled; many keys are joined by sort and merge.
+    """
+    return without(df, materialise(selector.select(*on).distinct()), on)
 
 
 def cascade_delete(tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract],
@@ -59,7 +68,7 @@ def cascade_delete(tables: Mapping[str, DataFrame], contracts: Mapping[str, Cont
     children read them.
     """
     doomed = {root: materialise(selector.select(*contracts[root].primary_key).distinct())}
-    result = {root: delete_where(tables[root], doomed[root], contracts[root].primary_key)}
+    result = {root: without(tables[root], doomed[root], contracts[root].primary_key)}
     for name in reversed(children_first(contracts)):
         contract, hits = contracts[name], []
         for key in contract.foreign_keys:
@@ -67,7 +76,7 @@ def cascade_delete(tables: Mapping[str, DataFrame], contracts: Mapping[str, Cont
                 continue
             gone = doomed[key.parent].select(*[
                 F.col(theirs).alias(ours) for ours, theirs in zip(key.columns, key.parent_columns)])
-            result[name] = delete_where(result.get(name, tables[name]), gone, key.columns)
+            result[name] = without(result.get(name, tables[name]), gone, key.columns)
             hits.append(tables[name].join(gone, list(key.columns), "left_semi")
                         .select(*contract.primary_key))
         has_children = any(key.parent == name for other in contracts.values()

@@ -74,6 +74,10 @@ def insert_new(target: DataFrame, batch: DataFrame, contract: Contract, keys: Se
 
     Like the checks it stands for, this compares with the target only: copies inside one batch
     all go in, and are left to the audit's unique rules.
+
+    The batch is read twice. One that comes out of joins should be written out before
+    (``materialise``): it is then worked out once, and its size is known when the plan is made, so
+    that a small one is broadcast to a large target.
     """
     added = apply_defaults(unseen(batch, target, keys), contract, as_of)
     if contract.identity:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tableflow.operators.load import add_column, insert_new
 from tableflow.operators.lookups import resolve_keys
+from tableflow.session import materialise
 from tableflow.sources.contracts import Contract
 from tableflow.sources.marketplace import MARKETPLACE
 from tableflow.sources.store import TableStore
@@ -87,33 +89,42 @@ def load_table(tables: Mapping[str, DataFrame], name: str, batch: DataFrame,
     added rows."""
     for parent, on, take in LOOKUPS[name]:
         batch = resolve_keys(batch, tables[parent], on, take)
+    if LOOKUPS[name]:
+        batch = materialise(batch)
     return insert_new(tables[name], batch, MARKETPLACE[name], KEYS[name], as_of)
 
 
-def load(tables: Mapping[str, DataFrame], batches: Mapping[str, DataFrame], as_of: dt.datetime,
-         keep: Callable[[str, DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
-    """Load the batches, parents first; a later table sees the rows of the earlier ones.
+def levels(names: Iterable[str]) -> list[list[str]]:
+    """The tables in steps: those of one step look nothing up in each other."""
+    step: dict[str, int] = {}
+    for name in LOOKUPS:  # parents come first
+        step[name] = 1 + max((step[parent] for parent, _, _ in LOOKUPS[name]), default=0)
+    wanted = [name for name in LOOKUPS if name in set(names)]
+    return [[name for name in wanted if step[name] == number]
+            for number in sorted({step[name] for name in wanted})]
 
-    ``keep`` may write a new table out and hand it back, so that the tables after it read its rows
-    instead of working them out again.
-    """
+
+def load(tables: Mapping[str, DataFrame], batches: Mapping[str, DataFrame],
+         as_of: dt.datetime) -> dict[str, DataFrame]:
+    """Load the batches, parents first; a later table sees the rows of the earlier ones. The jobs
+    of one step are handed to Spark together."""
     tables = dict(tables)
-    for name in LOOKUPS:
-        if name in batches:
-            new, _ = load_table(tables, name, batches[name], as_of)
-            tables[name] = keep(name, new) if keep else new
+    for names in levels(batches):
+        with ThreadPoolExecutor(len(names)) as pool:
+            loads = {name: pool.submit(load_table, tables, name, batches[name], as_of)
+                     for name in names}
+        tables.update({name: done.result()[0] for name, done in loads.items()})
     return tables
 
 
 def load_store(store: TableStore, batches: Mapping[str, DataFrame], as_of: dt.datetime) -> None:
     """The same load on stored tables: each table is audited and published by itself."""
     store.create_missing(MARKETPLACE)
-
-    def publish(name: str, new: DataFrame) -> DataFrame:
+    tables = store.frames()
+    for name in (name for names in levels(batches) for name in names):
+        new, _ = load_table(tables, name, batches[name], as_of)
         store.publish(f"load {name}", {name: new}, MARKETPLACE)
-        return store.read(name)
-
-    load(store.frames(), batches, as_of, publish)
+        tables[name] = store.read(name)
 
 
 def backfill_record_ts(tables: Mapping[str, DataFrame], as_of: dt.date) -> dict[str, DataFrame]:

@@ -2,7 +2,8 @@
 
 Every function returns the tables it changes; ``apply`` publishes each group to a store, all of its
 tables or none. Rows given by hand come as small frames, which name languages, films, actors and
-customers by their natural keys.
+customers by their natural keys. What such rows lead to is small as well and is written out before
+it meets a large table, so that Spark knows its size and does not shuffle the large table for it.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from tableflow.operators.change import delete_rows, update_rows
 from tableflow.operators.load import insert_new
 from tableflow.operators.lookups import first_key, link_by_names, resolve_keys
+from tableflow.session import materialise
 from tableflow.sources.rental import RENTAL
 from tableflow.sources.store import TableStore
 
@@ -30,7 +32,7 @@ def add_films(t: Frames, films: DataFrame, as_of: dt.datetime) -> tuple[DataFram
     """New films (``FILMS``); an unknown language adds nothing, a language that is there twice adds
     the film twice."""
     batch = resolve_keys(films, t["language"], {"language": "name"}, {"language_id": "language_id"})
-    return insert_new(t["film"], batch, RENTAL["film"], ["title"], as_of)
+    return insert_new(t["film"], materialise(batch), RENTAL["film"], ["title"], as_of)
 
 
 def add_actors(t: Frames, actors: DataFrame, as_of: dt.datetime) -> tuple[DataFrame, DataFrame]:
@@ -42,15 +44,16 @@ def link_actors(t: Frames, links: DataFrame, as_of: dt.datetime) -> tuple[DataFr
     batch = link_by_names(links, t["actor"].select("actor_id", "first_name", "last_name"),
                           ["first_name", "last_name"],
                           t["film"].select("film_id", "title"), ["title"])
-    return insert_new(t["film_actor"], batch.select("actor_id", "film_id"), RENTAL["film_actor"],
-                      ["actor_id", "film_id"], as_of)
+    return insert_new(t["film_actor"], materialise(batch.select("actor_id", "film_id")),
+                      RENTAL["film_actor"], ["actor_id", "film_id"], as_of)
 
 
 def stock_films(t: Frames, titles: DataFrame, as_of: dt.datetime) -> tuple[DataFrame, DataFrame]:
     """One item of each named film in the first store, unless that store has the film."""
     batch = (t["film"].join(titles.select("title").distinct(), "title", "left_semi")
              .select("film_id", first_key(t["store"], "store_id").alias("store_id")))
-    return insert_new(t["inventory"], batch, RENTAL["inventory"], ["film_id", "store_id"], as_of)
+    return insert_new(t["inventory"], materialise(batch), RENTAL["inventory"],
+                      ["film_id", "store_id"], as_of)
 
 
 def eligible_customers(t: Frames, rentals: int, payments: int) -> DataFrame:
@@ -91,27 +94,28 @@ def rent_films(t: Frames, titles: DataFrame, first_name: str, last_name: str, da
     wanted = titles.select("title", _constant("title", first_name).alias("first_name"),
                            _constant("title", last_name).alias("last_name")).distinct()
     films = resolve_keys(wanted, t["film"], {"title": "title"}, {"film_id": "film_id"})
-    takers = resolve_keys(films, t["customer"],
-                          {"first_name": "first_name", "last_name": "last_name"},
-                          {"customer_id": "customer_id"})
+    takers = materialise(resolve_keys(
+        films, _named(t["customer"], first_name, last_name),
+        {"first_name": "first_name", "last_name": "last_name"}, {"customer_id": "customer_id"}))
     batch = (takers.join(t["inventory"].select("inventory_id", "film_id"), "film_id")
              .select("inventory_id", "customer_id", F.lit(day).alias("rental_date"),
                      first_key(t["staff"], "staff_id").alias("staff_id")))
-    return insert_new(t["rental"], batch, RENTAL["rental"], ["inventory_id", "customer_id"], as_of)
+    return insert_new(t["rental"], materialise(batch), RENTAL["rental"],
+                      ["inventory_id", "customer_id"], as_of)
 
 
 def pay_rentals(t: Frames, prices: DataFrame, first_name: str, last_name: str, day: dt.date,
                 as_of: dt.datetime) -> tuple[DataFrame, DataFrame]:
     """A payment (``title, rate``) for each unpaid rental of a priced film by the named
     customers."""
-    takers = _named(t["customer"], first_name, last_name).select("customer_id")
-    priced = (t["film"].select("film_id", "title").join(prices, "title")
-              .join(t["inventory"].select("inventory_id", "film_id"), "film_id"))
+    takers = materialise(_named(t["customer"], first_name, last_name).select("customer_id"))
+    films = materialise(t["film"].select("film_id", "title").join(prices, "title"))
+    items = materialise(t["inventory"].select("inventory_id", "film_id").join(films, "film_id"))
     batch = (t["rental"].select("rental_id", "inventory_id", "customer_id")
-             .join(takers, "customer_id").join(priced, "inventory_id")
+             .join(takers, "customer_id").join(items, "inventory_id")
              .select("customer_id", first_key(t["staff"], "staff_id").alias("staff_id"),
                      "rental_id", F.col("rate").alias("amount"), F.lit(day).alias("payment_date")))
-    return insert_new(t["payment"], batch, RENTAL["payment"], ["rental_id"], as_of)
+    return insert_new(t["payment"], materialise(batch), RENTAL["payment"], ["rental_id"], as_of)
 
 
 def _constant(beside: str, value: str) -> Column:

@@ -137,9 +137,9 @@ def top_staff_by_last_date(t: Frames, year: int, k: int) -> DataFrame:
     best = ranked.join(t["staff"], "staff_id").orderBy(*order).limit(k)
     last = ["staff_id", "payment_date"]
     ties = (paid.select(*last).join(F.broadcast(best.select(*last)), last, "left_semi")
-            .groupBy("staff_id").agg(F.count(F.lit(1)).alias("ties")))
+            .groupBy(*last).agg(F.count(F.lit(1)).alias("ties")))
     repeats = F.sequence(F.lit(1), F.least("ties", F.lit(k)).cast("int"))
-    return (best.join(ties, "staff_id").withColumn("_copy", F.explode(repeats))
+    return (best.join(ties, last).withColumn("_copy", F.explode(repeats))
             .orderBy(*order).limit(k)
             .select("first_name", "last_name", "store_id", "total_revenue"))
 
@@ -148,15 +148,16 @@ def top_staff_rental_store(t: Frames, year: int, k: int) -> DataFrame:
     """With the store of the item rented in the latest payment; NULL if that has no rental.
 
     Revenue and latest rental come from one pass over the payments. The look-ups cannot change the
-    number of rows, so the top ``k`` are taken first and only those are looked up: the ``k`` rows
-    are sent to the rentals, not the rentals to them.
+    number of rows, so the top ``k`` are taken first and only those are looked up: at most ``k``
+    rentals are sent to the rental table, and then to the items, and neither table is shuffled.
     """
     best = (t["payment"].where(within_year("payment_date", year)).groupBy("staff_id")
             .agg(F.sum("amount").cast(MONEY).alias("total_revenue"),
                  F.max_by("rental_id", F.struct("payment_date", "payment_id")).alias("rental_id"))
             .orderBy(descending("total_revenue"), ascending("staff_id")).limit(k))
-    rented = t["rental"].join(F.broadcast(best.select("rental_id")), "rental_id", "left_semi")
-    stored = (rented.join(t["inventory"], "inventory_id", "left")
+    rented = (t["rental"].join(F.broadcast(best.select("rental_id")), "rental_id", "left_semi")
+              .groupBy("rental_id").agg(F.min("inventory_id").alias("inventory_id")))
+    stored = (t["inventory"].join(F.broadcast(rented), "inventory_id")
               .select("rental_id", F.col("store_id").alias("last_store_id")))
     return (best.join(stored, "rental_id", "left")
             .orderBy(descending("total_revenue"), ascending("staff_id")).limit(k)

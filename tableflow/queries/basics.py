@@ -13,6 +13,7 @@ from tableflow.operators.lookups import (
     count_per_key, first_key, latest_value, link_by_names, only_value, resolve_keys,
     with_count, without)
 from tableflow.queries.registry import register
+from tableflow.session import materialise
 from tableflow.sources.tables import seed_frame, series
 
 LATE = dt.date(2001, 6, 1)
@@ -283,12 +284,14 @@ FROM (SELECT DISTINCT o_orderdate AS day, o_orderstatus AS notice, 'NATION_4' AS
 JOIN orders ON o_orderdate = day JOIN nation ON n_name = place""")
 def resolve_keys_fanout(t):
     """Daily notices put on every order of that day (the day is no key, so they fan out), with a
-    nation given by name. A day has at most one notice per status."""
+    nation given by name. A day has at most one notice per status. The notices are written out, so
+    that the orders need not be shuffled if there are few."""
     batch = (t["orders"].select(F.col("o_orderdate").alias("day"),
                                 F.col("o_orderstatus").alias("notice"))
              .distinct().withColumn("place", F.when(F.col("day").isNotNull(), "NATION_4")))
     placed = resolve_keys(batch, t["nation"], {"place": "n_name"}, {"n_nationkey": "n_nationkey"})
-    return (resolve_keys(placed, t["orders"], {"day": "o_orderdate"}, {"o_orderkey": "o_orderkey"})
+    return (resolve_keys(materialise(placed), t["orders"], {"day": "o_orderdate"},
+                         {"o_orderkey": "o_orderkey"})
             .select("o_orderkey", "n_nationkey", "notice"))
 
 

@@ -225,10 +225,10 @@ def cascade_delete_nation(t):
     tables = {name: t[name] for name in SALES_KEYS}
     gone = t["nation"].where(F.col("n_nationkey") == 3)
     left = cascade_delete(tables, SALES_KEYS, "nation", gone)
-    return _row_counts(left)
+    return row_counts(left)
 
 
-def _row_counts(frames):
+def row_counts(frames):
     parts = [df.agg(F.count(F.lit(1)).alias("row_count"))
              .select(F.lit(name).alias("table_name"), "row_count") for name, df in frames.items()]
     first, *rest = parts
@@ -259,7 +259,7 @@ def create_missing_tables(t):
     store.create("spending", spending)
     store.create_missing({"spending": Contract("spending", (Column("o_custkey", ID),)),
                           "order_log": ORDER_LOG})
-    return _row_counts(store.frames())
+    return row_counts(store.frames())
 
 
 @register("truncate_table", "M5 S5", sql="""
@@ -314,7 +314,7 @@ def publish_group(t):
                                  "orders": t["orders"].where("o_orderstatus <> 'P'")}, contracts)
     except ContractViolation:
         pass
-    return _row_counts(store.frames())
+    return row_counts(store.frames())
 
 
 @register("bulk_lifecycle", "L6 S4 S5 M4 M5 M6 M7", sql="""

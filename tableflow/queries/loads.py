@@ -8,7 +8,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from tableflow.plans import marketplace, rental_changes
-from tableflow.queries.changes import _row_counts
+from tableflow.queries.changes import row_counts
 from tableflow.queries.registry import register
 from tableflow.session import materialise
 from tableflow.sources import standin
@@ -47,7 +47,7 @@ UNION ALL SELECT 'discounts', COUNT(*) FROM part
           WHERE p_type = 'PROMO' AND p_partkey IN (SELECT l_partkey FROM sold)""")
 def load_marketplace(t):
     """All 14 tables loaded from the sales tables into empty ones."""
-    return _row_counts(_loaded(t))
+    return row_counts(_loaded(t))
 
 
 @register("marketplace_items", "L1 J8 J13 C8 C10", sql=f"""
@@ -166,7 +166,7 @@ UNION ALL SELECT 'rental', COUNT(*) FROM left_over""")
 def clear_history(t):
     tables = standin.rental_tables(t)
     tables["customer"] = materialise(_rewritten(t, tables)[0])
-    return _row_counts(rental_changes.clear_history(tables, "Iris", "Vantongeren"))
+    return row_counts(rental_changes.clear_history(tables, "Iris", "Vantongeren"))
 
 
 @register("rent_and_pay", "L5 J6 J13 S2 M1 F6", sql="""

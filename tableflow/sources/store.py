@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -85,10 +86,12 @@ class TableStore:
         """
         version, known = self.current()
         version += 1
-        written = {}
-        for name, frame in frames.items():
-            written[name] = f"tables/{name}/{uuid.uuid4().hex}"
-            frame.write.mode("errorifexists").parquet(f"{self.folder}/{written[name]}")
+        written = {name: f"tables/{name}/{uuid.uuid4().hex}" for name in frames}
+        with ThreadPoolExecutor(min(len(frames), 8)) as pool:
+            writes = [pool.submit(self._write, frame, written[name])
+                      for name, frame in frames.items()]
+        for write in writes:
+            write.result()
         if contracts:
             self._check({**known, **written}, set(written), contracts)
         entry = seed_frame(self.spark, [(version, group, name, snapshot)
@@ -96,6 +99,9 @@ class TableStore:
         entry.coalesce(1).write.mode("errorifexists").json(f"{self.folder}/log/{version:012d}")
         return version
 
+    def _write(self, frame: DataFrame, snapshot: str) -> None:
+        frame.write.mode("errorifexists").parquet(f"{self.folder}/{snapshot}")
+
     def _check(self, snapshots: Mapping[str, str], changed: set[str],
                contracts: Mapping[str, Contract]) -> None:
         """Audit the changed tables and the tables that refer to them."""
