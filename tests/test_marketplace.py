@@ -38,13 +38,13 @@ SEEDS = {
                     (SHARED, "Dress", 1, D("49.99"))],
     "payments": [(SHARED, D("999.99"), "Credit Card"), (SHARED, D("125.50"), "PayPal"),
                  (EARLY, D("1999.99"), "Credit Card")],
-    "shipments": [(SHARED, "1 Main St", day("2024-03-06 10:00")), (EARLY, "2 Oak Ave", None)],
+    "shipments": [(SHARED, "1 Harbour Rd", day("2024-03-06 10:00")), (EARLY, "2 Mill Lane", None)],
     "reviews": [("ada@example.org", "Phone", 5, "Fine", day("2024-03-06")),
                 ("ben@example.org", "Phone", 4, "Good", day("2024-03-07")),
                 ("cleo@example.org", "Dress", 5, None, day("2024-03-06"))],
-    "inventory_history": [("Phone", 50, day("2024-03-01"), "Initial stock"),
-                          ("Phone", -20, day("2024-03-01 09:30"), "Order"),
-                          ("Dress", 100, day("2024-03-01"), "Initial stock")],
+    "inventory_history": [("Phone", 50, day("2024-03-01"), "First delivery"),
+                          ("Phone", -20, day("2024-03-01 09:30"), "Sold"),
+                          ("Dress", 100, day("2024-03-01"), "First delivery")],
     "order_status_history": [(SHARED, "Pending", day("2024-03-05 15:00")),
                              (SHARED, "Shipped", day("2024-03-06 10:00")),
                              (EARLY, "Pending", day("2024-03-04 15:00"))],
