@@ -32,9 +32,11 @@ def apply_defaults(batch: DataFrame, contract: Contract, as_of: dt.datetime) ->
 
 
 def default_value(default, as_of: dt.datetime):
+    """The value to fill in. The time goes as text, since a Python time would be moved between the
+    time zones of Python and of the session."""
     if default is TODAY:
         return as_of.date()
-    return as_of if default is NOW else default
+    return as_of.isoformat(sep=" ") if default is NOW else default
 
 
 def with_computed(df: DataFrame, contract: Contract) -> DataFrame:

@@ -185,7 +185,7 @@ def marketplace_batches(t: Mapping[str, DataFrame]) -> Frames:
     return {
         "users": t["customer"].select(
             F.col("c_name").alias("email"), F.sha2("c_name", 256).alias("password_hash"),
-            F.lit(dt.datetime(2001, 1, 1)).cast("timestamp_ntz").alias("created_at")),
+            F.lit("2001-01-01").cast("timestamp_ntz").alias("created_at")),
         "buyers": t["customer"].select(
             F.col("c_name").alias("email"),
             F.greatest(F.floor(balance), F.lit(0)).cast("int").alias("loyalty_points"),

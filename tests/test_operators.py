@@ -87,6 +87,14 @@ def test_insert_fills_absent_columns_only_and_continues_ids(spark):
     assert newer.count() == 3
 
 
+def test_default_time_does_not_depend_on_the_time_zone(spark):
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", "America/New_York")
+    target = seed_frame(session, [], NOTES.schema)
+    _, added = insert_new(target, seed_frame(session, [("a",)], "name string"), NOTES, ["name"], AS_OF)
+    assert [(r["at"], r["on"]) for r in added.collect()] == [(AS_OF, AS_OF.date())]
+
+
 @pytest.mark.parametrize("parts", [1, 3, 40])
 def test_assign_ids_has_no_gaps(spark, parts):
     numbered = assign_ids(series(spark, 1, 1000).repartition(parts), "id", 501)
