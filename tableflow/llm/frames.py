@@ -2,19 +2,31 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROW = "__row"
-#: A membership filter has 2^15 bits in each of at most 2^12 buckets: 16 MB.
+_ROOT = str(Path(__file__).resolve().parents[2])
+#: Bits of a membership filter: 2^12 buckets of 2^15 bits, 16 MB.
 _FILTER_BITS = 27
 
 
+def reach(df: DataFrame) -> DataFrame:
+    """``df``; its Python workers will find this library if it is in the same folder there."""
+    environment = df.sparkSession.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if _ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([x for x in paths if x] + [_ROOT])
+    return df
+
+
 def numbered(docs: DataFrame, name: str = ROW) -> DataFrame:
     """Add a number that is unique for each row.
 
@@ -39,7 +51,7 @@ def arrow_map(df: DataFrame, schema: str,
                     [_as_array(columns[name], kind) for name, kind in kinds.items()],
                     names=list(kinds))
 
-    return df.mapInArrow(run, schema)
+    return reach(df).mapInArrow(run, schema)
 
 
 def _arrow_type(kind: T.DataType) -> pa.DataType:
@@ -75,18 +87,22 @@ def binary_rows(words: np.ndarray) -> pa.Array:
     return fixed.cast(pa.binary())
 
 
-def membership(keys: DataFrame, key: Column) -> bytes:
-    """A bit for every hash of a key: at most 16 MB on the driver, however many keys there are.
+def membership(keys: DataFrame, name: str) -> np.ndarray:
+    """A bit for every key of an evenly hashed long column: 16 MB, however many keys there are.
 
-    A key that was put in is always found; others are found with a chance that grows with the
-    number of keys, so an exact join has to follow.
+    A key that was put in is always found, others with a chance that grows with the number of keys,
+    so an exact join has to follow.
     """
-    bits = keys.select(F.pmod(F.xxhash64(key), F.lit(1 << _FILTER_BITS)).alias("bit"))
+    bits = keys.select((F.col(name).bitwiseAND((1 << _FILTER_BITS) - 1) + 1).alias("bit"))
     rows = (bits.groupBy(F.expr("bitmap_bucket_number(bit)").alias("bucket"))
             .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("bits")).collect())
-    whole = np.zeros(((1 << _FILTER_BITS) >> 3) + 4096, dtype=np.uint8)
-    for row in rows:  # buckets count from 1 for bits above 0, and bit 0 has a bucket of its own
-        at = (row.bucket - 1) * 4096 if row.bucket > 0 else len(whole) - 4096
-        part = np.frombuffer(bytes(row.bits), dtype=np.uint8)
-        whole[at:at + len(part)] |= part
-    return whole.tobytes()
+    whole = np.zeros((1 << _FILTER_BITS) >> 3, dtype=np.uint8)
+    for row in rows:
+        at = (row.bucket - 1) * 4096
+        whole[at:at + 4096] = np.frombuffer(bytes(row.bits), dtype=np.uint8)
+    return whole
+
+
+def is_member(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = (hashes & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & np.uint8(1) != 0

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow.llm import sharding, url_filter
+from tableflow.llm import packing, quality_rules, sharding, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -64,3 +66,13 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 """)
 def op3_url_filter(spark, folder):
     return url_filter.judge_urls(table(spark, folder, "pages"), URL_RULES, keep=("page_id",))
+
+
+@query("op10_quality_rules")
+def op10_quality_rules(spark, folder):
+    return quality_rules.judge_quality(table(spark, folder, "documents"), ["doc_id"])
+
+
+@query("op9_packing")
+def op9_packing(spark, folder):
+    return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))

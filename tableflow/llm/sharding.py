@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tableflow.llm.frames import reach
 from tableflow.session import materialise
 
 BUCKET, PLACE, SHARD, SLOT = "__bucket", "__place", "__shard", "__slot"
@@ -64,7 +65,7 @@ def shuffle_rows(docs: DataFrame, seed: int = 7, bucket_bytes: int = 32 << 20,
         return table.select(names).take(pa.array(order)).append_column(
             PLACE, pa.array(np.arange(len(order), dtype=np.int64)))
 
-    return materialise(scattered.groupBy(BUCKET).applyInArrow(shuffle_bucket, schema))
+    return materialise(reach(scattered).groupBy(BUCKET).applyInArrow(shuffle_bucket, schema))
 
 
 def assign_shards(shuffled: DataFrame, shards: int) -> DataFrame:

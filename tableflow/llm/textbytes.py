@@ -34,6 +34,16 @@ def _table(members: Iterable[int]) -> np.ndarray:
 SPACED = ~_table([0x20, *range(0x09, 0x0E)])
 #: Bytes that belong to a word: digits, letters and all beyond ASCII.
 ALPHANUMERIC = _table([*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)])
+#: As SPACED, but ASCII letters (1) and other ASCII signs (2) beside each other are words of their
+#: own; an apostrophe and all beyond ASCII (3) stay with what they touch.
+LETTER_RUNS = SPACED * np.uint8(2)
+LETTER_RUNS[[0x27, *range(0x80, 0x100)]] = 3
+LETTER_RUNS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+
+#: Whether a word starts (ends) between bytes of two kinds.
+_STARTS = np.zeros((4, 4), dtype=bool)
+_STARTS[0, 1:] = _STARTS[1, 2] = _STARTS[2, 1] = True
+_ENDS = _STARTS.T
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
@@ -148,10 +158,11 @@ def slices(column: pa.Array | pa.ChunkedArray, word: np.ndarray = SPACED, lower:
 
 def _slice(low: int, high: int, data: np.ndarray, bounds: np.ndarray, word: np.ndarray,
            hashed: bool) -> Slice:
-    inside = np.zeros(len(data) + 1, dtype=bool)
-    inside[1:] = word[data]
-    change = np.flatnonzero(inside[1:] != inside[:-1])
-    starts, ends = change[0::2], change[1::2]  # data ends with a line feed, so every word ends
+    kind = np.zeros(len(data) + 1, dtype=np.uint8)
+    kind[1:] = word[data]
+    pair = kind[:-1] * np.uint8(4) + kind[1:]
+    starts = np.flatnonzero(_STARTS.ravel()[pair])
+    ends = np.flatnonzero(_ENDS.ravel()[pair])  # data ends with a line feed, so every word ends
     hashes = _hashes(data, starts, ends) if hashed else np.empty(0, dtype=np.uint64)
     return Slice(low, high, data, bounds, starts, ends, hashes, np.searchsorted(starts, bounds))
 
