@@ -106,3 +106,10 @@ def membership(keys: DataFrame, name: str) -> np.ndarray:
 def is_member(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     at = (hashes & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & np.uint8(1) != 0
+
+
+def list_of(values: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
+    """An Arrow list column from values and row bounds; 64-bit hashes become signed numbers."""
+    if values.dtype == np.uint64:
+        values = values.view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values))

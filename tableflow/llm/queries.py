@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow.llm import packing, quality_rules, sharding, url_filter
+from tableflow.llm import license_scan, packing, quality_rules, sharding, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -76,3 +76,8 @@ def op10_quality_rules(spark, folder):
 @query("op9_packing")
 def op9_packing(spark, folder):
     return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op8_license_scan")
+def op8_license_scan(spark, folder):
+    return license_scan.scan_licenses(table(spark, folder, "documents"))

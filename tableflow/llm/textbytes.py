@@ -205,9 +205,3 @@ def distinct_by_row(rows: np.ndarray, values: np.ndarray, n: int) -> tuple[np.nd
     rows, values = rows[new], values[new]
     return values, np.searchsorted(rows, np.arange(n + 1))
 
-
-def list_array(values: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
-    """An Arrow list column from values and bounds; 64-bit hashes become signed numbers."""
-    if values.dtype == np.uint64:
-        values = values.view(np.int64)
-    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values))
