@@ -3,13 +3,14 @@
 Each rule looks at some figures of a text and votes good (1), bad (-1) or abstains (0). Documents
 with the same votes are counted together, and expectation-maximisation on these counts (at most
 3^rules rows, however many documents) estimates the share of good documents and how often each rule
-is right. A document is kept if the probability that it is good, given its votes, is at least one
+is right on good and on bad ones. A document is kept if the probability that it is good, given its votes, is at least one
 half and it does not fail the base limits.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,9 +76,9 @@ def rule_votes() -> dict[str, Column]:
 
     per_word = F.col("word_chars") / n
     return {
-        "length": F.when(n < MIN_WORDS, -1).when(n >= 2 * MIN_WORDS, 1).otherwise(0).cast("int"),
+        "length": F.when(n < MIN_WORDS, -1).otherwise(0).cast("int"),
         "word_length": vote((per_word < 2) | (per_word > 9), per_word.between(3, 7.5)),
-        "symbols": vote(F.col("n_symbols") * 10 > n, F.col("n_symbols") * 50 < n),
+        "symbols": vote(F.col("n_symbols") * 10 > n, F.col("n_symbols") * 30 <= n),
         "lines": vote(F.col("n_dup_lines") * 10 > F.col("n_lines") * 3, F.col("n_dup_lines") * 10 <= F.col("n_lines")),
         "repeats": vote(F.col("n_repeat_words") * 10 > n * 3, F.col("n_repeat_words") * 10 <= n),
         "capitals": vote(F.col("n_upper") * 5 > F.col("word_chars"), F.col("n_upper") * 10 <= F.col("word_chars")),
@@ -85,36 +86,53 @@ def rule_votes() -> dict[str, Column]:
     }
 
 
-def _log_odds(prior: float, right: dict[str, float]) -> Column:
-    """Log odds of a good document: a rule that is right with probability a adds log(a / (1 - a))
-    to the side it votes for."""
+@dataclass(frozen=True)
+class Accuracy:
+    """How often a rule that votes is right on good and on bad documents."""
+
+    good: float = 0.95
+    bad: float = 0.5
+
+
+def _log_odds(prior: float, rules: dict[str, Accuracy]) -> Column:
+    """Log odds of a good document: a vote adds the log of how much likelier good documents get it."""
     total = F.lit(math.log(prior / (1 - prior)))
-    for rule, a in right.items():
-        total = total + F.col(rule) * F.lit(math.log(a / (1 - a)))
+    for rule, a in rules.items():
+        total = total + F.when(F.col(rule) == 1, F.lit(math.log(a.good / (1 - a.bad)))).when(
+            F.col(rule) == -1, F.lit(math.log((1 - a.good) / a.bad))).otherwise(0.0)
     return total
 
 
-def _probability(prior: float, right: dict[str, float]) -> Column:
-    return 1 / (1 + F.exp(-_log_odds(prior, right)))
+def _probability(prior: float, rules: dict[str, Accuracy]) -> Column:
+    return 1 / (1 + F.exp(-_log_odds(prior, rules)))
+
 
+def estimate(patterns: DataFrame, names: list[str], rounds: int = ROUNDS) -> tuple[float, dict[str, Accuracy]]:
+    """(share of good documents, accuracies) from rows of votes with a count ``n``.
 
-def estimate(patterns: DataFrame, rules: list[str], rounds: int = ROUNDS) -> tuple[float, dict[str, float]]:
-    """(share of good documents, probability that each rule is right) from rows of votes with a
-    count ``n``. Start: 0.8, and 0.75 for every rule; each round one row comes to the driver."""
-    prior, right = 0.8, {rule: 0.75 for rule in rules}
+    Starts at 0.9 good documents. A rule is taken to be right on good documents nine times in ten
+    at least, which also tells the good class from the bad. Each round brings one row to the driver.
+    """
+    prior, rules = 0.9, {name: Accuracy() for name in names}
     for _ in range(rounds):
-        good = patterns.withColumn("p", _probability(prior, right))
-        agree = [F.sum(F.col("n") * F.when(F.col(rule) == 1, F.col("p")).when(F.col(rule) == -1, 1 - F.col("p"))
-                       .otherwise(0)).alias(f"{rule}_right") for rule in rules]
-        voted = [F.sum(F.when(F.col(rule) != 0, F.col("n")).otherwise(0)).alias(f"{rule}_votes") for rule in rules]
-        row = good.agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("p")).alias("good"), *agree, *voted).first()
-        if not row["all"]:
+        sides = patterns.withColumn("p", _probability(prior, rules)).select(
+            "*", (F.col("n") * F.col("p")).alias("good"), (F.col("n") * (1 - F.col("p"))).alias("bad"))
+        sums = [F.sum(F.when(F.col(name) == vote, F.col(side)).otherwise(0.0)).alias(f"{name} {side} {vote}")
+                for name in names for side in ("good", "bad") for vote in (-1, 1)]
+        row = sides.agg(F.sum("n").alias("n"), F.sum("good").alias("good"), *sums).first()
+        if not row["n"]:
             break
-        prior = min(max(row["good"] / row["all"], 0.01), 0.99)
-        # one vote of each kind beside the counted ones keeps the estimates inside (0.5, 1)
-        right = {rule: min(max((row[f"{rule}_right"] + 1) / (row[f"{rule}_votes"] + 2), 0.51), 0.99)
-                 for rule in rules}
-    return prior, right
+        prior = min(max(row["good"] / row["n"], 0.01), 0.99)
+        rules = {name: Accuracy(
+            good=min(max(_share(row[f"{name} good 1"], row[f"{name} good -1"]), 0.9), 0.9999),
+            bad=min(max(_share(row[f"{name} bad -1"], row[f"{name} bad 1"]), 0.01), 0.99))
+            for name in names}
+    return prior, rules
+
+
+def _share(right: float, wrong: float) -> float:
+    """With one vote of each kind beside the counted ones."""
+    return (right + 1) / (right + wrong + 2)
 
 
 def judge_quality(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
@@ -127,11 +145,11 @@ def judge_quality(docs: DataFrame, keep: list[str], text: str = "text") -> DataF
     kept = [F.col(f"`{name}`").alias(f"keep{i}") for i, name in enumerate(keep)]
     votes = rule_votes()
     figures = materialise(count_figures(docs, text, kept).withColumns(votes))
-    patterns = materialise(figures.groupBy(*votes).agg(F.count("*").alias("n")))
-    prior, right = estimate(patterns, list(votes))
+    patterns = materialise(figures.groupBy(*votes).agg(F.count("*").alias("n")).coalesce(1))
+    prior, rules = estimate(patterns, list(votes))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return figures.select(
         *[F.col(f"keep{i}").alias(name) for i, name in enumerate(keep)], *COUNTS,
         failed.alias("base_failed"),
-        (~failed & (_log_odds(prior, right) >= 0)).alias("kept"),
-        F.round(_probability(prior, right), 6).alias("probability"))
+        (~failed & (_log_odds(prior, rules) >= 0)).alias("kept"),
+        F.round(_probability(prior, rules), 6).alias("probability"))

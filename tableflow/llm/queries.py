@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow.llm import license_scan, packing, quality_rules, sharding, url_filter
+from tableflow.llm import license_scan, packing, quality_classifier, quality_rules, sharding, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -81,3 +81,11 @@ def op9_packing(spark, folder):
 @query("op8_license_scan")
 def op8_license_scan(spark, folder):
     return license_scan.scan_licenses(table(spark, folder, "documents"))
+
+
+@query("op5_quality_classifier")
+def op5_quality_classifier(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality_classifier.fit(docs, table(spark, folder, "labels"))
+    return quality_classifier.score_documents(docs, model).select(
+        "doc_id", (quality_classifier.remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
