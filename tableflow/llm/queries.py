@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow.llm import license_scan, packing, quality_classifier, quality_rules, sharding, url_filter
+from tableflow.llm import backoff_lm, license_scan, packing, quality_classifier, quality_rules, sharding, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -89,3 +89,9 @@ def op5_quality_classifier(spark, folder):
     model = quality_classifier.fit(docs, table(spark, folder, "labels"))
     return quality_classifier.score_documents(docs, model).select(
         "doc_id", (quality_classifier.remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
+@query("op2_lm_scoring")
+def op2_lm_scoring(spark, folder):
+    held_out = quality_classifier.remainder(F.col("doc_id"), 10) == 0
+    return backoff_lm.score_documents(table(spark, folder, "documents"), held_out)
