@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow.llm import backoff_lm, license_scan, packing, quality_classifier, quality_rules, sharding, url_filter
+from tableflow.llm import backoff_lm, license_scan, ngram_join, packing, quality_classifier, quality_rules, sharding, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -95,3 +95,9 @@ def op5_quality_classifier(spark, folder):
 def op2_lm_scoring(spark, folder):
     held_out = quality_classifier.remainder(F.col("doc_id"), 10) == 0
     return backoff_lm.score_documents(table(spark, folder, "documents"), held_out)
+
+
+@query("op7_ngram_jaccard_join")
+def op7_ngram_jaccard_join(spark, folder):
+    joined = ngram_join.join_similar(table(spark, folder, "documents"), k=4, percent=85)
+    return joined.select("doc_id", "n_shingles", "component_id")
