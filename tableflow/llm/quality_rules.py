@@ -111,28 +111,32 @@ def estimate(patterns: DataFrame, names: list[str], rounds: int = ROUNDS) -> tup
     """(share of good documents, accuracies) from rows of votes with a count ``n``.
 
     Starts at 0.9 good documents. A rule is taken to be right on good documents nine times in ten
-    at least, which also tells the good class from the bad. Each round brings one row to the driver.
+    at least, which also tells the good class from the bad. All rounds are one expression over an
+    array of the patterns (3^rules entries at most), so one job gives one row.
     """
-    prior, rules = 0.9, {name: Accuracy() for name in names}
-    for _ in range(rounds):
-        sides = patterns.withColumn("p", _probability(prior, rules)).select(
-            "*", (F.col("n") * F.col("p")).alias("good"), (F.col("n") * (1 - F.col("p"))).alias("bad"))
-        sums = [F.sum(F.when(F.col(name) == vote, F.col(side)).otherwise(0.0)).alias(f"{name} {side} {vote}")
-                for name in names for side in ("good", "bad") for vote in (-1, 1)]
-        row = sides.agg(F.sum("n").alias("n"), F.sum("good").alias("good"), *sums).first()
-        if not row["n"]:
-            break
-        prior = min(max(row["good"] / row["n"], 0.01), 0.99)
-        rules = {name: Accuracy(
-            good=min(max(_share(row[f"{name} good 1"], row[f"{name} good -1"]), 0.9), 0.9999),
-            bad=min(max(_share(row[f"{name} bad -1"], row[f"{name} bad 1"]), 0.01), 0.99))
-            for name in names}
-    return prior, rules
-
-
-def _share(right: float, wrong: float) -> float:
-    """With one vote of each kind beside the counted ones."""
-    return (right + 1) / (right + wrong + 2)
+    votes = F.array(*[F.col(name) for name in names])
+    start = Accuracy()
+    rule = f"sequence(0, {len(names) - 1})"
+
+    def total(what: str, side: str) -> str:
+        return f"aggregate(w, 0D, (t, x) -> t + if({what}, x.{side}, 0D))"
+
+    def share(right: int, side: str) -> str:  # with one vote of each kind beside the counted ones
+        return (f"({total(f'x.v[j] = {right}', side)} + 1) / ({total('x.v[j] <> 0', side)} + 2)")
+
+    odds = f"""ln(s.prior / (1 - s.prior)) + aggregate({rule}, 0D, (t, j) -> t + CASE x.v[j]
+        WHEN 1 THEN ln(s.good[j] / (1 - s.bad[j])) WHEN -1 THEN ln((1 - s.good[j]) / s.bad[j]) ELSE 0D END)"""
+    sides = f"""transform(transform(patterns, x -> named_struct('v', x.v, 'n', x.n, 'p', 1 / (1 + exp(-({odds}))))),
+        x -> named_struct('v', x.v, 'good', x.n * x.p, 'bad', x.n * (1 - x.p)))"""
+    state = f"""transform(array({sides}), w -> named_struct(
+        'prior', least(greatest({total('true', 'good')} / greatest({total('true', 'good')} + {total('true', 'bad')}, 1D), 0.01D), 0.99D),
+        'good', transform({rule}, j -> least(greatest({share(1, 'good')}, 0.9D), 0.9999D)),
+        'bad', transform({rule}, j -> least(greatest({share(-1, 'bad')}, 0.01D), 0.99D))))[0]"""
+    first = f"""named_struct('prior', 0.9D, 'good', array_repeat({start.good}D, {len(names)}),
+        'bad', array_repeat({start.bad}D, {len(names)}))"""
+    row = (patterns.agg(F.sort_array(F.collect_list(F.struct(votes.alias("v"), F.col("n").cast("double").alias("n")))).alias("patterns"))
+           .select(F.expr(f"aggregate(sequence(1, {rounds}), {first}, (s, i) -> {state})").alias("found")).first())
+    return row.found.prior, {name: Accuracy(g, b) for name, g, b in zip(names, row.found.good, row.found.bad)}
 
 
 def judge_quality(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
@@ -145,8 +149,7 @@ def judge_quality(docs: DataFrame, keep: list[str], text: str = "text") -> DataF
     kept = [F.col(f"`{name}`").alias(f"keep{i}") for i, name in enumerate(keep)]
     votes = rule_votes()
     figures = materialise(count_figures(docs, text, kept).withColumns(votes))
-    patterns = materialise(figures.groupBy(*votes).agg(F.count("*").alias("n")).coalesce(1))
-    prior, rules = estimate(patterns, list(votes))
+    prior, rules = estimate(figures.groupBy(*votes).agg(F.count("*").alias("n")), list(votes))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return figures.select(
         *[F.col(f"keep{i}").alias(name) for i, name in enumerate(keep)], *COUNTS,
