@@ -15,7 +15,7 @@ step 1 or 3, or both sides are in one component already.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +28,9 @@ from tableflow.session import materialise
 
 BLOCK = 256
 
-#: Given indexed sets and queries (sorted arrays), yields (query, indexed set) of those that link.
-Search = Callable[[list[np.ndarray], list[np.ndarray]], "iter"]
+#: Given the items of indexed sets and of queries, yields the numbers (query, indexed set) of those
+#: that link. Items are an array of numbers or bytes, as the column holds.
+Search = Callable[[list, list], Iterator[tuple[int, int]]]
 
 
 def shared_lists(rows: DataFrame) -> DataFrame:
@@ -95,8 +96,7 @@ def _links(blocks: DataFrame, sets: DataFrame, search: Search) -> DataFrame:
     def compare(table: pa.Table) -> pa.Table:
         side = table["side"].to_numpy()
         items = table["items"].combine_chunks()
-        values, bounds = items.values.to_numpy(), items.offsets.to_numpy()
-        own = [values[bounds[i]:bounds[i + 1]] for i in range(len(items))]
+        own = [x.values.to_numpy() if pa.types.is_list(items.type) else x.as_py() for x in items]
         nodes, labels = table["node"].to_pylist(), table["label"].to_pylist()
         indexed, asking = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         joined = _Union(labels)

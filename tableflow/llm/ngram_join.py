@@ -183,3 +183,14 @@ def join_similar(docs: DataFrame, k: int, percent: int, doc_id: str = "doc_id",
             .select(ROW, "doc_id", "n_shingles",
                     F.when(F.col("n_shingles") > 0, F.coalesce("least", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
                     F.when(F.col("n_shingles") > 0, F.col("label")).alias("component")))
+
+
+def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The documents less all but one of each component: the one with the smallest id stays (null
+    ids last, then the first row). Rows without words all stay."""
+    joined = join_similar(docs, k, percent).where(F.col("component").isNotNull())
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", ROW)
+    several = (joined.groupBy("component").agg(F.min(order).alias("kept"), F.count("*").alias("n"))
+               .where("n > 1").select("component", F.col(f"kept.{ROW}").alias("kept")))
+    dropped = materialise(joined.join(several, "component").where(F.col(ROW) != F.col("kept")).select(ROW))
+    return numbered(docs).join(dropped, ROW, "left_anti").drop(ROW)

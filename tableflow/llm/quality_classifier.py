@@ -175,3 +175,9 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
         raise ValueError(f"columns {sorted(clash)} are taken")
     scored = docs.withColumn("score", scorer(docs, model)(F.col("text").cast("string")))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def of_quality(docs: DataFrame, model: Model) -> DataFrame:
+    """The documents that the model does not reject, with their columns."""
+    scored = docs.withColumn("__score", scorer(docs, model)(F.col("text").cast("string")))
+    return scored.where(F.col("__score") >= THRESHOLD).drop("__score")

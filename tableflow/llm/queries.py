@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow.llm import backoff_lm, license_scan, ngram_join, packing, quality_classifier, quality_rules, sharding, url_filter
+from tableflow.llm import backoff_lm, decontamination, license_scan, line_dedup, ngram_join, packing, quality_classifier, quality_rules, sharding, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -101,3 +101,14 @@ def op2_lm_scoring(spark, folder):
 def op7_ngram_jaccard_join(spark, folder):
     joined = ngram_join.join_similar(table(spark, folder, "documents"), k=4, percent=85)
     return joined.select("doc_id", "n_shingles", "component_id")
+
+
+@query("op4_line_dedup")
+def op4_line_dedup(spark, folder):
+    return line_dedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op6_decontamination")
+def op6_decontamination(spark, folder):
+    found = decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "item_words", "covered_words", "n_tiles")
