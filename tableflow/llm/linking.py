@@ -9,7 +9,7 @@ pairs of a list have to be looked at, but not emitted:
    most ``BLOCK`` by ``BLOCK`` sets, so a list of any length is split; links that join nothing new
    are not given out.
 
-Lists with the same members are looked at once. No link is lost: a pair of a list is compared in
+No link is lost: a pair of a list is compared in
 step 1 or 3, or both sides are in one component already.
 """
 
@@ -29,8 +29,8 @@ from tableflow.session import materialise
 BLOCK = 256
 
 #: Given the items of indexed sets and of queries, yields the numbers (query, indexed set) of those
-#: that link. Items are an array of numbers or bytes, as the column holds.
-Search = Callable[[list, list], Iterator[tuple[int, int]]]
+#: that link.
+Search = Callable[[list[bytes], list[bytes]], Iterator[tuple[int, int]]]
 
 
 def shared_lists(rows: DataFrame) -> DataFrame:
@@ -44,7 +44,7 @@ def shared_lists(rows: DataFrame) -> DataFrame:
 def link_components(lists: DataFrame, sets: DataFrame, search: Search) -> DataFrame:
     """(node, label) of the nodes that have a link; other nodes are alone.
 
-    ``lists`` holds key, node, pivot and ``sets`` node, items (each node once); both are read several
+    ``lists`` holds key, node, pivot and ``sets`` node, items (binary: what is compared); both are read several
     times, so they should be written out.
     """
     stars = _links(_star_blocks(lists), sets, search)
@@ -67,17 +67,14 @@ def _star_blocks(lists: DataFrame) -> DataFrame:
 
 
 def _unsettled(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """Lists with several components, one of each kind of membership, with numbered members."""
-    whole = Window.partitionBy("key")
-    mixed = (lists.select("key", "node").join(labels, "node", "left")
-             .withColumn("label", F.coalesce("label", "node"))
-             .select("*", F.min("label").over(whole).alias("least"), F.max("label").over(whole).alias("most"))
-             .where("least <> most").select("key", "node", "label"))
-    kinds = mixed.groupBy("key").agg(
-        F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s1"),
-        F.sum(F.xxhash64(F.lit(1), "node").cast("decimal(38,0)")).alias("s2"))
-    kept = kinds.groupBy("n", "s1", "s2").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
-    return mixed.join(kept, "key")
+    """Members (key, node, label, parts) of the lists with several components. Lists with one pivot
+    mostly have the same members; they are one list from here on, named by the pivot."""
+    named = lists.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = (named.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"))
+             .where("least <> most").select("key"))
+    members = named.join(mixed, "key").select(F.col("pivot").alias("key"), "node", "label").distinct()
+    parts = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    return members.join(parts, "key")
 
 
 def _pair_blocks(rest: DataFrame) -> DataFrame:
@@ -96,7 +93,7 @@ def _links(blocks: DataFrame, sets: DataFrame, search: Search) -> DataFrame:
     def compare(table: pa.Table) -> pa.Table:
         side = table["side"].to_numpy()
         items = table["items"].combine_chunks()
-        own = [x.values.to_numpy() if pa.types.is_list(items.type) else x.as_py() for x in items]
+        own = items.to_pylist()
         nodes, labels = table["node"].to_pylist(), table["label"].to_pylist()
         indexed, asking = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         joined = _Union(labels)

@@ -4,8 +4,8 @@ Two sets that link have so many shingles in common that each holds one of the ot
 of n shingles, the n - ceil(share * n) + 1 rarest are enough. What is rare is read from counts of all
 shingles in a table of fixed size; any order would do for right results. Sets that meet under a rare
 shingle are compared by a search in an inverted index: a set that links with a query is on at least T
-of the query's lists. The longest lists are set aside (DivideSkip), the short ones are merged by a
-heap, and what they name often enough is looked up in the long ones by bisection. Sets that are found
+of the query's lists. The longest lists are set aside (DivideSkip), the short ones are merged (by a
+heap, if they are not many), and what they name often enough is looked up in the long ones by bisection. Sets that are found
 are verified exactly.
 
 Documents with equal sets are one node, named by a 64-bit hash of the set.
@@ -14,8 +14,6 @@ Documents with equal sets are one node, named by a 64-bit hash of the set.
 from __future__ import annotations
 
 import heapq
-from bisect import bisect_left
-from collections import defaultdict
 from collections.abc import Iterator
 from itertools import groupby
 from math import log2
@@ -32,8 +30,9 @@ from tableflow.session import materialise
 
 #: The table of counts has 2^22 cells (4 MB as levels) in 2^6 blocks.
 _CELL_BITS, _BLOCK_BITS = 22, 6
-#: Weight of a look-up in a long list against a step of the merge, as published for DivideSkip.
-_MU = 0.0085
+#: Weight of the lists' length in the number of lists set aside (DivideSkip); a look-up in a list costs
+#: as much as merging many entries here, so few are. Entries that a heap merges at most.
+_MU, _HEAP = 20, 64
 
 
 def shingle_sets(texts: pa.Array, k: int):
@@ -72,14 +71,14 @@ def shingle_levels(source: DataFrame, k: int) -> np.ndarray:
         for block, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
             if b > a:
                 ids.append(block)
-                blobs.append((cells[a:b] - block * per_block).astype("<u2").tobytes() + np.minimum(counts[a:b], 65535).astype("<u2").tobytes())
+                blobs.append((cells[a:b] - block * per_block).astype("<u2").tobytes() + np.minimum(counts[a:b], 255).astype(np.uint8).tobytes())
         return {"block": ids, "cells": blobs}
 
     def add(table: pa.Table) -> pa.Table:
         total = np.zeros(per_block, dtype=np.int64)
         for blob in table["cells"].to_pylist():
-            both = np.frombuffer(blob, dtype="<u2")
-            total[both[:len(both) // 2]] += both[len(both) // 2:]
+            n = len(blob) // 3
+            total[np.frombuffer(blob, dtype="<u2", count=n)] += np.frombuffer(blob, dtype=np.uint8, offset=2 * n)
         levels = np.minimum(4 * np.log2(np.maximum(total, 1)), 255).astype(np.uint8)
         return pa.table({"block": pa.array([table["block"][0].as_py()], pa.int32()), "levels": pa.array([levels.tobytes()], pa.binary())})
 
@@ -105,34 +104,71 @@ def _rarest(values: np.ndarray, bounds: np.ndarray, levels: np.ndarray, percent:
     return order[keep], rows[keep]
 
 
-def occurrence_search(percent: int):
-    """A search for sets with 100 * overlap >= percent * union."""
-    def search(indexed: list[np.ndarray], queries: list[np.ndarray]) -> Iterator[tuple[int, int]]:
-        postings = defaultdict(list)
-        for number, items in enumerate(indexed):
-            for item in items.tolist():
-                postings[item].append(number)
-        sizes = [len(x) for x in indexed]
-        for query, items in enumerate(queries):
-            least = needed(len(items), percent)
-            lists = sorted((postings[x] for x in items.tolist() if x in postings), key=len)
-            if len(lists) < least:
-                continue
-            aside = min(least - 1, int(least / (_MU * log2(len(lists[-1]) + 1) + 1)))
-            short, long = lists[:len(lists) - aside], lists[len(lists) - aside:]
-            for found, run in groupby(heapq.merge(*short)):
-                count = sum(1 for _ in run)
-                both = len(items) + sizes[found]
-                if count < least - aside or 100 * min(len(items), sizes[found]) < percent * max(len(items), sizes[found]):
-                    continue
-                target = -(-percent * both // (100 + percent))
-                for left, one in zip(range(aside, 0, -1), long):
-                    if count + left < target:
-                        break
-                    place = bisect_left(one, found)
-                    count += place < len(one) and one[place] == found
-                if count >= target and 100 * count >= percent * (both - count):
-                    yield query, found
+def _sets(texts: list[bytes], k: int) -> list[np.ndarray]:
+    return [values[a:b] for _, _, values, bounds, _ in shingle_sets(pa.array(texts, pa.binary()), k)
+            for a, b in zip(bounds[:-1], bounds[1:])]
+
+
+class InvertedIndex:
+    """Lists of the numbers of sets, by item."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(x) for x in sets])
+        items = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), self.sizes)
+        order = np.argsort(items, kind="stable")  # owners stay in order
+        items, self.numbers = items[order], owner[order]
+        start = np.flatnonzero(np.concatenate([[True], items[1:] != items[:-1]]))
+        self.items, self.low = items[start], start
+        self.high = np.append(start[1:], len(items))
+
+    def search(self, query: np.ndarray, percent: int) -> list[int]:
+        """Numbers of the sets with 100 * overlap >= percent * union."""
+        at = np.minimum(np.searchsorted(self.items, query), len(self.items) - 1)
+        at = at[self.items[at] == query]
+        least = needed(len(query), percent)
+        if len(at) < least:
+            return []
+        low, sizes = self.low[at], (self.high - self.low)[at]
+        order = np.argsort(sizes, kind="stable")
+        low, sizes = low[order], sizes[order]
+        aside = min(least - 1, int(least / (_MU * log2(sizes[-1] + 1) + 1)))
+        names, counts = self._merge(low[:len(low) - aside], sizes[:len(low) - aside])
+        both = len(query) + self.sizes[names]
+        target = -(-percent * both // (100 + percent))
+        live = (counts >= np.maximum(target - aside, 1))
+        names, counts, target = names[live], counts[live], target[live]
+        for left, (start, n) in zip(range(aside, 0, -1), zip(low[len(low) - aside:].tolist(), sizes[len(low) - aside:].tolist())):
+            live = counts + left >= target
+            if not live.all():
+                names, counts, target = names[live], counts[live], target[live]
+            if not len(names):
+                return []
+            one = self.numbers[start:start + n]
+            counts += one[np.minimum(np.searchsorted(one, names), n - 1)] == names
+        return names[counts >= target].tolist()
+
+    def _merge(self, low: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers on the lists, each with how many lists it is on: by a heap while the lists hold
+        little, by counting all their entries at once when they hold much."""
+        total = int(sizes.sum())
+        if total <= _HEAP:
+            lists = [self.numbers[a:a + n].tolist() for a, n in zip(low.tolist(), sizes.tolist())]
+            found = [(number, sum(1 for _ in run)) for number, run in groupby(heapq.merge(*lists))]
+            return np.array([x for x, _ in found], dtype=np.int64), np.array([n for _, n in found], dtype=np.int64)
+        ends = np.cumsum(sizes)
+        counts = np.bincount(self.numbers[np.arange(total) + np.repeat(low - (ends - sizes), sizes)])
+        names = np.flatnonzero(counts)
+        return names, counts[names]
+
+
+def occurrence_search(k: int, percent: int):
+    """A search for texts with 100 * overlap >= percent * union of their sets."""
+    def search(indexed: list[bytes], queries: list[bytes]) -> Iterator[tuple[int, int]]:
+        index = InvertedIndex(_sets(indexed, k))
+        for query, items in enumerate(_sets(queries, k)):
+            for found in index.search(items, percent):
+                yield query, found
     return search
 
 
@@ -166,17 +202,14 @@ def join_similar(docs: DataFrame, k: int, percent: int, doc_id: str = "doc_id",
     wanted = materialise(first.join(lists.select("node").distinct(), "node"))
     bits = send(membership(wanted.withColumn("bit", F.xxhash64(ROW)), "bit"))
 
-    def full(batch: pa.RecordBatch):
-        for low, high, values, bounds, nodes in shingle_sets(column(batch, "text"), k):
-            rows = column(batch, ROW).slice(low, high - low)
-            keep = is_member(bits.value, column(batch, "bit").slice(low, high - low).to_numpy().view(np.uint64))
-            sizes = np.diff(bounds)
-            yield {ROW: rows.filter(pa.array(keep)), "node": nodes[keep],
-                   "items": list_of(values[np.repeat(keep, sizes)], np.concatenate([[0], np.cumsum(sizes[keep])]))}
-
-    sets = materialise(arrow_map(source.select(ROW, F.xxhash64(ROW).alias("bit"), "text"),
-                                 f"{ROW} bigint, node bigint, items array<bigint>", full).join(wanted, [ROW, "node"]).select("node", "items"))
-    labels = link_components(lists, sets, occurrence_search(percent))
+    def full(batch: pa.RecordBatch) -> dict:
+        keep = pa.array(is_member(bits.value, column(batch, "bit").to_numpy().view(np.uint64)))
+        texts = column(batch, "text").filter(keep)
+        nodes = [x for *_, part in shingle_sets(texts, k) for x in part.view(np.int64).tolist()]
+        return {"node": nodes, "items": texts.cast(pa.binary())}
+
+    texts = materialise(arrow_map(source.select(F.xxhash64(ROW).alias("bit"), "text"), "node bigint, items binary", full))
+    labels = link_components(lists, texts, occurrence_search(k, percent))
     grouped = named.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = grouped.where("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     return (grouped.join(least.where("n > 1"), "label", "left")
