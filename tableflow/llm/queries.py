@@ -35,12 +35,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 @query("op1_sharding")
 def op1_sharding(spark, folder):
-    docs = table(spark, folder, "documents")
-    sharded = sharding.assign_shards(sharding.shuffle_rows(docs), SHARDS)
-    return sharded.select(
+    shuffled = sharding.shuffle_rows(table(spark, folder, "documents"))
+    digest = shuffled.select(
         "doc_id", sharding.record_bytes(F.col("text")).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
-        F.lit("rows").alias("law"), F.col(sharding.SHARD).alias("shard"),
+        sharding.BUCKET, sharding.PLACE)
+    return sharding.assign_shards(digest, SHARDS).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col(sharding.SHARD).alias("shard"),
         F.col(sharding.SLOT).alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
         F.col(sharding.BUCKET).alias("bucket"))
 
