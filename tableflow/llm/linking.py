@@ -98,7 +98,8 @@ def _links(blocks: DataFrame, sets: DataFrame, search: Search) -> DataFrame:
         indexed, asking = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         joined = _Union(labels)
         a, b = [], []
-        for query, found in search([own[i] for i in indexed], [own[i] for i in asking]):
+        found_links = search([own[i] for i in indexed], [own[i] for i in asking]) if len(indexed) and len(asking) else ()
+        for query, found in found_links:
             query, found = asking[query], indexed[found]
             if joined.tie(labels[query], labels[found]):
                 a.append(nodes[query])
