@@ -37,7 +37,7 @@ def _signature(pairs: DataFrame) -> tuple:
 def _large_star(pairs: DataFrame) -> DataFrame:
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("near")).select("a", F.least("a", "near").alias("least"))
-    return _larger_first(both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")))
+    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
 
 
 def _small_star(pairs: DataFrame) -> DataFrame:

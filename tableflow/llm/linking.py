@@ -4,13 +4,13 @@ A list names sets (64-bit nodes) that share something: a rare shingle, a band of
 pairs of a list have to be looked at, but not emitted:
 
 1. Every set of a list is compared with one of them, the pivot: at most one pair for each row.
-2. Linked sets become one component. In most lists one component is left, and nothing is to do.
-3. In the others every pair of different components is compared inside a task, in blocks of at
-   most ``BLOCK`` by ``BLOCK`` sets, so a list of any length is split; links that join nothing new
+2. Linked sets get the smallest pivot that is two links away at most as a label, which they share
+   with none that they are not tied to. Most lists have one label now, and nothing is left to do.
+3. In the others every pair of different labels is compared inside a task, in blocks of at most ``BLOCK`` by ``BLOCK`` sets, so a list of any length is split; links that join nothing new
    are not given out.
 
 No link is lost: a pair of a list is compared in
-step 1 or 3, or both sides are in one component already.
+step 1 or 3, or both sides are tied by links already.
 """
 
 from __future__ import annotations
@@ -48,8 +48,7 @@ def link_components(lists: DataFrame, sets: DataFrame, search: Search) -> DataFr
     times, so they should be written out.
     """
     stars = _links(_star_blocks(lists), sets, search)
-    labels = materialise(connected_components(stars))
-    rest = materialise(_unsettled(lists, labels))
+    rest = materialise(_unsettled(lists, materialise(_near_labels(stars))))
     more = _links(_pair_blocks(rest), sets, search)
     return connected_components(stars.unionByName(more))
 
@@ -66,8 +65,14 @@ def _star_blocks(lists: DataFrame) -> DataFrame:
     return queries.unionByName(pivots)
 
 
+def _near_labels(stars: DataFrame) -> DataFrame:
+    one = stars.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label"))
+    two = one.select(F.col("node").alias("label"), F.col("label").alias("next"))
+    return one.join(two, "label", "left").select("node", F.least("label", F.coalesce("next", "label")).alias("label"))
+
+
 def _unsettled(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members (key, node, label, parts) of the lists with several components. Lists with one pivot
+    """Members (key, node, label, parts) of the lists with several labels. Lists with one pivot
     mostly have the same members; they are one list from here on, named by the pivot."""
     named = lists.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = (named.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"))
