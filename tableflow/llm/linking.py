@@ -33,12 +33,13 @@ BLOCK = 256
 Search = Callable[[list[bytes], list[bytes]], Iterator[tuple[int, int]]]
 
 
-def shared_lists(rows: DataFrame) -> DataFrame:
-    """Of (key, node) rows those of keys with several nodes, once each, with the smallest as pivot."""
+def shared_lists(rows: DataFrame, *more: str) -> DataFrame:
+    """Of (key, node) rows those of keys with several nodes, once each, with the smallest as pivot;
+    columns ``more`` go with the node."""
     whole = Window.partitionBy("key")
-    return (rows.select("key", "node", F.min("node").over(whole).alias("pivot"),
+    return (rows.select("key", "node", *more, F.min("node").over(whole).alias("pivot"),
                         F.max("node").over(whole).alias("last"))
-            .where("pivot <> last").select("key", "node", "pivot").distinct())
+            .where("pivot <> last").drop("last").distinct())
 
 
 def link_components(lists: DataFrame, sets: DataFrame, search: Search) -> DataFrame:

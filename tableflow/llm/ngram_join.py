@@ -1,9 +1,9 @@
 """Similarity join of documents on word n-grams by T-occurrence search.
 
-Two sets that link have so many shingles in common that each holds one of the other's rarest ones:
-of n shingles, the n - ceil(share * n) + 1 rarest are enough. What is rare is read from counts of all
-shingles in a table of fixed size; any order would do for right results. Sets that meet under a rare
-shingle are compared by a search in an inverted index: a set that links with a query is on at least T
+Two sets that link have so many shingles in common that they share some of their rarest ones: of
+the n - ceil(share * n) + l rarest of each, at least l. A set for which fewer of these stand in any
+other set links with none. What is rare is read from counts of all shingles in a table of fixed size;
+any order would do for right results. Sets that meet under rare shingles are compared by a search in an inverted index: a set that links with a query is on at least T
 of the query's lists. The longest lists are set aside (DivideSkip), the short ones are merged (by a
 heap, if they are not many), and what they name often enough is looked up in the long ones by bisection. Sets that are found
 are verified exactly.
@@ -28,8 +28,8 @@ from tableflow.llm.linking import link_components, shared_lists
 from tableflow.llm.textbytes import distinct_by_row, mix, shingles, slices
 from tableflow.session import materialise
 
-#: The table of counts has 2^22 cells (4 MB as levels) in 2^6 blocks.
-_CELL_BITS, _BLOCK_BITS = 22, 6
+#: The table of counts has 2^24 cells (16 MB as levels) in 2^8 blocks.
+_CELL_BITS, _BLOCK_BITS = 24, 8
 #: Weight of the lists' length in the number of lists set aside (DivideSkip); a look-up in a list costs
 #: as much as merging many entries here, so few are. Entries that a heap merges at most.
 _MU, _HEAP = 20, 64
@@ -56,7 +56,7 @@ def _once(nodes: np.ndarray, sizes: np.ndarray, seen: set) -> np.ndarray:
 
 
 def shingle_levels(source: DataFrame, k: int) -> np.ndarray:
-    """Rounded logarithm of the count in each cell of a hashed table of all shingles: 4 MB."""
+    """Rounded logarithm of the count in each cell of a hashed table of all shingles: 16 MB."""
     per_block = 1 << (_CELL_BITS - _BLOCK_BITS)
 
     def count(batch: pa.RecordBatch) -> dict:
@@ -94,16 +94,30 @@ def needed(size: int, percent: int) -> int:
     return -(-percent * size // 100)
 
 
+def _spare(sizes: np.ndarray, percent: int) -> np.ndarray:
+    """How many rare shingles have to be shared at least (l), for sets of some sizes."""
+    return np.maximum((sizes - -(-percent * sizes // 100) + 1) // 3, 1)
+
+
 def _rarest(values: np.ndarray, bounds: np.ndarray, levels: np.ndarray, percent: int):
     """Places in ``values`` of the rarest shingles of each row, and their rows."""
     sizes = np.diff(bounds)
     rows = np.repeat(np.arange(len(sizes)), sizes)
     order = np.lexsort((values, levels[(values >> np.uint64(64 - _CELL_BITS)).astype(np.int64)], rows))
     rank = np.arange(len(values)) - bounds[rows]
-    keep = rank < (sizes - -(-percent * sizes // 100) + 1)[rows]
+    keep = rank < (sizes - -(-percent * sizes // 100) + _spare(sizes, percent))[rows]
     return order[keep], rows[keep]
 
 
+def _sharing(lists: DataFrame) -> DataFrame:
+    """Rows (key, node, pivot) of the sets that share as many rare shingles as a link takes. A set
+    that goes can take that from others, so this is done twice."""
+    for _ in range(2):
+        enough = lists.groupBy("node").agg(F.count("*").alias("n"), F.first("least").alias("need")).where("n >= need").select("node")
+        lists = materialise(shared_lists(lists.join(enough, "node"), "least"))
+    return lists
+
+
 def _sets(texts: list[bytes], k: int) -> list[np.ndarray]:
     return [values[a:b] for _, _, values, bounds, _ in shingle_sets(pa.array(texts, pa.binary()), k)
             for a, b in zip(bounds[:-1], bounds[1:])]
@@ -194,10 +208,13 @@ def join_similar(docs: DataFrame, k: int, percent: int, doc_id: str = "doc_id",
         seen: set = set()
         for _, _, values, bounds, nodes in shingle_sets(column(batch, "text"), k):
             at, rows = _rarest(values, bounds, levels.value, percent)
-            new = _once(nodes, np.diff(bounds), seen)[rows]
-            yield {"key": values[at[new]], "node": nodes[rows[new]]}
+            sizes = np.diff(bounds)
+            new = _once(nodes, sizes, seen)[rows]
+            least = _spare(-(-percent * sizes // 100), percent)  # of the smallest set that can link
+            yield {"key": values[at[new]], "node": nodes[rows[new]], "least": least[rows[new]]}
 
-    lists = materialise(shared_lists(arrow_map(source.select("text"), "key bigint, node bigint", rare)))
+    rows = arrow_map(source.select("text"), "key bigint, node bigint, least int", rare)
+    lists = _sharing(materialise(shared_lists(rows, "least")))
     first = named.where("n_shingles > 0").groupBy("node").agg(F.min(ROW).alias(ROW))
     wanted = materialise(first.join(lists.select("node").distinct(), "node"))
     bits = send(membership(wanted.withColumn("bit", F.xxhash64(ROW)), "bit"))
