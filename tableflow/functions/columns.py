@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
+TOTAL = "decimal(38,2)"   # of sums, which have no bound
 
 
 def ascending(column: str | Column) -> Column:
@@ -53,6 +54,13 @@ def number_after(column: str | Column, prefix: str) -> Column:
     return F.replace(_as_column(column), F.lit(prefix), F.lit("")).cast("bigint")
 
 
+def third_key(key: str | Column) -> Column:
+    """The key, or one of the two before it, so that of any three keys in a row the first gets what
+    belongs to all: rows stay as many, and most parents have no children."""
+    key = _as_column(key)
+    return key - (key - 1) % 3
+
+
 def conditional_count(condition: Column) -> Column:
     """Number of rows that meet the condition, 0 where none does."""
     return F.sum(F.when(condition, F.lit(1)).otherwise(F.lit(0)))

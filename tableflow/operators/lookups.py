@@ -39,6 +39,23 @@ def with_count(parents: DataFrame, children: DataFrame, key: str, name: str,
     return joined.withColumn(name, F.coalesce(name, F.lit(0))) if zero else joined
 
 
+def parents_with_children(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
+    """A left join as two: each child with its parent, which Spark can split at a hot key (it cannot
+    split the right side of a left join), and the parents without children."""
+    there = parents.join(children, key)
+    return there.unionByName(without(parents, children, [key]), allowMissingColumns=True)
+
+
+def with_each_key(rows: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
+    """Every row with every key of the few ``chosen`` rows: none, one or several copies.
+
+    The keys are one array value, found by a filter that reaches the scan and read before the rows
+    are, so nothing is shuffled.
+    """
+    keys = chosen.agg(F.collect_list(key)).scalar()
+    return rows.withColumn(key, F.explode(keys))
+
+
 def latest_value(rows: DataFrame, key: str, value: str, order: Sequence[str],
                  name: str) -> DataFrame:
     """``value`` of each key's last row by ``order`` (end it with a unique column)."""

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableflow.functions.columns import (
-    MONEY, ascending, conditional_count, descending, descending_nulls_last, two_part_line,
+    TOTAL, ascending, conditional_count, descending, descending_nulls_last, two_part_line,
     within_year, years_until)
 from tableflow.operators.lookups import count_per_key, only_value
 
@@ -33,7 +33,8 @@ def category_films(t: Frames, category: str, years: tuple[int, int], above) -> D
     wanted = t["category"].where(F.col("name") == category)
     links = t["film_category"].join(wanted, "category_id")
     return (_films_in_range(t, years, above).join(links, "film_id")
-            .select("title", "release_year", "rental_rate").orderBy(ascending("title")))
+            .orderBy(ascending("title"), ascending("film_id"))
+            .select("title", "release_year", "rental_rate"))
 
 
 def category_films_once(t: Frames, category: str, years: tuple[int, int], above) -> DataFrame:
@@ -41,7 +42,8 @@ def category_films_once(t: Frames, category: str, years: tuple[int, int], above)
     category_id = only_value(t["category"].where(F.col("name") == category), "category_id")
     links = t["film_category"].where(F.col("category_id") == category_id)
     return (_films_in_range(t, years, above).join(links, "film_id", "left_semi")
-            .select("title", "release_year", "rental_rate").orderBy(ascending("title")))
+            .orderBy(ascending("title"), ascending("film_id"))
+            .select("title", "release_year", "rental_rate"))
 
 
 # Revenue per store ------------------------------------------------------------------------------
@@ -54,9 +56,10 @@ def store_revenue(t: Frames, since: dt.date) -> DataFrame:
     placed = (per_staff.join(t["staff"].select("staff_id", "store_id"), "staff_id")
               .join(t["store"], "store_id").join(t["address"], "address_id"))
     return (placed.groupBy("address_id", "address", "address2")
-            .agg(F.sum("amount").cast(MONEY).alias("revenue"))
-            .select(two_part_line("address", "address2").alias("full_address"), "revenue")
-            .orderBy(ascending("full_address")))
+            .agg(F.sum("amount").cast(TOTAL).alias("revenue"))
+            .withColumn("full_address", two_part_line("address", "address2"))
+            .orderBy(ascending("full_address"), ascending("address_id"))
+            .select("full_address", "revenue"))
 
 
 # Top actors by films ----------------------------------------------------------------------------
@@ -81,7 +84,7 @@ def genre_years_long(t: Frames, genres: Sequence[str]) -> DataFrame:
     named = t["category"].where(F.col("name").isin(*genres))
     return (_categorised(t, named).groupBy("release_year", F.col("name").alias("genre"))
             .agg(F.count("film_id").alias("number_of_movies"))
-            .orderBy(descending("release_year")))
+            .orderBy(descending("release_year"), ascending("genre")))
 
 
 def _genre_columns(genres: Mapping[str, str]):
@@ -112,7 +115,7 @@ def genre_years_wide_all(t: Frames, genres: Mapping[str, str]) -> DataFrame:
 
 def _revenue_in_year(t: Frames, year: int) -> DataFrame:
     return (t["payment"].where(within_year("payment_date", year)).groupBy("staff_id")
-            .agg(F.sum("amount").cast(MONEY).alias("total_revenue")))
+            .agg(F.sum("amount").cast(TOTAL).alias("total_revenue")))
 
 
 def top_staff_own_store(t: Frames, year: int, k: int) -> DataFrame:
@@ -127,16 +130,15 @@ def top_staff_by_last_date(t: Frames, year: int, k: int) -> DataFrame:
     """As above, but a row per payment on the last date, and the limit counts those rows.
 
     Everybody in the ranking has at least one such row, so only the first ``k`` of it can be shown.
-    Those ``k`` rows are sent to the payments to count their ties; the payments are not shuffled
-    for it. A staff member can fill at most ``k`` rows, so no more repeats than that are made.
+    Only payments of those ``k`` rows are counted for ties. A staff member can fill at most ``k`` rows, so no more repeats than that are made.
     """
     paid = t["payment"].where(within_year("payment_date", year))
-    ranked = paid.groupBy("staff_id").agg(F.sum("amount").cast(MONEY).alias("total_revenue"),
+    ranked = paid.groupBy("staff_id").agg(F.sum("amount").cast(TOTAL).alias("total_revenue"),
                                           F.max("payment_date").alias("payment_date"))
     order = [descending("total_revenue"), ascending("staff_id")]
     best = ranked.join(t["staff"], "staff_id").orderBy(*order).limit(k)
     last = ["staff_id", "payment_date"]
-    ties = (paid.select(*last).join(F.broadcast(best.select(*last)), last, "left_semi")
+    ties = (paid.select(*last).join(best.select(*last), last, "left_semi")
             .groupBy(*last).agg(F.count(F.lit(1)).alias("ties")))
     repeats = F.sequence(F.lit(1), F.least("ties", F.lit(k)).cast("int"))
     return (best.join(ties, last).withColumn("_copy", F.explode(repeats))
@@ -148,16 +150,15 @@ def top_staff_rental_store(t: Frames, year: int, k: int) -> DataFrame:
     """With the store of the item rented in the latest payment; NULL if that has no rental.
 
     Revenue and latest rental come from one pass over the payments. The look-ups cannot change the
-    number of rows, so the top ``k`` are taken first and only those are looked up: at most ``k``
-    rentals are sent to the rental table, and then to the items, and neither table is shuffled.
+    number of rows, so the top ``k`` are taken first and only those are looked up.
     """
     best = (t["payment"].where(within_year("payment_date", year)).groupBy("staff_id")
-            .agg(F.sum("amount").cast(MONEY).alias("total_revenue"),
+            .agg(F.sum("amount").cast(TOTAL).alias("total_revenue"),
                  F.max_by("rental_id", F.struct("payment_date", "payment_id")).alias("rental_id"))
             .orderBy(descending("total_revenue"), ascending("staff_id")).limit(k))
-    rented = (t["rental"].join(F.broadcast(best.select("rental_id")), "rental_id", "left_semi")
+    rented = (t["rental"].join(best.select("rental_id"), "rental_id", "left_semi")
               .groupBy("rental_id").agg(F.min("inventory_id").alias("inventory_id")))
-    stored = (t["inventory"].join(F.broadcast(rented), "inventory_id")
+    stored = (t["inventory"].join(rented, "inventory_id")
               .select("rental_id", F.col("store_id").alias("last_store_id")))
     return (best.join(stored, "rental_id", "left")
             .orderBy(descending("total_revenue"), ascending("staff_id")).limit(k)

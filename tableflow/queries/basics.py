@@ -7,11 +7,11 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tableflow.functions.columns import (
-    MONEY, ascending, conditional_count, descending, descending_nulls_last, money, number_after,
-    percent_to_fraction, size_pretty, two_part_line, within_year, years_until)
+    TOTAL, ascending, conditional_count, descending, descending_nulls_last, money, number_after,
+    percent_to_fraction, size_pretty, third_key, two_part_line, within_year, years_until)
 from tableflow.operators.lookups import (
-    count_per_key, first_key, latest_value, link_by_names, only_value, resolve_keys,
-    with_count, without)
+    count_per_key, first_key, latest_value, link_by_names, only_value, parents_with_children,
+    resolve_keys, with_count, with_each_key, without)
 from tableflow.queries.registry import register
 from tableflow.session import materialise
 from tableflow.sources.tables import seed_frame, series
@@ -161,16 +161,20 @@ def filtered_before_join(t):
 
 # Joins ------------------------------------------------------------------------------------------
 
-def _late_orders(t):
-    return t["orders"].where(F.col("o_orderdate") >= F.lit(LATE))
+#: All orders, given to every third customer, so that the others have none.
+MOVED = "(SELECT * REPLACE (o_custkey - (o_custkey - 1) % 3 AS o_custkey) FROM orders)"
+
+
+def _moved_orders(t, key: str = "o_custkey"):
+    return t["orders"].withColumn(key, third_key("o_custkey"))
 
 
 @register("left_join_parents", "J3", sql=f"""
-SELECT c_custkey, o_orderkey FROM customer
-LEFT JOIN (SELECT * FROM orders WHERE o_orderdate >= DATE '{LATE}') ON o_custkey = c_custkey""")
+SELECT c_custkey, o_orderkey FROM customer LEFT JOIN {MOVED} ON o_custkey = c_custkey""")
 def left_join_parents(t):
-    return (t["customer"].join(_late_orders(t), F.col("o_custkey") == F.col("c_custkey"), "left")
-            .select("c_custkey", "o_orderkey"))
+    return parents_with_children(t["customer"].select("c_custkey"),
+                                 _moved_orders(t, "c_custkey").select("c_custkey", "o_orderkey"),
+                                 "c_custkey")
 
 
 @register("left_join_inline_map", "J4 J19 S2", sql=f"""
@@ -186,11 +190,9 @@ SELECT p_partkey, launched.r_regionkey FROM part
 CROSS JOIN (SELECT r_regionkey FROM region WHERE r_name = 'ASIA') launched
 WHERE p_retailprice > 0""")
 def cross_one_row(t):
-    """Every priced part is launched in one named region. The name travels with the part and is
-    looked up, which gives no rows, one or several copies as the region has none, one or several
-    rows."""
-    launched = t["part"].select("p_partkey", F.when(F.col("p_retailprice") > 0, "ASIA").alias("at"))
-    return resolve_keys(launched, t["region"], {"at": "r_name"}, {"r_regionkey": "r_regionkey"})
+    """Every priced part is launched in one named region."""
+    priced = t["part"].where(F.col("p_retailprice") > 0).select("p_partkey")
+    return with_each_key(priced, t["region"].where(F.col("r_name") == "ASIA"), "r_regionkey")
 
 
 @register("constant_condition_join", "J6", sql="""
@@ -200,22 +202,19 @@ JOIN customer ON c_name = 'Customer#000000007' AND c_mktsegment IS NOT NULL
 WHERE p_name IN ('red widget', 'blue bolt')""")
 def constant_condition_join(t):
     """Lines of two part names, each given to one named customer."""
-    named = (t["part"].where(F.col("p_name").isin("red widget", "blue bolt"))
-             .select("p_partkey", F.when(F.col("p_name").isNotNull(), "Customer#000000007")
-                     .alias("buyer")))
-    buyers = t["customer"].where(F.col("c_mktsegment").isNotNull())
-    given = resolve_keys(named, buyers, {"buyer": "c_name"}, {"c_custkey": "c_custkey"})
+    named = t["part"].where(F.col("p_name").isin("red widget", "blue bolt")).select("p_partkey")
+    buyers = t["customer"].where((F.col("c_name") == "Customer#000000007")
+                                 & F.col("c_mktsegment").isNotNull())
+    given = with_each_key(named, buyers, "c_custkey")
     return (t["lineitem"].join(given, F.col("l_partkey") == F.col("p_partkey"))
             .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "c_custkey"))
 
 
 @register("anti_single", "J7", sql=f"""
-SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS
-  (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderdate >= DATE '{LATE}')""")
+SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM {MOVED})""")
 def anti_single(t):
     customers = t["customer"].select("c_custkey", "c_name")
-    return without(customers, _late_orders(t).withColumnRenamed("o_custkey", "c_custkey"),
-                   ["c_custkey"])
+    return without(customers, _moved_orders(t, "c_custkey"), ["c_custkey"])
 
 
 @register("anti_composite", "J8", sql=f"""
@@ -287,50 +286,47 @@ def resolve_keys_fanout(t):
     """Daily notices put on every order of that day (the day is no key, so they fan out), with a
     nation given by name. A day has at most one notice per status. The notices are written out, so
     that the orders need not be shuffled if there are few."""
-    batch = (t["orders"].select(F.col("o_orderdate").alias("day"),
-                                F.col("o_orderstatus").alias("notice"))
-             .distinct().withColumn("place", F.when(F.col("day").isNotNull(), "NATION_4")))
-    placed = resolve_keys(batch, t["nation"], {"place": "n_name"}, {"n_nationkey": "n_nationkey"})
+    batch = (t["orders"].where(F.col("o_orderdate").isNotNull())
+             .select(F.col("o_orderdate").alias("day"), F.col("o_orderstatus").alias("notice"))
+             .distinct())
+    placed = with_each_key(batch, t["nation"].where(F.col("n_name") == "NATION_4"), "n_nationkey")
     return (resolve_keys(materialise(placed), t["orders"], {"day": "o_orderdate"},
                          {"o_orderkey": "o_orderkey"})
             .select("o_orderkey", "n_nationkey", "notice"))
 
 
 @register("correlated_count", "J16 A2 F2", sql=f"""
-SELECT c_custkey, (SELECT COUNT(*) FROM orders WHERE o_custkey = c_custkey
-                   AND o_orderdate >= DATE '{LATE}') AS late_orders FROM customer""")
+SELECT c_custkey, (SELECT COUNT(*) FROM {MOVED} WHERE o_custkey = c_custkey) AS orders
+FROM customer""")
 def correlated_count(t):
-    late = _late_orders(t).withColumnRenamed("o_custkey", "c_custkey")
-    return with_count(t["customer"].select("c_custkey"), late, "c_custkey", "late_orders")
+    return with_count(t["customer"].select("c_custkey"), _moved_orders(t, "c_custkey"),
+                      "c_custkey", "orders")
 
 
 @register("count_or_null", "J3 A12 J16", sql=f"""
-SELECT c_custkey, late_orders FROM customer LEFT JOIN
-  (SELECT o_custkey, COUNT(*) AS late_orders FROM orders
-   WHERE o_orderdate >= DATE '{LATE}' GROUP BY o_custkey) ON o_custkey = c_custkey""")
+SELECT c_custkey, orders FROM customer LEFT JOIN
+  (SELECT o_custkey, COUNT(*) AS orders FROM {MOVED} GROUP BY o_custkey) ON o_custkey = c_custkey""")
 def count_or_null(t):
-    late = _late_orders(t).withColumnRenamed("o_custkey", "c_custkey")
-    return with_count(t["customer"].select("c_custkey"), late, "c_custkey", "late_orders",
-                      zero=False)
+    return with_count(t["customer"].select("c_custkey"), _moved_orders(t, "c_custkey"),
+                      "c_custkey", "orders", zero=False)
 
 
 @register("latest_row_value", "J17", sql=f"""
-SELECT c_custkey, (SELECT o_orderstatus FROM orders
-                   WHERE o_custkey = c_custkey AND o_orderdate >= DATE '{LATE}'
-                   ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1) AS last_status
-FROM customer""")
+SELECT c_custkey, last_status FROM customer LEFT JOIN
+  (SELECT o_custkey, ARG_MAX(o_orderstatus, (o_orderdate, o_orderkey)) AS last_status
+   FROM {MOVED} GROUP BY o_custkey) ON o_custkey = c_custkey""")
 def latest_row_value(t):
-    last = latest_value(_late_orders(t), "o_custkey", "o_orderstatus",
+    last = latest_value(_moved_orders(t), "o_custkey", "o_orderstatus",
                         ["o_orderdate", "o_orderkey"], "last_status")
     return (t["customer"].join(last, F.col("o_custkey") == F.col("c_custkey"), "left")
             .select("c_custkey", "last_status"))
 
 
 @register("correlated_max", "J18 A5 A12", sql=f"""
-SELECT c_custkey, (SELECT MAX(o_orderdate) FROM orders WHERE o_custkey = c_custkey
-                   AND o_orderdate >= DATE '{LATE}') AS last_day FROM customer""")
+SELECT c_custkey, (SELECT MAX(o_orderdate) FROM {MOVED} WHERE o_custkey = c_custkey) AS last_day
+FROM customer""")
 def correlated_max(t):
-    last = _late_orders(t).groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_day"))
+    last = _moved_orders(t).groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_day"))
     return (t["customer"].join(last, F.col("o_custkey") == F.col("c_custkey"), "left")
             .select("c_custkey", "last_day"))
 
@@ -338,24 +334,21 @@ def correlated_max(t):
 # Aggregation ------------------------------------------------------------------------------------
 
 @register("sum_by_key", "A1 F6", sql="""
-SELECT l_suppkey, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS revenue
+SELECT l_suppkey, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS revenue
 FROM lineitem GROUP BY l_suppkey""")
 def sum_by_key(t):
     return (t["lineitem"].groupBy("l_suppkey")
-            .agg(F.sum(money("l_extendedprice")).cast(MONEY).alias("revenue")))
+            .agg(F.sum(money("l_extendedprice")).cast(TOTAL).alias("revenue")))
 
 
 @register("count_non_null", "A3 J3", sql=f"""
-SELECT c_nationkey, COUNT(o_orderkey) AS late_orders FROM customer
-LEFT JOIN (SELECT * FROM orders WHERE o_orderdate >= DATE '{LATE}') ON o_custkey = c_custkey
-GROUP BY c_nationkey""")
+SELECT c_nationkey, COUNT(o_orderkey) AS orders FROM customer
+LEFT JOIN {MOVED} ON o_custkey = c_custkey GROUP BY c_nationkey""")
 def count_non_null(t):
     """Orders are counted per customer before the join, so a busy customer is one row in it."""
     counted = with_count(t["customer"].select("c_custkey", "c_nationkey"),
-                         _late_orders(t).withColumnRenamed("o_custkey", "c_custkey"),
-                         "c_custkey", "late_orders", zero=False)
-    return counted.groupBy("c_nationkey").agg(
-        F.coalesce(F.sum("late_orders"), F.lit(0)).alias("late_orders"))
+                         _moved_orders(t, "c_custkey"), "c_custkey", "orders", zero=False)
+    return counted.groupBy("c_nationkey").agg(F.coalesce(F.sum("orders"), F.lit(0)).alias("orders"))
 
 
 @register("having_two_distinct", "A4 J10", sql="""
@@ -427,12 +420,12 @@ def arithmetic_over_max(t):
 
 @register("group_with_attributes", "A7 A1 J1", sql="""
 SELECT n_nationkey, n_name, COUNT(*) AS suppliers,
-       CAST(SUM(CAST(s_acctbal AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS balance
+       CAST(SUM(CAST(s_acctbal AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS balance
 FROM supplier JOIN nation ON n_nationkey = s_nationkey GROUP BY n_nationkey, n_name""")
 def group_with_attributes(t):
     """The attributes hang on the key, so they are joined after the aggregate."""
     totals = t["supplier"].groupBy("s_nationkey").agg(
-        F.count(F.lit(1)).alias("suppliers"), F.sum(money("s_acctbal")).cast(MONEY).alias("balance"))
+        F.count(F.lit(1)).alias("suppliers"), F.sum(money("s_acctbal")).cast(TOTAL).alias("balance"))
     return (totals.join(t["nation"], F.col("s_nationkey") == F.col("n_nationkey"))
             .select("n_nationkey", "n_name", "suppliers", "balance"))
 
@@ -440,10 +433,11 @@ def group_with_attributes(t):
 # Sorts, limits, set operations ------------------------------------------------------------------
 
 @register("order_ascending", "O1", sql="""
-SELECT p_name, NULLIF(p_size, 13) AS size FROM part ORDER BY size ASC NULLS LAST, p_name""")
+SELECT p_partkey, p_name, NULLIF(p_size, 13) AS size FROM part
+ORDER BY size ASC NULLS LAST, p_name, p_partkey""")
 def order_ascending(t):
-    return (t["part"].select("p_name", F.nullif("p_size", F.lit(13)).alias("size"))
-            .orderBy(ascending("size"), ascending("p_name")))
+    return (t["part"].select("p_partkey", "p_name", F.nullif("p_size", F.lit(13)).alias("size"))
+            .orderBy(ascending("size"), ascending("p_name"), ascending("p_partkey")))
 
 
 @register("top_k_nulls_first", "O2 O4", sql="""

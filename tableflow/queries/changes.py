@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tableflow.functions.columns import MONEY, money
+from tableflow.functions.columns import TOTAL, money
 from tableflow.operators.change import cascade_delete, delete_rows, delete_where, update_rows, \
     update_where
 from tableflow.operators.load import add_column, assign_ids, insert_new, next_id
@@ -240,12 +240,12 @@ def row_counts(frames):
 # Table store ------------------------------------------------------------------------------------
 
 @register("create_table_as", "S5 M10", sql="""
-SELECT o_custkey, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS spent
+SELECT o_custkey, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS spent
 FROM orders GROUP BY o_custkey""")
 def create_table_as(t):
     store = _new_store(t)
     store.create("spending", t["orders"].groupBy("o_custkey")
-                 .agg(F.sum(money("o_totalprice")).cast(MONEY).alias("spent")))
+                 .agg(F.sum(money("o_totalprice")).cast(TOTAL).alias("spent")))
     return store.read("spending")
 
 

@@ -1,7 +1,7 @@
 """Film-rental views over the sales tables, so that the reports can run on them at any size.
 
-Each function maps the tables onto the roles one group of reports reads. A view has all rows of
-its table unless a start date is part of the role.
+Each function maps the tables onto the roles one group of reports reads. A view has all rows of its
+table. Where a report is about parents without children, the children's keys are moved together.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableflow.functions.columns import money
+from tableflow.functions.columns import money, third_key
 
 FIRST_YEAR = 1970   # a part's size counts as years since then
 UNKNOWN_SIZE = 13   # parts of this size have no year
@@ -20,11 +20,11 @@ UNKNOWN_SIZE = 13   # parts of this size have no year
 Frames = dict[str, DataFrame]
 
 
-def catalogue(t: Mapping[str, DataFrame], since: dt.date) -> Frames:
-    """Films are parts, categories are nations; a part belongs to the nations of the suppliers
-    that shipped it since the date (twice, if two suppliers of one nation did)."""
-    shipped = (t["lineitem"].where(F.col("l_shipdate") >= F.lit(since))
-               .select("l_partkey", "l_suppkey").distinct())
+def catalogue(t: Mapping[str, DataFrame]) -> Frames:
+    """Films are parts, categories are nations; every third part belongs to the nations of the
+    suppliers that shipped it or its neighbours (twice, if two suppliers of one nation did)."""
+    shipped = (t["lineitem"].select(third_key("l_partkey").alias("l_partkey"), "l_suppkey")
+               .distinct())
     bridge = shipped.join(t["supplier"], shipped.l_suppkey == F.col("s_suppkey"))
     return {
         "film": t["part"].select(
@@ -38,17 +38,16 @@ def catalogue(t: Mapping[str, DataFrame], since: dt.date) -> Frames:
     }
 
 
-def careers(t: Mapping[str, DataFrame], before: dt.date | None = None) -> Frames:
-    """Actors are customers, films are their orders (before a date, if given)."""
-    orders = t["orders"]
-    if before is not None:
-        orders = orders.where(F.col("o_orderdate") < F.lit(before))
+def careers(t: Mapping[str, DataFrame], of_thirds: bool = False) -> Frames:
+    """Actors are customers, films are their orders, or, if ``of_thirds``, those of three customers
+    belong to the first of them and the others have none."""
+    actor = third_key("o_custkey") if of_thirds else F.col("o_custkey")
     return {
         "actor": t["customer"].select(F.col("c_custkey").alias("actor_id"),
                                       F.col("c_mktsegment").alias("first_name"),
                                       F.col("c_name").alias("last_name")),
-        "film_actor": orders.select(F.col("o_custkey").alias("actor_id"),
-                                    F.col("o_orderkey").alias("film_id")),
+        "film_actor": t["orders"].select(actor.alias("actor_id"),
+                                         F.col("o_orderkey").alias("film_id")),
         "film": t["orders"].select(F.col("o_orderkey").alias("film_id"),
                                    F.year("o_orderdate").alias("release_year")),
     }
@@ -87,17 +86,16 @@ def counters(t: Mapping[str, DataFrame]) -> Frames:
     }
 
 
-def rentals(t: Mapping[str, DataFrame], since: dt.date) -> Frames:
-    """Films are customers (rated by segment), inventory is their orders, rentals are the order
-    lines shipped since the date."""
+def rentals(t: Mapping[str, DataFrame]) -> Frames:
+    """Films are customers (rated by segment), inventory is their orders (all with every third
+    customer), rentals are the order lines."""
     return {
         "film": t["customer"].select(F.col("c_custkey").alias("film_id"),
                                      F.col("c_name").alias("title"),
                                      F.col("c_mktsegment").alias("rating")),
         "inventory": t["orders"].select(F.col("o_orderkey").alias("inventory_id"),
-                                        F.col("o_custkey").alias("film_id")),
-        "rental": t["lineitem"].where(F.col("l_shipdate") >= F.lit(since))
-        .select(F.col("l_orderkey").alias("inventory_id")),
+                                        third_key("o_custkey").alias("film_id")),
+        "rental": t["lineitem"].select(F.col("l_orderkey").alias("inventory_id")),
     }
 
 
