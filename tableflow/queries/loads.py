@@ -95,9 +95,9 @@ def backfill_record_ts(t):
 
 # Film-rental change set -------------------------------------------------------------------------
 
-FILMS = (("The Long Harbour", Decimal("4.99"), 7, "ASIA"),
-         ("Night Ferry", Decimal("9.99"), 14, "ASIA"),
-         ("Paper Lanterns", Decimal("14.99"), 21, "ASIA"))
+FILMS = (("The Long Harbour", Decimal("2.40"), 4, "ASIA"),
+         ("Night Ferry", Decimal("5.85"), 10, "ASIA"),
+         ("Paper Lanterns", Decimal("8.10"), 16, "ASIA"))
 ACTORS = (("Vera", "Lindqvist"), ("Tomas", "Okafor"), ("Mina", "Castell"))
 LINKS = (("Vera", "Lindqvist", "Night Ferry"), ("Tomas", "Okafor", "Night Ferry"),
          ("Mina", "Castell", "Paper Lanterns"), ("Nobody", "Known", "Paper Lanterns"))
@@ -171,8 +171,8 @@ def clear_history(t):
 
 @register("rent_and_pay", "L5 J6 J13 S2 M1 F6", sql="""
 SELECT c_custkey AS customer_id, title, amount::DECIMAL(5,2) AS amount,
-       TIMESTAMP '2017-01-15 00:00:00' AS payment_date, TIMESTAMP '2017-01-10 00:00:00' AS rental_date
-FROM customer, (VALUES ('The Long Harbour', 4.99), ('Night Ferry', 9.99), ('Paper Lanterns', 14.99))
+       TIMESTAMP '2018-04-09 00:00:00' AS payment_date, TIMESTAMP '2018-04-02 00:00:00' AS rental_date
+FROM customer, (VALUES ('The Long Harbour', 2.40), ('Night Ferry', 5.85), ('Paper Lanterns', 8.10))
      priced(title, amount)
 WHERE c_name = 'Customer#000000007'""")
 def rent_and_pay(t):
@@ -181,10 +181,10 @@ def rent_and_pay(t):
     tables["inventory"] = rental_changes.stock_films(tables, films, AS_OF)[0]
     tables["customer"] = tables["customer"].withColumn("first_name", F.lit("Iris"))
     who = ("Iris", "Customer#000000007")
-    rented, _ = rental_changes.rent_films(tables, films, *who, dt.date(2017, 1, 10), AS_OF)
+    rented, _ = rental_changes.rent_films(tables, films, *who, dt.date(2018, 4, 2), AS_OF)
     tables["rental"] = rented
     prices = films.select("title", F.col("rental_rate").alias("rate"))
-    _, paid = rental_changes.pay_rentals(tables, prices, *who, dt.date(2017, 1, 15), AS_OF)
+    _, paid = rental_changes.pay_rentals(tables, prices, *who, dt.date(2018, 4, 9), AS_OF)
     return (paid.join(rented.select("rental_id", "inventory_id", "rental_date"), "rental_id")
             .join(tables["inventory"].select("inventory_id", "film_id"), "inventory_id")
             .join(tables["film"].select("film_id", "title"), "film_id")

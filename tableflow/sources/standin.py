@@ -218,6 +218,6 @@ def marketplace_batches(t: Mapping[str, DataFrame]) -> Frames:
         "order_status_history": placed.unionByName(closed),
         "discounts": t["part"].where(F.col("p_type") == "PROMO").select(
             product, F.col("p_size").cast("decimal(5,2)").alias("discount_percent"),
-            F.lit(dt.date(2024, 3, 1)).alias("start_date"),
-            F.lit(dt.date(2024, 3, 31)).alias("end_date")),
+            F.lit(dt.date(2023, 10, 16)).alias("start_date"),
+            F.lit(dt.date(2023, 11, 5)).alias("end_date")),
     }

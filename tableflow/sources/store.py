@@ -2,20 +2,25 @@
 
 A change writes new snapshots first, checks them, and then commits all of them with one small file
 in the log. A reader therefore sees all tables of a group changed, or none. A snapshot is never
-written twice, so nobody reads files that are being replaced. The log entry of a version is made
-with "error if it exists": of two writers that start from one version, the second one fails and
-leaves the tables as they were.
+written twice, so nobody reads files that are being replaced.
+
+A store object remembers the version its frames were read at. It publishes only if that version is
+still the latest but for its own changes, so of two writers that read one version the second is
+refused. The log file of a version is finished under another name and then renamed, which fails if
+the version is there; what a crash leaves behind is not part of the log.
 
 The folder must be one that all executors can reach.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,17 +42,21 @@ class ContractViolation(Exception):
                                    for v in violations))
 
 
+class StaleWriter(Exception):
+    """Another writer has published since the tables were read; nothing was published."""
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self.seen: int | None = None  # oldest version read since the last change of this object
 
     # Reading
 
     def _log(self) -> DataFrame:
         try:
-            return (self.spark.read.schema(LOG).option("recursiveFileLookup", True)
-                    .json(f"{self.folder}/log"))
+            return self.spark.read.schema(LOG).json(f"{self.folder}/log/*.json")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -62,18 +71,24 @@ class TableStore:
         return (max((row.version for row in rows), default=0),
                 {row.table_name: row.snapshot for row in rows})
 
+    def _look(self) -> dict[str, str]:
+        """Current snapshots, for a change to be based on."""
+        version, known = self.current()
+        self.seen = version if self.seen is None else min(self.seen, version)
+        return known
+
     def exists(self, name: str) -> bool:
-        return name in self.current()[1]
+        return name in self._look()
 
     def path(self, name: str) -> str:
-        return f"{self.folder}/{self.current()[1][name]}"
+        return f"{self.folder}/{self._look()[name]}"
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
     def frames(self) -> dict[str, DataFrame]:
         return {name: self.spark.read.parquet(f"{self.folder}/{snapshot}")
-                for name, snapshot in self.current()[1].items()}
+                for name, snapshot in self._look().items()}
 
     # Writing
 
@@ -82,9 +97,12 @@ class TableStore:
         """Make the frames the current tables, all or none; return the new version.
 
         With contracts the written snapshots are audited together with the other current tables,
-        and a violation raises ``ContractViolation`` before anything becomes current.
+        and a violation raises ``ContractViolation`` before anything becomes current. If another
+        writer has published since this object read its frames, ``StaleWriter`` is raised.
         """
         version, known = self.current()
+        if self.seen not in (None, version):
+            raise StaleWriter(f"{group}: read at version {self.seen}, now {version}")
         version += 1
         written = {name: f"tables/{name}/{uuid.uuid4().hex}" for name in frames}
         with ThreadPoolExecutor(min(len(frames), 8)) as pool:
@@ -94,11 +112,31 @@ class TableStore:
             write.result()
         if contracts:
             self._check({**known, **written}, set(written), contracts)
-        entry = seed_frame(self.spark, [(version, group, name, snapshot)
-                                        for name, snapshot in written.items()], LOG)
-        entry.coalesce(1).write.mode("errorifexists").json(f"{self.folder}/log/{version:012d}")
+        self._commit(version, [{"version": version, "group": group, "table_name": name,
+                                "snapshot": snapshot} for name, snapshot in written.items()])
+        self.seen = version
         return version
 
+    def _commit(self, version: int, rows: list[dict]) -> None:
+        """Finish the entry beside the log, then rename it; one rename to a version succeeds."""
+        jvm = self.spark._jvm
+        path, options = jvm.org.apache.hadoop.fs.Path, jvm.org.apache.hadoop.fs.Options
+        pending = path(f"{self.folder}/log/_pending/{uuid.uuid4().hex}")
+        out = pending.getFileSystem(self._hadoop()).create(pending, False)
+        out.write(bytearray("".join(json.dumps(row) + "\n" for row in rows).encode()))
+        out.close()
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(pending.toUri(), self._hadoop())
+        no_options = self.spark.sparkContext._gateway.new_array(options.Rename, 0)
+        try:
+            context.rename(pending, path(f"{self.folder}/log/{version:012d}.json"), no_options)
+        except Py4JJavaError as error:
+            if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+                raise
+            raise StaleWriter(f"version {version} was published by another writer") from None
+
+    def _hadoop(self):
+        return self.spark._jsc.hadoopConfiguration()
+
     def _write(self, frame: DataFrame, snapshot: str) -> None:
         frame.write.mode("errorifexists").parquet(f"{self.folder}/{snapshot}")
 
@@ -143,20 +181,19 @@ class TableStore:
         packing.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
         packing.conf.set("spark.sql.files.openCostInBytes", "0")
         packing.conf.set("spark.sql.files.minPartitionNum", "1")
-        return TableStore(packing, self.folder).publish(
-            f"compact {name}", {name: packing.read.parquet(self.path(name))})
+        whole = packing.read.parquet(self.path(name))
+        return self.publish(f"compact {name}", {name: whole})
 
     def reclaim(self) -> list[str]:
-        """Delete the snapshots that were replaced; return their paths. Only for times when no
-        reader can still be on an older version."""
+        """Delete all snapshots that are not current, also those of refused and failed changes;
+        return their paths. Only for times without writers, and without readers of older versions."""
         current = set(self.current()[1].values())
-        replaced = [row.snapshot for row in self._log().select("snapshot").distinct().collect()
-                    if row.snapshot not in current]
-        jvm, configuration = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        files = path(self.folder).getFileSystem(self._hadoop())
         gone = []
-        for snapshot in replaced:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{snapshot}")
-            if path.getFileSystem(configuration).delete(path, True):
+        for found in files.globStatus(path(f"{self.folder}/tables/*/*")) or []:
+            snapshot = "/".join(found.getPath().toString().split("/")[-3:])
+            if snapshot not in current and files.delete(found.getPath(), True):
                 gone.append(snapshot)
         return gone
 
@@ -172,7 +209,7 @@ def footprint(spark: SparkSession, paths: Mapping[str, str], like: str = "%") ->
     """Columns table_name, row_count, files, total_bytes, total.
 
     Sizes come from a file listing, row counts from the parquet footers; no column is read. A name
-    that does not match is dropped when the plan is made, so its files are not touched.
+    that does not match is dropped when the plan is made, so only its schema is read.
     """
     parts = []
     for name, path in paths.items():

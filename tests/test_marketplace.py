@@ -20,40 +20,32 @@ def day(text):
     return dt.datetime.fromisoformat(text)
 
 
-EARLY, SHARED = day("2024-03-04 14:30:00"), day("2024-03-05 14:30:00")
+# Two orders share a time; one shipping time and one comment are missing; one stock change is negative.
+SHARED, LATER = day("2023-09-17 08:05:30"), day("2023-09-21 19:40:00")
 SEEDS = {
-    "users": [("ada@example.org", "h1", day("2024-01-15")), ("ben@example.org", "h2", day("2024-02-20")),
-              ("cleo@example.org", "h3", day("2024-03-01"))],
-    "buyers": [("ada@example.org", 1500, "gold"), ("ben@example.org", 750, "silver"),
-               ("cleo@example.org", 0, "bronze")],
-    "sellers": [("ada@example.org", "Wire & Co", "Gadgets"), ("ben@example.org", "Loom", "Clothing"),
-                ("cleo@example.org", "Page's Corner", "Books")],
-    "categories": [("Gadgets",), ("Phones",), ("Computers",)],
-    "products": [("Wire & Co", "Phone", D("999.99")), ("Wire & Co", "Laptop", D("1999.99")),
-                 ("Loom", "Dress", D("49.99"))],
-    "product_categories": [("Phone", "Phones"), ("Laptop", "Computers"), ("Dress", "Gadgets")],
-    "orders": [("ada@example.org", SHARED, D("999.99")), ("ada@example.org", EARLY, D("1999.99")),
-               ("ben@example.org", SHARED, D("49.99"))],
-    "order_items": [(SHARED, "Phone", 1, D("999.99")), (EARLY, "Laptop", 1, D("1999.99")),
-                    (SHARED, "Dress", 1, D("49.99"))],
-    "payments": [(SHARED, D("999.99"), "Credit Card"), (SHARED, D("125.50"), "PayPal"),
-                 (EARLY, D("1999.99"), "Credit Card")],
-    "shipments": [(SHARED, "1 Harbour Rd", day("2024-03-06 10:00")), (EARLY, "2 Mill Lane", None)],
-    "reviews": [("ada@example.org", "Phone", 5, "Fine", day("2024-03-06")),
-                ("ben@example.org", "Phone", 4, "Good", day("2024-03-07")),
-                ("cleo@example.org", "Dress", 5, None, day("2024-03-06"))],
-    "inventory_history": [("Phone", 50, day("2024-03-01"), "First delivery"),
-                          ("Phone", -20, day("2024-03-01 09:30"), "Sold"),
-                          ("Dress", 100, day("2024-03-01"), "First delivery")],
-    "order_status_history": [(SHARED, "Pending", day("2024-03-05 15:00")),
-                             (SHARED, "Shipped", day("2024-03-06 10:00")),
-                             (EARLY, "Pending", day("2024-03-04 15:00"))],
-    "discounts": [("Phone", D("10.00"), dt.date(2024, 3, 1), dt.date(2024, 3, 31)),
-                  ("Dress", D("20.00"), dt.date(2024, 3, 1), dt.date(2024, 3, 15))],
+    "users": [(f"{name}@example.org", f"hash of {name}", day(joined)) for name, joined in (
+        ("ada", "2022-11-02"), ("ben", "2022-12-24"), ("cleo", "2023-02-11"), ("dora", "2023-05-30"))],
+    "buyers": [("ben@example.org", 40, "bronze"), ("dora@example.org", 2210, "gold")],
+    "sellers": [("ada@example.org", "Kiln & Clay", None), ("cleo@example.org", "Oak Bench", "Furniture")],
+    "categories": [("Pottery",), ("Chairs",)],
+    "products": [("Kiln & Clay", "Jug", D("18.40")), ("Kiln & Clay", "Bowl", D("7.25")),
+                 ("Oak Bench", "Stool", D("64.00")), ("Oak Bench", "Armchair", D("230.10"))],
+    "product_categories": [("Jug", "Pottery"), ("Stool", "Chairs"), ("Armchair", "Chairs")],
+    "orders": [("dora@example.org", SHARED, D("36.80")), ("ben@example.org", SHARED, D("64.00")),
+               ("dora@example.org", LATER, D("14.50"))],
+    "order_items": [(LATER, "Bowl", 2, D("7.25")), (SHARED, "Jug", 2, D("18.40"))],
+    "payments": [(SHARED, D("36.80"), "PayPal"), (LATER, D("14.50"), "Bank Transfer")],
+    "shipments": [(LATER, "Mill Street 4", day("2023-09-23 11:00")), (SHARED, "Quay 9", None)],
+    "reviews": [("ben@example.org", "Stool", 2, None, day("2023-10-02")),
+                ("dora@example.org", "Bowl", 4, "Neat", day("2023-10-05"))],
+    "inventory_history": [("Armchair", 6, day("2023-08-01 07:00"), "Made"),
+                          ("Jug", -2, day("2023-09-18 12:00"), "Sold")],
+    "order_status_history": [(LATER, "Pending", LATER), (SHARED, "Shipped", day("2023-09-19 16:20"))],
+    "discounts": [("Stool", D("12.50"), dt.date(2023, 10, 16), dt.date(2023, 11, 5))],
 }
-# Two orders share a time, so what is looked up by time lands on both.
-EXPECTED = {name: 3 for name in MARKETPLACE} | {
-    "order_items": 5, "payments": 5, "order_status_history": 5, "discounts": 2}
+# What is looked up by the shared time lands on both orders.
+EXPECTED = {name: len(rows) for name, rows in SEEDS.items()} | {
+    name: 3 for name in ("order_items", "payments", "shipments", "order_status_history")}
 
 
 @pytest.fixture(scope="module")
@@ -70,7 +62,7 @@ def loaded(spark, batches):
 def test_counts(loaded):
     counts = {name: df.count() for name, df in loaded.items()}
     assert counts == EXPECTED
-    assert sum(counts.values()) == 47
+    assert sum(counts.values()) == 37
 
 
 def test_no_violations(loaded):
@@ -88,12 +80,12 @@ def test_second_load_adds_nothing(batches, loaded):
 
 def test_values(loaded):
     assert sorted((r.discount_percent, r.discount_fraction) for r in loaded["discounts"].collect()) \
-        == [(D("10.00"), D("0.10")), (D("20.00"), D("0.20"))]
+        == [(D("12.50"), D("0.13"))]
     assert {r.record_ts for r in loaded["users"].collect()} == {AS_OF.date()}
     assert {r.joined_date for r in loaded["sellers"].collect()} == {AS_OF.date()}
-    assert sorted(r.order_item_id for r in loaded["order_items"].collect()) == [1, 2, 3, 4, 5]
+    assert sorted(r.order_item_id for r in loaded["order_items"].collect()) == [1, 2, 3]
     assert [r.delivered_at for r in loaded["shipments"].collect()] == [None] * 3
-    assert sum(r.shipped_at is None for r in loaded["shipments"].collect()) == 1
+    assert sum(r.shipped_at is None for r in loaded["shipments"].collect()) == 2
     assert [tuple(f.dataType.simpleString() for f in df.schema) for df in loaded.values()] == \
         [tuple(c.type.simpleString() for c in MARKETPLACE[n].columns) for n in loaded]
 
@@ -125,9 +117,9 @@ def test_copies_in_one_batch_are_left_to_the_audit(spark, batches):
     tables = marketplace.empty_tables(spark)
     twice = batches["users"].union(batches["users"])
     tables["users"], added = marketplace.load_table(tables, "users", twice, AS_OF)
-    assert added.count() == 6
+    assert added.count() == 8
     found = audit({"users": tables["users"]}, MARKETPLACE).where("violations > 0").collect()
-    assert [(v.rule, v.violations) for v in found] == [("unique email", 3)]
+    assert [(v.rule, v.violations) for v in found] == [("unique email", 4)]
 
 
 def test_backfill(spark, loaded):

@@ -5,13 +5,12 @@ import os
 from decimal import Decimal
 
 import pytest
-from pyspark.errors import PySparkException
 
 from tableflow.plans import rental_changes
 from tableflow.plans.bulk import lifecycle
 from tableflow.sources.contracts import Contract, reference
 from tableflow.sources.rental import RENTAL
-from tableflow.sources.store import ContractViolation, TableStore
+from tableflow.sources.store import ContractViolation, StaleWriter, TableStore
 from tableflow.sources.tables import seed_frame
 
 CONTRACTS = {c.name: c for c in (
@@ -57,16 +56,38 @@ def test_failing_job_changes_nothing(spark, folder):
     assert state(store) == {"t": [(1,)]}
 
 
-def test_second_writer_from_one_version_fails(spark, folder):
+def test_writer_of_an_old_version_is_refused(spark, folder):
+    first, second = TableStore(spark, folder), TableStore(spark, folder)
+    first.create("t", seed_frame(spark, [(1,)], "k int"))
+    stale = second.read("t")
+    first.publish("more", {"t": first.read("t").union(seed_frame(spark, [(2,)], "k int"))})
+    with pytest.raises(StaleWriter):
+        second.publish("late", {"t": stale.union(seed_frame(spark, [(3,)], "k int"))})
+    assert state(first) == {"t": [(1,), (2,)]}
+    again = TableStore(spark, folder)
+    again.publish("again", {"t": again.read("t").union(seed_frame(spark, [(3,)], "k int"))})
+    assert state(first) == {"t": [(1,), (2,), (3,)]}
+
+
+def test_one_of_two_commits_of_a_version_succeeds(spark, folder):
+    store = TableStore(spark, folder)
+    store.create("t", seed_frame(spark, [(1,)], "k int"))
+    with pytest.raises(StaleWriter):
+        store._commit(1, [{"version": 1, "group": "x", "table_name": "t", "snapshot": "none"}])
+    assert state(store) == {"t": [(1,)]}
+
+
+def test_left_overs_of_a_crash_do_no_harm(spark, folder):
     store = TableStore(spark, folder)
     store.create("t", seed_frame(spark, [(1,)], "k int"))
-    late = TableStore(spark, folder)
-    seen = late.current()
-    store.publish("first", {"t": seed_frame(spark, [(2,)], "k int")})
-    late.current = lambda: seen
-    with pytest.raises(PySparkException, match="PATH_ALREADY_EXISTS"):
-        late.publish("second", {"t": seed_frame(spark, [(3,)], "k int")})
-    assert state(store) == {"t": [(2,)]}
+    os.makedirs(f"{folder}/log/_pending", exist_ok=True)
+    with open(f"{folder}/log/_pending/half", "w") as half:
+        half.write('{"version": 2, "gro')
+    store.publish("next", {"t": seed_frame(spark, [(2,)], "k int")})
+    with pytest.raises(ContractViolation):
+        store.publish("refused", frames(spark, [1], [(1, 9)]), CONTRACTS)
+    assert len(store.reclaim()) == 3
+    assert len(os.listdir(f"{folder}/tables/t")) == 1 and state(store) == {"t": [(2,)]}
 
 
 def test_a_table_can_be_rewritten_from_itself(spark, folder):
@@ -143,7 +164,7 @@ def rental_store(spark, folder, english=1):
 
 
 def change_set(spark, least=3):
-    films = [("North", Decimal("4.99"), 7, "English"), ("South", Decimal("9.99"), 14, "English")]
+    films = [("North", Decimal("3.20"), 5, "English"), ("South", Decimal("6.75"), 9, "English")]
     return rental_changes.ChangeSet(
         films=seed_frame(spark, films, rental_changes.FILMS),
         actors=seed_frame(spark, [("Vera", "Lund"), ("Old", "Actor")], rental_changes.ACTORS),
@@ -153,7 +174,7 @@ def change_set(spark, least=3):
         prices=seed_frame(spark, [(f[0], f[1]) for f in films], "title string, rate decimal(5,2)"),
         customer={"first_name": "Iris", "last_name": "Moor", "email": "iris@example.org", "active": 1},
         least_rentals=least, least_payments=least,
-        rental_day=dt.date(2017, 1, 10), payment_day=dt.date(2017, 1, 15))
+        rental_day=dt.date(2018, 4, 2), payment_day=dt.date(2018, 4, 9))
 
 
 def test_change_set_and_second_run(spark, folder):
@@ -163,17 +184,17 @@ def test_change_set_and_second_run(spark, folder):
     today, day = AS_OF.date(), dt.datetime
     assert sorted(r[0] for r in after["film"]) == [1, 2, 3]
     assert sorted(r[1:4] for r in after["film"]) == [
-        ("North", None, Decimal("4.99")), ("Old Film", 2001, Decimal("1.99")),
-        ("South", None, Decimal("9.99"))]
+        ("North", None, Decimal("3.20")), ("Old Film", 2001, Decimal("1.99")),
+        ("South", None, Decimal("6.75"))]
     assert len(after["actor"]) == 2 and len(after["film_actor"]) == 3
     assert sorted(r[1:] for r in after["inventory"])[1:] == [(2, 3, today), (3, 3, today)]
     assert after["customer"][1] == (2, "Iris", "Moor", "iris@example.org", 3, 5, 1, today)
     assert {r[2] for r in after["rental"] if r[0] <= 7} == {3, 1}
     new = [r for r in after["rental"] if r[0] > 7]
-    assert [r[2:] for r in new] == [(2, day(2017, 1, 10), 7, today)] * 2
-    paid = [r for r in after["payment"] if r[5].year == 2017]
+    assert [r[2:] for r in new] == [(2, day(2018, 4, 2), 7, today)] * 2
+    paid = [r for r in after["payment"] if r[5].year == 2018]
     assert sorted((r[1], r[2], r[4], r[5]) for r in paid) == [
-        (2, 7, Decimal("4.99"), day(2017, 1, 15)), (2, 7, Decimal("9.99"), day(2017, 1, 15))]
+        (2, 7, Decimal("3.20"), day(2018, 4, 9)), (2, 7, Decimal("6.75"), day(2018, 4, 9))]
     assert {r[3] for r in paid} == {r[0] for r in new}
 
 
