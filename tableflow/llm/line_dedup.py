@@ -103,7 +103,7 @@ def band_keys(lines: Lines) -> np.ndarray:
         for factor in _FACTORS[band * ROWS:(band + 1) * ROWS]:
             turned = values * factor
             turned ^= turned >> np.uint32(15)
-            key = mix(key * np.uint64(_POWER) + np.minimum.reduceat(turned * np.uint32(0x9E3779B1), starts))
+            key = mix(key * np.uint64(_POWER) + np.minimum.reduceat(turned, starts))
         out[:, band] = key
     return out
 

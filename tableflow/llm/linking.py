@@ -49,9 +49,19 @@ def link_components(lists: DataFrame, sets: DataFrame, search: Search) -> DataFr
     times, so they should be written out.
     """
     stars = _links(_star_blocks(lists), sets, search)
-    rest = materialise(_unsettled(lists, materialise(_near_labels(stars))))
-    more = _links(_pair_blocks(rest), sets, search)
-    return connected_components(stars.unionByName(more))
+    near = materialise(_near_labels(stars))
+    more = _links(_pair_blocks(materialise(_unsettled(lists, near))), sets, search)
+    return _all_labels(stars.unionByName(more), near)
+
+
+def _all_labels(edges: DataFrame, near: DataFrame) -> DataFrame:
+    """Labels of the components of all links; those that the near labels settle are one node."""
+    nodes = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
+    nodes = materialise(nodes.join(near, "node", "left").select("node", F.coalesce("label", "node").alias("near")))
+    ends = [nodes.select(F.col("node").alias(side), F.col("near").alias(f"near_{side}")) for side in "ab"]
+    left = edges.join(ends[0], "a").join(ends[1], "b").select(F.col("near_a").alias("a"), F.col("near_b").alias("b"))
+    labels = connected_components(left).withColumnRenamed("node", "near")
+    return nodes.join(labels, "near", "left").select("node", F.coalesce("label", "near").alias("label"))
 
 
 def _star_blocks(lists: DataFrame) -> DataFrame:
@@ -96,11 +106,9 @@ def _pair_blocks(rest: DataFrame) -> DataFrame:
 
 def _links(blocks: DataFrame, sets: DataFrame, search: Search) -> DataFrame:
     """Links (a, b) that join components inside each block."""
-    def compare(table: pa.Table) -> pa.Table:
+    def compare(table: pa.Table) -> tuple[list, list]:
         side = table["side"].to_numpy()
-        items = table["items"].combine_chunks()
-        own = items.to_pylist()
-        nodes, labels = table["node"].to_pylist(), table["label"].to_pylist()
+        own, nodes, labels = (table[name].to_pylist() for name in ("items", "node", "label"))
         indexed, asking = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         joined = _Union(labels)
         a, b = [], []
@@ -110,10 +118,37 @@ def _links(blocks: DataFrame, sets: DataFrame, search: Search) -> DataFrame:
             if joined.tie(labels[query], labels[found]):
                 a.append(nodes[query])
                 b.append(nodes[found])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    full = reach(blocks).join(sets, "node").select("block", "part", "label", "node", "side", "items")
-    return materialise(full.groupBy("block", "part").applyInArrow(compare, "a bigint, b bigint"))
+        return a, b
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks come one after the other; the last one of a batch may go on in the next."""
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([held, table]) if held is not None else table
+            starts = _block_starts(table)
+            yield _as_links(compare(table.slice(low, high - low)) for low, high in zip(starts[:-1], starts[1:]))
+            held = table.slice(starts[-1]) if len(starts) else None
+        if held is not None and len(held):
+            yield _as_links([compare(held)])
+
+    full = (reach(blocks).join(sets, "node").select("block", "part", "label", "node", "side", "items")
+            .repartition("block", "part").sortWithinPartitions("block", "part"))
+    return materialise(full.mapInArrow(run, "a bigint, b bigint"))
+
+
+def _block_starts(table: pa.Table) -> list[int]:
+    block, part = table["block"].to_numpy(), table["part"].to_numpy()
+    new = (block[1:] != block[:-1]) | (part[1:] != part[:-1])
+    return [0, *(np.flatnonzero(new) + 1).tolist()] if len(block) else []
+
+
+def _as_links(found) -> pa.RecordBatch:
+    a, b = [], []
+    for more_a, more_b in found:
+        a += more_a
+        b += more_b
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 class _Union:
