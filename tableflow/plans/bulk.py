@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tableflow.functions.columns import number_after
 from tableflow.operators.change import delete_rows
 from tableflow.sources.store import TableStore
-from tableflow.sources.tables import series
 
 
 def numbered_texts(numbers: DataFrame, prefix: str) -> DataFrame:
@@ -21,16 +20,16 @@ def without_thirds(texts: DataFrame, prefix: str) -> DataFrame:
     return delete_rows(texts, number_after("col", prefix) % 3 == 0)
 
 
-def lifecycle(store: TableStore, name: str, rows: int, prefix: str,
+def lifecycle(store: TableStore, name: str, numbers: DataFrame, prefix: str,
               file_bytes: int = 128 << 20) -> dict[str, tuple]:
-    """Run all steps; return (rows, bytes) of the table after each."""
+    """Run all steps on texts of ``numbers`` (column x); return (rows, bytes) of the table after each."""
     after = {}
 
     def note(step: str) -> None:
         row = store.footprint(name).first()
         after[step] = (row.row_count, row.total_bytes)
 
-    store.create(name, numbered_texts(series(store.spark, 1, rows), prefix))
+    store.create(name, numbered_texts(numbers, prefix))
     note("create")
     store.publish(f"delete from {name}", {name: without_thirds(store.read(name), prefix)})
     note("delete")

@@ -51,14 +51,16 @@ def inline_union_rows(t):
             .groupBy("zone").agg(F.sum("customers").alias("customers")))
 
 
-@register("series_rows", "S4", sql="""
-SELECT UNNEST(RANGE(1, (SELECT COUNT(*) FROM orders) + 1)) AS x""")
+@register("series_rows", "S4 J3", sql="""
+SELECT x, COALESCE(n, 0) AS orders FROM (SELECT UNNEST(RANGE(0, (SELECT MAX(o_custkey) FROM orders) + 2)) AS x)
+LEFT JOIN (SELECT o_custkey, COUNT(*) AS n FROM orders GROUP BY ALL) ON o_custkey = x""")
 def series_rows(t):
-    """One number per order, as many as there are orders."""
-    return series(t.spark, 1, t["orders"].count())
+    """Every number up to one past the largest customer key, with how many orders have it."""
+    last = t["orders"].agg(F.max("o_custkey").alias("last")).first().last or 0
+    return with_count(series(t.spark, 0, last + 1), t["orders"].withColumnRenamed("o_custkey", "x"), "x", "orders")
 
 
-# Projections and predicates ---------------------------------------------------------------------
+# Predicates ---------------------------------------------------------------------------------------
 
 @register("scan_filter_project", "S1 P1 P2 P4", sql="""
 SELECT o_orderkey AS order_id, CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders

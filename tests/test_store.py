@@ -11,7 +11,7 @@ from tableflow.plans.bulk import lifecycle
 from tableflow.sources.contracts import Contract, reference
 from tableflow.sources.rental import RENTAL
 from tableflow.sources.store import ContractViolation, StaleWriter, TableStore
-from tableflow.sources.tables import seed_frame
+from tableflow.sources.tables import seed_frame, series
 
 CONTRACTS = {c.name: c for c in (
     Contract("parents", (), primary_key=("p",)),
@@ -131,7 +131,7 @@ def test_footprint_compact_truncate_reclaim(spark, folder):
 
 
 def test_bulk_lifecycle(spark, folder):
-    after = lifecycle(TableStore(spark, folder), "bulk", 10_000, "some_22_letter_prefix_")
+    after = lifecycle(TableStore(spark, folder), "bulk", series(spark, 1, 10_000), "some_22_letter_prefix_")
     assert [rows for rows, _ in after.values()] == [10_000, 6_667, 6_667, 0]
     assert after["compact"][1] < after["create"][1]
 
