@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow.llm import backoff_lm, decontamination, license_scan, line_dedup, ngram_join, packing, quality_classifier, quality_rules, sharding, url_filter
+from tableflow.llm import backoff_lm, decontamination, license_scan, line_dedup, ngram_join, packing, quality_classifier, quality_rules, sharding, sql, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -20,11 +20,11 @@ URL_RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/
              ("net/es/", "block"), ("net/fr/", "block"))
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, check: str | None = None):
     def keep(job):
         QUERIES[name] = job
-        if sql is not None:
-            SQL[name] = sql
+        if check is not None:
+            SQL[name] = check
         return job
     return keep
 
@@ -69,7 +69,7 @@ def op3_url_filter(spark, folder):
     return url_filter.judge_urls(table(spark, folder, "pages"), URL_RULES, keep=("page_id",))
 
 
-@query("op10_quality_rules")
+@query("op10_quality_rules", sql.quality_rules_sql())
 def op10_quality_rules(spark, folder):
     return quality_rules.judge_quality(table(spark, folder, "documents"), ["doc_id"])
 
@@ -98,7 +98,7 @@ def op2_lm_scoring(spark, folder):
     return backoff_lm.score_documents(table(spark, folder, "documents"), held_out)
 
 
-@query("op7_ngram_jaccard_join")
+@query("op7_ngram_jaccard_join", sql.NGRAM_JACCARD_JOIN)
 def op7_ngram_jaccard_join(spark, folder):
     joined = ngram_join.join_similar(table(spark, folder, "documents"), k=4, percent=85)
     return joined.select("doc_id", "n_shingles", "component_id")
