@@ -9,7 +9,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import ODD, SCHEMA, empty_documents, odd_documents, stored, words
+from helpers import (ODD, SCHEMA, brute_components, brute_tiles, empty_documents, odd_documents, stored,
+                     words)
 from tableflow.llm import (backoff_lm, decontamination, license_scan, line_dedup, ngram_join, packing,
                            quality_classifier, quality_rules, sharding, url_filter)
 from tableflow.llm.components import connected_components
@@ -220,27 +221,6 @@ def test_classifier_learns_and_scores_odd_rows(spark, odd, folder, none):
 
 # 6 decontamination
 
-def brute_tiles(item, text, least):
-    """Greedy string tiling by trying every pair of places again and again."""
-    used_i, used_t, tiles = set(), set(), []
-    while True:
-        best = (0, 0, 0)
-        for a in range(len(item)):
-            for b in range(len(text)):
-                n = 0
-                while a + n < len(item) and b + n < len(text) and item[a + n] == text[b + n] \
-                        and a + n not in used_i and b + n not in used_t:
-                    n += 1
-                if n > best[0]:
-                    best = (n, a, b)
-        n, a, b = best
-        if n < least:
-            return tiles
-        used_i |= set(range(a, a + n))
-        used_t |= set(range(b, b + n))
-        tiles.append((a, b, n))
-
-
 def test_tiles_equal_brute_force():
     rng = np.random.default_rng(3)
     for case in range(120):
@@ -276,27 +256,6 @@ def test_contaminated_documents(spark, folder):
 
 # 7 join
 
-def brute_components(rows, k, percent):
-    sets = []
-    for _, text in rows:
-        w = words(text)
-        sets.append({tuple(w[j:j + k]) for j in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set())
-    up = list(range(len(rows)))
-    def top(x):
-        while up[x] != x:
-            x = up[x]
-        return x
-    for i in range(len(rows)):
-        for j in range(i):
-            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
-                up[max(top(i), top(j))] = min(top(i), top(j))
-    groups = defaultdict(list)
-    for i, (doc, _) in enumerate(rows):
-        groups[top(i)].append(doc)
-    return Counter((doc, len(sets[i]), min((x for x in groups[top(i)] if x is not None), default=None) if sets[i] else doc)
-                   for i, (doc, _) in enumerate(rows))
-
-
 @pytest.mark.parametrize("block", [256, 3])
 def test_join_equals_brute_force(spark, folder, monkeypatch, block):
     from tableflow.llm import linking
