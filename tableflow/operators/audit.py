@@ -21,7 +21,7 @@ def audit(tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract]) ->
     """Columns table_name, rule, violations, sample (one offending key as JSON).
 
     Violations are rows for row and reference rules, and repeated keys for unique rules. Only
-    tables given are checked; a reference to a table that is not given is skipped.
+    tables given are checked; a reference to a table that is not given has NULL violations.
     """
     parts: list[DataFrame] = []
     for name, contract in contracts.items():
@@ -35,6 +35,8 @@ def audit(tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract]) ->
                      for keys in (contract.primary_key, *contract.uniques) if keys)
         parts.extend(reference_rule(df, name, key, tables[key.parent])
                      for key in contract.foreign_keys if key.parent in tables)
+        parts.extend(unchecked_reference(df, name, key)
+                     for key in contract.foreign_keys if key.parent not in tables)
     return _union(parts)
 
 
@@ -78,6 +80,13 @@ def unique_rule(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
             .selectExpr(*_found(name, f"unique {', '.join(keys)}", "count(1)", keys)))
 
 
+def unchecked_reference(df: DataFrame, name: str, key: ForeignKey) -> DataFrame:
+    rule = f"reference {', '.join(key.columns)} -> {key.parent}"
+    return df.sparkSession.range(1).selectExpr(
+        f"{_text(name)} AS table_name", f"{_text(rule)} AS rule", "CAST(NULL AS BIGINT) AS violations",
+        "CAST(NULL AS STRING) AS sample")
+
+
 def reference_rule(df: DataFrame, name: str, key: ForeignKey, parent: DataFrame) -> DataFrame:
     """Child rows whose key has no parent; keys with a NULL in them are exempt."""
     known = parent.selectExpr(*[f"`{theirs}` AS `{ours}`"

@@ -18,7 +18,11 @@ ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row number in
 
 def apply_defaults(batch: DataFrame, contract: Contract, as_of: dt.datetime) -> DataFrame:
     """All contract columns but the id, typed. Defaults go only to columns the batch lacks, so a
-    NULL given on purpose stays NULL. Computed columns are always computed."""
+    NULL given on purpose stays NULL. Computed columns are always computed. A batch column that the
+    contract does not know is an error, since it may be a misspelt one."""
+    unknown = sorted(set(batch.columns) - set(contract.column_names))
+    if unknown:
+        raise ValueError(f"{contract.name} has no columns {unknown}")
     values: dict[str, Column] = {}
     for column in contract.columns:
         if column.name == contract.identity or column.name in contract.computed:

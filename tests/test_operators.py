@@ -13,6 +13,7 @@ from tableflow.functions.columns import (
 from tableflow.operators.audit import audit
 from tableflow.operators.change import cascade_delete, delete_rows, update_rows, update_where
 from tableflow.operators.load import add_column, assign_ids, insert_new
+from tableflow.operators import lookups
 from tableflow.operators.lookups import first_key, link_by_names, only_value, resolve_keys, unseen
 from tableflow.plans.reports import max_gap
 from tableflow.sources.contracts import (
@@ -287,3 +288,25 @@ def test_max_gap_equals_brute_force(spark, films):
         steps = [min(z for z in years if z > y) - y for y in years if any(z > y for z in years)]
         expected[actor] = max(steps, default=0)
     assert {r.actor_id: r.max_gap_years for r in max_gap(frames).collect()} == expected
+
+
+def test_unknown_batch_column_is_refused(spark):
+    target = seed_frame(spark, [], NOTES.schema)
+    with pytest.raises(ValueError, match="nmae"):
+        insert_new(target, seed_frame(spark, [("a", "b")], "name string, nmae string"), NOTES, ["name"], AS_OF)
+
+
+def test_reference_to_an_absent_table_is_reported(spark):
+    child = Contract("child", (), foreign_keys=(reference("p", "absent"),))
+    found = audit({"child": seed_frame(spark, [(1,)], "p int")}, {"child": child}).collect()
+    assert [(r.rule, r.violations) for r in found] == [("reference p -> absent", None)]
+
+
+def test_left_join_as_two_and_keys_of_named_rows(spark):
+    parents = seed_frame(spark, [(1,), (2,), (None,)], "k int")
+    children = seed_frame(spark, [(1, "a"), (1, "b"), (3, "c"), (None, "d")], "k int, v string")
+    found = lookups.parents_with_children(parents, children, "k").collect()
+    assert sorted(map(str, found)) == sorted(map(str, parents.join(children, "k", "left").collect()))
+    for keys in ([], [7], [7, 8]):
+        named = seed_frame(spark, [(k,) for k in keys], "x int")
+        assert lookups.with_each_key(parents.where("k > 0"), named, "x").count() == 2 * len(keys)
