@@ -172,8 +172,9 @@ def repeated_lines(source: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = materialise(arrow_map(source.select("text"), "node bigint, items binary", wanted).dropDuplicates(["node"]))
     labels = link_components(lists, texts, similar_lines(PERCENT))
     named = occurrences.join(labels, "node", "left").select(ROW, "line", F.coalesce("label", "node").alias("label"))
-    first = (named.groupBy("label").agg(F.min(F.struct(ROW, "line")).alias("first"), F.count("*").alias("n"))
-             .where("n > 1").select("label", "first"))
+    # written out, so that the join with it can be split where many lines have one label
+    first = materialise(named.groupBy("label").agg(F.min(F.struct(ROW, "line")).alias("first"), F.count("*").alias("n"))
+                        .where("n > 1").select("label", "first"))
     dropped = (named.join(first, "label").where(F.struct(ROW, "line") != F.col("first"))
                .groupBy(ROW).agg(F.sort_array(F.collect_list("line")).alias("dropped")))
     return occurrences, dropped

@@ -228,8 +228,10 @@ def join_similar(docs: DataFrame, k: int, percent: int, doc_id: str = "doc_id",
     texts = materialise(arrow_map(source.select(F.xxhash64(ROW).alias("bit"), "text"), "node bigint, items binary", full))
     labels = link_components(lists, texts, occurrence_search(k, percent))
     grouped = named.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least = grouped.where("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
-    return (grouped.join(least.where("n > 1"), "label", "left")
+    # written out, so that the join with it can be split where many rows have one label
+    least = materialise(grouped.where("n_shingles > 0").groupBy("label")
+                        .agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    return (grouped.join(least, "label", "left")
             .select(ROW, "doc_id", "n_shingles",
                     F.when(F.col("n_shingles") > 0, F.coalesce("least", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
                     F.when(F.col("n_shingles") > 0, F.col("label")).alias("component")))
@@ -242,5 +244,6 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", ROW)
     several = (joined.groupBy("component").agg(F.min(order).alias("kept"), F.count("*").alias("n"))
                .where("n > 1").select("component", F.col(f"kept.{ROW}").alias("kept")))
+    several = materialise(several)
     dropped = materialise(joined.join(several, "component").where(F.col(ROW) != F.col("kept")).select(ROW))
     return numbered(docs).join(dropped, ROW, "left_anti").drop(ROW)
