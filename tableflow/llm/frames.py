@@ -50,6 +50,7 @@ def arrow_map(df: DataFrame, schema: str,
                 yield pa.RecordBatch.from_arrays(
                     [_as_array(columns[name], kind) for name, kind in kinds.items()],
                     names=list(kinds))
+        pa.default_memory_pool().release_unused()  # workers live on from task to task
 
     return reach(df).mapInArrow(run, schema)
 

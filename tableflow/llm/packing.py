@@ -30,7 +30,7 @@ SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tok
 END_ID = 1
 HARD = 256
 BLOCK_TOKENS = 1 << 19
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 250_000
 #: Padding tokens that a cut inside a document is worth, after a sentence and anywhere else.
 SENTENCE_PENALTY, HARD_PENALTY = 8, 128
 _STOPS = np.zeros(256, dtype=bool)
@@ -249,6 +249,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, length: int = 2048,
                 if packer.held >= BLOCK_TOKENS:
                     yield from _batches(packer.pack(False))
         yield from _batches(packer.pack(True))
+        pa.default_memory_pool().release_unused()
 
     return reach(docs).select(F.col(doc_id).cast("long").alias("doc_id"),
                        F.col(text).cast("string").alias("text")).mapInArrow(run, SCHEMA)
