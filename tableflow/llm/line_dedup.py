@@ -102,7 +102,6 @@ def band_keys(lines: Lines) -> np.ndarray:
         key = np.full(len(sizes), band, dtype=np.uint64)
         for factor in _FACTORS[band * ROWS:(band + 1) * ROWS]:
             turned = values * factor
-            turned ^= turned >> np.uint32(15)
             key = mix(key * np.uint64(_POWER) + np.minimum.reduceat(turned, starts))
         out[:, band] = key
     return out
