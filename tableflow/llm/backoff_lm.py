@@ -1,16 +1,15 @@
 """Language-model scores by a weighted backoff automaton.
 
-The model is a trigram model with absolute discounting over counts of the whole training part. Its
-n-grams are those that make up at least ``SHARE`` of all training tokens, so an order has at most
-1 / SHARE of them whatever the corpus: a rule of the model, the same at every size, and the bound
-of what is sent to the tasks. An n-gram that others follow is a state. From a state, a token that
+The model is a trigram model with absolute discounting over the counts of all n-grams of the
+training part, however rare. An n-gram that others follow is a state. From a state, a token that
 follows it has an arc; any other token goes along the failure arc, which costs the state's backoff
 weight, to the state of the context that is one token shorter, at last to the root. There every token
-has its smoothed count. Counts of rarer words stay in a table of any size; they are joined to the
-texts by Spark, which adds their root probabilities to what the traversal has gathered.
+has its smoothed count.
 
-All rests on Apriori: an n-gram can only be frequent if the n-grams within are, so each order is
-counted in one pass over the corpus for candidates from the order before.
+Arcs and weights stay in tables that grow with the corpus, and the tokens of the texts are joined to
+them. A model of at most ``HELD`` n-grams an order is sent to the tasks instead, which walk it: the
+same n-grams, arcs and scores. The words that make up ``COMMON`` of the training tokens (1 / COMMON at most) are
+counted in the tasks; the others get their exact counts by a join.
 """
 
 from __future__ import annotations
@@ -23,15 +22,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableflow.llm.frames import ROW, arrow_map, column, list_of, numbered
-from tableflow.llm.textbytes import hash_bytes, slices
+from tableflow.llm.textbytes import hash_bytes, mix, slices
 from tableflow.session import materialise
 
-SHARE = 2.0 ** -20
+#: Share of the training tokens that an n-gram needs; 0 keeps every one.
+SHARE = 0.0
+COMMON = 2.0 ** -20
+#: N-grams of each order of a model that is sent to the tasks.
+HELD = 1 << 20
 DISCOUNT = 0.6
 SMOOTHING = 0.1
-_WIDTH = 21  # bits of a word's number; 1 / SHARE words and the start of a text fit in
+_WIDTH = 21  # bits of a word's number; 1 / COMMON words and the start of a text fit in
 #: A word that no text has, since it holds a space: the end of a text.
 END = np.uint64(hash_bytes(b" end"))
+#: The context of the first token of a text, and the pair before it.
+START, OPEN = np.uint64(hash_bytes(b" start")), np.uint64(hash_bytes(b" open"))
 _STEPS = 512
 
 
@@ -48,7 +53,7 @@ def _tokens(part) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Words:
-    """Frequent words in the order of their hashes; a word's number is its place."""
+    """Common words in the order of their hashes; a word's number is its place."""
 
     hashes: np.ndarray
     counts: np.ndarray
@@ -57,7 +62,7 @@ class Words:
     texts: int
 
     def numbers(self, tokens: np.ndarray) -> np.ndarray:
-        """-1 for a word that is not frequent."""
+        """-1 for a word that is not common."""
         if not len(self.hashes):
             return np.full(len(tokens), -1)
         place = np.minimum(np.searchsorted(self.hashes, tokens), len(self.hashes) - 1)
@@ -81,46 +86,54 @@ def _lookup(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[place] == wanted, place, -1)
 
 
-def _context(numbers: np.ndarray, first: np.ndarray, start: int) -> np.ndarray:
-    """The number before each token; the start before the first of a text."""
+def _context(numbers: np.ndarray, first: np.ndarray, start) -> np.ndarray:
+    """What stands before each token; the start before the first of a text."""
     before = np.empty_like(numbers)
     before[1:] = numbers[:-1]
     before[first[:-1]] = start
     return before
 
 
-def _pairs(words: Words, tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Keys of the pairs (token before, token); -1 where one of them is rare."""
-    numbers = words.numbers(tokens)
-    before = _context(numbers, first, words.start)
-    return np.where((numbers >= 0) & (before >= 0), before << _WIDTH | numbers, -1)
+def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return mix(left * np.uint64(0xD1342543DE82EF95) + right)
 
 
-def _triples(words: Words, pairs: np.ndarray, tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Keys of (frequent pair, token whose pair with the one before is frequent); else -1."""
-    keys = _pairs(words, tokens, first)
-    place = _lookup(pairs, keys)
-    before = _context(place, first, -1)
-    return np.where((place >= 0) & (before >= 0), before << _WIDTH | keys & ((1 << _WIDTH) - 1), -1)
+def _words(tokens: np.ndarray, first: np.ndarray) -> dict:
+    return {"key": tokens}
 
 
-def _count(training: DataFrame, keys) -> DataFrame:
-    """Occurrences of the keys that ``keys`` finds in tokens, summed up in each batch first."""
-    def count(batch: pa.RecordBatch) -> dict:
+def _pairs(tokens: np.ndarray, first: np.ndarray) -> dict:
+    """The pair that each token ends."""
+    before = _context(tokens, first, START)
+    return {"key": _joined(before, tokens), "before": before, "token": tokens}
+
+
+def _triples(tokens: np.ndarray, first: np.ndarray) -> dict:
+    """The triple that each token ends, its first pair and its last pair."""
+    pairs = _pairs(tokens, first)["key"]
+    outer = _context(pairs, first, OPEN)
+    return {"key": _joined(outer, tokens), "outer": outer, "inner": pairs}
+
+
+def _count(training: DataFrame, keys, *more: str) -> DataFrame:
+    """Occurrences of the keys that ``keys`` finds in tokens, summed up in each batch first; columns
+    ``more`` go with the key."""
+    def count(batch: pa.RecordBatch):
         found = [keys(*_tokens(part)) for part in slices(column(batch, "text"))]
-        key, n = np.unique(np.concatenate(found) if found else np.empty(0, np.uint64), return_counts=True)
-        if key.dtype != np.uint64:
-            key, n = key[key >= 0], n[key >= 0]
-        return {"key": key, "n": n}
+        if found:
+            whole = {name: np.concatenate([x[name] for x in found]) for name in ("key", *more)}
+            key, at, n = np.unique(whole["key"], return_index=True, return_counts=True)
+            yield {"key": key, **{name: whole[name][at] for name in more}, "n": n}
 
-    return arrow_map(training, "key bigint, n bigint", count).groupBy("key").agg(F.sum("n").alias("n"))
+    schema = "".join(f"{name} bigint, " for name in ("key", *more)) + "n bigint"
+    return arrow_map(training, schema, count).groupBy("key").agg(
+        *[F.first(name).alias(name) for name in more], F.sum("n").alias("n"))
 
 
-def _frequent(counts: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of at least ``least`` occurrences, in order: 1 / SHARE rows at most."""
-    rows = counts.where(F.col("n") >= least).toArrow()
-    keys = rows["key"].to_numpy()
-    return keys, rows["n"].to_numpy()
+def _collected(counts: DataFrame) -> dict:
+    rows = counts.toArrow()
+    return {name: rows[name].to_numpy() if name == "n" else rows[name].to_numpy().view(np.uint64)
+            for name in rows.column_names}
 
 
 def _sorted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -130,7 +143,7 @@ def _sorted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 @dataclass
 class Automaton:
-    """State 0 is the root, then come the words and the start, then the frequent pairs."""
+    """State 0 is the root, then come the words and the start, then the pairs."""
 
     words: Words
     arcs: np.ndarray      # state << 21 | word, sorted
@@ -138,7 +151,7 @@ class Automaton:
     targets: np.ndarray
     backoff: np.ndarray   # log10 weight of each state's failure arc
     failure: np.ndarray
-    root: np.ndarray      # log10 probability of each frequent word at the root
+    root: np.ndarray      # log10 probability of each word at the root
 
     def traverse(self, numbers: np.ndarray, first: np.ndarray) -> np.ndarray:
         """What each token of a stream of texts adds; a rare word adds failure arcs only.
@@ -211,6 +224,91 @@ def _weights(context: np.ndarray, own: np.ndarray, lower: np.ndarray, n: int) ->
                     np.clip(left, 1e-12, None) / np.clip(below, 1e-12, None), 1.0)
 
 
+def _automaton(words: Words, pairs: dict, triples: dict) -> Automaton:
+    """Of a model that fits in a task: every word of its n-grams is a common one."""
+    before = np.where(pairs["before"] == START, words.start, words.numbers(pairs["before"]))
+    token = words.numbers(pairs["token"])
+    numbers, order = before << _WIDTH | token, np.argsort(before << _WIDTH | token)
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.arange(len(order))
+    by_key = np.argsort(pairs["key"])
+    find = lambda keys: by_key[_lookup(pairs["key"][by_key], keys)]
+    inside = triples["outer"] != OPEN  # the start has those arcs
+    outer, inner = find(triples["outer"][inside]), find(triples["inner"][inside])
+    return build_automaton(words, numbers[order], pairs["n"][order],
+                           *_sorted(place[outer] << _WIDTH | token[inner], triples["n"][inside]))
+
+
+@dataclass
+class Arcs:
+    """The automaton as tables: probabilities of arcs by n-gram, weights of failure arcs by context."""
+
+    words: DataFrame    # token, p1
+    pairs: DataFrame    # key, before, p2
+    triples: DataFrame  # key, outer, p3
+    weights: tuple[DataFrame, DataFrame]  # (before, weight1), (outer, weight2)
+
+
+def build_arcs(vocabulary: DataFrame, pairs: DataFrame, triples: DataFrame, total) -> Arcs:
+    words = vocabulary.select(F.col("key").alias("token"), _share("n", total).alias("p1"))
+    end, start, open_ = (F.lit(int(x.view(np.int64))) for x in (END, START, OPEN))
+    # a text has one end and one start, and no word follows the end
+    whole = vocabulary.select(F.when(F.col("key") == end, start).otherwise(F.col("key")).alias("before"),
+                              F.col("n").alias("whole"))
+    pairs = materialise(pairs.join(whole, "before").join(words, "token").select(
+        "key", "before", "n", "whole", ((F.col("n") - DISCOUNT) / F.col("whole")).alias("p2"), "p1"))
+    whole = pairs.select(F.col("key").alias("outer"), F.col("n").alias("whole")).unionByName(
+        vocabulary.where(F.col("key") == end).select(open_.alias("outer"), F.col("n").alias("whole")))
+    triples = materialise(triples.join(whole, "outer").join(
+        pairs.select(F.col("key").alias("inner"), "p2"), "inner").select(
+        "key", "outer", "n", "whole", ((F.col("n") - DISCOUNT) / F.col("whole")).alias("p3"), "p2"))
+    return Arcs(words, pairs, triples, (materialise(_failure(pairs, "before", "p1", "weight1")),
+                                        materialise(_failure(triples, "outer", "p2", "weight2"))))
+
+
+def _failure(arcs: DataFrame, context: str, lower: str, name: str) -> DataFrame:
+    """As ``_weights``, from exact sums of the counts."""
+    left = (F.max("whole") - F.sum("n") + DISCOUNT * F.count("*")) / F.max("whole")
+    return arcs.groupBy(context).agg(
+        (F.greatest(left, F.lit(1e-12)) / F.greatest(1 - F.sum(lower), F.lit(1e-12))).alias(name))
+
+
+def _share(count, total):
+    return (F.coalesce(count, F.lit(0)) + SMOOTHING) / (total.n + SMOOTHING * (total.kinds + 1))
+
+
+def _gains(source: DataFrame, arcs: Arcs, least: float, total) -> DataFrame:
+    """(row, gain) of all rows with tokens: the sum over arcs and failure arcs."""
+    def triples(batch: pa.RecordBatch):
+        for part in slices(column(batch, "text")):
+            tokens, first = _tokens(part)
+            yield {ROW: _rows(batch, part, first), "key": _triples(tokens, first)["key"]}
+
+    def grams(batch: pa.RecordBatch):
+        for part in slices(column(batch, "text")):
+            tokens, first = _tokens(part)
+            found = _triples(tokens, first)
+            yield {ROW: _rows(batch, part, first), **found, "before": _context(tokens, first, START), "token": tokens}
+
+    hits = (arrow_map(source.select(ROW, "text"), f"{ROW} bigint, key bigint", triples)
+            .join(arcs.triples.select("key", F.log10("p3").alias("gain")), "key").select(ROW, "gain"))
+    # each triple of a training text has an arc if all n-grams are kept
+    rest = (source if least > 1 else source.where("held_out")).select(ROW, "text")
+    wide = arrow_map(rest, f"{ROW} bigint, key bigint, outer bigint, inner bigint, before bigint, token bigint", grams)
+    missed = materialise(wide.join(arcs.triples.select("key"), "key", "left_anti").drop("key"))
+    weight1, weight2 = arcs.weights
+    root = F.log10(F.coalesce("weight1", F.lit(1.0))) + F.log10(F.coalesce("p1", _share(F.lit(0), total)))
+    missed = (missed.join(weight2, "outer", "left")
+              .join(arcs.pairs.select(F.col("key").alias("inner"), "p2"), "inner", "left")
+              .join(weight1, "before", "left").join(arcs.words, "token", "left")
+              .select(ROW, (F.log10(F.coalesce("weight2", F.lit(1.0))) + F.coalesce(F.log10("p2"), root)).alias("gain")))
+    return hits.unionByName(missed).groupBy(ROW).agg(F.sum("gain").alias("gain"))
+
+
+def _rows(batch: pa.RecordBatch, part, first: np.ndarray) -> np.ndarray:
+    return np.repeat(column(batch, ROW).to_numpy()[part.low:part.high], np.diff(first))
+
+
 def score_documents(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Scores of all texts by a model of those that are not ``held_out`` (a column that is not null).
 
@@ -220,46 +318,53 @@ def score_documents(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str
     source = numbered(docs.select(F.col(doc_id).cast("long").alias("doc_id"), held_out.alias("held_out"),
                                   F.col(text).cast("string").alias("text")))
     training = source.where(~F.col("held_out")).select("text")
-    vocabulary = materialise(_count(training, lambda tokens, first: tokens))
+    vocabulary = materialise(_count(training, _words))
     total = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("kinds"),
                            F.coalesce(F.sum(F.when(F.col("key") == int(END.view(np.int64)), F.col("n"))), F.lit(0))
                            .alias("texts")).first()
-    least = max(1.0, SHARE * total.n)
-    keys, counts = _frequent(vocabulary, least)
-    words = Words(*_sorted(keys.view(np.uint64), counts), total.n, total.kinds, total.texts)
-    send = docs.sparkSession.sparkContext.broadcast
-    sent = send(words)
-    pairs = _sorted(*_frequent(_count(training, lambda t, f: _pairs(sent.value, t, f)), least))
-    sent_pairs = send(pairs[0])
-    triples = _sorted(*_frequent(_count(training, lambda t, f: _triples(sent.value, sent_pairs.value, t, f)), least))
-    model = send(build_automaton(words, *pairs, *triples))
+    least, common = max(1.0, SHARE * total.n), max(1.0, COMMON * total.n)
+    pairs = materialise(_count(training, _pairs, "before", "token").where(F.col("n") >= least))
+    triples = materialise(_count(training, _triples, "outer", "inner").where(F.col("n") >= least))
+    frequent = _collected(vocabulary.where(F.col("n") >= common))
+    words = Words(*_sorted(frequent["key"], frequent["n"]), total.n, total.kinds, total.texts)
+    held = common <= least and max(pairs.count(), triples.count()) <= HELD
+    model = _automaton(words, _collected(pairs), _collected(triples)) if held else words
+    sent = docs.sparkSession.sparkContext.broadcast(model)
     scored = materialise(arrow_map(
         source, f"{ROW} bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, "
                 "base double, score double, rare array<bigint>, times array<bigint>",
-        lambda batch: _score(model.value, batch)))
+        lambda batch: _score(sent.value, batch)))
     rare = scored.select(ROW, F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
         ROW, F.col("x.rare").alias("key"), F.col("x.times").alias("times"))
-    root = F.log10((F.coalesce("n", F.lit(0)) + SMOOTHING) / (total.n + SMOOTHING * (total.kinds + 1)))
-    added = (rare.join(vocabulary.where(F.col("n") < least), "key", "left").groupBy(ROW).agg(
+    root = F.log10(_share("n", total))
+    added = (rare.join(vocabulary.where(F.col("n") < common), "key", "left").groupBy(ROW).agg(
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"),
         F.sum(F.col("times") * root).alias("more")))
-    return scored.join(added, ROW, "left").select(
+    whole = scored.join(added, ROW, "left")
+    if held:
+        score = F.col("score") + F.coalesce("more", F.lit(0.0))
+    else:
+        whole = whole.join(_gains(source, build_arcs(vocabulary, pairs, triples, total), least, total), ROW, "left")
+        score = F.coalesce("gain", F.lit(0.0))
+    return whole.select(
         "doc_id", "held_out", "n_tokens",
         (F.col("known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(total.n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"))
+        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"), score.alias("score"))
 
 
-def _score(model: Automaton, batch: pa.RecordBatch):
+def _score(model: Automaton | Words, batch: pa.RecordBatch):
+    """Without an automaton the score is left out."""
+    words = model if isinstance(model, Words) else model.words
+    root = log_share(words.counts, words.tokens, words.kinds)
     rows, ids, held = (column(batch, name) for name in (ROW, "doc_id", "held_out"))
     for part in slices(column(batch, "text")):
         tokens, first = _tokens(part)
         n = part.high - part.low
-        numbers = model.words.numbers(tokens)
+        numbers = words.numbers(tokens)
         known = numbers >= 0
         base = np.zeros(len(tokens))
-        base[known] = model.root[numbers[known]]
+        base[known] = root[numbers[known]]
         owner = np.repeat(np.arange(n), np.diff(first))
         hashes, of = tokens[~known], owner[~known]
         order = np.lexsort((hashes, of))
@@ -272,6 +377,6 @@ def _score(model: Automaton, batch: pa.RecordBatch):
                "held_out": held.slice(part.low, n), "n_tokens": np.diff(first),
                "known": np.add.reduceat(known.astype(np.int64), first[:-1]),
                "base": np.add.reduceat(base, first[:-1]),
-               "score": np.add.reduceat(model.traverse(numbers, first), first[:-1]),
+               "score": (None,) * n if model is words else np.add.reduceat(model.traverse(numbers, first), first[:-1]),
                "rare": list_of(hashes[start], bounds),
                "times": list_of(np.diff(np.append(start, len(of))), bounds)}

@@ -123,6 +123,23 @@ def test_scores_equal_those_of_plain_backoff(spark, folder, monkeypatch, share):
         assert ours[5:] == pytest.approx(plain[5:], abs=1e-6)
 
 
+@pytest.mark.parametrize("share", [0.0, 0.01])
+def test_scores_from_tables_equal_those_of_plain_backoff(spark, folder, monkeypatch, share):
+    monkeypatch.setattr(backoff_lm, "HELD", 0)
+    test_scores_equal_those_of_plain_backoff(spark, folder, monkeypatch, share)
+
+
+def test_rare_ngrams_are_kept_in_a_large_corpus(spark, folder):
+    """2^21 training tokens, in which a pair and a triple that stand once or twice have to count."""
+    rows = [(i, "a " * ((1 << 18) - 1)) for i in range(1, 10)] + [(20, "x y z"), (22, "x y z"), (30, "x y z"), (31, "z y x")]
+    docs = stored(spark, spark.createDataFrame(rows, SCHEMA), folder)
+    found = {r.doc_id: r for r in backoff_lm.score_documents(docs, F.col("doc_id") >= 30).collect()}
+    d = backoff_lm.DISCOUNT
+    # x after 11 starts, then y, z and the end stand twice after their contexts
+    assert found[30].score == pytest.approx(math.log10((2 - d) / 11) + 3 * math.log10((2 - d) / 2), abs=1e-6)
+    assert found[31].score < found[30].score
+
+
 def test_arcs_and_backoff_sum_to_one():
     words_ = backoff_lm.Words(np.sort(np.arange(3, dtype=np.uint64)), np.array([6, 3, 2]), 11, 3, 2)
     pairs = np.array([0 << 21 | 1, 1 << 21 | 0, 3 << 21 | 0])
