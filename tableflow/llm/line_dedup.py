@@ -1,6 +1,7 @@
 """Fuzzy removal of repeated lines.
 
-A line is the sequence of its words, A-Z made small; case and spaces do not tell lines apart. Lines
+A line is the sequence of its words, A-Z made small; case and spaces do not tell lines apart. Every
+line with a word is judged. Equal lines are one, however short. Lines of ``SHINGLE`` bytes or more
 are signed by MinHash over their shingles of ``SHINGLE`` bytes, lines that agree in a band of their
 signatures are compared by the exact Jaccard similarity of their shingles, and of every component
 of similar lines the first one in the table is kept.
@@ -26,8 +27,8 @@ from tableflow.session import materialise
 
 SHINGLE, BANDS, ROWS = 8, 10, 4
 PERCENT = 80
-#: Shorter lines are not judged: too little to tell a repetition from chance.
-LEAST_WORDS = 5
+#: ``judged_lines`` gives lines of so many words unless told otherwise; the operator judges all with a word.
+LEAST_WORDS, ANY = 5, 1
 
 _FACTORS = np.random.default_rng(5).integers(1 << 20, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _POWER = 0xD1342543DE82EF95
@@ -125,7 +126,7 @@ def similar_lines(percent: int):
 
 def _occurrences(batch: pa.RecordBatch):
     for part in slices(column(batch, "text")):
-        lines = judged_lines(part)
+        lines = judged_lines(part, ANY)
         yield {ROW: column(batch, ROW).slice(part.low, part.high - part.low).take(pa.array(lines.row)),
                "line": lines.number, "node": lines.node}
 
@@ -147,7 +148,8 @@ def _pick(lines: Lines, at: np.ndarray) -> Lines:
 def _bands(batch: pa.RecordBatch):
     seen: set = set()
     for part in slices(column(batch, "text")):
-        lines = judged_lines(part)
+        lines = judged_lines(part, ANY)
+        lines = _pick(lines, np.flatnonzero(lines.high - lines.low >= SHINGLE))
         lines = _pick(lines, _new(lines.node, seen))
         if len(lines.node):
             yield {"key": band_keys(lines).ravel(), "node": np.repeat(lines.node, BANDS)}
@@ -163,7 +165,7 @@ def repeated_lines(source: DataFrame) -> tuple[DataFrame, DataFrame]:
     def wanted(batch: pa.RecordBatch):
         seen: set = set()
         for part in slices(column(batch, "text")):
-            lines = judged_lines(part)
+            lines = judged_lines(part, ANY)
             at = np.flatnonzero(is_member(bits.value, lines.node))
             at = at[_new(lines.node[at], seen)]
             yield {"node": lines.node[at], "items": [lines.text(i) for i in at]}
@@ -183,7 +185,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """The documents without repeated lines; ``text`` has the kept ones, and ``judged_lines`` and
     ``dropped_lines`` count. Line feeds part lines.
 
-    Lines of fewer than ``LEAST_WORDS`` words are kept and not counted. A null text stays null, an
+    Lines without words are kept and not counted. A null text stays null, an
     empty one empty. Of repeated rows the later ones lose all judged lines. Any other columns are
     kept, but for clashes with the added ones, which are an error.
     """

@@ -216,6 +216,14 @@ def test_lines_are_judged_by_their_words():
     assert len(set(lines.node.tolist())) == 1 and {lines.text(i) for i in range(3)} == {b"a b c d e"}
 
 
+def test_short_lines_and_lines_without_spaces_are_judged(spark, folder):
+    rows = [(1, "Home\nfirst text of one\n你好世界今天天气很好\n\na"), (2, "home\n second\n你好世界今天天气很好\n\nb"),
+            (3, "HOME \nthird\na\nb\nHome")]
+    docs = stored(spark, spark.createDataFrame(rows, SCHEMA).coalesce(1), folder)
+    found = {r.doc_id: tuple(r)[1:] for r in line_dedup.dedup_lines(docs).collect()}
+    assert found == {1: (rows[0][1], 4, 0), 2: (" second\n\nb", 4, 2), 3: ("third", 5, 4)}
+
+
 # 5 classifier
 
 def test_classifier_learns_and_scores_odd_rows(spark, odd, folder, none):
