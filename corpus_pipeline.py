@@ -21,7 +21,7 @@ def reject_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that stand before; those of which nothing judged is left go."""
+    """Documents without lines that stand before; those of which no line with a word is left go."""
     return line_dedup.without_repetitions(docs)
 
 

@@ -205,5 +205,6 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
 
 def without_repetitions(docs: DataFrame) -> DataFrame:
-    """The documents without repeated lines, less those that had judged lines and lost them all."""
+    """The documents without repeated lines, less those that had lines with a word and kept none."""
+    # every line with a word is judged, so one that is left is one that was not dropped
     return dedup_lines(docs).where("judged_lines = 0 OR dropped_lines < judged_lines").drop("judged_lines", "dropped_lines")

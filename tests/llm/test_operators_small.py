@@ -224,6 +224,14 @@ def test_short_lines_and_lines_without_spaces_are_judged(spark, folder):
     assert found == {1: (rows[0][1], 4, 0), 2: (" second\n\nb", 4, 2), 3: ("third", 5, 4)}
 
 
+def test_documents_stay_for_their_short_lines(spark, folder):
+    notice = "All rights reserved by the people who wrote this page"
+    rows = [(1, notice), (2, f"{notice}\nrose\nred\n"), (3, f"{notice}\n\n red"), (4, "\n"), (5, notice.upper())]
+    docs = stored(spark, spark.createDataFrame(rows, SCHEMA).coalesce(1), folder)
+    left = {r.doc_id: r.text for r in line_dedup.without_repetitions(docs).collect()}
+    assert left == {1: notice, 2: "rose\nred\n", 4: "\n"}
+
+
 # 5 classifier
 
 def test_classifier_learns_and_scores_odd_rows(spark, odd, folder, none):
