@@ -1,8 +1,8 @@
 """Fuzzy removal of repeated lines.
 
 A line is the sequence of its words, A-Z made small; case and spaces do not tell lines apart. Every
-line with a word is judged. Equal lines are one, however short. Lines of ``SHINGLE`` bytes or more
-are signed by MinHash over their shingles of ``SHINGLE`` bytes, lines that agree in a band of their
+line with a word is judged. Equal lines are one, however short. Lines of ``SHINGLE`` characters or more
+are signed by MinHash over their shingles of so many characters (code points, not bytes), lines that agree in a band of their
 signatures are compared by the exact Jaccard similarity of their shingles, and of every component
 of similar lines the first one in the table is kept.
 
@@ -25,7 +25,7 @@ from tableflow.llm.linking import link_components, shared_lists
 from tableflow.llm.textbytes import mix, slices
 from tableflow.session import materialise
 
-SHINGLE, BANDS, ROWS = 8, 10, 4
+SHINGLE, BANDS, ROWS = 5, 10, 4
 PERCENT = 80
 #: ``judged_lines`` gives lines of so many words unless told otherwise; the operator judges all with a word.
 LEAST_WORDS, ANY = 5, 1
@@ -80,23 +80,40 @@ def judged_lines(part, least_words: int = LEAST_WORDS) -> Lines:
     return Lines(row[long], number[long], node[long], at[first][long], (at[last] - 1)[long], data)
 
 
-def line_shingles(text: bytes) -> np.ndarray:
-    """Sorted distinct shingles of a line; a line shorter than one is padded to one."""
-    data = text.ljust(SHINGLE, b"\0")
-    return np.unique(np.ndarray(len(data) - SHINGLE + 1, dtype="<u8", buffer=data, strides=(1,)))
+def _shingles(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets of the characters, and 64-bit hashes of the shingles from each of them on."""
+    at = np.flatnonzero(data & 0xC0 != 0x80)
+    sizes = np.diff(at, append=len(data))
+    values = data[at].astype(np.uint64)
+    for more in range(1, 4 if len(at) < len(data) else 1):
+        long = np.flatnonzero(sizes > more)
+        values[long] |= data[at[long] + more].astype(np.uint64) << np.uint64(8 * more)
+    n = max(len(at) - SHINGLE + 1, 0)
+    total = values[:n].copy()
+    for k in range(1, SHINGLE):
+        total *= np.uint64(_POWER)
+        total += values[k:k + n]
+    return at, total
 
 
-def band_keys(lines: Lines) -> np.ndarray:
-    """(lines, bands) keys of the MinHash signatures."""
-    sizes = np.maximum(lines.high - lines.low - SHINGLE + 1, 1)
-    padded = np.concatenate([lines.data, np.zeros(SHINGLE, dtype=np.uint8)])
-    windows = np.ndarray(len(padded) - SHINGLE + 1, dtype="<u8", buffer=padded, strides=(1,))
+def line_shingles(text: bytes) -> np.ndarray:
+    """Sorted distinct shingles of a line; a line shorter than one is padded to one."""
+    at, values = _shingles(np.frombuffer(text, dtype=np.uint8))
+    if not len(values):
+        values = _shingles(np.frombuffer(text + SHINGLE * b"\0", dtype=np.uint8))[1][:1]
+    return np.unique(values)
+
+
+def band_keys(lines: Lines) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of the lines with a shingle, and (lines, bands) keys of their MinHash signatures."""
+    at, values = _shingles(lines.data)
+    low, high = np.searchsorted(at, lines.low), np.searchsorted(at, lines.high)
+    long = np.flatnonzero(high - low >= SHINGLE)
+    low, sizes = low[long], (high - low)[long] - SHINGLE + 1
     starts = np.cumsum(sizes) - sizes
-    place = np.arange(int(sizes.sum())) + np.repeat(lines.low - starts, sizes)
-    values = windows[place]
-    short = np.flatnonzero(lines.high - lines.low < SHINGLE)
-    for i in short:
-        values[starts[i]] = line_shingles(lines.text(i))[0]
+    if not len(long):
+        return lines.node[long], np.empty((0, BANDS), dtype=np.uint64)
+    values = values[np.arange(int(sizes.sum())) + np.repeat(low - starts, sizes)]
     values = (mix(values) >> np.uint64(32)).astype(np.uint32)
     out = np.empty((len(sizes), BANDS), dtype=np.uint64)
     for band in range(BANDS):
@@ -105,7 +122,7 @@ def band_keys(lines: Lines) -> np.ndarray:
             turned = values * factor
             key = mix(key * np.uint64(_POWER) + np.minimum.reduceat(turned, starts))
         out[:, band] = key
-    return out
+    return lines.node[long], out
 
 
 def similar_lines(percent: int):
@@ -149,10 +166,9 @@ def _bands(batch: pa.RecordBatch):
     seen: set = set()
     for part in slices(column(batch, "text")):
         lines = judged_lines(part, ANY)
-        lines = _pick(lines, np.flatnonzero(lines.high - lines.low >= SHINGLE))
-        lines = _pick(lines, _new(lines.node, seen))
-        if len(lines.node):
-            yield {"key": band_keys(lines).ravel(), "node": np.repeat(lines.node, BANDS)}
+        nodes, keys = band_keys(_pick(lines, _new(lines.node, seen)))
+        if len(nodes):
+            yield {"key": keys.ravel(), "node": np.repeat(nodes, BANDS)}
 
 
 def repeated_lines(source: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -232,6 +232,34 @@ def test_documents_stay_for_their_short_lines(spark, folder):
     assert left == {1: notice, 2: "rose\nred\n", 4: "\n"}
 
 
+def plain_shingles(line):
+    return {line[j:j + 5] for j in range(max(1, len(line) - 4))}
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшя", "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收"])
+def test_planted_near_copies_are_found(spark, folder, letters):
+    """Lines of 60 characters with one of them changed: similar by characters, not by 8 bytes."""
+    rng = np.random.default_rng(6)
+    lines, copies = [], []
+    for i in range(60):
+        line = ["".join(rng.choice(list(letters), 9)) for _ in range(6)]
+        lines.append(" ".join(line))
+        line[2] = line[2][:4] + "0" + line[2][5:]
+        copies.append(" ".join(line))
+        assert 100 * len(plain_shingles(lines[-1]) & plain_shingles(copies[-1])) >= 80 * len(plain_shingles(lines[-1]) | plain_shingles(copies[-1]))
+    docs = stored(spark, spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(copies))], SCHEMA).coalesce(1), folder)
+    found = {r.doc_id: r.dropped_lines for r in line_dedup.dedup_lines(docs).collect()}
+    assert found[1] == 0 and found[2] >= 58
+
+
+def test_shingles_are_characters():
+    for text in ["abcdefg", "aaaaaaa", "größer als", "天地玄黄宇宙", "a😀b😀c😀d", "ab", "é"]:
+        assert len(line_dedup.line_shingles(text.encode())) == len(plain_shingles(text))
+    part = next(line_dedup.slices(__import__("pyarrow").array(["天地玄黄宇宙 x\nab\nabcde\nétés"])))
+    nodes, keys = line_dedup.band_keys(lines := line_dedup.judged_lines(part, 1))
+    assert nodes.tolist() == lines.node[[0, 2]].tolist() and keys.shape == (2, line_dedup.BANDS)
+
+
 # 5 classifier
 
 def test_classifier_learns_and_scores_odd_rows(spark, odd, folder, none):
