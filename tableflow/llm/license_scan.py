@@ -3,7 +3,8 @@
 Every window of k words of a text votes for the places of the same window in the templates. Votes on
 one offset (place in the text minus place in the template: a diagonal) belong to one alignment, and
 diagonals beside each other to one with words added or left out. A merged span is verified by the
-share of the template's words that its votes cover. Short phrases are templates whose every window
+share of the template's words that its votes cover, and by the words that tell the license from its
+neighbours (name, version, lesser, noncommercial, ...): they have to stand there side by side. Short phrases are templates whose every window
 has to vote on one diagonal; those places are the base places.
 """
 
@@ -33,17 +34,28 @@ class Template:
     label: str
     words: tuple[str, ...]
     phrase: bool = False
+    deciding: int = 0  # a bit for each place whose word and the next one must stand side by side
 
     @property
     def window(self) -> int:
         return PHRASE_WINDOW if self.phrase else NOTICE_WINDOW
 
 
-def template(label: str, text: str, phrase: bool = False) -> Template:
-    words = tuple(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower()))
+def _words(text: str) -> tuple[str, ...]:
+    return tuple(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower()))
+
+
+def template(label: str, text: str, phrase: bool = False, deciding: Sequence[str] = ()) -> Template:
+    """``deciding`` are runs of at least two words of the text, which must match without insertions."""
+    words, bits = _words(text), 0
     if len(words) < (PHRASE_WINDOW if phrase else NOTICE_WINDOW):
         raise ValueError(f"{label}: too few words")
-    return Template(label, words, phrase)
+    for run in map(_words, deciding):
+        at = next((i for i in range(len(words)) if words[i:i + len(run)] == run), None)
+        if at is None or len(run) < 2 or at + len(run) > 62:
+            raise ValueError(f"{label}: {' '.join(run)} can not decide")
+        bits |= ((1 << len(run) - 1) - 1) << at
+    return Template(label, words, phrase, bits)
 
 
 # Phrases with their labels, and the usual words of license notices.
@@ -53,22 +65,50 @@ PHRASES = tuple(template(label, text, True) for label, text in (
     ("cc-by", "cc by"),
     ("mit", "mit license"),
 ))
-NOTICES = tuple(template(label, text) for label, text in (
-    ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
+_FAMILIES = (("", ""), ("-nc", "NonCommercial"), ("-sa", "ShareAlike"), ("-nd", "NoDerivatives"),
+             ("-nc-sa", "NonCommercial ShareAlike"), ("-nc-nd", "NonCommercial NoDerivatives"))
+_GNU = (("gpl", "GNU General Public License", ("2", "3")), ("agpl", "GNU Affero General Public License", ("3",)),
+        ("lgpl", "GNU Lesser General Public License", ("2.1", "3")), ("lgpl", "GNU Library General Public License", ("2",)))
+
+
+def _creative_commons():
+    for version, ending in (("4.0", "International"), ("3.0", "Unported")):
+        for short, words in _FAMILIES:
+            for name in dict.fromkeys((words, words.replace("ShareAlike", "Share Alike"), words.replace("NoDerivatives", "NoDerivs"))):
+                run = f"Creative Commons Attribution {name} {version}"
+                yield template(f"cc-by{short}-{version}", f"This work is licensed under a {run} {ending} License", False, (run,))
+            run = f"CC BY{short} {version}"
+            yield template(f"cc-by{short}-{version}", f"Licensed under {run}", False, (run,))
+
+
+def _gnu():
+    for short, name, versions in _GNU:
+        for version in versions:
+            label = f"{short}-{version if '.' in version else version + '.0'}"
+            yield template(label, f"This work is licensed under the {name}, version {version}", False, (name, f"version {version}"))
+            yield template(label, f"under the terms of the {name} as published by the Free Software Foundation, either "
+                                  f"version {version} of the License", False, (name, f"version {version} of"))
+            yield template(label, f"under the terms of the {name} as published by the Free Software Foundation, "
+                                  f"version {version} of the License", False, (name, f"version {version} of"))
+
+
+NOTICES = tuple(template(label, text, False, deciding) for label, text, *deciding in (
+    ("apache-2.0", "Licensed under the Apache License, Version 2.0", "Apache License, Version 2.0"),
+    ("apache-1.1", "Licensed under the Apache License, Version 1.1", "Apache License, Version 1.1"),
+    ("apache-1.1", "The Apache Software License, Version 1.1", "Apache Software License, Version 1.1"),
     ("apache-2.0", "you may not use this file except in compliance with the License"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are "
             "permitted provided that the following conditions are met"),
-    ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0"),
-    ("cc-by-sa-4.0", "Licensed under CC BY-SA 4.0"),
-    ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3"),
-    ("gpl-3.0", "under the terms of the GNU General Public License as published by the Free Software "
-                "Foundation, either version 3 of the License"),
-    ("mit", "Released under the MIT License"),
+    ("bsl-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy "
+                "of the software and accompanying documentation", "person or organization obtaining"),
+    ("mit", "Released under the MIT License", "MIT License"),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
-            "software and associated documentation files"),
-    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-))
+            "software and associated documentation files", "any person obtaining a copy"),
+    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+     "Mozilla Public License, v. 2.0"),
+    ("mpl-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1",
+     "Mozilla Public License Version 1.1"),
+)) + tuple(_creative_commons()) + tuple(_gnu())
 
 
 def _grams(templates: Sequence[Template]) -> list[tuple[int, int, int, int]]:
@@ -120,15 +160,15 @@ def scan_licenses(docs: DataFrame, templates: Sequence[Template] = PHRASES + NOT
         source, f"{ROW} bigint, doc_id bigint, n_words bigint, places array<bigint>, "
                 "grams array<bigint>, sizes array<bigint>", find))
     table = seed_frame(spark, [(k, gram, number, place, templates[number].label, len(templates[number].words),
-                                templates[number].phrase) for k, gram, number, place in grams],
+                                templates[number].phrase, templates[number].deciding) for k, gram, number, place in grams],
                        "size bigint, gram bigint, template int, template_place bigint, label string, "
-                       "template_words bigint, phrase boolean")
+                       "template_words bigint, phrase boolean, deciding bigint")
     votes = (scanned.select(ROW, F.explode(F.arrays_zip("places", "grams", "sizes")).alias("hit"))
              .select(ROW, F.col("hit.places").alias("place"), F.col("hit.grams").alias("gram"),
                      F.col("hit.sizes").alias("size"))
              .join(table, ["gram", "size"])
              .withColumn("diagonal", F.col("place") - F.col("template_place")))
-    one = [ROW, "template", "label", "template_words", "phrase", "size"]
+    one = [ROW, "template", "label", "template_words", "phrase", "deciding", "size"]
     diagonals = votes.groupBy(*one, "diagonal").agg(
         F.collect_set("template_place").alias("voted"),
         F.min("place").alias("low"), F.max("place").alias("high"))
@@ -154,7 +194,7 @@ def _base(diagonals: DataFrame) -> DataFrame:
 
 
 def _spans(diagonals: DataFrame, one: list[str]) -> DataFrame:
-    """Spans of neighbouring diagonals that cover enough of their template."""
+    """Spans of neighbouring diagonals that cover enough of their template and all that decides."""
     in_order = Window.partitionBy(ROW, "template").orderBy("diagonal")
     far = F.col("diagonal") - F.lag("diagonal").over(in_order) > GAP
     spans = (diagonals.where(~F.col("phrase"))
@@ -165,7 +205,10 @@ def _spans(diagonals: DataFrame, one: list[str]) -> DataFrame:
                   F.min("low").alias("low"), F.max("high").alias("high")))
     covered = F.expr("""aggregate(voted, named_struct('last', -size, 'n', cast(0 as bigint)), (a, x) ->
         named_struct('last', x, 'n', a.n + least(size, x - a.last)), a -> a.n)""")
+    beside = F.expr("""aggregate(voted, 0L, (a, x) ->
+        a | shiftleft(shiftleft(1L, cast(size as int) - 1) - 1L, cast(x as int)))""")
+    decided = beside.bitwiseAND(F.col("deciding")) == F.col("deciding")
     share = covered / F.col("template_words")
     fits = F.col("high") + F.col("size") - F.col("low") <= 1.5 * F.col("template_words") + GAP
-    return spans.select(ROW, "label", "phrase", "low", share.alias("share"), fits.alias("fits")).where(
+    return spans.select(ROW, "label", "phrase", "low", share.alias("share"), (fits & decided).alias("fits")).where(
         F.col("fits") & (F.col("share") >= COVERED)).drop("fits")

@@ -378,6 +378,21 @@ def test_licenses(spark, folder, odd, none):
     assert license_scan.scan_licenses(odd).count() == len(ODD) and license_scan.scan_licenses(none).count() == 0
 
 
+def test_neighbouring_licenses_are_told_apart(spark, folder):
+    gnu = "under the terms of the GNU {}General Public License as published by the Free Software Foundation; either version {} of the License"
+    work = "This work is licensed under a Creative Commons Attribution{} 4.0 International License"
+    cases = [(gnu.format("", 2), "gpl,gpl-2.0"), (gnu.format("", 3), "gpl,gpl-3.0"), (gnu.format("Lesser ", "2.1"), "lgpl-2.1"),
+             (gnu.format("Lesser ", 3), "lgpl-3.0"), (gnu.format("Affero ", 3), "agpl-3.0"), (work.format(""), "cc-by-4.0"),
+             (work.format("-NonCommercial"), "cc-by-nc-4.0"), (work.format("-ShareAlike"), "cc-by-sa-4.0"),
+             (work.format("-NoDerivatives"), "cc-by-nd-4.0"), (work.format("-NonCommercial-ShareAlike"), "cc-by-nc-sa-4.0"),
+             ("Licensed under CC BY-NC-ND 4.0", "cc-by,cc-by-nc-nd-4.0"),
+             ("Licensed under the Apache License, Version 1.1", "apache,apache-1.1"),
+             ("Licensed under the Apache License, Version 2.0", "apache,apache-2.0"), (gnu.format("Other ", 9), "")]
+    docs = stored(spark, spark.createDataFrame([(i, f"x {text}. y") for i, (text, _) in enumerate(cases)], SCHEMA), folder, "neighbours")
+    found = {r.doc_id: r.labels for r in license_scan.scan_licenses(docs).collect()}
+    assert [found[i] for i in range(len(cases))] == [labels for _, labels in cases]
+
+
 def test_base_places_equal_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
