@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow.llm import backoff_lm, decontamination, license_scan, line_dedup, ngram_join, packing, quality_classifier, quality_rules, sharding, sql, url_filter
+from tableflow.llm import (backoff_lm, decontamination, filter_audit, license_scan, line_dedup, ngram_join, packing, quality_classifier,
+                           quality_rules, sharding, simhash, sql, url_filter, vector_codes)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -113,3 +114,19 @@ def op4_line_dedup(spark, folder):
 def op6_decontamination(spark, folder):
     found = decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "item_id", "item_words", "covered_words", "n_tiles")
+
+
+@query("op11_vector_codes", sql.vector_codes_sql())
+def op11_vector_codes(spark, folder):
+    return vector_codes.encode_vectors(table(spark, folder, "embeddings")).select(
+        "vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+@query("op12_filter_audit", sql.filter_audit_sql())
+def op12_filter_audit(spark, folder):
+    return filter_audit.audit_filters(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op13_simhash")
+def op13_simhash(spark, folder):
+    return simhash.near_duplicates(table(spark, folder, "documents"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import permutations
+
 from tableflow.llm import quality_rules
 
 NGRAM_JACCARD_JOIN = r"""
@@ -88,3 +90,78 @@ FROM (SELECT *, n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {q
              {odds} AS odds
       FROM votes, (SELECT prior, good, bad FROM em WHERE round = {quality_rules.ROUNDS}))
 """
+
+
+def vector_codes_sql() -> str:
+    """One step of common table expressions for each round."""
+    rounds = []
+    for r in range(4):
+        rounds.append(f"""
+near{r} AS (
+  SELECT i, p, part, min(list_sum(list_transform(list_zip(part, entry), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) * 256 + e) AS best
+  FROM parts JOIN book{r} USING (p) GROUP BY i, p, part),
+sums{r} AS (
+  SELECT p, CAST(best % 256 AS BIGINT) AS e, j, CAST(floor(sum(part[j]) / count(*)) AS BIGINT) AS x
+  FROM near{r}, unnest(range(1, len(part) + 1)) AS t(j) GROUP BY ALL),
+book{r + 1} AS (
+  SELECT p, e, coalesce(moved, entry) AS entry
+  FROM book{r} LEFT JOIN (SELECT p, e, list(x ORDER BY j) AS moved FROM sums{r} GROUP BY p, e) USING (p, e))""")
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS i, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (
+  SELECT i, p, v[p * (len(v) // 4) + 1:(p + 1) * (len(v) // 4)] AS part FROM kept, unnest(range(4)) AS t(p)),
+book0 AS (SELECT p, i AS e, part AS entry FROM parts WHERE i < 256),{",".join(rounds)},
+final AS (
+  SELECT i, p, min(list_sum(list_transform(list_zip(part, entry), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) * 256 + e) AS best
+  FROM parts JOIN book4 USING (p) GROUP BY i, p),
+coded AS (
+  SELECT i, string_agg(format('{{:02x}}', CAST(best % 256 AS BIGINT)), '' ORDER BY p) AS code, CAST(sum(best // 256) AS BIGINT) AS error
+  FROM final GROUP BY i)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(entry, ','), ',' ORDER BY p, e)) FROM book4) AS codebooks_sha256
+FROM kept JOIN coded USING (i)
+"""
+
+
+def filter_audit_sql() -> str:
+    """All documents against every step of every order."""
+    orders = ", ".join(f"('{''.join(order)}')" for order in permutations("ABCDE"))
+    return rf"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+failed AS (
+  SELECT doc_id, part, [len(words) < 100, 100 * len(list_distinct(words)) < 80 * len(words),
+         100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text), regexp_matches(text, '[#$%&*|]'),
+         coalesce(min(doc_id) OVER (PARTITION BY text) < doc_id, FALSE)] AS fails
+  FROM texts),
+judged AS (
+  SELECT f.part, f.fails, coalesce(good, FALSE) AS good, coalesce(toxic, FALSE) AS toxic
+  FROM failed f LEFT JOIN (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id) USING (doc_id)),
+cells AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM judged GROUP BY part, fails),
+steps AS (
+  SELECT o AS filter_order, CAST(s AS INT) AS step, ascii(o[s]) - 64 AS own,
+         list_transform(range(1, s), lambda j: ascii(o[j]) - 64) AS before
+  FROM (VALUES {orders}) AS v(o), unnest(range(1, 6)) AS t(s)),
+counted AS (
+  SELECT part, filter_order, step, own,
+         sum(CASE WHEN NOT gone AND NOT fails[own] THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN NOT gone AND fails[own] THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN gone AND fails[own] THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails[own] AND len(list_filter(fails, lambda x: x)) = 1 THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN NOT gone AND fails[own] THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN NOT gone AND fails[own] THEN toxic ELSE 0 END) AS toxic_lost
+  FROM (SELECT *, len(list_filter(before, lambda j: fails[j])) > 0 AS gone FROM cells, steps)
+  GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM counted
+"""
