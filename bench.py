@@ -6,7 +6,7 @@ BENCH_BULK     rows of the bulk table          (default 10,000,000)
 BENCH_RUNS     runs per query, the best counts (default 2)
 
 Every query is run whole into Spark's no-op sink. The bulk steps are timed once each, on a new
-folder, and include publishing the new snapshot.
+folder, and include putting the rewritten table in place.
 """
 
 from __future__ import annotations
@@ -17,10 +17,10 @@ import sys
 import tempfile
 import time
 
-from tableflow.plans.bulk import numbered_texts, without_thirds
+from tableflow.plans.bulk import is_third, numbered_texts
 from tableflow.queries import REGISTRY
 from tableflow.session import build_session
-from tableflow.sources.store import TableStore
+from tableflow.sources.catalog import Schema
 from tableflow.sources.tables import series
 
 HEADLINE = (
@@ -43,20 +43,19 @@ def timed(job) -> float:
 
 def bulk_steps(spark, rows: int) -> tuple[dict[str, float], dict[str, int]]:
     """Seconds and table size in bytes after each step."""
-    store = TableStore(spark, tempfile.mkdtemp(prefix="run-"))
+    schema = Schema(spark, "bench")
     name, seconds, sizes = "bulk", {}, {}
     steps = {
-        "bulk_create": lambda: store.create(name, numbered_texts(series(spark, 1, rows), PREFIX)),
-        "bulk_delete_third": lambda: store.publish(
-            "delete", {name: without_thirds(store.read(name), PREFIX)}),
-        "bulk_compact": lambda: store.compact(name, 128 << 20),
-        "bulk_truncate": lambda: store.truncate(name),
+        "bulk_create": lambda: schema.create_as(name, numbered_texts(series(spark, 1, rows), PREFIX)),
+        "bulk_delete_third": lambda: schema.delete(name, is_third(PREFIX)),
+        "bulk_compact": lambda: schema.compact(name, 128 << 20),
+        "bulk_truncate": lambda: schema.truncate(name),
     }
     expected = {"bulk_create": rows, "bulk_delete_third": rows - rows // 3,
                 "bulk_compact": rows - rows // 3, "bulk_truncate": 0}
     for step, job in steps.items():
         seconds[step] = timed(job)
-        size = store.footprint(name).first()
+        size = schema.footprint(name).first()
         sizes[step] = size.total_bytes
         assert size.row_count == expected[step], (step, size)
     return seconds, sizes
@@ -72,6 +71,7 @@ def main() -> None:
         "spark.driver.memory": "8g",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="run-"),
     })
     spark.sparkContext.setLogLevel("ERROR")
 

@@ -40,6 +40,54 @@ def audit(tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract]) ->
     return _union(parts)
 
 
+def audit_added(added: DataFrame, contract: Contract, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """``audit`` of rows that are about to be appended to the table of the contract.
+
+    Only the added rows are looked at, and the key columns of the target and of the parents, cut
+    down to the keys of the added rows: a small batch never shuffles a large table. ``tables`` holds
+    the target (if it is there) and the parents as they will be. A generated primary key is taken
+    for unique, since ids follow the highest one.
+    """
+    name, target = contract.name, tables.get(contract.name)
+    parts: list[DataFrame] = []
+    rules = row_conditions(added, contract)
+    if rules:
+        parts.append(row_rules(added, contract, rules))
+    generated = contract.primary_key == (contract.identity,)
+    for keys in (() if generated else contract.primary_key, *contract.uniques):
+        if keys:
+            own = added.select(*keys)
+            there = () if target is None else (target.select(*keys).join(own, list(keys), "left_semi"),)
+            parts.append(unique_rule(_union([own, *there]), name, keys))
+    for key in contract.foreign_keys:
+        if key.parent not in tables:
+            parts.append(unchecked_reference(added, name, key))
+            continue
+        wanted = added.select(*[added[ours].alias(theirs) for ours, theirs in zip(key.columns, key.parent_columns)])
+        parent = tables[key.parent].select(*key.parent_columns)
+        if key.parent == name:  # rows that come together may refer to each other
+            parent = parent.unionByName(added.select(*key.parent_columns))
+        parent = parent.join(wanted, list(key.parent_columns), "left_semi")
+        parts.append(reference_rule(added, name, key, parent))
+    return _union(parts)
+
+
+def audit_deleted(gone: DataFrame, contract: Contract, children: Mapping[str, DataFrame],
+                  contracts: Mapping[str, Contract]) -> DataFrame:
+    """Rows of the children that refer to the rows that are about to be deleted."""
+    parts: list[DataFrame] = []
+    for name, child in children.items():
+        for key in contracts[name].foreign_keys:
+            if key.parent == contract.name:
+                keys = gone.select(*[gone[theirs].alias(ours) for ours, theirs in zip(key.columns, key.parent_columns)])
+                held = _copies(child.join(keys.distinct(), list(key.columns), "left_semi"), key.columns)
+                parts.append(held.selectExpr(*_found(name, f"reference {', '.join(key.columns)} -> {key.parent}",
+                                                     "coalesce(sum(_rows), 0)", key.columns)))
+    if not parts:
+        return gone.sparkSession.createDataFrame([], "table_name string, rule string, violations long, sample string")
+    return _union(parts)
+
+
 def row_conditions(df: DataFrame, contract: Contract) -> dict[str, str]:
     """Rule name -> condition that is true for an offending row (a NULL check result passes)."""
     rules: dict[str, str] = {}

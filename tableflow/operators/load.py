@@ -74,21 +74,30 @@ def next_id(target: DataFrame, id_column: str) -> Column:
     return F.coalesce(target.agg(F.max(id_column)).scalar(), F.lit(0)) + F.lit(1)
 
 
-def insert_new(target: DataFrame, batch: DataFrame, contract: Contract, keys: Sequence[str],
-               as_of: dt.datetime) -> tuple[DataFrame, DataFrame]:
-    """Add the batch rows whose key is not in ``target``; return the new table and the added rows.
+def new_rows(target: DataFrame, batch: DataFrame, contract: Contract, keys: Sequence[str],
+             as_of: dt.datetime, first_id: int | Column | None = None, empty: bool = False) -> DataFrame:
+    """The batch rows whose key is not in ``target``, as rows of it: typed, with defaults, computed
+    columns and ids (after the highest of the target, if ``first_id`` is not given).
 
     Like the checks it stands for, this compares with the target only: copies inside one batch
-    all go in, and are left to the audit's unique rules.
-
-    The batch is read twice. One that comes out of joins should be written out before
-    (``materialise``): it is then worked out once, and its size is known when the plan is made, so
-    that a small one is broadcast to a large target.
+    all go in, and are left to the audit's unique rules. Nothing is compared with a target that is
+    known to be ``empty``, so a first load works the batch out once. Else the batch is read twice;
+    one that comes out of joins should be written out before (``materialise``): its size is then
+    known when the plan is made, so that a small one is broadcast to a large target.
     """
-    added = apply_defaults(unseen(batch, target, keys), contract, as_of)
+    if not empty:
+        batch = unseen(batch, target, keys)
+    added = apply_defaults(batch, contract, as_of)
     if contract.identity:
-        added = assign_ids(added, contract.identity, next_id(target, contract.identity))
-    added = added.select(*contract.column_names)
+        first = next_id(target, contract.identity) if first_id is None else first_id
+        added = assign_ids(added, contract.identity, first)
+    return added.select(*contract.column_names)
+
+
+def insert_new(target: DataFrame, batch: DataFrame, contract: Contract, keys: Sequence[str],
+               as_of: dt.datetime, empty: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Add the ``new_rows`` of the batch; return the new table and the added rows."""
+    added = new_rows(target, batch, contract, keys, as_of, empty=empty)
     return target.select(*contract.column_names).unionByName(added), added
 
 

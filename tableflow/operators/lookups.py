@@ -11,6 +11,14 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Rows that may be chosen by hand for a cross join with all rows of another table.
+MOST_CHOSEN = 1000
+
+
+class TooManyRows(Exception):
+    """A side that was to be a few named rows has more."""
 
 
 def resolve_keys(batch: DataFrame, dim: DataFrame, on: Mapping[str, str],
@@ -46,14 +54,26 @@ def parents_with_children(parents: DataFrame, children: DataFrame, key: str) ->
     return there.unionByName(without(parents, children, [key]), allowMissingColumns=True)
 
 
-def with_each_key(rows: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
+def few_keys(chosen: DataFrame, key: str, most: int = MOST_CHOSEN) -> list:
+    """The keys of a few ``chosen`` rows as values. More than ``most`` are an error (``TooManyRows``),
+    so what comes to the driver and goes to all tasks is bounded."""
+    found = [row[0] for row in chosen.select(key).limit(most + 1).collect()]
+    if len(found) > most:
+        raise TooManyRows(f"more than {most} rows chosen by {key}")
+    return found
+
+
+def with_each_key(rows: DataFrame, chosen: DataFrame, key: str, most: int = MOST_CHOSEN) -> DataFrame:
     """Every row with every key of the few ``chosen`` rows: none, one or several copies.
 
-    The keys are one array value, found by a filter that reaches the scan and read before the rows
-    are, so nothing is shuffled.
+    The keys are found first (``few_keys``), by a filter that reaches the scan. They are then one
+    array value beside the rows, and nothing is shuffled. A NULL key gives rows like any other.
     """
-    keys = chosen.agg(F.collect_list(key)).scalar()
-    return rows.withColumn(key, F.explode(keys))
+    found, kind = few_keys(chosen, key, most), chosen.schema[key].dataType
+    if not found:
+        return rows.where(F.lit(False)).withColumn(key, F.lit(None).cast(kind))
+    each = F.array(*[F.lit(value) for value in found]).cast(T.ArrayType(kind))
+    return rows.withColumn(key, F.explode(each))
 
 
 def latest_value(rows: DataFrame, key: str, value: str, order: Sequence[str],

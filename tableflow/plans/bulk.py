@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableflow.functions.columns import number_after
 from tableflow.operators.change import delete_rows
-from tableflow.sources.store import TableStore
+from tableflow.session import materialise
+from tableflow.sources.catalog import Schema
 
 
 def numbered_texts(numbers: DataFrame, prefix: str) -> DataFrame:
@@ -15,26 +18,31 @@ def numbered_texts(numbers: DataFrame, prefix: str) -> DataFrame:
     return numbers.select(F.concat(F.lit(prefix), F.col("x").cast("string")).alias("col"))
 
 
+def is_third(prefix: str) -> Column:
+    """Whether the number of a text is a multiple of three."""
+    return number_after("col", prefix) % 3 == 0
+
+
 def without_thirds(texts: DataFrame, prefix: str) -> DataFrame:
     """The texts whose number is no multiple of three."""
-    return delete_rows(texts, number_after("col", prefix) % 3 == 0)
+    return delete_rows(texts, is_third(prefix))
 
 
-def lifecycle(store: TableStore, name: str, numbers: DataFrame, prefix: str,
-              file_bytes: int = 128 << 20) -> dict[str, tuple]:
-    """Run all steps on texts of ``numbers`` (column x); return (rows, bytes) of the table after each."""
-    after = {}
+def lifecycle(schema: Schema, name: str, numbers: DataFrame, prefix: str,
+              file_bytes: int = 128 << 20) -> DataFrame:
+    """Run all steps on texts of ``numbers`` (column x); return step, row_count and total_bytes of
+    the table after each."""
+    after = []
 
     def note(step: str) -> None:
-        row = store.footprint(name).first()
-        after[step] = (row.row_count, row.total_bytes)
+        after.append(materialise(schema.footprint(name).select(F.lit(step).alias("step"), "row_count", "total_bytes")))
 
-    store.create(name, numbered_texts(numbers, prefix))
+    schema.create_as(name, numbered_texts(numbers, prefix))
     note("create")
-    store.publish(f"delete from {name}", {name: without_thirds(store.read(name), prefix)})
+    schema.delete(name, is_third(prefix))
     note("delete")
-    store.compact(name, file_bytes)
+    schema.compact(name, file_bytes)
     note("compact")
-    store.truncate(name)
+    schema.truncate(name)
     note("truncate")
-    return after
+    return reduce(DataFrame.unionByName, after)

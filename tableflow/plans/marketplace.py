@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tableflow.operators.load import add_column, insert_new
 from tableflow.operators.lookups import resolve_keys
 from tableflow.session import materialise
+from tableflow.sources.catalog import Schema
 from tableflow.sources.contracts import Contract
 from tableflow.sources.marketplace import MARKETPLACE
-from tableflow.sources.store import TableStore
 from tableflow.sources.tables import seed_frame
 
 # Look-ups of each batch, in order: (table, {batch column: table column}, {table column: name}).
@@ -83,15 +83,21 @@ def empty_tables(spark: SparkSession,
     return {name: seed_frame(spark, [], contract.schema) for name, contract in contracts.items()}
 
 
+def resolved(tables: Mapping[str, DataFrame], name: str, batch: DataFrame, empty: bool = False) -> DataFrame:
+    """The batch with the ids its natural keys stand for. If it will be compared with rows that are
+    there it is written out: it is then worked out once, and its size is known."""
+    for parent, on, take in LOOKUPS[name]:
+        batch = resolve_keys(batch, tables[parent], on, take)
+    return materialise(batch) if LOOKUPS[name] and not empty else batch
+
+
 def load_table(tables: Mapping[str, DataFrame], name: str, batch: DataFrame,
                as_of: dt.datetime) -> tuple[DataFrame, DataFrame]:
     """Resolve the natural keys of one batch and insert its new rows; return the new table and the
     added rows."""
-    for parent, on, take in LOOKUPS[name]:
-        batch = resolve_keys(batch, tables[parent], on, take)
-    if LOOKUPS[name]:
-        batch = materialise(batch)
-    return insert_new(tables[name], batch, MARKETPLACE[name], KEYS[name], as_of)
+    empty = tables[name].isEmpty()
+    return insert_new(tables[name], resolved(tables, name, batch, empty), MARKETPLACE[name], KEYS[name],
+                      as_of, empty)
 
 
 def levels(names: Iterable[str]) -> list[list[str]]:
@@ -117,14 +123,27 @@ def load(tables: Mapping[str, DataFrame], batches: Mapping[str, DataFrame],
     return tables
 
 
-def load_store(store: TableStore, batches: Mapping[str, DataFrame], as_of: dt.datetime) -> None:
-    """The same load on stored tables: each table is audited and published by itself."""
-    store.create_missing(MARKETPLACE)
-    tables = store.frames()
-    for name in (name for names in levels(batches) for name in names):
-        new, _ = load_table(tables, name, batches[name], as_of)
-        store.publish(f"load {name}", {name: new}, MARKETPLACE)
-        tables[name] = store.read(name)
+def load_schema(schema: Schema, batches: Mapping[str, DataFrame], as_of: dt.datetime) -> dict[str, DataFrame]:
+    """The same load into stored tables, which are created if they are absent; return the added rows.
+
+    Each table is appended to by itself, after the audit of its new rows: a bad batch stops the load,
+    what was appended before stays, and the next run goes on from there.
+    """
+    schema.create_missing(MARKETPLACE)
+    added = {}
+    for names in levels(batches):
+        tables = schema.frames()
+        with ThreadPoolExecutor(len(names)) as pool:
+            loads = {name: pool.submit(schema.insert, MARKETPLACE[name],
+                                       resolved(tables, name, batches[name], tables[name].isEmpty()),
+                                       KEYS[name], as_of) for name in names}
+        added.update({name: done.result() for name, done in loads.items()})
+    return added
+
+
+def backfill_schema(schema: Schema, names: Iterable[str], as_of: dt.date) -> dict[str, int]:
+    """``backfill_record_ts`` on stored tables; return the number of rewritten partitions of each."""
+    return {name: schema.add_column(name, "record_ts", "date", as_of) for name in names}
 
 
 def backfill_record_ts(tables: Mapping[str, DataFrame], as_of: dt.date) -> dict[str, DataFrame]:

@@ -1,4 +1,4 @@
-"""Queries for inserts, updates, deletes and the table store, on the sales tables."""
+"""Queries for inserts, updates, deletes and stored tables, on the sales tables."""
 
 from __future__ import annotations
 
@@ -14,10 +14,9 @@ from tableflow.operators.load import add_column, assign_ids, insert_new, next_id
 from tableflow.operators.lookups import first_key
 from tableflow.plans.bulk import lifecycle, numbered_texts, without_thirds
 from tableflow.queries.registry import register
-from tableflow.session import shared_folder
+from tableflow.session import materialise
+from tableflow.sources.catalog import ContractViolation, Schema, footprint
 from tableflow.sources.contracts import DATE, ID, TEXT, TODAY, Column, Contract, decimal, reference
-from tableflow.sources.store import ContractViolation, TableStore, footprint
-from tableflow.sources.tables import seed_frame
 
 LOADED = dt.date(2001, 1, 1)
 AS_OF = dt.datetime(2026, 1, 1, 12, 0)
@@ -42,8 +41,9 @@ def _order_log(t):
     return logged, batch
 
 
-def _new_store(t) -> TableStore:
-    return TableStore(t.spark, f"{shared_folder(t.spark)}/tableflow/store-{uuid.uuid4().hex}")
+def new_schema(t) -> Schema:
+    """A schema of its own for each run, in the warehouse of the session."""
+    return Schema(t.spark, f"tableflow_{uuid.uuid4().hex}")
 
 
 # Inserts ----------------------------------------------------------------------------------------
@@ -236,16 +236,35 @@ def row_counts(frames):
     return first
 
 
-# Table store ------------------------------------------------------------------------------------
+# Stored tables ----------------------------------------------------------------------------------
 
-@register("create_table_as", "S5 M10", sql="""
+@register("stored_insert_twice", "M1 S6 C8 C10 S7", sql=f"""
+SELECT o_orderkey AS order_key, CAST(o_totalprice AS DECIMAL(18,2)) AS price,
+       CASE WHEN o_orderdate < DATE '{LOADED}' THEN o_orderstatus ELSE 'new' END AS state,
+       (SELECT COUNT(*) FROM orders WHERE o_orderdate >= DATE '{LOADED}') AS added,
+       CAST(0 AS BIGINT) AS added_again, CAST(0 AS BIGINT) AS new_files FROM orders""")
+def stored_insert_twice(t):
+    """The batch of all orders is appended to the log of some; a second run adds no row and no file."""
+    schema, (logged, batch) = new_schema(t), _order_log(t)
+    schema.create_missing({"order_log": ORDER_LOG})
+    schema.append("order_log", logged)
+    added = schema.insert(ORDER_LOG, batch, ["order_key"], AS_OF)
+    before = schema.files("order_log").count()
+    again = schema.insert(ORDER_LOG, batch, ["order_key"], AS_OF)
+    new_files = schema.files("order_log").count() - before
+    return schema.table("order_log").select(
+        "order_key", "price", "state", added.agg(F.count(F.lit(1))).scalar().alias("added"),
+        again.agg(F.count(F.lit(1))).scalar().alias("added_again"), F.lit(new_files).cast("long").alias("new_files"))
+
+
+@register("create_table_as", "S5", sql="""
 SELECT o_custkey, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS spent
 FROM orders GROUP BY o_custkey""")
 def create_table_as(t):
-    store = _new_store(t)
-    store.create("spending", t["orders"].groupBy("o_custkey")
-                 .agg(F.sum(money("o_totalprice")).cast(TOTAL).alias("spent")))
-    return store.read("spending")
+    schema = new_schema(t)
+    schema.create_as("spending", t["orders"].groupBy("o_custkey")
+                     .agg(F.sum(money("o_totalprice")).cast(TOTAL).alias("spent")))
+    return t.spark.sql(f"SELECT o_custkey, spent FROM {schema.full('spending')}")
 
 
 @register("create_missing_tables", "S8", sql="""
@@ -253,23 +272,71 @@ SELECT 'spending' AS table_name, COUNT(DISTINCT o_custkey) AS row_count FROM ord
 UNION ALL SELECT 'order_log', 0""")
 def create_missing_tables(t):
     """Of two tables one is there and keeps its rows, the other is made empty."""
-    store = _new_store(t)
-    spending = t["orders"].groupBy("o_custkey").agg(F.sum("o_totalprice").alias("spent"))
-    store.create("spending", spending)
-    store.create_missing({"spending": Contract("spending", (Column("o_custkey", ID),)),
-                          "order_log": ORDER_LOG})
-    return row_counts(store.frames())
+    schema = new_schema(t)
+    schema.create_as("spending", t["orders"].groupBy("o_custkey").agg(F.sum("o_totalprice").alias("spent")))
+    schema.create_missing({"spending": Contract("spending", (Column("o_custkey", ID),)),
+                           "order_log": ORDER_LOG})
+    return row_counts(schema.frames())
 
 
 @register("truncate_table", "M5 S5", sql="""
-SELECT COUNT(*) AS before, CAST(0 AS BIGINT) AS after FROM orders""")
+SELECT COUNT(*) AS before, CAST(0 AS BIGINT) AS after, CAST(0 AS BIGINT) AS bytes_after FROM orders""")
 def truncate_table(t):
-    store = _new_store(t)
-    store.create("orders", t["orders"])
-    before = store.read("orders")
-    store.truncate("orders")
-    return before.agg(F.count(F.lit(1)).alias("before"),
-                      store.read("orders").agg(F.count(F.lit(1))).scalar().alias("after"))
+    schema = new_schema(t)
+    schema.create_as("orders", t["orders"])
+    before = schema.table("orders").count()
+    schema.truncate("orders")
+    return schema.footprint().select(F.lit(before).cast("long").alias("before"), F.col("row_count").alias("after"),
+                                     F.col("total_bytes").cast("long").alias("bytes_after"))
+
+
+def _orders_by_status(t) -> Schema:
+    """A stored copy of the orders, cut by status and priority."""
+    schema = new_schema(t)
+    orders = t["orders"].select("o_orderkey", "o_custkey", money("o_totalprice").alias("price"), "o_orderdate",
+                                "o_orderstatus")
+    schema.create_as("orders", orders.repartition("o_orderstatus"), ["o_orderstatus"])
+    return schema
+
+
+@register("stored_delete", "M3 M4", sql="""
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       (SELECT COUNT(DISTINCT o_orderstatus) FROM orders WHERE o_orderstatus <> 'O'
+          AND CAST(o_totalprice AS DECIMAL(18,2)) > 300000) AS rewritten FROM orders
+WHERE NOT (o_orderstatus <> 'O' AND CAST(o_totalprice AS DECIMAL(18,2)) > 300000)""")
+def stored_delete(t):
+    """Dear orders that are not open go; the partition of the open ones is not rewritten."""
+    schema = _orders_by_status(t)
+    rewritten = schema.delete("orders", (F.col("o_orderstatus") != "O") & (F.col("price") > 300000))
+    return schema.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus",
+                                         F.lit(rewritten).cast("long").alias("rewritten"))
+
+
+@register("stored_update", "M2 S7", sql="""
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' AND o_custkey % 2 = 0 THEN CAST(1.50 AS DECIMAL(18,2))
+                        ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS price,
+       (SELECT COUNT(*) FROM orders WHERE o_orderstatus = 'P' AND o_custkey % 2 = 0) AS changed FROM orders""")
+def stored_update(t):
+    """Orders of one status and of every second customer get a price; one partition is rewritten."""
+    schema = _orders_by_status(t)
+    changed = schema.update("orders", (F.col("o_orderstatus") == "P") & (F.col("o_custkey") % 2 == 0),
+                            {"price": F.expr("1.50")})
+    return schema.table("orders").select("o_orderkey", "price",
+                                         changed.agg(F.count(F.lit(1))).scalar().alias("changed"))
+
+
+@register("stored_add_column", "M8 L2", sql=f"""
+SELECT o_orderkey, DATE '{LOADED}' AS record_ts, COUNT(*) OVER () AS row_count FROM orders""")
+def stored_add_column(t):
+    """A column is added to a table of rows, filled, and filled again after rows without it came in."""
+    schema = _orders_by_status(t)
+    schema.add_column("orders", "record_ts", "date", LOADED)
+    late = materialise(schema.table("orders").where("o_orderstatus = 'P'").withColumn("record_ts", F.lit(None).cast("date")))
+    schema.delete("orders", F.col("o_orderstatus") == "P")
+    schema.append("orders", late)
+    schema.add_column("orders", "record_ts", "date", LOADED)
+    filled = schema.table("orders")
+    return filled.select("o_orderkey", "record_ts", filled.agg(F.count(F.lit(1))).scalar().alias("row_count"))
 
 
 PACKED_BYTES = 64 << 20
@@ -278,16 +345,15 @@ PACKED_BYTES = 64 << 20
 @register("compact_table", "M7", sql="""
 SELECT COUNT(*) AS row_count, CAST(SUM(l_quantity) AS BIGINT) AS quantity, TRUE AS packed FROM lineitem""")
 def compact_table(t):
-    """Lines written in many files, then packed: into no more files than their bytes call for, and
-    one for the rest."""
-    store = _new_store(t)
-    store.create("lines", t["lineitem"].repartition(2 * t.spark.sparkContext.defaultParallelism))
-    store.compact("lines", PACKED_BYTES)
-    size = store.footprint("lines")
-    packed = size.select(F.col("files") <= F.ceil(F.col("total_bytes") / PACKED_BYTES) + 1).scalar()
-    return store.read("lines").agg(F.count(F.lit(1)).alias("row_count"),
-                                   F.sum("l_quantity").cast("bigint").alias("quantity"),
-                                   packed.alias("packed"))
+    """Lines written in many files, then packed into about as many as their bytes call for."""
+    schema = new_schema(t)
+    schema.create_as("lines", t["lineitem"].repartition(2 * t.spark.sparkContext.defaultParallelism))
+    schema.compact("lines", PACKED_BYTES)
+    size = schema.footprint("lines")
+    packed = size.select(F.col("files") <= 2 * F.ceil(F.col("total_bytes") / PACKED_BYTES) + 1).scalar()
+    return schema.table("lines").agg(F.count(F.lit(1)).alias("row_count"),
+                                     F.sum("l_quantity").cast("bigint").alias("quantity"),
+                                     packed.alias("packed"))
 
 
 @register("footprint", "M6 P7 F2 F9", sql=" UNION ALL ".join(
@@ -295,8 +361,8 @@ def compact_table(t):
     for name in ("region", "customer", "supplier", "orders", "lineitem")))
 def footprint_of_tables(t):
     """The tables with an e after their first letter, of all seven."""
-    paths = {name: f"{t.folder}/{name}.parquet" for name in t}
-    return footprint(t.spark, paths, "%_e%").select(
+    tables = {name: (t[name], f"{t.folder}/{name}.parquet") for name in t}
+    return footprint(tables, "%_e%").select(
         "table_name", "row_count", (F.col("total_bytes") > 0).alias("has_bytes"))
 
 
@@ -304,17 +370,21 @@ def footprint_of_tables(t):
 SELECT 'customer' AS table_name, COUNT(*) AS row_count FROM customer
 UNION ALL SELECT 'orders', COUNT(*) FROM orders""")
 def publish_group(t):
-    """Two tables become current together. A second change of both that breaks a reference is
-    refused, and leaves both as they were."""
-    store = _new_store(t)
+    """Customers and part of their orders are put in place together, then the other orders are added.
+    Two changes that break a reference are refused, and leave both tables as they were."""
+    schema = new_schema(t)
     contracts = {name: SALES_KEYS[name] for name in ("customer", "orders")}
-    store.publish("first", {name: t[name] for name in contracts}, contracts)
-    try:
-        store.publish("broken", {"customer": t["customer"].where("c_mktsegment <> 'BUILDING'"),
-                                 "orders": t["orders"].where("o_orderstatus <> 'P'")}, contracts)
-    except ContractViolation:
-        pass
-    return row_counts(store.frames())
+    early = F.col("o_orderdate") < F.lit(LOADED)
+    schema.publish({"customer": t["customer"], "orders": t["orders"].where(early)}, contracts=contracts)
+    lost = t["orders"].where(~early).withColumn("o_custkey", -F.col("o_custkey"))
+    for replaced, added in (({"customer": t["customer"].where("c_mktsegment <> 'BUILDING'"),
+                              "orders": t["orders"].where("o_orderstatus <> 'P'")}, {}), ({}, {"orders": lost})):
+        try:
+            schema.publish(replaced, added, contracts)
+        except ContractViolation:
+            pass
+    schema.publish(added={"orders": t["orders"].where(~early)}, contracts=contracts)
+    return row_counts(schema.frames())
 
 
 @register("bulk_lifecycle", "L6 S5 M4 M5 M6 M7", sql="""
@@ -327,6 +397,4 @@ UNION ALL SELECT 'truncate', 0 FROM n""")
 def bulk_lifecycle(t):
     """Bulk rows made of the keys of all order lines."""
     numbers = t["lineitem"].select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("x"))
-    after = lifecycle(_new_store(t), "bulk", numbers, PREFIX)
-    return seed_frame(t.spark, [(step, rows) for step, (rows, _) in after.items()],
-                      "step string, row_count long")
+    return lifecycle(new_schema(t), "bulk", numbers, PREFIX).select("step", "row_count")

@@ -47,14 +47,13 @@ def _local_folder(application: str) -> str:
     return tempfile.mkdtemp(prefix="run-")
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def materialise(df: DataFrame, reader: SparkSession | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back (in the session ``reader``, if given).
 
     Cuts the lineage like ``checkpoint()`` does, but stays columnar, so later steps still prune
     columns and push filters. The rows survive the loss of any executor.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tableflow/{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/tableflow/{uuid.uuid4().hex}"
     schema = df.schema
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    return (reader or df.sparkSession).read.schema(schema).parquet(path)

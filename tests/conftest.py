@@ -1,4 +1,5 @@
 import sys
+import uuid
 from pathlib import Path
 
 import pytest
@@ -6,16 +7,18 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from tableflow.session import build_session  # noqa: E402
+from tableflow.sources.catalog import Schema  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session("tests", master="local[8]", settings={
         "spark.sql.shuffle.partitions": "2",
         "spark.default.parallelism": "2",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
     })
     session.sparkContext.setLogLevel("ERROR")
     yield session
@@ -25,3 +28,11 @@ def spark():
 @pytest.fixture
 def folder(tmp_path):
     return str(tmp_path)
+
+
+@pytest.fixture
+def schema(spark):
+    """A schema in the catalog that is dropped after the test."""
+    own = Schema(spark, f"test_{uuid.uuid4().hex}")
+    yield own
+    own.drop()

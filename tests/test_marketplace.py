@@ -7,9 +7,9 @@ import pytest
 
 from tableflow.operators.audit import audit
 from tableflow.plans import marketplace
+from tableflow.sources.catalog import ContractViolation
 from tableflow.sources.contracts import children_first
 from tableflow.sources.marketplace import MARKETPLACE
-from tableflow.sources.store import ContractViolation, TableStore
 from tableflow.sources.tables import seed_frame
 
 AS_OF = dt.datetime(2025, 2, 3, 4, 5)
@@ -90,27 +90,34 @@ def test_values(loaded):
         [tuple(c.type.simpleString() for c in MARKETPLACE[n].columns) for n in loaded]
 
 
-def test_stored_load_twice(spark, batches, folder):
-    some = {name: batches[name] for name in ("users", "buyers", "orders", "payments")}
-    store = TableStore(spark, folder)
-    marketplace.load_store(store, some, AS_OF)
-    first = {name: store.read(name).collect() for name in some}
-    assert {name: len(rows) for name, rows in first.items()} == {name: EXPECTED[name] for name in some}
-    marketplace.load_store(store, some, AS_OF)
-    for name in some:
-        assert sorted(store.read(name).collect()) == sorted(first[name])
-    assert store.read("reviews").count() == 0
+def test_stored_load_twice(batches, schema):
+    """All 14 tables; the second run adds no row and no file."""
+    added = marketplace.load_schema(schema, batches, AS_OF)
+    assert {name: rows.count() for name, rows in added.items()} == EXPECTED
+    assert audit(schema.frames(), MARKETPLACE).where("violations > 0").collect() == []
+    files = {name: schema.files(name).collect() for name in EXPECTED}
+    first = {name: sorted(schema.table(name).collect(), key=str) for name in EXPECTED}
+    again = marketplace.load_schema(schema, batches, AS_OF)
+    assert sum(rows.count() for rows in again.values()) == 0
+    assert {name: schema.files(name).collect() for name in EXPECTED} == files
+    assert {name: sorted(schema.table(name).collect(), key=str) for name in EXPECTED} == first
 
 
-def test_bad_batch_is_refused(spark, batches, folder):
-    store = TableStore(spark, folder)
-    marketplace.load_store(store, {"users": batches["users"]}, AS_OF)
+def test_bad_batch_is_refused(spark, batches, schema):
+    marketplace.load_schema(schema, {"users": batches["users"]}, AS_OF)
     bad = seed_frame(spark, [("ada@example.org", -1, "platinum")], marketplace.BATCHES["buyers"])
     with pytest.raises(ContractViolation) as caught:
-        marketplace.load_store(store, {"buyers": bad}, AS_OF)
+        marketplace.load_schema(schema, {"buyers": bad}, AS_OF)
     assert {v.rule for v in caught.value.violations} == {"check loyalty_points",
                                                          "check membership_level"}
-    assert store.read("buyers").count() == 0
+    assert schema.table("buyers").count() == 0
+
+
+def test_stored_backfill(spark, batches, schema):
+    marketplace.load_schema(schema, {"users": batches["users"]}, AS_OF)
+    schema.create_as("bare", schema.table("users").drop("record_ts"))
+    assert marketplace.backfill_schema(schema, ["users", "bare"], dt.date(2026, 1, 1)) == {"users": 0, "bare": 1}
+    assert {r.record_ts for r in schema.table("bare").collect()} == {dt.date(2026, 1, 1)}
 
 
 def test_copies_in_one_batch_are_left_to_the_audit(spark, batches):

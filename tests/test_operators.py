@@ -310,3 +310,14 @@ def test_left_join_as_two_and_keys_of_named_rows(spark):
     for keys in ([], [7], [7, 8]):
         named = seed_frame(spark, [(k,) for k in keys], "x int")
         assert lookups.with_each_key(parents.where("k > 0"), named, "x").count() == 2 * len(keys)
+
+
+def test_rows_with_each_of_a_few_keys(spark):
+    rows, keys = seed_frame(spark, [(1,), (2,)], "r int"), [5, 6, 7]
+    chosen = seed_frame(spark, [(k,) for k in keys], "k int")
+    for n in (0, 1, 3):
+        found = lookups.with_each_key(rows, chosen.where(F.col("k") < 5 + n), "k", most=3)
+        assert sorted(tuple(r) for r in found.collect()) == [(r, k) for r in (1, 2) for k in keys[:n]]
+        assert found.dtypes == [("r", "int"), ("k", "int")]
+    with pytest.raises(lookups.TooManyRows):
+        lookups.with_each_key(rows, chosen, "k", most=2)
