@@ -6,8 +6,10 @@ are signed by MinHash over their shingles of so many characters (code points, no
 signatures are compared by the exact Jaccard similarity of their shingles, and of every component
 of similar lines the first one in the table is kept.
 
-Of two lines with similarity 0.8 one of ten bands agrees with probability 0.995, with 0.9 with
-0.99997. Equal lines always meet: they are one node.
+A signature has ``HASHES`` minima, and each of the ``BANDS`` is a fixed choice of ``ROWS`` of them, so
+more bands take no more hashing. Bands of seven let through a share of 3 in 10^9 of the pairs at similarity
+0.06, which any two lines of one language have: such pairs grow with the square of the table. Equal
+lines always meet: they are one node.
 """
 
 from __future__ import annotations
@@ -22,15 +24,18 @@ from pyspark.sql import functions as F
 
 from tableflow.llm.frames import ROW, arrow_map, column, is_member, membership, numbered
 from tableflow.llm.linking import link_components, shared_lists
-from tableflow.llm.textbytes import mix, slices
+from tableflow.llm.textbytes import distinct_by_row, mix, slices
 from tableflow.session import materialise
 
-SHINGLE, BANDS, ROWS = 5, 10, 4
+SHINGLE, HASHES, BANDS, ROWS = 5, 48, 20, 7
 PERCENT = 80
+#: Lines that are compared with each other in one block.
+BLOCK = 1024
 #: ``judged_lines`` gives lines of so many words unless told otherwise; the operator judges all with a word.
 LEAST_WORDS, ANY = 5, 1
 
-_FACTORS = np.random.default_rng(5).integers(1 << 20, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
+_FACTORS = np.random.default_rng(5).integers(1 << 20, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
+_CHOSEN = [np.random.default_rng(band).choice(HASHES, ROWS, replace=False) for band in range(BANDS)]
 _POWER = 0xD1342543DE82EF95
 
 
@@ -96,12 +101,20 @@ def _shingles(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, total
 
 
+def line_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingles of each line, one after another, and the bounds of the lines; a line
+    shorter than a shingle is padded to one."""
+    padded = [text if len(text) > 4 * SHINGLE else text + b"\0" * max(0, SHINGLE - len(text.decode())) for text in texts]
+    ends = np.cumsum([len(text) for text in padded])
+    at, values = _shingles(np.frombuffer(b"".join(padded), dtype=np.uint8))
+    first = np.searchsorted(at, np.concatenate([[0], ends]))
+    row = np.repeat(np.arange(len(padded)), np.diff(first))[:len(values)]
+    inside = np.arange(len(values)) + SHINGLE <= first[1:][row]
+    return distinct_by_row(row[inside], values[inside], len(padded))
+
+
 def line_shingles(text: bytes) -> np.ndarray:
-    """Sorted distinct shingles of a line; a line shorter than one is padded to one."""
-    at, values = _shingles(np.frombuffer(text, dtype=np.uint8))
-    if not len(values):
-        values = _shingles(np.frombuffer(text + SHINGLE * b"\0", dtype=np.uint8))[1][:1]
-    return np.unique(values)
+    return line_sets([text])[0]
 
 
 def band_keys(lines: Lines) -> tuple[np.ndarray, np.ndarray]:
@@ -115,37 +128,68 @@ def band_keys(lines: Lines) -> tuple[np.ndarray, np.ndarray]:
         return lines.node[long], np.empty((0, BANDS), dtype=np.uint64)
     values = values[np.arange(int(sizes.sum())) + np.repeat(low - starts, sizes)]
     values = (mix(values) >> np.uint64(32)).astype(np.uint32)
+    least = [np.minimum.reduceat(values * factor, starts) for factor in _FACTORS]
     out = np.empty((len(sizes), BANDS), dtype=np.uint64)
-    for band in range(BANDS):
+    for band, chosen in enumerate(_CHOSEN):
         key = np.full(len(sizes), band, dtype=np.uint64)
-        for factor in _FACTORS[band * ROWS:(band + 1) * ROWS]:
-            turned = values * factor
-            key = mix(key * np.uint64(_POWER) + np.minimum.reduceat(turned, starts))
+        for i in chosen:
+            key = mix(key * np.uint64(_POWER) + least[i])
         out[:, band] = key
     return lines.node[long], out
 
 
 def similar_lines(percent: int):
-    """A search for lines with 100 * common shingles >= percent * all shingles of both."""
+    """A search for lines with 100 * common shingles >= percent * all shingles of both, in an inverted
+    index: the lists of a query's shingles are counted together."""
     def search(indexed: list[bytes], queries: list[bytes]) -> Iterator[tuple[int, int]]:
-        sets = [line_shingles(x) for x in indexed]
-        sizes = np.array([len(x) for x in sets])
-        values = np.concatenate(sets)
-        bounds = np.cumsum(sizes) - sizes
-        for number, query in enumerate(queries):
-            own = line_shingles(query)
-            place = np.minimum(np.searchsorted(own, values), len(own) - 1)
-            both = np.add.reduceat((own[place] == values).astype(np.int64), bounds)
-            for found in np.flatnonzero(100 * both >= percent * (len(own) + sizes - both)):
+        values, bounds = line_sets(indexed)
+        sizes = np.diff(bounds)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        order = np.argsort(values, kind="stable")
+        values, owner = values[order], owner[order]
+        start = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+        names, length = values[start], np.diff(start, append=len(values))
+        own, own_bounds = line_sets(queries)
+        place = np.minimum(np.searchsorted(names, own), len(names) - 1)
+        there = names[place] == own
+        for number, (low, high) in enumerate(zip(own_bounds[:-1], own_bounds[1:])):
+            lists = place[low:high][there[low:high]]
+            if 100 * len(lists) < percent * (high - low):
+                continue
+            many = length[lists]
+            ends = np.cumsum(many)
+            both = np.bincount(owner[np.arange(ends[-1]) + np.repeat(start[lists] - (ends - many), many)], minlength=len(sizes))
+            for found in np.flatnonzero(100 * both >= percent * ((high - low) + sizes - both)):
                 yield number, int(found)
     return search
 
 
+def similar_to_pivots(percent: int):
+    """For blocks of lines that start with a pivot, the places of the lines that are like it."""
+    def stars(items: list[bytes], starts: list[int]) -> Iterator[tuple[int, int]]:
+        values, bounds = line_sets(items)
+        for low, high in zip(starts[:-1], starts[1:]):
+            if high - low < 2:
+                continue
+            pivot, others = values[bounds[low]:bounds[low + 1]], values[bounds[low + 1]:bounds[high]]
+            place = np.minimum(np.searchsorted(pivot, others), len(pivot) - 1)
+            both = np.add.reduceat((pivot[place] == others).astype(np.int64), bounds[low + 1:high] - bounds[low + 1])
+            sizes = np.diff(bounds[low + 1:high + 1])
+            for found in np.flatnonzero(100 * both >= percent * (len(pivot) + sizes - both)):
+                yield low + 1 + int(found), low
+    return stars
+
+
+def _places(rows: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """A hash of each place of a line in the table."""
+    return mix(rows.astype(np.uint64) * np.uint64(_POWER) + numbers.astype(np.uint64))
+
+
 def _occurrences(batch: pa.RecordBatch):
     for part in slices(column(batch, "text")):
         lines = judged_lines(part, ANY)
-        yield {ROW: column(batch, ROW).slice(part.low, part.high - part.low).take(pa.array(lines.row)),
-               "line": lines.number, "node": lines.node}
+        rows = column(batch, ROW).to_numpy()[part.low + lines.row]
+        yield {ROW: rows, "line": lines.number, "node": lines.node, "place": _places(rows, lines.number)}
 
 
 def _new(nodes: np.ndarray, seen: set) -> np.ndarray:
@@ -174,20 +218,23 @@ def _bands(batch: pa.RecordBatch):
 def repeated_lines(source: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(row, line, node) of all judged lines, and (row, dropped, judged) of the rows that lose lines:
     the numbers of the lines that are not the first of their component."""
-    occurrences = materialise(arrow_map(source.select(ROW, "text"), f"{ROW} bigint, line bigint, node bigint", _occurrences))
+    occurrences = materialise(arrow_map(source.select(ROW, "text"), f"{ROW} bigint, line bigint, node bigint, place bigint", _occurrences))
     lists = materialise(shared_lists(arrow_map(source.select("text"), "key bigint, node bigint", _bands)))
-    bits = source.sparkSession.sparkContext.broadcast(membership(lists.select("node").distinct(), "node"))
+    # the text of a line in a list is taken from its first place only
+    first = (occurrences.join(lists.select("node").distinct(), "node", "left_semi").groupBy("node")
+             .agg(F.min_by("place", F.struct(ROW, "line")).alias("place")))
+    bits = source.sparkSession.sparkContext.broadcast(membership(first, "place"))
 
     def wanted(batch: pa.RecordBatch):
-        seen: set = set()
         for part in slices(column(batch, "text")):
             lines = judged_lines(part, ANY)
-            at = np.flatnonzero(is_member(bits.value, lines.node))
-            at = at[_new(lines.node[at], seen)]
+            places = _places(column(batch, ROW).to_numpy()[part.low + lines.row], lines.number)
+            at = np.flatnonzero(is_member(bits.value, places))
             yield {"node": lines.node[at], "items": [lines.text(i) for i in at]}
 
-    texts = materialise(arrow_map(source.select("text"), "node bigint, items binary", wanted).dropDuplicates(["node"]))
-    labels = link_components(lists, texts, similar_lines(PERCENT))
+    texts = materialise(arrow_map(source.select(ROW, "text"), "node bigint, items binary", wanted))
+    bits.destroy()
+    labels = link_components(lists, texts, similar_lines(PERCENT), BLOCK, similar_to_pivots(PERCENT))
     named = occurrences.join(labels, "node", "left").select(ROW, "line", F.coalesce("label", "node").alias("label"))
     # written out, so that the join with it can be split where many lines have one label
     first = materialise(named.groupBy("label").agg(F.min(F.struct(ROW, "line")).alias("first"), F.count("*").alias("n"))

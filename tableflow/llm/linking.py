@@ -31,6 +31,9 @@ BLOCK = 256
 #: Given the items of indexed sets and of queries, yields the numbers (query, indexed set) of those
 #: that link.
 Search = Callable[[list[bytes], list[bytes]], Iterator[tuple[int, int]]]
+#: Given the items of blocks that follow each other, each with its pivot first, and where they start,
+#: yields the places (query, pivot) of those that link.
+Stars = Callable[[list[bytes], list[int]], Iterator[tuple[int, int]]]
 
 
 def shared_lists(rows: DataFrame, *more: str) -> DataFrame:
@@ -42,16 +45,18 @@ def shared_lists(rows: DataFrame, *more: str) -> DataFrame:
             .where("pivot <> last").drop("last").distinct())
 
 
-def link_components(lists: DataFrame, sets: DataFrame, search: Search) -> DataFrame:
+def link_components(lists: DataFrame, sets: DataFrame, search: Search, block: int | None = None,
+                    stars: Stars | None = None) -> DataFrame:
     """(node, label) of the nodes that have a link; other nodes are alone.
 
     ``lists`` holds key, node, pivot and ``sets`` node, items (binary: what is compared); both are read several
-    times, so they should be written out.
+    times, so they should be written out. ``stars`` may compare many sets with their pivots faster than ``search``.
     """
-    stars = _links(_star_blocks(lists), sets, search)
-    near = materialise(_near_labels(stars))
-    more = _links(_pair_blocks(materialise(_unsettled(lists, near))), sets, search)
-    return _all_labels(stars.unionByName(more), near)
+    block = block or BLOCK
+    tied = _links(_star_blocks(lists, block), sets, search, stars)
+    near = materialise(_near_labels(tied))
+    more = _links(_pair_blocks(materialise(_unsettled(lists, near, block))), sets, search)
+    return _all_labels(tied.unionByName(more), near)
 
 
 def _all_labels(edges: DataFrame, near: DataFrame) -> DataFrame:
@@ -64,10 +69,10 @@ def _all_labels(edges: DataFrame, near: DataFrame) -> DataFrame:
     return nodes.join(labels, "near", "left").select("node", F.coalesce("label", "near").alias("label"))
 
 
-def _star_blocks(lists: DataFrame) -> DataFrame:
+def _star_blocks(lists: DataFrame, size: int) -> DataFrame:
     """(block, part, node, label, side): the pivot of a block is indexed, the others are queries."""
     pairs = lists.where("node <> pivot").select("pivot", "node").distinct()
-    parts = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    parts = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / size).cast("int").alias("parts"))
     queries = pairs.join(parts, "pivot").select(
         F.col("pivot").alias("block"), F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"),
         "node", F.col("node").alias("label"), F.lit(1).alias("side"))
@@ -82,14 +87,14 @@ def _near_labels(stars: DataFrame) -> DataFrame:
     return one.join(two, "label", "left").select("node", F.least("label", F.coalesce("next", "label")).alias("label"))
 
 
-def _unsettled(lists: DataFrame, labels: DataFrame) -> DataFrame:
+def _unsettled(lists: DataFrame, labels: DataFrame, size: int) -> DataFrame:
     """Members (key, node, label, parts) of the lists with several labels. Lists with one pivot
     mostly have the same members; they are one list from here on, named by the pivot."""
     named = lists.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = (named.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"))
              .where("least <> most").select("key"))
     members = named.join(mixed, "key").select(F.col("pivot").alias("key"), "node", "label").distinct()
-    parts = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    parts = members.groupBy("key").agg(F.ceil(F.count("*") / size).cast("int").alias("parts"))
     return members.join(parts, "key")
 
 
@@ -104,8 +109,8 @@ def _pair_blocks(rest: DataFrame) -> DataFrame:
         F.when(F.col("chunk") == F.col("other"), 2).when(F.col("chunk") < F.col("other"), 0).otherwise(1).alias("side"))
 
 
-def _links(blocks: DataFrame, sets: DataFrame, search: Search) -> DataFrame:
-    """Links (a, b) that join components inside each block."""
+def _links(blocks: DataFrame, sets: DataFrame, search: Search, stars: Stars | None = None) -> DataFrame:
+    """Links (a, b) that join components inside each block; with ``stars``, all with the pivot."""
     def compare(table: pa.Table) -> tuple[list, list]:
         side = table["side"].to_numpy()
         own, nodes, labels = (table[name].to_pylist() for name in ("items", "node", "label"))
@@ -120,6 +125,12 @@ def _links(blocks: DataFrame, sets: DataFrame, search: Search) -> DataFrame:
                 b.append(nodes[found])
         return a, b
 
+    def with_pivots(table: pa.Table, starts: list[int]) -> tuple[list, list]:
+        nodes = table["node"].to_numpy()
+        found = np.array(list(stars(table["items"].to_pylist(), starts)), dtype=np.int64).reshape(-1, 2)
+        a, b = nodes[found[:, 0]], nodes[found[:, 1]]
+        return a[a != b].tolist(), b[a != b].tolist()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Blocks come one after the other; the last one of a batch may go on in the next."""
         held = None
@@ -127,13 +138,16 @@ def _links(blocks: DataFrame, sets: DataFrame, search: Search) -> DataFrame:
             table = pa.Table.from_batches([batch])
             table = pa.concat_tables([held, table]) if held is not None else table
             starts = _block_starts(table)
-            yield _as_links(compare(table.slice(low, high - low)) for low, high in zip(starts[:-1], starts[1:]))
+            if stars and len(starts) > 1:
+                yield _as_links([with_pivots(table.slice(0, starts[-1]), starts)])
+            else:
+                yield _as_links(compare(table.slice(low, high - low)) for low, high in zip(starts[:-1], starts[1:]))
             held = table.slice(starts[-1]) if len(starts) else None
         if held is not None and len(held):
-            yield _as_links([compare(held)])
+            yield _as_links([with_pivots(held, [0, len(held)]) if stars else compare(held)])
 
     full = (reach(blocks).join(sets, "node").select("block", "part", "label", "node", "side", "items")
-            .repartition("block", "part").sortWithinPartitions("block", "part"))
+            .repartition("block", "part").sortWithinPartitions("block", "part", "side"))
     return materialise(full.mapInArrow(run, "a bigint, b bigint"))
 
 

@@ -1,11 +1,11 @@
 """Supervised subword embeddings.
 
 A text is a bag of hashed features: its words, whether a word repeats the one before, the n-grams of
-its UTF-8 bytes, and a feature that all texts share and that steadies short ones. Every feature has
-a learned vector; the mean of them goes through a linear layer and a softmax. Vectors and layer are
-trained by stochastic gradient descent in numpy on a bounded sample of labelled documents. As the
-layer is linear, the score of a text needs only one learned number for each feature: the mean of
-the vectors' products with the layer is the product of the mean.
+its characters (code points), and a feature that all texts share and that steadies short ones. Every
+feature has a learned vector; the mean of them goes through a linear layer and a softmax. Vectors and
+layer are trained by stochastic gradient descent in numpy on a bounded sample of labelled documents,
+in one task. As the layer is linear, the score of a text needs only one learned number for each
+feature: the mean of the vectors' products with the layer is the product of the mean.
 """
 
 from __future__ import annotations
@@ -30,32 +30,41 @@ THRESHOLD = 0.3
 #: the shared feature counts; the most that a feature's step is scaled up.
 SHARED, REPEATED, NEW = 0, 1, 2
 SHARED_COUNT, MOST = 30, 4.0
+#: Lengths of the n-grams.
+NGRAMS = (3, 4)
+_TURN, _MIX = 0x9E3779B1, (0x85EBCA6B, 0xC2B2AE35)
 
 
 def _features(part: Slice) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(places in the slice's bytes, feature numbers), one pair for each kind of feature.
 
-    Only the last byte of an n-gram may be a line feed, so none reaches into the next text.
+    Only the last character of an n-gram may be a line feed, so none reaches into the next text.
     """
     yield part.starts, (part.hashes >> np.uint64(64 - BITS)).astype(np.int32)
     again = np.zeros(len(part.hashes), dtype=bool)
     again[1:] = part.hashes[1:] == part.hashes[:-1]
     again[part.first[:-1][part.first[:-1] < len(again)]] = False
     yield part.starts, np.where(again, REPEATED, NEW).astype(np.int32)
-    data = part.data.astype(np.uint32)
-    grams = data[:-2] | data[1:-1] << np.uint32(8) | data[2:] << np.uint32(16)
-    inside = (part.data[:-2] != 10) & (part.data[1:-1] != 10)
-    yield from _grams(grams, inside, 0x9E3779B1)
-    grams = grams[:-1] | data[3:] << np.uint32(24)
-    yield from _grams(grams, inside[:-1] & (part.data[2:-1] != 10), 0x85EBCA6B)
-
-
-def _grams(grams: np.ndarray, inside: np.ndarray, factor: int):
-    mixed = grams * np.uint32(factor)
-    mixed ^= mixed >> np.uint32(15)
-    mixed *= np.uint32(0xC2B2AE35)
-    at = np.flatnonzero(inside)
-    yield at, (mixed[at] >> np.uint32(32 - BITS)).astype(np.int32)
+    at, sizes = characters(part.data)
+    values = part.data[at].astype(np.uint32)
+    for more in range(1, 4 if len(at) < len(part.data) else 1):
+        long = np.flatnonzero(sizes > more)
+        values[long] |= part.data[at[long] + more].astype(np.uint32) << np.uint32(8 * more)
+    grams, inside = values, np.ones(len(values), dtype=bool)
+    for n in range(2, NGRAMS[-1] + 1):
+        inside = inside[:-1] & (values[n - 2:-1] != 10)
+        grams = grams[:-1] * np.uint32(_TURN) + values[n - 1:]
+        if n in NGRAMS:
+            mixed = (grams ^ (grams >> np.uint32(15))) * np.uint32(_MIX[n - NGRAMS[0]])
+            mixed ^= mixed >> np.uint32(13)
+            own = np.flatnonzero(inside)
+            yield at[own], ((mixed[own] * np.uint32(_TURN)) >> np.uint32(32 - BITS)).astype(np.int32)
+
+
+def characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets of the characters in UTF-8 bytes, and their lengths."""
+    at = np.flatnonzero(data & 0xC0 != 0x80)
+    return at, np.diff(at, append=len(data))
 
 
 def bags(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -131,15 +140,18 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     """Learn from documents with a label of 0 or 1 whose id is not held out.
 
     The sample is bounded by ``sample`` documents; their whole texts are used. Of several labels of
-    an id the smallest counts; rows with a null id or label are left out. Without labels the model
-    gives 0.5 to all.
+    an id the smallest counts, of several texts of an id the one with the smallest hash, so the model
+    depends on the rows alone and not on their order. Rows with a null id or label are left out; a null
+    text is the empty one. Without labels the model gives 0.5 to all.
     """
     ids = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).alias("label"))
            .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & (remainder(F.col("doc_id"), 5) != 0))
            .groupBy("doc_id").agg(F.min("label").cast("bigint").alias("label"))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-             .join(F.broadcast(ids), "doc_id").limit(sample))  # at most ``sample`` rows
+    body = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), body.alias("text"))
+             .join(F.broadcast(ids), "doc_id")  # at most ``sample`` ids
+             .groupBy("doc_id").agg(F.min("label").alias("label"), F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")))
 
     def count(batch: pa.RecordBatch):
         for low, high, features, shares, bounds in bags(column(batch, "text")):
@@ -148,12 +160,18 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
                    "features": list_of(features.astype(np.int32), bounds),
                    "shares": list_of(shares.astype(np.float32), bounds)}
 
-    rows = arrow_map(texts, "doc_id bigint, label bigint, features array<int>, shares array<float>",
-                     count).toArrow().sort_by("doc_id")
-    bags_of = [(f.values.to_numpy(), s.values.to_numpy()) for f, s in zip(rows["features"], rows["shares"])]
-    kept = [i for i, (f, _) in enumerate(bags_of) if len(f)]
-    y = rows["label"].to_pylist()
-    return train([bags_of[i] for i in kept], [y[i] for i in kept])
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """In the order of ids, so that the model is the same however the rows arrive."""
+        held = [(row, batch, at) for batch in batches for at, row in enumerate(column(batch, "doc_id").to_pylist())]
+        held.sort(key=lambda x: x[0])
+        bags_of = [tuple(column(batch, name)[at].values.to_numpy() for name in ("features", "shares")) for _, batch, at in held]
+        model = train(bags_of, [column(batch, "label")[at].as_py() for _, batch, at in held])
+        yield pa.RecordBatch.from_arrays([pa.array([model.weights.astype("<f4").tobytes()], pa.binary()), pa.array([model.bias])],
+                                         names=["weights", "bias"])
+
+    counted = arrow_map(texts, "doc_id bigint, label bigint, features array<int>, shares array<float>", count)
+    row = reach(counted).repartition(1).mapInArrow(learn, "weights binary, bias double").first()  # the bounded sample
+    return Model(np.frombuffer(bytes(row.weights), dtype="<f4"), row.bias)
 
 
 def scorer(docs: DataFrame, model: Model):

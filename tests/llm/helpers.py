@@ -91,15 +91,15 @@ def brute_components(rows, k, percent):
                    for i, (doc, _) in enumerate(rows))
 
 
-def brute_lines(rows, least_words, percent):
-    """Numbers of the lines that each row loses: those of at least so many words that are like an
-    earlier one, by comparing the byte 8-grams of every two lines."""
-    lines = [(i, n, " ".join(w).encode()) for i, (_, text) in enumerate(rows)
-             for n, line in enumerate((text or "").split("\n")) if len(w := words(line)) >= least_words]
+def brute_lines(rows, percent):
+    """Numbers of the lines with a word that each row loses, those that are like an earlier one, and how
+    many it has: lines are compared by their sets of five characters, shorter ones by equality."""
+    lines = [(i, n, " ".join(w)) for i, (_, text) in enumerate(rows)
+             for n, line in enumerate((text or "").split("\n")) if (w := words(line))]
     number = {}
     for *_, text in lines:
         number.setdefault(text, len(number))
-    sets = [{text[j:j + 8] for j in range(max(1, len(text) - 7))} for text in number]
+    sets = [{text[j:j + 5] for j in range(len(text) - 4)} for text in number]
     holders, up = defaultdict(list), list(range(len(sets)))
 
     def top(x):

@@ -201,8 +201,8 @@ def test_urls_of_odd_rows(spark):
 def test_lines_of_odd_rows(spark, odd, none):
     rows = line_dedup.dedup_lines(odd).collect()
     assert len(rows) == len(ODD) and line_dedup.dedup_lines(none).count() == 0
-    kept = [r.text for r in rows if r.judged_lines and r.text and r.text.lower().startswith("one")]
-    assert len(kept) == 1
+    kept = sorted(r.text for r in rows if r.judged_lines and r.text and r.text.lower().startswith("one"))
+    assert len(kept) == 2 and kept[1] == "one"  # a short line that is like no other stays
     assert [r.text for r in rows if r.doc_id == 3] == [None] and [r.text for r in rows if r.doc_id == 5] == [" \n\t"]
     assert line_dedup.dedup_lines(odd).columns == [*odd.columns, "judged_lines", "dropped_lines"]
     left = line_dedup.without_repetitions(odd).collect()

@@ -46,7 +46,7 @@ def test_quality(spark, stages):
 
 def test_lines(stages):
     before = rows(stages[1])
-    lost, judged = brute_lines(before, 5, 80)
+    lost, judged = brute_lines(before, 80)
     expected = [(doc, "\n".join(line for n, line in enumerate(text.split("\n")) if n not in lost[i]))
                 for i, (doc, text) in enumerate(before) if not judged[i] or len(lost[i]) < judged[i]]
     assert rows(stages[2]) == expected or sorted(rows(stages[2])) == sorted(expected)
