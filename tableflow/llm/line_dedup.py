@@ -24,13 +24,15 @@ from pyspark.sql import functions as F
 
 from tableflow.llm.frames import ROW, arrow_map, column, is_member, membership, numbered
 from tableflow.llm.linking import link_components, shared_lists
-from tableflow.llm.textbytes import distinct_by_row, mix, slices
+from tableflow.llm.textbytes import mix, slices
 from tableflow.session import materialise
 
 SHINGLE, HASHES, BANDS, ROWS = 5, 48, 20, 7
 PERCENT = 80
 #: Lines that are compared with each other in one block.
 BLOCK = 1024
+#: So many lines are compared one by one, without an index.
+FEW = 12
 #: ``judged_lines`` gives lines of so many words unless told otherwise; the operator judges all with a word.
 LEAST_WORDS, ANY = 5, 1
 
@@ -85,50 +87,59 @@ def judged_lines(part, least_words: int = LEAST_WORDS) -> Lines:
     return Lines(row[long], number[long], node[long], at[first][long], (at[last] - 1)[long], data)
 
 
-def _shingles(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Offsets of the characters, and 64-bit hashes of the shingles from each of them on."""
+def _shingles(data: np.ndarray, kind: type = np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets of the characters, and hashes of the shingles from each of them on."""
     at = np.flatnonzero(data & 0xC0 != 0x80)
     sizes = np.diff(at, append=len(data))
-    values = data[at].astype(np.uint64)
+    values = data[at].astype(kind)
     for more in range(1, 4 if len(at) < len(data) else 1):
         long = np.flatnonzero(sizes > more)
-        values[long] |= data[at[long] + more].astype(np.uint64) << np.uint64(8 * more)
+        values[long] |= data[at[long] + more].astype(kind) << kind(8 * more)
     n = max(len(at) - SHINGLE + 1, 0)
     total = values[:n].copy()
     for k in range(1, SHINGLE):
-        total *= np.uint64(_POWER)
+        total *= kind(_POWER & np.iinfo(kind).max)
         total += values[k:k + n]
     return at, total
 
 
 def line_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingles of each line, one after another, and the bounds of the lines; a line
-    shorter than a shingle is padded to one."""
+    """Sorted distinct shingles of each line (hashes of 40 bits and more), one line after another, and the
+    bounds of the lines; a line shorter than a shingle is padded to one."""
     padded = [text if len(text) > 4 * SHINGLE else text + b"\0" * max(0, SHINGLE - len(text.decode())) for text in texts]
     ends = np.cumsum([len(text) for text in padded])
     at, values = _shingles(np.frombuffer(b"".join(padded), dtype=np.uint8))
     first = np.searchsorted(at, np.concatenate([[0], ends]))
-    row = np.repeat(np.arange(len(padded)), np.diff(first))[:len(values)]
-    inside = np.arange(len(values)) + SHINGLE <= first[1:][row]
-    return distinct_by_row(row[inside], values[inside], len(padded))
+    row = np.repeat(np.arange(len(padded), dtype=np.uint64), np.diff(first))[:len(values)]
+    inside = np.arange(len(values)) + SHINGLE <= np.repeat(first[1:], np.diff(first))[:len(values)]
+    bits = np.uint64(64 - min(24, len(padded).bit_length()))
+    keys = np.sort(row[inside] << bits | mix(values[inside]) >> (np.uint64(64) - bits))  # rows, then shingles
+    keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+    bounds = np.searchsorted(keys, np.arange(len(padded), dtype=np.uint64) << bits)
+    return keys & ((np.uint64(1) << bits) - np.uint64(1)), np.append(bounds, len(keys))
 
 
 def line_shingles(text: bytes) -> np.ndarray:
     return line_sets([text])[0]
 
 
+def _mix32(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+    h = (h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+    return h ^ (h >> np.uint32(16))
+
+
 def band_keys(lines: Lines) -> tuple[np.ndarray, np.ndarray]:
     """Nodes of the lines with a shingle, and (lines, bands) keys of their MinHash signatures."""
-    at, values = _shingles(lines.data)
+    at, values = _shingles(lines.data, np.uint32)
     low, high = np.searchsorted(at, lines.low), np.searchsorted(at, lines.high)
     long = np.flatnonzero(high - low >= SHINGLE)
-    low, sizes = low[long], (high - low)[long] - SHINGLE + 1
-    starts = np.cumsum(sizes) - sizes
     if not len(long):
         return lines.node[long], np.empty((0, BANDS), dtype=np.uint64)
-    values = values[np.arange(int(sizes.sum())) + np.repeat(low - starts, sizes)]
-    values = (mix(values) >> np.uint64(32)).astype(np.uint32)
-    least = [np.minimum.reduceat(values * factor, starts) for factor in _FACTORS]
+    sizes = (high - low)[long] - SHINGLE + 1
+    ends = np.stack([low[long], low[long] + sizes], axis=1).ravel()  # every other range lies between lines
+    values = np.append(_mix32(values), np.uint32(0))
+    least = [np.minimum.reduceat(values * factor, ends)[::2] for factor in _FACTORS]
     out = np.empty((len(sizes), BANDS), dtype=np.uint64)
     for band, chosen in enumerate(_CHOSEN):
         key = np.full(len(sizes), band, dtype=np.uint64)
@@ -138,46 +149,55 @@ def band_keys(lines: Lines) -> tuple[np.ndarray, np.ndarray]:
     return lines.node[long], out
 
 
-def similar_lines(percent: int):
-    """A search for lines with 100 * common shingles >= percent * all shingles of both, in an inverted
-    index: the lists of a query's shingles are counted together."""
-    def search(indexed: list[bytes], queries: list[bytes]) -> Iterator[tuple[int, int]]:
+class SimilarLines:
+    """Finds lines with 100 * common shingles >= percent * all shingles of both."""
+
+    def __init__(self, percent: int):
+        self.percent = percent
+
+    def _like(self, one: np.ndarray, values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Numbers of the sets that are like the set ``one``; the sets follow each other in ``values``."""
+        place = np.minimum(np.searchsorted(one, values), len(one) - 1)
+        both = np.add.reduceat((one[place] == values).astype(np.int64), bounds[:-1])
+        return np.flatnonzero(100 * both >= self.percent * (len(one) + np.diff(bounds) - both))
+
+    def stars(self, items: list[bytes], starts: list[int]) -> Iterator[tuple[int, int]]:
+        """For blocks of lines that start with a pivot, the places of the lines that are like it."""
+        values, bounds = line_sets(items)
+        for low, high in zip(starts[:-1], starts[1:]):
+            if high - low > 1:
+                own = bounds[low + 1:high + 1]
+                for found in self._like(values[bounds[low]:bounds[low + 1]], values[own[0]:own[-1]], own - own[0]).tolist():
+                    yield low + 1 + found, low
+
+    def search(self, indexed: list[bytes], queries: list[bytes]) -> Iterator[tuple[int, int]]:
+        """Of a few lines by comparing with each, of more in an inverted index: the lists of a query's
+        shingles are counted together."""
         values, bounds = line_sets(indexed)
+        own, own_bounds = (values, bounds) if queries is indexed else line_sets(queries)
+        sets = zip(own_bounds[:-1].tolist(), own_bounds[1:].tolist())
+        if len(indexed) <= FEW:
+            for number, (low, high) in enumerate(sets):
+                for found in self._like(own[low:high], values, bounds).tolist():
+                    yield number, found
+            return
         sizes = np.diff(bounds)
         owner = np.repeat(np.arange(len(sizes)), sizes)
         order = np.argsort(values, kind="stable")
         values, owner = values[order], owner[order]
         start = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
         names, length = values[start], np.diff(start, append=len(values))
-        own, own_bounds = line_sets(queries)
         place = np.minimum(np.searchsorted(names, own), len(names) - 1)
         there = names[place] == own
-        for number, (low, high) in enumerate(zip(own_bounds[:-1], own_bounds[1:])):
+        for number, (low, high) in enumerate(sets):
             lists = place[low:high][there[low:high]]
-            if 100 * len(lists) < percent * (high - low):
+            if 100 * len(lists) < self.percent * (high - low):
                 continue
             many = length[lists]
             ends = np.cumsum(many)
             both = np.bincount(owner[np.arange(ends[-1]) + np.repeat(start[lists] - (ends - many), many)], minlength=len(sizes))
-            for found in np.flatnonzero(100 * both >= percent * ((high - low) + sizes - both)):
-                yield number, int(found)
-    return search
-
-
-def similar_to_pivots(percent: int):
-    """For blocks of lines that start with a pivot, the places of the lines that are like it."""
-    def stars(items: list[bytes], starts: list[int]) -> Iterator[tuple[int, int]]:
-        values, bounds = line_sets(items)
-        for low, high in zip(starts[:-1], starts[1:]):
-            if high - low < 2:
-                continue
-            pivot, others = values[bounds[low]:bounds[low + 1]], values[bounds[low + 1]:bounds[high]]
-            place = np.minimum(np.searchsorted(pivot, others), len(pivot) - 1)
-            both = np.add.reduceat((pivot[place] == others).astype(np.int64), bounds[low + 1:high] - bounds[low + 1])
-            sizes = np.diff(bounds[low + 1:high + 1])
-            for found in np.flatnonzero(100 * both >= percent * (len(pivot) + sizes - both)):
-                yield low + 1 + int(found), low
-    return stars
+            for found in np.flatnonzero(100 * both >= self.percent * ((high - low) + sizes - both)).tolist():
+                yield number, found
 
 
 def _places(rows: np.ndarray, numbers: np.ndarray) -> np.ndarray:
@@ -221,20 +241,25 @@ def repeated_lines(source: DataFrame) -> tuple[DataFrame, DataFrame]:
     occurrences = materialise(arrow_map(source.select(ROW, "text"), f"{ROW} bigint, line bigint, node bigint, place bigint", _occurrences))
     lists = materialise(shared_lists(arrow_map(source.select("text"), "key bigint, node bigint", _bands)))
     # the text of a line in a list is taken from its first place only
-    first = (occurrences.join(lists.select("node").distinct(), "node", "left_semi").groupBy("node")
-             .agg(F.min_by("place", F.struct(ROW, "line")).alias("place")))
-    bits = source.sparkSession.sparkContext.broadcast(membership(first, "place"))
+    first = materialise(occurrences.join(lists.select("node").distinct(), "node", "left_semi").groupBy("node")
+                        .agg(F.min_by(F.struct("place", ROW), F.struct(ROW, "line")).alias("first"))
+                        .select("first.place", F.xxhash64(f"first.{ROW}").alias("bit")))
+    send = source.sparkSession.sparkContext.broadcast
+    rows, places = send(membership(first, "bit")), send(membership(first, "place"))
 
     def wanted(batch: pa.RecordBatch):
-        for part in slices(column(batch, "text")):
+        holds = np.flatnonzero(is_member(rows.value, column(batch, "bit").to_numpy().view(np.uint64)))
+        numbers = column(batch, ROW).to_numpy()[holds]
+        for part in slices(column(batch, "text").take(pa.array(holds))):
             lines = judged_lines(part, ANY)
-            places = _places(column(batch, ROW).to_numpy()[part.low + lines.row], lines.number)
-            at = np.flatnonzero(is_member(bits.value, places))
+            at = np.flatnonzero(is_member(places.value, _places(numbers[part.low + lines.row], lines.number)))
             yield {"node": lines.node[at], "items": [lines.text(i) for i in at]}
 
-    texts = materialise(arrow_map(source.select(ROW, "text"), "node bigint, items binary", wanted))
-    bits.destroy()
-    labels = link_components(lists, texts, similar_lines(PERCENT), BLOCK, similar_to_pivots(PERCENT))
+    texts = materialise(arrow_map(source.select(ROW, F.xxhash64(ROW).alias("bit"), "text"), "node bigint, items binary", wanted))
+    rows.destroy()
+    places.destroy()
+    alike = SimilarLines(PERCENT)
+    labels = link_components(lists, texts, alike.search, BLOCK, alike.stars)
     named = occurrences.join(labels, "node", "left").select(ROW, "line", F.coalesce("label", "node").alias("label"))
     # written out, so that the join with it can be split where many lines have one label
     first = materialise(named.groupBy("label").agg(F.min(F.struct(ROW, "line")).alias("first"), F.count("*").alias("n"))

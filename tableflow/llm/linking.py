@@ -117,7 +117,10 @@ def _links(blocks: DataFrame, sets: DataFrame, search: Search, stars: Stars | No
         indexed, asking = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         joined = _Union(labels)
         a, b = [], []
-        found_links = search([own[i] for i in indexed], [own[i] for i in asking]) if len(indexed) and len(asking) else ()
+        found_links = ()
+        if len(indexed) and len(asking):
+            sets = [own[i] for i in indexed]
+            found_links = search(sets, sets if (side == 2).all() else [own[i] for i in asking])
         for query, found in found_links:
             query, found = asking[query], indexed[found]
             if joined.tie(labels[query], labels[found]):
