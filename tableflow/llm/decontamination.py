@@ -120,6 +120,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, source: DataFrame | None
                    "grams": list_of(np.ascontiguousarray(both[:, 1]), np.append(start, len(both)))}
 
     shared = materialise(arrow_map(source.select(ROW, "text"), f"{ROW} bigint, grams array<bigint>", hits))
+    bits.destroy()
     pairs = materialise(
         shared.select(ROW, F.explode("grams").alias("gram")).join(seeds, "gram")
         .groupBy(ROW, "item", "words", "size").agg(F.count("*").alias("n"))

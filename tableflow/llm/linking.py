@@ -26,7 +26,7 @@ from tableflow.llm.components import connected_components
 from tableflow.llm.frames import reach
 from tableflow.session import materialise
 
-BLOCK = 256
+BLOCK, STARS = 256, 256
 
 #: Given the items of indexed sets and of queries, yields the numbers (query, indexed set) of those
 #: that link.
@@ -142,7 +142,9 @@ def _links(blocks: DataFrame, sets: DataFrame, search: Search, stars: Stars | No
             table = pa.concat_tables([held, table]) if held is not None else table
             starts = _block_starts(table)
             if stars and len(starts) > 1:
-                yield _as_links([with_pivots(table.slice(0, starts[-1]), starts)])
+                for low in range(0, len(starts) - 1, STARS):  # so many blocks at a time, for memory
+                    own = starts[low:low + STARS + 1]
+                    yield _as_links([with_pivots(table.slice(own[0], own[-1] - own[0]), [x - own[0] for x in own])])
             else:
                 yield _as_links(compare(table.slice(low, high - low)) for low, high in zip(starts[:-1], starts[1:]))
             held = table.slice(starts[-1]) if len(starts) else None

@@ -215,6 +215,7 @@ def join_similar(docs: DataFrame, k: int, percent: int, doc_id: str = "doc_id",
 
     rows = arrow_map(source.select("text"), "key bigint, node bigint, least int", rare)
     lists = _sharing(materialise(shared_lists(rows, "least")))
+    levels.destroy()
     first = named.where("n_shingles > 0").groupBy("node").agg(F.min(ROW).alias(ROW))
     wanted = materialise(first.join(lists.select("node").distinct(), "node"))
     bits = send(membership(wanted.withColumn("bit", F.xxhash64(ROW)), "bit"))
@@ -226,6 +227,7 @@ def join_similar(docs: DataFrame, k: int, percent: int, doc_id: str = "doc_id",
         return {"node": nodes, "items": texts.cast(pa.binary())}
 
     texts = materialise(arrow_map(source.select(F.xxhash64(ROW).alias("bit"), "text"), "node bigint, items binary", full))
+    bits.destroy()
     labels = link_components(lists, texts, occurrence_search(k, percent))
     grouped = named.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     # written out, so that the join with it can be split where many rows have one label

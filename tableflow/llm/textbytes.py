@@ -140,12 +140,13 @@ def text_column(column: pa.Array | pa.ChunkedArray) -> pa.Array:
 
 def slices(column: pa.Array | pa.ChunkedArray, word: np.ndarray = SPACED, lower: bool = True,
            hashed: bool = True) -> Iterator[Slice]:
-    texts = text_column(column)
-    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
     low, done = 0, 0
-    while low < len(texts):
+    while low < len(column):
         high = max(int(np.searchsorted(sizes, done + SLICE, side="right")), low + 1)
-        part = pc.binary_join_element_wise(texts.slice(low, high - low),
+        part = pc.binary_join_element_wise(text_column(column.slice(low, high - low)),
                                            pa.scalar(b"\n", pa.large_binary()),
                                            pa.scalar(b"", pa.large_binary()))
         _, offsets, values = part.buffers()
