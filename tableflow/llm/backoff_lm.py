@@ -1,15 +1,14 @@
 """Language-model scores by a weighted backoff automaton.
 
-The model is a trigram model with absolute discounting over the counts of all n-grams of the
-training part, however rare. An n-gram that others follow is a state. From a state, a token that
-follows it has an arc; any other token goes along the failure arc, which costs the state's backoff
-weight, to the state of the context that is one token shorter, at last to the root. There every token
-has its smoothed count.
-
-Arcs and weights stay in tables that grow with the corpus, and the tokens of the texts are joined to
-them. A model of at most ``HELD`` n-grams an order is sent to the tasks instead, which walk it: the
-same n-grams, arcs and scores. The words that make up ``COMMON`` of the training tokens (1 / COMMON at most) are
-counted in the tasks; the others get their exact counts by a join.
+The model is a trigram model with absolute discounting over the counts of the training part; pairs and
+triples that stand there ``LEAST`` times or more are kept, however large the corpus is. An n-gram that
+others follow is a state. From a state, a token that follows it has an arc; any other token goes along
+the failure arc, which costs the state's backoff weight, to the state of the context that is one token
+shorter, at last to the root. There every token has its smoothed count.
+
+Counts and weights stay in one table that grows with the corpus. Each group of texts asks for the
+entries of its own words, pairs and triples by a join; a task then builds the part of the automaton
+that these texts can reach, and walks it once from left to right.
 """
 
 from __future__ import annotations
@@ -21,18 +20,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableflow.llm.frames import ROW, arrow_map, column, list_of, numbered
+from tableflow.llm.frames import ROW, arrow_map, column, give_back, is_member, membership, numbered, reach
 from tableflow.llm.textbytes import hash_bytes, mix, slices
 from tableflow.session import materialise
 
-#: Share of the training tokens that an n-gram needs; 0 keeps every one.
-SHARE = 0.0
-COMMON = 2.0 ** -20
-#: N-grams of each order of a model that is sent to the tasks.
-HELD = 1 << 20
+#: Pairs and triples that stand less often in the training part are no n-grams of the model.
+LEAST = 2
 DISCOUNT = 0.6
 SMOOTHING = 0.1
-_WIDTH = 21  # bits of a word's number; 1 / COMMON words and the start of a text fit in
+#: Bits of a row's number in its group: texts that stand next to each other share their entries.
+GROUP_BITS = 10
+_WIDTH = 24  # bits of a word's number in a slice of texts
 #: A word that no text has, since it holds a space: the end of a text.
 END = np.uint64(hash_bytes(b" end"))
 #: The context of the first token of a text, and the pair before it.
@@ -52,26 +50,13 @@ def _tokens(part) -> tuple[np.ndarray, np.ndarray]:
 
 
 @dataclass
-class Words:
-    """Common words in the order of their hashes; a word's number is its place."""
+class Totals:
+    """Of the training part."""
 
-    hashes: np.ndarray
-    counts: np.ndarray
-    tokens: int    # of the training part
-    kinds: int     # distinct ones
+    tokens: int
+    kinds: int     # distinct tokens
     texts: int
 
-    def numbers(self, tokens: np.ndarray) -> np.ndarray:
-        """-1 for a word that is not common."""
-        if not len(self.hashes):
-            return np.full(len(tokens), -1)
-        place = np.minimum(np.searchsorted(self.hashes, tokens), len(self.hashes) - 1)
-        return np.where(self.hashes[place] == tokens, place, -1)
-
-    @property
-    def start(self) -> int:
-        return len(self.hashes)
-
 
 def log_share(count, tokens: int, kinds: int):
     """log10 of the smoothed share of a token with so many occurrences."""
@@ -98,55 +83,59 @@ def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix(left * np.uint64(0xD1342543DE82EF95) + right)
 
 
-def _words(tokens: np.ndarray, first: np.ndarray) -> dict:
-    return {"key": tokens}
+def _words(tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+    return (tokens,)
 
 
-def _pairs(tokens: np.ndarray, first: np.ndarray) -> dict:
-    """The pair that each token ends."""
+def _pairs(tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The pair that each token ends, and its two parts."""
     before = _context(tokens, first, START)
-    return {"key": _joined(before, tokens), "before": before, "token": tokens}
+    return _joined(before, tokens), before, tokens
 
 
-def _triples(tokens: np.ndarray, first: np.ndarray) -> dict:
-    """The triple that each token ends, its first pair and its last pair."""
-    pairs = _pairs(tokens, first)["key"]
+def _triples(tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The triple that each token ends, its first pair and its last pair; the first token of a text
+    ends none, as the start has its arc."""
+    pairs = _pairs(tokens, first)[0]
     outer = _context(pairs, first, OPEN)
-    return {"key": _joined(outer, tokens), "outer": outer, "inner": pairs}
+    inside = outer != OPEN
+    return _joined(outer, tokens)[inside], outer[inside], pairs[inside]
 
 
-def _count(training: DataFrame, keys, *more: str) -> DataFrame:
-    """Occurrences of the keys that ``keys`` finds in tokens, summed up in each batch first; columns
-    ``more`` go with the key."""
+def _count(training: DataFrame, keys) -> DataFrame:
+    """Occurrences of the keys that ``keys`` finds in tokens, summed up in each batch first."""
     def count(batch: pa.RecordBatch):
-        found = [keys(*_tokens(part)) for part in slices(column(batch, "text"))]
+        found = [keys(*_tokens(part))[0] for part in slices(column(batch, "text"))]
         if found:
-            whole = {name: np.concatenate([x[name] for x in found]) for name in ("key", *more)}
-            key, at, n = np.unique(whole["key"], return_index=True, return_counts=True)
-            yield {"key": key, **{name: whole[name][at] for name in more}, "n": n}
-
-    schema = "".join(f"{name} bigint, " for name in ("key", *more)) + "n bigint"
-    return arrow_map(training, schema, count).groupBy("key").agg(
-        *[F.first(name).alias(name) for name in more], F.sum("n").alias("n"))
+            key, n = np.unique(np.concatenate(found), return_counts=True)
+            yield {"key": key, "n": n}
 
+    return arrow_map(training, "key bigint, n bigint", count).groupBy("key").agg(F.sum("n").alias("n"))
 
-def _collected(counts: DataFrame) -> dict:
-    rows = counts.toArrow()
-    return {name: rows[name].to_numpy() if name == "n" else rows[name].to_numpy().view(np.uint64)
-            for name in rows.column_names}
 
+def _parts(training: DataFrame, keys, kept) -> DataFrame:
+    """(key, left, right) with the parts of the keys that the filter ``kept`` knows."""
+    def find(batch: pa.RecordBatch):
+        held: set = set()
+        for part in slices(column(batch, "text")):
+            key, left, right = keys(*_tokens(part))
+            at = np.flatnonzero(is_member(kept.value, key))
+            key, first = np.unique(key[at], return_index=True)
+            new = np.array([i for i, x in enumerate(key.tolist()) if x not in held], dtype=np.int64)
+            held.update(key[new].tolist())
+            at = at[first[new]]
+            yield {"key": key[new], "left": left[at], "right": right[at]}
 
-def _sorted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys)
-    return keys[order], counts[order]
+    return (arrow_map(training, "key bigint, left bigint, right bigint", find)
+            .groupBy("key").agg(F.min("left").alias("left"), F.min("right").alias("right")))
 
 
 @dataclass
 class Automaton:
     """State 0 is the root, then come the words and the start, then the pairs."""
 
-    words: Words
-    arcs: np.ndarray      # state << 21 | word, sorted
+    start: int            # number of the start, which follows the words
+    arcs: np.ndarray      # state << 24 | word, sorted
     costs: np.ndarray     # log10 probability of each arc
     targets: np.ndarray
     backoff: np.ndarray   # log10 weight of each state's failure arc
@@ -154,7 +143,7 @@ class Automaton:
     root: np.ndarray      # log10 probability of each word at the root
 
     def traverse(self, numbers: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """What each token of a stream of texts adds; a rare word adds failure arcs only.
+        """What each token of a stream of texts adds.
 
         The stream is cut into lanes that are walked side by side, from left to right. A lane
         begins two tokens early, from the root: no state holds more than two tokens, so it is in
@@ -170,21 +159,20 @@ class Automaton:
             at = lanes + step
             live = np.flatnonzero((at >= 0) & (at < n))
             at = at[live]
-            now = np.where(opens[at], 1 + self.words.start, state[live])
+            now = np.where(opens[at], 1 + self.start, state[live])
             word = numbers[at]
             cost = np.zeros(len(at))
             target = np.zeros(len(at), dtype=np.int64)
             open_ = np.arange(len(at))
             while len(open_):
                 s, w = now[open_], word[open_]
-                place = np.where(w >= 0, _lookup(self.arcs, s << _WIDTH | np.maximum(w, 0)), -1)
+                place = _lookup(self.arcs, s << _WIDTH | w)
                 hit = place >= 0
                 cost[open_[hit]] += self.costs[place[hit]]
                 target[open_[hit]] = self.targets[place[hit]]
-                rest = ~hit & (s == 0)
-                known = open_[rest & (w >= 0)]
-                cost[known] += self.root[word[known]]
-                target[known] = 1 + word[known]
+                root = open_[~hit & (s == 0)]
+                cost[root] += self.root[word[root]]
+                target[root] = 1 + word[root]
                 open_ = open_[~hit & (s != 0)]
                 cost[open_] += self.backoff[now[open_]]
                 now[open_] = self.failure[now[open_]]
@@ -194,119 +182,107 @@ class Automaton:
         return gained
 
 
-def build_automaton(words: Words, pairs: np.ndarray, pair_counts: np.ndarray,
-                    triples: np.ndarray, triple_counts: np.ndarray) -> Automaton:
-    mask = (1 << _WIDTH) - 1
-    n, n_pairs = words.start + 1, len(pairs)
-    root = log_share(words.counts, words.tokens, words.kinds)
-    total = np.concatenate([words.counts, [words.texts]]).astype(np.float64)
-    before, word = pairs >> _WIDTH, pairs & mask
-    p2 = np.maximum(pair_counts - DISCOUNT, 1e-9) / total[before]
-    weight1 = _weights(before, p2, 10.0 ** root[word], n)
-    pair, third = triples >> _WIDTH, triples & mask
-    p3 = np.maximum(triple_counts - DISCOUNT, 1e-9) / pair_counts[pair]
-    inner = _lookup(pairs, word[pair] << _WIDTH | third)
-    weight2 = _weights(pair, p3, p2[inner], n_pairs)
-    arcs = np.concatenate([1 + before << _WIDTH | word, 1 + n + pair << _WIDTH | third])
+@dataclass
+class Entries:
+    """Counts and backoff weights of words, pairs and triples by key, as found for some texts."""
+
+    keys: np.ndarray      # sorted, once each
+    counts: np.ndarray
+    weights: np.ndarray   # 1 where nothing follows
+
+    @staticmethod
+    def of(keys: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> Entries:
+        keys, at = np.unique(keys, return_index=True)
+        return Entries(keys, counts[at], weights[at])
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(count, weight), 0 and 1 for a key without entry."""
+        place = _lookup(self.keys, keys)
+        there = place >= 0
+        if not len(self.keys):
+            return np.zeros(len(keys), dtype=np.int64), np.ones(len(keys))
+        return np.where(there, self.counts[place], 0), np.where(there, self.weights[place], 1.0)
+
+
+def local_automaton(tokens: np.ndarray, first: np.ndarray, entries: Entries, totals: Totals):
+    """(automaton, number of each token, count of each token): what a stream of texts can reach."""
+    names, numbers = np.unique(tokens, return_inverse=True)
+    counts, weight1 = entries.find(np.append(names, START))
+    start, n = len(names), len(names) + 1
+    whole = np.append(counts[:-1], totals.texts)
+    before = _context(numbers, first, start)
+    key, _, _ = _pairs(tokens, first)
+    codes, at = np.unique(before << _WIDTH | numbers, return_index=True)
+    pair_counts, weight2 = entries.find(key[at])
+    kept = pair_counts > 0
+    codes, pair_counts, weight2 = codes[kept], pair_counts[kept], weight2[kept]
+    p2 = (pair_counts - DISCOUNT) / whole[codes >> _WIDTH]
+    triple, _, _ = _triples(tokens, first)
+    ends = np.setdiff1d(np.arange(len(tokens)), first[:-1], assume_unique=True)  # tokens that end a triple
+    triple, at = np.unique(triple, return_index=True)
+    triple_counts, _ = entries.find(triple)
+    at, triple_counts = ends[at[triple_counts > 0]], triple_counts[triple_counts > 0]
+    outer = _lookup(codes, before[at - 1] << _WIDTH | numbers[at - 1])
+    inner = _lookup(codes, before[at] << _WIDTH | numbers[at])
+    p3 = (triple_counts - DISCOUNT) / pair_counts[outer]
+    arcs = np.concatenate([1 + (codes >> _WIDTH) << _WIDTH | (codes & ((1 << _WIDTH) - 1)), 1 + n + outer << _WIDTH | numbers[at]])
     order = np.argsort(arcs)
     return Automaton(
-        words, arcs[order], np.log10(np.concatenate([p2, p3]))[order],
-        np.concatenate([1 + n + np.arange(n_pairs), 1 + n + inner])[order],
+        start, arcs[order], np.log10(np.concatenate([p2, p3]))[order],
+        np.concatenate([1 + n + np.arange(len(codes)), 1 + n + inner])[order],
         np.log10(np.concatenate([[1.0], weight1, weight2])),
-        np.concatenate([[0], np.zeros(n, dtype=np.int64), 1 + word]), root)
-
-
-def _weights(context: np.ndarray, own: np.ndarray, lower: np.ndarray, n: int) -> np.ndarray:
-    """What a context leaves for words without an arc, over what the shorter context gives them."""
-    left = 1 - np.bincount(context, own, n)
-    below = 1 - np.bincount(context, lower, n)
-    return np.where(np.bincount(context, minlength=n) > 0,
-                    np.clip(left, 1e-12, None) / np.clip(below, 1e-12, None), 1.0)
+        np.concatenate([np.zeros(1 + n, dtype=np.int64), 1 + (codes & ((1 << _WIDTH) - 1))]),
+        log_share(counts[:-1], totals.tokens, totals.kinds)), numbers, counts[numbers]
 
 
-def _automaton(words: Words, pairs: dict, triples: dict) -> Automaton:
-    """Of a model that fits in a task: every word of its n-grams is a common one."""
-    before = np.where(pairs["before"] == START, words.start, words.numbers(pairs["before"]))
-    token = words.numbers(pairs["token"])
-    numbers, order = before << _WIDTH | token, np.argsort(before << _WIDTH | token)
-    place = np.empty(len(order), dtype=np.int64)
-    place[order] = np.arange(len(order))
-    by_key = np.argsort(pairs["key"])
-    find = lambda keys: by_key[_lookup(pairs["key"][by_key], keys)]
-    inside = triples["outer"] != OPEN  # the start has those arcs
-    outer, inner = find(triples["outer"][inside]), find(triples["inner"][inside])
-    return build_automaton(words, numbers[order], pairs["n"][order],
-                           *_sorted(place[outer] << _WIDTH | token[inner], triples["n"][inside]))
-
-
-@dataclass
-class Arcs:
-    """The automaton as tables: probabilities of arcs by n-gram, weights of failure arcs by context."""
-
-    words: DataFrame    # token, p1
-    pairs: DataFrame    # key, before, p2
-    triples: DataFrame  # key, outer, p3
-    weights: tuple[DataFrame, DataFrame]  # (before, weight1), (outer, weight2)
-
-
-def build_arcs(vocabulary: DataFrame, pairs: DataFrame, triples: DataFrame, total) -> Arcs:
-    words = vocabulary.select(F.col("key").alias("token"), _share("n", total).alias("p1"))
-    end, start, open_ = (F.lit(int(x.view(np.int64))) for x in (END, START, OPEN))
+def model_entries(training: DataFrame, vocabulary: DataFrame, pairs: DataFrame, triples: DataFrame, totals: Totals) -> DataFrame:
+    """(key, n, weight) of all words, the start, and the n-grams that are kept."""
+    end, start = (F.lit(int(x.view(np.int64))) for x in (END, START))
+    kept = training.sparkSession.sparkContext.broadcast(membership(pairs.select("key").unionByName(triples.select("key")), "key"))
     # a text has one end and one start, and no word follows the end
-    whole = vocabulary.select(F.when(F.col("key") == end, start).otherwise(F.col("key")).alias("before"),
-                              F.col("n").alias("whole"))
-    pairs = materialise(pairs.join(whole, "before").join(words, "token").select(
-        "key", "before", "n", "whole", ((F.col("n") - DISCOUNT) / F.col("whole")).alias("p2"), "p1"))
-    whole = pairs.select(F.col("key").alias("outer"), F.col("n").alias("whole")).unionByName(
-        vocabulary.where(F.col("key") == end).select(open_.alias("outer"), F.col("n").alias("whole")))
-    triples = materialise(triples.join(whole, "outer").join(
-        pairs.select(F.col("key").alias("inner"), "p2"), "inner").select(
-        "key", "outer", "n", "whole", ((F.col("n") - DISCOUNT) / F.col("whole")).alias("p3"), "p2"))
-    return Arcs(words, pairs, triples, (materialise(_failure(pairs, "before", "p1", "weight1")),
-                                        materialise(_failure(triples, "outer", "p2", "weight2"))))
-
-
-def _failure(arcs: DataFrame, context: str, lower: str, name: str) -> DataFrame:
-    """As ``_weights``, from exact sums of the counts."""
+    whole = vocabulary.select(F.when(F.col("key") == end, start).otherwise(F.col("key")).alias("left"), F.col("n").alias("whole"))
+    share = (F.col("n") + SMOOTHING) / (totals.tokens + SMOOTHING * (totals.kinds + 1))
+    words = vocabulary.select(F.col("key").alias("right"), share.alias("lower"))
+    pairs = materialise(pairs.join(_parts(training, _pairs, kept), "key").join(whole, "left").join(words, "right")
+                        .select("key", "left", "n", "whole", "lower", ((F.col("n") - DISCOUNT) / F.col("whole")).alias("p2")))
+    whole = pairs.select(F.col("key").alias("left"), F.col("n").alias("whole"))
+    inner = pairs.select(F.col("key").alias("right"), F.col("p2").alias("lower"))
+    triples = materialise(triples.join(_parts(training, _triples, kept), "key").join(whole, "left").join(inner, "right")
+                          .select("key", "left", "n", "whole", "lower"))
+    kept.destroy()
+    contexts = vocabulary.select("key", "n").unionByName(vocabulary.where(F.col("key") == end).select(start.alias("key"), "n"))
+    return materialise(
+        contexts.join(_failure(pairs), "key", "left")
+        .unionByName(pairs.select("key", "n").join(_failure(triples), "key", "left"))
+        .unionByName(triples.select("key", "n", F.lit(None).cast("double").alias("weight"))))
+
+
+def _failure(arcs: DataFrame) -> DataFrame:
+    """What a context leaves for words without an arc, over what the shorter context gives them, from
+    exact sums of the counts."""
     left = (F.max("whole") - F.sum("n") + DISCOUNT * F.count("*")) / F.max("whole")
-    return arcs.groupBy(context).agg(
-        (F.greatest(left, F.lit(1e-12)) / F.greatest(1 - F.sum(lower), F.lit(1e-12))).alias(name))
-
-
-def _share(count, total):
-    return (F.coalesce(count, F.lit(0)) + SMOOTHING) / (total.n + SMOOTHING * (total.kinds + 1))
-
+    weight = F.greatest(left, F.lit(1e-12)) / F.greatest(1 - F.sum("lower"), F.lit(1e-12))
+    return arcs.groupBy(F.col("left").alias("key")).agg(weight.alias("weight"))
 
-def _gains(source: DataFrame, arcs: Arcs, least: float, total) -> DataFrame:
-    """(row, gain) of all rows with tokens: the sum over arcs and failure arcs."""
-    def triples(batch: pa.RecordBatch):
-        for part in slices(column(batch, "text")):
-            tokens, first = _tokens(part)
-            yield {ROW: _rows(batch, part, first), "key": _triples(tokens, first)["key"]}
 
-    def grams(batch: pa.RecordBatch):
+def _asked(source: DataFrame, kept) -> DataFrame:
+    """(group, key) of all words of a group of texts, and of its pairs and triples that may be kept."""
+    def ask(batch: pa.RecordBatch):
+        groups, found = column(batch, "group").to_numpy(), {}
         for part in slices(column(batch, "text")):
-            tokens, first = _tokens(part)
-            found = _triples(tokens, first)
-            yield {ROW: _rows(batch, part, first), **found, "before": _context(tokens, first, START), "token": tokens}
+            own = groups[part.low:part.high]
+            for group in np.unique(own).tolist():  # texts of a group follow each other
+                low, high = np.searchsorted(own, [group, group + 1])
+                tokens, first = _tokens(part)
+                first = first[low:high + 1]
+                tokens, first = tokens[first[0]:first[-1]], first - first[0]
+                grams = np.concatenate([_pairs(tokens, first)[0], _triples(tokens, first)[0]])
+                keys = np.concatenate([tokens, grams[is_member(kept.value, grams)], [START]])
+                found[group] = np.union1d(found.get(group, keys[:0]), keys)
+        for group, keys in found.items():
+            yield {"group": np.full(len(keys), group), "key": keys}
 
-    hits = (arrow_map(source.select(ROW, "text"), f"{ROW} bigint, key bigint", triples)
-            .join(arcs.triples.select("key", F.log10("p3").alias("gain")), "key").select(ROW, "gain"))
-    # each triple of a training text has an arc if all n-grams are kept
-    rest = (source if least > 1 else source.where("held_out")).select(ROW, "text")
-    wide = arrow_map(rest, f"{ROW} bigint, key bigint, outer bigint, inner bigint, before bigint, token bigint", grams)
-    missed = materialise(wide.join(arcs.triples.select("key"), "key", "left_anti").drop("key"))
-    weight1, weight2 = arcs.weights
-    root = F.log10(F.coalesce("weight1", F.lit(1.0))) + F.log10(F.coalesce("p1", _share(F.lit(0), total)))
-    missed = (missed.join(weight2, "outer", "left")
-              .join(arcs.pairs.select(F.col("key").alias("inner"), "p2"), "inner", "left")
-              .join(weight1, "before", "left").join(arcs.words, "token", "left")
-              .select(ROW, (F.log10(F.coalesce("weight2", F.lit(1.0))) + F.coalesce(F.log10("p2"), root)).alias("gain")))
-    return hits.unionByName(missed).groupBy(ROW).agg(F.sum("gain").alias("gain"))
-
-
-def _rows(batch: pa.RecordBatch, part, first: np.ndarray) -> np.ndarray:
-    return np.repeat(column(batch, ROW).to_numpy()[part.low:part.high], np.diff(first))
+    return arrow_map(source.select("group", "text"), "group bigint, key bigint", ask)
 
 
 def score_documents(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -317,66 +293,36 @@ def score_documents(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str
     """
     source = numbered(docs.select(F.col(doc_id).cast("long").alias("doc_id"), held_out.alias("held_out"),
                                   F.col(text).cast("string").alias("text")))
+    source = source.withColumn("group", F.shiftright(ROW, GROUP_BITS))
     training = source.where(~F.col("held_out")).select("text")
     vocabulary = materialise(_count(training, _words))
-    total = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("kinds"),
-                           F.coalesce(F.sum(F.when(F.col("key") == int(END.view(np.int64)), F.col("n"))), F.lit(0))
-                           .alias("texts")).first()
-    least, common = max(1.0, SHARE * total.n), max(1.0, COMMON * total.n)
-    pairs = materialise(_count(training, _pairs, "before", "token").where(F.col("n") >= least))
-    triples = materialise(_count(training, _triples, "outer", "inner").where(F.col("n") >= least))
-    frequent = _collected(vocabulary.where(F.col("n") >= common))
-    words = Words(*_sorted(frequent["key"], frequent["n"]), total.n, total.kinds, total.texts)
-    held = common <= least and max(pairs.count(), triples.count()) <= HELD
-    model = _automaton(words, _collected(pairs), _collected(triples)) if held else words
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    scored = materialise(arrow_map(
-        source, f"{ROW} bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, "
-                "base double, score double, rare array<bigint>, times array<bigint>",
-        lambda batch: _score(sent.value, batch)))
-    rare = scored.select(ROW, F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
-        ROW, F.col("x.rare").alias("key"), F.col("x.times").alias("times"))
-    root = F.log10(_share("n", total))
-    added = (rare.join(vocabulary.where(F.col("n") < common), "key", "left").groupBy(ROW).agg(
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"),
-        F.sum(F.col("times") * root).alias("more")))
-    whole = scored.join(added, ROW, "left")
-    if held:
-        score = F.col("score") + F.coalesce("more", F.lit(0.0))
-    else:
-        whole = whole.join(_gains(source, build_arcs(vocabulary, pairs, triples, total), least, total), ROW, "left")
-        score = F.coalesce("gain", F.lit(0.0))
-    return whole.select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(total.n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"), score.alias("score"))
-
-
-def _score(model: Automaton | Words, batch: pa.RecordBatch):
-    """Without an automaton the score is left out."""
-    words = model if isinstance(model, Words) else model.words
-    root = log_share(words.counts, words.tokens, words.kinds)
-    rows, ids, held = (column(batch, name) for name in (ROW, "doc_id", "held_out"))
-    for part in slices(column(batch, "text")):
-        tokens, first = _tokens(part)
-        n = part.high - part.low
-        numbers = words.numbers(tokens)
-        known = numbers >= 0
-        base = np.zeros(len(tokens))
-        base[known] = root[numbers[known]]
-        owner = np.repeat(np.arange(n), np.diff(first))
-        hashes, of = tokens[~known], owner[~known]
-        order = np.lexsort((hashes, of))
-        hashes, of = hashes[order], of[order]
-        new = np.ones(len(of), dtype=bool)
-        new[1:] = (of[1:] != of[:-1]) | (hashes[1:] != hashes[:-1])
-        start = np.flatnonzero(new)
-        bounds = np.searchsorted(of[start], np.arange(n + 1))
-        yield {ROW: rows.slice(part.low, n), "doc_id": ids.slice(part.low, n),
-               "held_out": held.slice(part.low, n), "n_tokens": np.diff(first),
-               "known": np.add.reduceat(known.astype(np.int64), first[:-1]),
-               "base": np.add.reduceat(base, first[:-1]),
-               "score": (None,) * n if model is words else np.add.reduceat(model.traverse(numbers, first), first[:-1]),
-               "rare": list_of(hashes[start], bounds),
-               "times": list_of(np.diff(np.append(start, len(of))), bounds)}
+    texts = F.sum(F.when(F.col("key") == int(END.view(np.int64)), F.col("n")))
+    totals = Totals(*vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(texts, F.lit(0))).first())
+    pairs = materialise(_count(training, _pairs).where(F.col("n") >= LEAST))
+    triples = materialise(_count(training, _triples).where(F.col("n") >= LEAST))
+    entries = model_entries(training, vocabulary, pairs, triples, totals)
+    kept = docs.sparkSession.sparkContext.broadcast(membership(pairs.select("key").unionByName(triples.select("key")), "key"))
+    found = materialise(_asked(source, kept).join(entries, "key").select("group", "key", "n", "weight"))
+    kept.destroy()
+
+    def score(texts: pa.Table, found: pa.Table) -> pa.Table:
+        keys, counts = (found[name].to_numpy() for name in ("key", "n"))
+        own = Entries.of(keys.view(np.uint64), counts, np.nan_to_num(found["weight"].to_numpy(), nan=1.0))
+        names = ("n_tokens", "n_known", "base_score", "score")
+        columns: dict[str, list] = {name: [] for name in names}
+        for part in slices(texts["text"]):
+            tokens, first = _tokens(part)
+            model, numbers, known = local_automaton(tokens, first, own, totals)
+            figures = (np.diff(first), np.add.reduceat((known > 0).astype(np.int64), first[:-1]),
+                       np.add.reduceat(model.root[numbers], first[:-1]), np.add.reduceat(model.traverse(numbers, first), first[:-1]))
+            for name, values in zip(names, figures):
+                columns[name].append(values)
+        table = pa.table({"doc_id": texts["doc_id"], "held_out": texts["held_out"],
+                          **{name: np.concatenate(columns[name]) for name in names}})
+        give_back()
+        return table
+
+    scored = (reach(source).groupBy("group").cogroup(found.groupBy("group"))
+              .applyInArrow(score, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(totals.tokens).cast("long").alias("train_tokens"),
+                         "base_score", "score")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableflow.llm.components import connected_components
-from tableflow.llm.frames import reach
+from tableflow.llm.frames import give_back, reach
 from tableflow.session import materialise
 
 BLOCK, STARS = 256, 256
@@ -150,6 +150,8 @@ def _links(blocks: DataFrame, sets: DataFrame, search: Search, stars: Stars | No
             held = table.slice(starts[-1]) if len(starts) else None
         if held is not None and len(held):
             yield _as_links([with_pivots(held, [0, len(held)]) if stars else compare(held)])
+        held = table = None
+        give_back()
 
     full = (reach(blocks).join(sets, "node").select("block", "part", "label", "node", "side", "items")
             .repartition("block", "part").sortWithinPartitions("block", "part", "side"))

@@ -69,12 +69,10 @@ def plain_scores(rows):
     train = [w for (_, w), h in zip(low, held) if not h]
     uni = Counter(w for t in train for w in t)
     total, kinds = sum(uni.values()), len(uni)
-    least = max(1.0, backoff_lm.SHARE * total)
-    frequent = {w for w, c in uni.items() if c >= least}
-    two = Counter((a, b) for t in train for a, b in zip(["<s>", *t], t) if b in frequent and (a == "<s>" or a in frequent))
-    two = {x: c for x, c in two.items() if c >= least}
-    three = Counter((a, b, c) for t in train for a, b, c in zip(["<s>", *t], t, t[1:]) if (a, b) in two and (b, c) in two)
-    three = {x: c for x, c in three.items() if c >= least}
+    two = Counter((a, b) for t in train for a, b in zip(["<s>", *t], t))
+    two = {x: c for x, c in two.items() if c >= 2}
+    three = Counter((a, b, c) for t in train for a, b, c in zip(["<s>", *t], t, t[1:]))
+    three = {x: c for x, c in three.items() if c >= 2}
     before = {**uni, "<s>": len(train)}
     d = backoff_lm.DISCOUNT
 
@@ -103,17 +101,18 @@ def plain_scores(rows):
             score += math.log10(p(state, w))
             state = (*state, w)[-2:]
             if state not in two:
-                state = (w,) if w in frequent else ()
+                state = (w,) if w in uni else ()
         yield i, h, len(t), sum(uni[w] > 0 for w in t), total, sum(math.log10(p1(w)) for w in t), score
 
 
-@pytest.mark.parametrize("share", [2.0 ** -20, 0.01])
-def test_scores_equal_those_of_plain_backoff(spark, folder, monkeypatch, share):
-    monkeypatch.setattr(backoff_lm, "SHARE", share)
+@pytest.mark.parametrize("bits", [0, 3, 10])
+def test_scores_equal_those_of_plain_backoff(spark, folder, monkeypatch, bits):
+    """Whatever texts share a group; a text of one word, and a word in most places (a hot pair and triple)."""
+    monkeypatch.setattr(backoff_lm, "GROUP_BITS", bits)
     monkeypatch.setattr(backoff_lm, "_STEPS", 7)
     rng = np.random.default_rng(1)
     rows = [(i, " ".join(rng.choice(list("abcdefgh"), rng.integers(0, 30), p=[.4, .2, .1, .1, .05, .05, .05, .05])) + (f" Rare{i}" if i % 3 == 0 else ""))
-            for i in range(40)] + [x for x in ODD if x[0] != 7] + [(77, "a b c " * 50)]
+            for i in range(40)] + ODD + [(77, "a b c " * 50), (78, "a " * 500), (79, "a a a")]
     docs = stored(spark, spark.createDataFrame(rows, SCHEMA), folder)
     held = quality_classifier.remainder(F.col("doc_id"), 10) == 0
     found = backoff_lm.score_documents(docs, held).collect()
@@ -123,12 +122,6 @@ def test_scores_equal_those_of_plain_backoff(spark, folder, monkeypatch, share):
         assert ours[5:] == pytest.approx(plain[5:], abs=1e-6)
 
 
-@pytest.mark.parametrize("share", [0.0, 0.01])
-def test_scores_from_tables_equal_those_of_plain_backoff(spark, folder, monkeypatch, share):
-    monkeypatch.setattr(backoff_lm, "HELD", 0)
-    test_scores_equal_those_of_plain_backoff(spark, folder, monkeypatch, share)
-
-
 def test_rare_ngrams_are_kept_in_a_large_corpus(spark, folder):
     """2^21 training tokens, in which a pair and a triple that stand once or twice have to count."""
     rows = [(i, "a " * ((1 << 18) - 1)) for i in range(1, 10)] + [(20, "x y z"), (22, "x y z"), (30, "x y z"), (31, "z y x")]
@@ -140,22 +133,31 @@ def test_rare_ngrams_are_kept_in_a_large_corpus(spark, folder):
     assert found[31].score < found[30].score
 
 
-def test_arcs_and_backoff_sum_to_one():
-    words_ = backoff_lm.Words(np.sort(np.arange(3, dtype=np.uint64)), np.array([6, 3, 2]), 11, 3, 2)
-    pairs = np.array([0 << 21 | 1, 1 << 21 | 0, 3 << 21 | 0])
-    model = backoff_lm.build_automaton(words_, pairs, np.array([3, 2, 2]), np.array([0 << 21 | 0]), np.array([2]))
-    unknown = 0.1 / (11 + 0.1 * 4)
+def test_arcs_and_backoff_sum_to_one(spark, folder):
+    """At every state of the automaton of a whole corpus, over all words of it and the unknown one."""
+    texts = ["a b c a b", "a b b a", "c a b c", "b a b c a b", "c c a"] * 2
+    training = stored(spark, spark.createDataFrame([(t,) for t in texts], "text string"), folder)
+    vocabulary = backoff_lm._count(training, backoff_lm._words)
+    pairs, triples = (backoff_lm._count(training, keys).where("n >= 2") for keys in (backoff_lm._pairs, backoff_lm._triples))
+    totals = backoff_lm.Totals(sum(len(t.split()) + 1 for t in texts), 4, len(texts))
+    rows = backoff_lm.model_entries(training, vocabulary, pairs, triples, totals).collect()
+    entries = backoff_lm.Entries.of(np.array([r.key for r in rows]).view(np.uint64), np.array([r.n for r in rows]),
+                                    np.array([1.0 if r.weight is None else r.weight for r in rows]))
+    part = next(backoff_lm.slices(__import__("pyarrow").array(texts)))
+    model, _, _ = backoff_lm.local_automaton(*backoff_lm._tokens(part), entries, totals)
+    unknown = 0.1 / (totals.tokens + 0.1 * 5)
+
+    def cost(word, state):
+        place = backoff_lm._lookup(model.arcs, np.array([state << backoff_lm._WIDTH | word]))[0]
+        if place >= 0:
+            return 10 ** model.costs[place]
+        return 10 ** model.root[word] if state == 0 else 10 ** model.backoff[state] * cost(word, model.failure[state])
+
     for state in range(len(model.backoff)):
-        def cost(word, s=state):
-            place = backoff_lm._lookup(model.arcs, np.array([s << 21 | word]))[0]
-            if place >= 0:
-                return 10 ** model.costs[place]
-            return 10 ** model.root[word] if s == 0 else 10 ** model.backoff[s] * cost(word, model.failure[s])
-        rare = unknown
-        s = state
+        rest, s = unknown, state
         while s:
-            rare, s = rare * 10 ** model.backoff[s], model.failure[s]
-        assert sum(cost(w) for w in range(3)) + rare == pytest.approx(1)
+            rest, s = rest * 10 ** model.backoff[s], model.failure[s]
+        assert sum(cost(w, state) for w in range(4)) + rest == pytest.approx(1)
 
 
 def test_language_model_of_nothing(spark, none, folder):
