@@ -57,3 +57,13 @@ def materialise(df: DataFrame, reader: SparkSession | None = None) -> DataFrame:
     schema = df.schema
     df.write.mode("errorifexists").parquet(path)
     return (reader or df.sparkSession).read.schema(schema).parquet(path)
+
+
+def release(*frames: DataFrame) -> None:
+    """Empty the folders of frames that ``materialise`` has given and that nothing will read again, so
+    that the steps of a long job do not all lie on disk together."""
+    for df in frames:
+        files = df.inputFiles()
+        if files:
+            empty = df.sparkSession.createDataFrame([], df.schema)
+            empty.write.mode("overwrite").parquet(files[0].rsplit("/", 1)[0])

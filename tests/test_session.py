@@ -1,11 +1,13 @@
 """The shared folder and the coverage of the registered queries."""
 
+from pathlib import Path
 from types import SimpleNamespace
+from urllib.parse import urlparse
 
 import pytest
 
 from tableflow.queries import REGISTRY
-from tableflow.session import materialise, shared_folder
+from tableflow.session import materialise, release, shared_folder
 from tableflow.sources.tables import Tables
 
 
@@ -29,6 +31,16 @@ def test_materialise_cuts_the_plan(spark):
     assert sorted(r.x for r in once.collect()) == [0, 1, 2]
 
 
+def test_released_rows_are_gone_from_the_disk(spark):
+    kept, gone = materialise(spark.range(1000)), materialise(spark.range(1000))
+    folder = Path(urlparse(gone.inputFiles()[0]).path).parent
+    before = sum(f.stat().st_size for f in folder.glob("*.parquet"))
+    release(gone)
+    assert sum(f.stat().st_size for f in folder.glob("*.parquet")) < before / 2
+    assert spark.read.parquet(str(folder)).count() == 0 and kept.count() == 1000
+    release(materialise(spark.range(0)))
+
+
 def test_tables_are_opened_by_name(spark):
     tables = Tables(spark, "/root/testdata/sf0.001/")
     assert len(tables) == 7 and tables["region"].count() == 5
