@@ -22,14 +22,14 @@ from pyspark.sql import functions as F
 
 from tableflow.llm.frames import ROW, arrow_map, column, give_back, is_member, membership, numbered, reach
 from tableflow.llm.textbytes import hash_bytes, mix, slices
-from tableflow.session import materialise
+from tableflow.session import materialise, release
 
 #: Pairs and triples that stand less often in the training part are no n-grams of the model.
 LEAST = 2
 DISCOUNT = 0.6
 SMOOTHING = 0.1
 #: Bits of a row's number in its group: texts that stand next to each other share their entries.
-GROUP_BITS = 10
+GROUP_BITS = 11
 _WIDTH = 24  # bits of a word's number in a slice of texts
 #: A word that no text has, since it holds a space: the end of a text.
 END = np.uint64(hash_bytes(b" end"))
@@ -235,10 +235,9 @@ def local_automaton(tokens: np.ndarray, first: np.ndarray, entries: Entries, tot
         log_share(counts[:-1], totals.tokens, totals.kinds)), numbers, counts[numbers]
 
 
-def model_entries(training: DataFrame, vocabulary: DataFrame, pairs: DataFrame, triples: DataFrame, totals: Totals) -> DataFrame:
-    """(key, n, weight) of all words, the start, and the n-grams that are kept."""
+def model_entries(training: DataFrame, vocabulary: DataFrame, pairs: DataFrame, triples: DataFrame, totals: Totals, kept) -> DataFrame:
+    """(key, n, weight) of all words, the start, and the n-grams that are kept (which the filter knows)."""
     end, start = (F.lit(int(x.view(np.int64))) for x in (END, START))
-    kept = training.sparkSession.sparkContext.broadcast(membership(pairs.select("key").unionByName(triples.select("key")), "key"))
     # a text has one end and one start, and no word follows the end
     whole = vocabulary.select(F.when(F.col("key") == end, start).otherwise(F.col("key")).alias("left"), F.col("n").alias("whole"))
     share = (F.col("n") + SMOOTHING) / (totals.tokens + SMOOTHING * (totals.kinds + 1))
@@ -249,12 +248,13 @@ def model_entries(training: DataFrame, vocabulary: DataFrame, pairs: DataFrame,
     inner = pairs.select(F.col("key").alias("right"), F.col("p2").alias("lower"))
     triples = materialise(triples.join(_parts(training, _triples, kept), "key").join(whole, "left").join(inner, "right")
                           .select("key", "left", "n", "whole", "lower"))
-    kept.destroy()
     contexts = vocabulary.select("key", "n").unionByName(vocabulary.where(F.col("key") == end).select(start.alias("key"), "n"))
-    return materialise(
+    entries = materialise(
         contexts.join(_failure(pairs), "key", "left")
         .unionByName(pairs.select("key", "n").join(_failure(triples), "key", "left"))
         .unionByName(triples.select("key", "n", F.lit(None).cast("double").alias("weight"))))
+    release(pairs, triples)
+    return entries
 
 
 def _failure(arcs: DataFrame) -> DataFrame:
@@ -300,10 +300,11 @@ def score_documents(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str
     totals = Totals(*vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(texts, F.lit(0))).first())
     pairs = materialise(_count(training, _pairs).where(F.col("n") >= LEAST))
     triples = materialise(_count(training, _triples).where(F.col("n") >= LEAST))
-    entries = model_entries(training, vocabulary, pairs, triples, totals)
     kept = docs.sparkSession.sparkContext.broadcast(membership(pairs.select("key").unionByName(triples.select("key")), "key"))
+    entries = model_entries(training, vocabulary, pairs, triples, totals, kept)
     found = materialise(_asked(source, kept).join(entries, "key").select("group", "key", "n", "weight"))
     kept.destroy()
+    release(vocabulary, pairs, triples, entries)
 
     def score(texts: pa.Table, found: pa.Table) -> pa.Table:
         keys, counts = (found[name].to_numpy() for name in ("key", "n"))

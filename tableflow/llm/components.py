@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableflow.session import materialise
+from tableflow.session import materialise, release
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -20,8 +20,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     pairs = materialise(_larger_first(edges.select("a", "b")))
     before = None
     while (now := _signature(pairs)) != before:
-        before = now
-        pairs = materialise(_small_star(_large_star(pairs)))
+        before, old = now, pairs
+        pairs = materialise(_small_star(_large_star(old)))
+        release(old)
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
         pairs.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
 

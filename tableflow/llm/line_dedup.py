@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tableflow.llm.frames import ROW, arrow_map, column, is_member, membership, numbered
 from tableflow.llm.linking import link_components, shared_lists
 from tableflow.llm.textbytes import mix, slices
-from tableflow.session import materialise
+from tableflow.session import materialise, release
 
 SHINGLE, HASHES, BANDS, ROWS = 5, 48, 20, 7
 PERCENT = 80
@@ -260,6 +260,7 @@ def repeated_lines(source: DataFrame) -> tuple[DataFrame, DataFrame]:
     places.destroy()
     alike = SimilarLines(PERCENT)
     labels = link_components(lists, texts, alike.search, BLOCK, alike.stars)
+    release(lists, first, texts)
     named = occurrences.join(labels, "node", "left").select(ROW, "line", F.coalesce("label", "node").alias("label"))
     # written out, so that the join with it can be split where many lines have one label
     first = materialise(named.groupBy("label").agg(F.min(F.struct(ROW, "line")).alias("first"), F.count("*").alias("n"))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tableflow.llm.components import connected_components
 from tableflow.llm.frames import give_back, reach
-from tableflow.session import materialise
+from tableflow.session import materialise, release
 
 BLOCK, STARS = 256, 256
 
@@ -55,8 +55,11 @@ def link_components(lists: DataFrame, sets: DataFrame, search: Search, block: in
     block = block or BLOCK
     tied = _links(_star_blocks(lists, block), sets, search, stars)
     near = materialise(_near_labels(tied))
-    more = _links(_pair_blocks(materialise(_unsettled(lists, near, block))), sets, search)
-    return _all_labels(tied.unionByName(more), near)
+    rest = materialise(_unsettled(lists, near, block))
+    more = _links(_pair_blocks(rest), sets, search)
+    labels = _all_labels(tied.unionByName(more), near)
+    release(rest, tied, more, near)
+    return labels
 
 
 def _all_labels(edges: DataFrame, near: DataFrame) -> DataFrame:

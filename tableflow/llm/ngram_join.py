@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tableflow.llm.frames import ROW, arrow_map, column, is_member, list_of, membership, numbered, reach
 from tableflow.llm.linking import link_components, shared_lists
 from tableflow.llm.textbytes import distinct_by_row, mix, shingles, slices
-from tableflow.session import materialise
+from tableflow.session import materialise, release
 
 #: The table of counts has 2^24 cells (16 MB as levels) in 2^8 blocks.
 _CELL_BITS, _BLOCK_BITS = 24, 8
@@ -113,8 +113,10 @@ def _sharing(lists: DataFrame) -> DataFrame:
     """Rows (key, node, pivot) of the sets that share as many rare shingles as a link takes. A set
     that goes can take that from others, so this is done twice."""
     for _ in range(2):
+        old = lists
         enough = lists.groupBy("node").agg(F.count("*").alias("n"), F.first("least").alias("need")).where("n >= need").select("node")
-        lists = materialise(shared_lists(lists.join(enough, "node"), "least"))
+        lists = materialise(shared_lists(old.join(enough, "node"), "least"))
+        release(old)
     return lists
 
 
@@ -229,6 +231,7 @@ def join_similar(docs: DataFrame, k: int, percent: int, doc_id: str = "doc_id",
     texts = materialise(arrow_map(source.select(F.xxhash64(ROW).alias("bit"), "text"), "node bigint, items binary", full))
     bits.destroy()
     labels = link_components(lists, texts, occurrence_search(k, percent))
+    release(lists, wanted, texts)
     grouped = named.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     # written out, so that the join with it can be split where many rows have one label
     least = materialise(grouped.where("n_shingles > 0").groupBy("label")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from helpers import (ODD, SCHEMA, brute_components, brute_tiles, empty_documents, odd_documents, stored,
                      words)
-from tableflow.llm import (backoff_lm, decontamination, license_scan, line_dedup, ngram_join, packing,
+from tableflow.llm import (backoff_lm, decontamination, frames, license_scan, line_dedup, ngram_join, packing,
                            quality_classifier, quality_rules, sharding, url_filter)
 from tableflow.llm.components import connected_components
 
@@ -140,7 +140,8 @@ def test_arcs_and_backoff_sum_to_one(spark, folder):
     vocabulary = backoff_lm._count(training, backoff_lm._words)
     pairs, triples = (backoff_lm._count(training, keys).where("n >= 2") for keys in (backoff_lm._pairs, backoff_lm._triples))
     totals = backoff_lm.Totals(sum(len(t.split()) + 1 for t in texts), 4, len(texts))
-    rows = backoff_lm.model_entries(training, vocabulary, pairs, triples, totals).collect()
+    kept = spark.sparkContext.broadcast(frames.membership(pairs.union(triples).select("key"), "key"))
+    rows = backoff_lm.model_entries(training, vocabulary, pairs, triples, totals, kept).collect()
     entries = backoff_lm.Entries.of(np.array([r.key for r in rows]).view(np.uint64), np.array([r.n for r in rows]),
                                     np.array([1.0 if r.weight is None else r.weight for r in rows]))
     part = next(backoff_lm.slices(__import__("pyarrow").array(texts)))
