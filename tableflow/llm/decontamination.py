@@ -9,6 +9,7 @@ least ``PERCENT`` stands in the document, in whatever order its passages come.
 
 from __future__ import annotations
 
+import heapq
 from collections import defaultdict
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableflow.llm.frames import ROW, arrow_map, column, is_member, list_of, membership, numbered
-from tableflow.llm.textbytes import slices, windows
+from tableflow.llm.textbytes import Rolling, Slice, slices, windows
 from tableflow.session import materialise
 
 SEED, PERCENT = 5, 80
@@ -27,11 +28,11 @@ _START = 32  # first run length of the search
 def greedy_tiles(item: np.ndarray, text: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     """Tiles (place in the item, place in the text, length), longest first, none overlapping."""
     own, other = item.tolist(), text.tolist()
-    used_own, used_other = [False] * len(own), [False] * len(other)
-    tiles: list[tuple[int, int, int]] = []
+    used_own, used_other = bytearray(len(own)), bytearray(len(other))
+    hashes, tiles = (Rolling(item), Rolling(text)), []
     length = max(least, min(_START, len(own)))
     while True:
-        matches = _matches(item, text, own, other, used_own, used_other, length)
+        matches = _matches(*hashes, own, other, used_own, used_other, length)
         longest = max((n for *_, n in matches), default=0)
         if longest > 2 * length:
             length = longest
@@ -42,15 +43,17 @@ def greedy_tiles(item: np.ndarray, text: np.ndarray, least: int) -> list[tuple[i
         length = max(least, length // 2)
 
 
-def _matches(item, text, own, other, used_own, used_other, length: int) -> list[tuple[int, int, int]]:
-    """Unmarked common runs of at least ``length``, from every pair of equal windows on."""
+def _matches(item: Rolling, text: Rolling, own, other, used_own, used_other, length: int) -> list[tuple[int, int, int]]:
+    """Unmarked common runs of at least ``length`` that cannot be longer to the left."""
     places = defaultdict(list)
-    for place, window in enumerate(windows(item, length).tolist()):
+    for place, window in enumerate(item.windows(length).tolist()):
         places[window].append(place)
     found = []
-    whole = windows(text, length)
-    for b in np.flatnonzero(np.isin(whole, windows(item, length))).tolist():
+    whole = text.windows(length)
+    for b in np.flatnonzero(np.isin(whole, np.fromiter(places, np.uint64, len(places)))).tolist():
         for a in places[int(whole[b])]:
+            if a and b and own[a - 1] == other[b - 1] and not used_own[a - 1] and not used_other[b - 1]:
+                continue
             n = 0
             while (a + n < len(own) and b + n < len(other) and own[a + n] == other[b + n]
                    and not used_own[a + n] and not used_other[b + n]):
@@ -61,15 +64,28 @@ def _matches(item, text, own, other, used_own, used_other, length: int) -> list[
 
 
 def _mark(matches, tiles, used_own, used_other, length: int) -> None:
-    """Mark the longest first; what an earlier tile cuts off the front or end is shortened."""
-    for a, b, n in sorted(matches, key=lambda x: (-x[2], x[0], x[1])):
-        free = 0
-        while free < n and not used_own[a + free] and not used_other[b + free]:
-            free += 1
-        if free >= length:
-            for i in range(free):
-                used_own[a + i] = used_other[b + i] = True
-            tiles.append((a, b, free))
+    """Mark the longest first; what earlier tiles leave of a run takes its turn by its length."""
+    waiting = [(-n, a, b) for a, b, n in matches]
+    heapq.heapify(waiting)
+    while waiting:
+        n, a, b = heapq.heappop(waiting)
+        n = -n
+        taken = [i for i in range(n) if used_own[a + i] or used_other[b + i]]
+        if not taken:
+            used_own[a:a + n] = used_other[b:b + n] = b"\1" * n
+            tiles.append((a, b, n))
+            continue
+        for low, high in zip([-1, *taken], [*taken, n]):
+            if high - low - 1 >= length:
+                heapq.heappush(waiting, (low + 1 - high, a + low + 1, b + low + 1))
+
+
+def is_a_line(item: np.ndarray, part: Slice, low: int, high: int) -> bool:
+    """Whether a line of a text (words ``low`` to ``high`` - 1 of the slice) has the words of the item, and no other."""
+    line = np.searchsorted(np.flatnonzero(part.data == 10), part.starts[low:high])
+    first = np.flatnonzero(np.diff(line, prepend=-1))
+    fits = np.flatnonzero(np.diff(first, append=len(line)) == len(item))
+    return any((part.hashes[low + at:low + at + len(item)] == item).all() for at in first[fits].tolist())
 
 
 def _seeds(items: DataFrame) -> DataFrame:
@@ -92,7 +108,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, source: DataFrame | None
     """(row number, doc_id, item_id, item_words, covered_words, n_tiles) of every document and item
     that stands in it.
 
-    Null and empty texts on either side match nothing. Repeated rows on either side give a row each.
+    An item of fewer than ``SEED`` words stands in a document only as a whole line, so that a short answer
+    does not mark every text with its words. Null and empty texts on either side match nothing. Repeated rows on either side give a row each.
     Words are parted by white space, A-Z made small. Other columns are not used.
     """
     source = numbered(docs) if source is None else source
@@ -143,6 +160,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, source: DataFrame | None
         for part in slices(column(batch, "text")):
             for row, a, b in part.texts():
                 item = own[row]
+                if len(item) < SEED and not is_a_line(item, part, a, b):
+                    continue
                 tiles = greedy_tiles(item, part.hashes[a:b], min(SEED, len(item)))
                 covered = sum(n for *_, n in tiles)
                 if 100 * covered >= PERCENT * len(item):

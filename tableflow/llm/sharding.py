@@ -43,18 +43,19 @@ def shuffle_rows(docs: DataFrame, seed: int = 7, bucket_bytes: int = 32 << 20,
                  text: str = "text") -> DataFrame:
     """All rows with their bucket and their random place in it (gapless from 0), written out.
 
-    Rows that are equal in every column fall into one bucket, in any order; other rows scatter
-    evenly, whatever key, source or text they share. Null texts count as no bytes. An empty table
-    gives no rows. Column names of the table may be any but those that are added here.
+    A row scatters by a hash of its columns and of its place in the stored table, so rows scatter evenly,
+    also those that are equal in every column, and a task that runs again gives the same buckets. Null
+    texts count as no bytes. An empty table gives no rows. Column names of the table may be any but those that are added here.
     """
     taken = {BUCKET, PLACE, _HASH} & set(docs.columns)
     if taken:
         raise ValueError(f"columns {sorted(taken)} are taken")
     size = docs.agg(F.sum(record_bytes(F.col(text)).cast("long")).alias("n")).first().n or 0
     buckets = max(1, math.ceil(size / bucket_bytes))
-    scattered = docs.withColumn(_HASH, F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in docs.columns]))
+    row = [F.col(f"`{c}`") for c in docs.columns]
+    scattered = docs.withColumn(_HASH, F.xxhash64(F.lit(seed), F.monotonically_increasing_id(), *row))
     scattered = scattered.withColumn(BUCKET, F.pmod(F.xxhash64(F.lit(seed), F.col(_HASH)), F.lit(buckets)).cast("int"))
-    scattered = scattered.repartition(buckets, BUCKET)
+    scattered = scattered.repartitionById(buckets, F.col(BUCKET))  # a bucket is a partition
     schema = ", ".join([*(f"`{name}` {kind}" for name, kind in docs.dtypes), f"{BUCKET} int, {PLACE} bigint"])
     names = [*docs.columns, BUCKET]
 

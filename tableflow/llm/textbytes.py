@@ -20,8 +20,6 @@ SLICE = 1 << 20
 PIECE = 1 << 17
 
 _BASE = 0x9E3779B97F4A7C15 | 1
-_ORDER = (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
-          0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F)
 
 
 def _table(members: Iterable[int]) -> np.ndarray:
@@ -168,17 +166,28 @@ def _slice(low: int, high: int, data: np.ndarray, bounds: np.ndarray, word: np.n
     return Slice(low, high, data, bounds, starts, ends, hashes, np.searchsorted(starts, bounds))
 
 
+class Rolling:
+    """Running Karp-Rabin hashes of a sequence of words: sums of their hashes times powers of a base,
+    from which windows of any length take one pass."""
+
+    def __init__(self, hashes: np.ndarray):
+        def powers(factor: int) -> np.ndarray:
+            out = np.full(len(hashes) + 1, factor, dtype=np.uint64)
+            out[0] = 1
+            return np.multiply.accumulate(out)
+
+        self.down = powers(pow(_BASE, -1, 1 << 64))
+        self.sums = np.concatenate([[np.uint64(0)], np.cumsum(hashes * powers(_BASE)[:-1], dtype=np.uint64)])
+
+    def windows(self, k: int) -> np.ndarray:
+        """Hash of the k words from each word on; the order of the words matters."""
+        if k >= len(self.sums):
+            return np.empty(0, dtype=np.uint64)
+        return mix((self.sums[k:] - self.sums[:-k]) * self.down[:len(self.sums) - k])
+
+
 def windows(hashes: np.ndarray, k: int) -> np.ndarray:
-    """Hash of the k words from each word on; the order of the words matters."""
-    if len(hashes) < k:
-        return np.empty(0, dtype=np.uint64)
-    last = len(hashes) - k + 1
-    total = np.zeros(last, dtype=np.uint64)
-    for i in range(k):
-        total += hashes[i:i + last] * np.uint64(_ORDER[i % 8]) + np.uint64(i)
-        total ^= total >> np.uint64(32)
-        total *= np.uint64(_BASE)
-    return mix(total)
+    return Rolling(hashes).windows(k)
 
 
 def shingles(part: Slice, k: int) -> tuple[np.ndarray, np.ndarray]:

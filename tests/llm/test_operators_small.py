@@ -2,6 +2,7 @@
 
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -49,6 +50,29 @@ def test_shards_hold_every_row_once(spark, odd, shards):
     assert max(sizes) - min(sizes) <= 1 and set(slots) <= set(range(shards))
 
 
+def test_equal_rows_are_scattered(spark, folder):
+    """A third of the rows are one row: no bucket holds much more than its share."""
+    rows = [(1, "same text " * 20)] * 400 + [(i, f"text {i} " * 20) for i in range(800)]
+    docs = stored(spark, spark.createDataFrame(rows, SCHEMA), folder)
+    shuffled = sharding.shuffle_rows(docs, bucket_bytes=20_000).collect()
+    sizes = Counter(r[sharding.BUCKET] for r in shuffled)
+    assert Counter((r.doc_id, r.text) for r in shuffled) == Counter(rows)
+    assert len(sizes) > 5 and max(sizes.values()) < 2 * len(rows) / len(sizes)
+    assert len({r[sharding.BUCKET] for r in shuffled if r.doc_id == 1}) == len(sizes)
+
+
+def test_query_columns_of_shards(spark):
+    from tableflow.llm.queries import QUERIES
+    found = QUERIES["op1_sharding"](spark, "/root/testdata/sf0.001").collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    for r in found:
+        raw = (texts[r.doc_id] or "").encode()
+        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(raw) + 16, zlib.crc32(raw), "rows", None)
+    places = sorted((r.shard, r.slot) for r in found)
+    sizes = Counter(shard for shard, _ in places)
+    assert places == [(s, i) for s in range(40) for i in range(sizes[s])] and max(sizes.values()) - min(sizes.values()) <= 1
+
+
 def test_write_shards_round_trip(spark, odd, folder):
     sharding.write_shards(sharding.assign_shards(sharding.shuffle_rows(odd), 3), f"{folder}/out")
     back = spark.read.parquet(f"{folder}/out")
@@ -301,6 +325,21 @@ def test_tiles_equal_brute_force():
         assert len(spans) == len(set(spans)) and all((item[a:a + n] == text[b:b + n]).all() for a, b, n in ours)
 
 
+def test_repetitive_texts_are_tiled_fast():
+    """200 equal words against 5,000: one run of the item, and no pair of places twice."""
+    began = time.perf_counter()
+    word = np.full(5000, 7, dtype=np.uint64)
+    assert sum(n for *_, n in decontamination.greedy_tiles(word[:200], word, 5)) == 200
+    assert time.perf_counter() - began < 3
+
+
+def test_short_items_have_to_be_a_line(spark, folder):
+    docs = stored(spark, spark.createDataFrame([(1, "well yes indeed"), (2, "well\n YES \nindeed"), (3, "yes"), (4, "yes yes")], SCHEMA), folder)
+    items = spark.createDataFrame([(9, "Yes"), (8, "indeed well"), (7, "")], "item_id long, text string")
+    found = decontamination.contaminated(docs, items).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(2, 9), (3, 9)}
+
+
 def test_contaminated_documents(spark, folder):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omikron pi rho sigma tau upsilon"
     w = item.split()
