@@ -4,8 +4,8 @@ Two sets that link have so many shingles in common that they share some of their
 the n - ceil(share * n) + l rarest of each, at least l. A set for which fewer of these stand in any
 other set links with none. What is rare is read from counts of all shingles in a table of fixed size;
 any order would do for right results. Sets that meet under rare shingles are compared by a search in an inverted index: a set that links with a query is on at least T
-of the query's lists. The longest lists are set aside (DivideSkip), the short ones are merged (by a
-heap, if they are not many), and what they name often enough is looked up in the long ones by bisection. Sets that are found
+of the query's lists. The longest lists are set aside (DivideSkip), the short ones are merged run by
+run, and what they name often enough is looked up in the long ones by bisection. Sets that are found
 are verified exactly.
 
 Documents with equal sets are one node, named by a 64-bit hash of the set.
@@ -13,9 +13,7 @@ Documents with equal sets are one node, named by a 64-bit hash of the set.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
-from itertools import groupby
 from math import log2
 
 import numpy as np
@@ -31,8 +29,8 @@ from tableflow.session import materialise, release
 #: The table of counts has 2^24 cells (16 MB as levels) in 2^8 blocks.
 _CELL_BITS, _BLOCK_BITS = 24, 8
 #: Weight of the lists' length in the number of lists set aside (DivideSkip); a look-up in a list costs
-#: as much as merging many entries here, so few are. Entries that a heap merges at most.
-_MU, _HEAP = 20, 64
+#: as much as merging many entries here, so few are.
+_MU = 20
 
 
 def shingle_sets(texts: pa.Array, k: int):
@@ -165,17 +163,12 @@ class InvertedIndex:
         return names[counts >= target].tolist()
 
     def _merge(self, low: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers on the lists, each with how many lists it is on: by a heap while the lists hold
-        little, by counting all their entries at once when they hold much."""
-        total = int(sizes.sum())
-        if total <= _HEAP:
-            lists = [self.numbers[a:a + n].tolist() for a, n in zip(low.tolist(), sizes.tolist())]
-            found = [(number, sum(1 for _ in run)) for number, run in groupby(heapq.merge(*lists))]
-            return np.array([x for x, _ in found], dtype=np.int64), np.array([n for _, n in found], dtype=np.int64)
+        """Numbers on the lists, each with how many lists it is on. The lists are sorted runs that follow
+        each other, which a stable sort finds and merges, as a heap does."""
         ends = np.cumsum(sizes)
-        counts = np.bincount(self.numbers[np.arange(total) + np.repeat(low - (ends - sizes), sizes)])
-        names = np.flatnonzero(counts)
-        return names, counts[names]
+        merged = np.sort(self.numbers[np.arange(ends[-1]) + np.repeat(low - (ends - sizes), sizes)], kind="stable")
+        start = np.flatnonzero(np.concatenate([[True], merged[1:] != merged[:-1]]))
+        return merged[start], np.diff(start, append=len(merged))
 
 
 def occurrence_search(k: int, percent: int):
