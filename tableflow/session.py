@@ -9,6 +9,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(app_name: str = "tableflow", master: str | None = None,
@@ -51,11 +52,17 @@ def materialise(df: DataFrame, reader: SparkSession | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back (in the session ``reader``, if given).
 
     Cuts the lineage like ``checkpoint()`` does, but stays columnar, so later steps still prune
-    columns and push filters. The rows survive the loss of any executor.
+    columns and push filters. The rows survive the loss of any executor. The shuffle files of the step
+    go once it is written.
     """
     path = f"{shared_folder(df.sparkSession)}/tableflow/{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.mode("errorifexists").parquet(path)
+    before = df.sparkSession.conf.get(_CLEANUP_SETTING, "false")
+    df.sparkSession.conf.set(_CLEANUP_SETTING, "true")
+    try:
+        df.write.mode("errorifexists").parquet(path)
+    finally:
+        df.sparkSession.conf.set(_CLEANUP_SETTING, before)
     return (reader or df.sparkSession).read.schema(schema).parquet(path)
 
 

@@ -1,10 +1,12 @@
 """The shared folder and the coverage of the registered queries."""
 
+import time
 from pathlib import Path
 from types import SimpleNamespace
 from urllib.parse import urlparse
 
 import pytest
+from pyspark.sql import functions as F
 
 from tableflow.queries import REGISTRY
 from tableflow.session import materialise, release, shared_folder
@@ -31,6 +33,23 @@ def test_materialise_cuts_the_plan(spark):
     assert sorted(r.x for r in once.collect()) == [0, 1, 2]
 
 
+def test_shuffle_files_go_with_the_step(spark):
+    tracker = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def files():
+        return sum("shuffle" in str(x) for x in tracker.getAllFiles().mkString(",").split(","))
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting, before = spark.conf.get(name), files()
+    step = materialise(spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 7).alias("x")).count())
+    for _ in range(50):  # they are deleted in the background
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before and spark.conf.get(name) == setting
+    assert step.count() == 7
+
+
 def test_released_rows_are_gone_from_the_disk(spark):
     kept, gone = materialise(spark.range(1000)), materialise(spark.range(1000))
     folder = Path(urlparse(gone.inputFiles()[0]).path).parent
