@@ -43,14 +43,22 @@ def greedy_tiles(item: np.ndarray, text: np.ndarray, least: int) -> list[tuple[i
         length = max(least, length // 2)
 
 
+def _unmarked(used: bytearray, length: int) -> np.ndarray:
+    """Whether each window of so many words has no marked one."""
+    sums = np.concatenate([[0], np.cumsum(np.frombuffer(bytes(used), dtype=np.uint8), dtype=np.int64)])
+    return sums[length:] == sums[:-length]
+
+
 def _matches(item: Rolling, text: Rolling, own, other, used_own, used_other, length: int) -> list[tuple[int, int, int]]:
     """Unmarked common runs of at least ``length`` that cannot be longer to the left."""
     places = defaultdict(list)
-    for place, window in enumerate(item.windows(length).tolist()):
-        places[window].append(place)
+    windows = item.windows(length)
+    for place in np.flatnonzero(_unmarked(used_own, length)).tolist():
+        places[int(windows[place])].append(place)
     found = []
     whole = text.windows(length)
-    for b in np.flatnonzero(np.isin(whole, np.fromiter(places, np.uint64, len(places)))).tolist():
+    known = np.isin(whole, np.fromiter(places, np.uint64, len(places)))
+    for b in np.flatnonzero(known & _unmarked(used_other, length)).tolist():
         for a in places[int(whole[b])]:
             if a and b and own[a - 1] == other[b - 1] and not used_own[a - 1] and not used_other[b - 1]:
                 continue
@@ -70,6 +78,8 @@ def _mark(matches, tiles, used_own, used_other, length: int) -> None:
     while waiting:
         n, a, b = heapq.heappop(waiting)
         n = -n
+        if used_own.find(0, a, a + n) < 0 or used_other.find(0, b, b + n) < 0:
+            continue  # nothing of it is left
         taken = [i for i in range(n) if used_own[a + i] or used_other[b + i]]
         if not taken:
             used_own[a:a + n] = used_other[b:b + n] = b"\1" * n
