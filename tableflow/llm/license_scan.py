@@ -92,6 +92,53 @@ def _gnu():
                                   f"version {version} of the License", False, (name, f"version {version} of"))
 
 
+# Headings and sentences of the license texts themselves, for files without a notice.
+BODIES = tuple(template(label, text, False, deciding) for label, text, *deciding in (
+    ("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial "
+            "portions of the Software", "above copyright notice and this permission notice shall be included"),
+    ("bsd", "Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+            "following disclaimer", "Redistributions of source code must retain"),
+    ("bsd", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+            "following disclaimer in the documentation and/or other materials provided with the distribution",
+     "Redistributions in binary form must reproduce"),
+    ("bsd-3-clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+                     "promote products derived from this software without specific prior written permission",
+     "may be used to endorse or promote products"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies",
+     "for any purpose with or without fee is hereby granted"),
+    ("unlicense", "This is free and unencumbered software released into the public domain", "free and unencumbered software"),
+    ("unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source "
+                  "code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means",
+     "Anyone is free to copy modify publish"),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+             "liable for any damages arising from the use of this software",
+     "provided as is without any express or implied warranty", "will the authors be held liable"),
+    ("zlib", "The origin of this software must not be misrepresented; you must not claim that you wrote the original software",
+     "origin of this software must not be misrepresented"),
+    ("epl-1.0", "Eclipse Public License - v 1.0", "Eclipse Public License - v 1.0"),
+    ("epl-2.0", "Eclipse Public License - v 2.0", "Eclipse Public License - v 2.0"),
+    ("epl-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+     "Eclipse Public License 2.0"),
+    ("epl", "The accompanying program is provided under the terms of this Eclipse Public License", "this Eclipse Public License"),
+    ("apache-2.0", "Apache License, Version 2.0, January 2004", "Apache License, Version 2.0, January 2004"),
+    ("apache-2.0", "Terms and conditions for use, reproduction, and distribution",
+     "Terms and conditions for use, reproduction, and distribution"),
+    ("apache-2.0", "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, "
+                   "worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare "
+                   "Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work",
+     "each Contributor hereby grants to You"),
+    ("mpl-2.0", "Mozilla Public License, Version 2.0", "Mozilla Public License, Version 2.0"),
+    ("gpl-2.0", "GNU General Public License, Version 2, June 1991", "GNU General Public License, Version 2, June 1991"),
+    ("gpl-3.0", "GNU General Public License, Version 3, 29 June 2007", "GNU General Public License, Version 3, 29 June 2007"),
+    ("agpl-3.0", "GNU Affero General Public License, Version 3, 19 November 2007",
+     "GNU Affero General Public License, Version 3, 19 November 2007"),
+    ("lgpl-2.1", "GNU Lesser General Public License, Version 2.1, February 1999",
+     "GNU Lesser General Public License, Version 2.1, February 1999"),
+    ("lgpl-3.0", "GNU Lesser General Public License, Version 3, 29 June 2007",
+     "GNU Lesser General Public License, Version 3, 29 June 2007"),
+))
+
 NOTICES = tuple(template(label, text, False, deciding) for label, text, *deciding in (
     ("apache-2.0", "Licensed under the Apache License, Version 2.0", "Apache License, Version 2.0"),
     ("apache-1.1", "Licensed under the Apache License, Version 1.1", "Apache License, Version 1.1"),
@@ -108,7 +155,7 @@ NOTICES = tuple(template(label, text, False, deciding) for label, text, *decidin
      "Mozilla Public License, v. 2.0"),
     ("mpl-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1",
      "Mozilla Public License Version 1.1"),
-)) + tuple(_creative_commons()) + tuple(_gnu())
+)) + BODIES + tuple(_creative_commons()) + tuple(_gnu())
 
 
 def _grams(templates: Sequence[Template]) -> list[tuple[int, int, int, int]]:

@@ -418,6 +418,65 @@ def test_licenses(spark, folder, odd, none):
     assert license_scan.scan_licenses(odd).count() == len(ODD) and license_scan.scan_licenses(none).count() == 0
 
 
+def brute_labels(text):
+    """Labels of the notices in a text by trying every window of every template."""
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())
+    labels = set()
+    for one in license_scan.NOTICES:
+        k, n = one.window, len(one.words)
+        votes = sorted({(i - j, j) for i in range(len(w) - k + 1) for j in range(n - k + 1) if tuple(w[i:i + k]) == one.words[j:j + k]})
+        spans = []
+        for diagonal, j in votes:
+            if not spans or diagonal - spans[-1][-1][0] > license_scan.GAP:
+                spans.append([])
+            spans[-1].append((diagonal, j))
+        for span in spans:
+            covered = {j + x for _, j in span for x in range(k)}
+            beside = {j + x for _, j in span for x in range(k - 1)}
+            places = [diagonal + j for diagonal, j in span]
+            wide = max(places) + k - min(places)
+            decides = {p for p in range(n) if one.deciding >> p & 1}
+            if len(covered) >= license_scan.COVERED * n and decides <= beside and wide <= 1.5 * n + license_scan.GAP:
+                labels.add(one.label)
+    return labels
+
+
+def test_license_texts_equal_brute_force(spark, folder):
+    """Whole sentences of licenses without a notice line, with words added, left out and changed."""
+    chance = np.random.default_rng(8)
+    texts = []
+    for one in license_scan.NOTICES:
+        words_ = list(one.words)
+        texts.append(" ".join(words_))
+        for _ in range(2):
+            own = words_[:]
+            for _ in range(int(chance.integers(1, 4))):
+                at = int(chance.integers(0, len(own)))
+                own[at:at + int(chance.integers(0, 2))] = ["foo"] * int(chance.integers(0, 3))
+            texts.append("bar " * int(chance.integers(0, 9)) + " ".join(own) + " the end. " + " ".join(words_[:5]))
+    texts += [a + " " + b for a, b in zip(texts[::7], texts[3::7])] + ["", "nothing here"]
+    docs = stored(spark, spark.createDataFrame(list(enumerate(texts)), SCHEMA), folder, "license_texts")
+    phrases = [(" " + " ".join(p.words) + " ", p.label) for p in license_scan.PHRASES]
+    for row in license_scan.scan_licenses(docs).collect():
+        flat = " " + " ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", texts[row.doc_id].lower())) + " "
+        base = {label for phrase, label in phrases if phrase in flat}
+        assert row.labels == ",".join(sorted(base | brute_labels(texts[row.doc_id]))), texts[row.doc_id]
+
+
+@pytest.mark.parametrize("label, text", [
+    ("mit", "x. The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("bsd", "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+    ("bsd-3-clause", "3. Neither the name of Example Corp nor the names of its contributors may be used to endorse or promote products derived "
+                     "from this software without specific prior written permission."),
+    ("isc", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that "
+            "the above copyright notice and this permission notice appear in all copies."),
+    ("", "This software may be used by anyone, and the above copyright notice is not needed in a copy."),
+    ("zlib", "1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software."),
+])
+def test_license_bodies(label, text):
+    assert brute_labels(text) == ({label} if label else set())
+
+
 def test_neighbouring_licenses_are_told_apart(spark, folder):
     gnu = "under the terms of the GNU {}General Public License as published by the Free Software Foundation; either version {} of the License"
     work = "This work is licensed under a Creative Commons Attribution{} 4.0 International License"
