@@ -99,7 +99,7 @@ def _triples(tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
     pairs = _pairs(tokens, first)[0]
     outer = _context(pairs, first, OPEN)
     inside = outer != OPEN
-    return _joined(outer, tokens)[inside], outer[inside], pairs[inside]
+    return _joined(outer[inside], pairs[inside]), outer[inside], pairs[inside]
 
 
 def _count(training: DataFrame, keys) -> DataFrame:
@@ -114,7 +114,8 @@ def _count(training: DataFrame, keys) -> DataFrame:
 
 
 def _parts(training: DataFrame, keys, kept) -> DataFrame:
-    """(key, left, right) with the parts of the keys that the filter ``kept`` knows."""
+    """(left, right) of the keys that the filter ``kept`` knows, once each, written out: the parts make the
+    key, so only they are shuffled, and that shuffle is gone when the joins have theirs."""
     def find(batch: pa.RecordBatch):
         held: set = set()
         for part in slices(column(batch, "text")):
@@ -124,10 +125,18 @@ def _parts(training: DataFrame, keys, kept) -> DataFrame:
             new = np.array([i for i, x in enumerate(key.tolist()) if x not in held], dtype=np.int64)
             held.update(key[new].tolist())
             at = at[first[new]]
-            yield {"key": key[new], "left": left[at], "right": right[at]}
+            yield {"left": left[at], "right": right[at]}
 
-    return (arrow_map(training, "key bigint, left bigint, right bigint", find)
-            .groupBy("key").agg(F.min("left").alias("left"), F.min("right").alias("right")))
+    return materialise(arrow_map(training, "left bigint, right bigint", find).distinct())
+
+
+def _named(parts: DataFrame) -> DataFrame:
+    """Parts with the key that they make."""
+    def name(batch: pa.RecordBatch):
+        left, right = (column(batch, side).to_numpy() for side in ("left", "right"))
+        yield {"key": _joined(left.view(np.uint64), right.view(np.uint64)), "left": left, "right": right}
+
+    return arrow_map(parts, "key bigint, left bigint, right bigint", name)
 
 
 @dataclass
@@ -242,12 +251,16 @@ def model_entries(training: DataFrame, vocabulary: DataFrame, pairs: DataFrame,
     whole = vocabulary.select(F.when(F.col("key") == end, start).otherwise(F.col("key")).alias("left"), F.col("n").alias("whole"))
     share = (F.col("n") + SMOOTHING) / (totals.tokens + SMOOTHING * (totals.kinds + 1))
     words = vocabulary.select(F.col("key").alias("right"), share.alias("lower"))
-    pairs = materialise(pairs.join(_parts(training, _pairs, kept), "key").join(whole, "left").join(words, "right")
+    parts = _parts(training, _pairs, kept)
+    pairs = materialise(pairs.join(_named(parts), "key").join(whole, "left").join(words, "right")
                         .select("key", "left", "n", "whole", "lower", ((F.col("n") - DISCOUNT) / F.col("whole")).alias("p2")))
+    release(parts)
     whole = pairs.select(F.col("key").alias("left"), F.col("n").alias("whole"))
     inner = pairs.select(F.col("key").alias("right"), F.col("p2").alias("lower"))
-    triples = materialise(triples.join(_parts(training, _triples, kept), "key").join(whole, "left").join(inner, "right")
+    parts = _parts(training, _triples, kept)
+    triples = materialise(triples.join(_named(parts), "key").join(whole, "left").join(inner, "right")
                           .select("key", "left", "n", "whole", "lower"))
+    release(parts)
     contexts = vocabulary.select("key", "n").unionByName(vocabulary.where(F.col("key") == end).select(start.alias("key"), "n"))
     entries = materialise(
         contexts.join(_failure(pairs), "key", "left")
