@@ -13,8 +13,6 @@ from tableflow.session import materialise
 from tableflow.sources.contracts import NOW, TODAY, Contract
 from tableflow.sources.tables import seed_frame
 
-ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row number in its low 33 bits
-
 
 def apply_defaults(batch: DataFrame, contract: Contract, as_of: dt.datetime) -> DataFrame:
     """All contract columns but the id, typed. Defaults go only to columns the batch lacks, so a
@@ -52,22 +50,20 @@ def with_computed(df: DataFrame, contract: Contract) -> DataFrame:
 def assign_ids(df: DataFrame, id_column: str, first_id: int | Column = 1) -> DataFrame:
     """Number the rows first_id, first_id + 1, ... without a sort or a shuffle.
 
-    Each row's partition and place in it are written out with the row, so that the counts and the
-    numbering see the same rows even if tasks are retried. Only one count per partition comes to
-    the driver; the size of the offsets is bounded by the number of partitions.
+    The rows are written out, and each is numbered by its file and its place there, so that the counts
+    and the numbering see the same rows even if tasks are retried. Only one count per file comes to
+    the driver; the size of the offsets is bounded by the number of files.
     """
-    spark = df.sparkSession
-    staged = materialise(df.withColumn("_part", F.spark_partition_id())
-                         .withColumn("_row", F.expr(f"monotonically_increasing_id() & {ROW_BITS}")))
-    counts = staged.groupBy("_part").count().collect()
+    staged = materialise(df, codec="zstd").select("*", "_metadata.file_name", "_metadata.row_index")
+    counts = staged.groupBy("file_name").count().collect()
     offsets, total = [], 0
-    for part, rows in sorted((row["_part"], row["count"]) for row in counts):
-        offsets.append((part, total))
+    for file, rows in sorted((row["file_name"], row["count"]) for row in counts):
+        offsets.append((file, total))
         total += rows
-    start = seed_frame(spark, offsets, "_part int, _offset long")
+    start = seed_frame(df.sparkSession, offsets, "file_name string, _offset long")
     first = F.lit(first_id) if isinstance(first_id, int) else first_id
-    numbered = staged.join(F.broadcast(start), "_part")
-    return numbered.select((first + F.col("_offset") + F.col("_row")).alias(id_column), *df.columns)
+    numbered = staged.join(F.broadcast(start), "file_name")
+    return numbered.select((first + F.col("_offset") + F.col("row_index")).alias(id_column), *df.columns)
 
 
 def next_id(target: DataFrame, id_column: str) -> Column:

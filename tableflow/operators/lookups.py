@@ -8,6 +8,7 @@ the shuffle has run, and keeps the sort-merge join (with skew splitting) beyond
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,36 @@ class TooManyRows(Exception):
     """A side that was to be a few named rows has more."""
 
 
+@dataclass(frozen=True)
+class Coded:
+    """Rows that hold codes in place of natural keys. ``names`` maps each code column to a frame of
+    that column and of the natural keys it stands for.
+
+    It means the rows joined with all ``names`` on the codes: a code without a name drops its rows, a
+    code with several repeats them.
+    """
+
+    rows: DataFrame
+    names: Mapping[str, DataFrame]
+
+
+def resolve_coded(batch: Coded, dims: Mapping[str, DataFrame],
+                  lookups: Sequence[tuple[str, Mapping[str, str], Mapping[str, str]]]) -> DataFrame:
+    """``resolve_keys`` for all ``lookups`` (dim, on, take). Natural keys are looked up once for each
+    code, not once for each row; the rows then meet the ids by their codes, so they are shuffled once
+    a code and never carry the natural keys."""
+    rows, names = batch.rows, dict(batch.names)
+    for dim, on, take in lookups:
+        code = next((code for code, named in names.items() if set(on) <= set(named.columns)), None)
+        if code is None:
+            rows = resolve_keys(rows, dims[dim], on, take)
+        else:
+            names[code] = resolve_keys(names[code], dims[dim], on, take)
+    for code, named in names.items():
+        rows = rows.join(named, code).drop(code)
+    return rows
+
+
 def resolve_keys(batch: DataFrame, dim: DataFrame, on: Mapping[str, str],
                  take: Mapping[str, str]) -> DataFrame:
     """Swap natural keys of ``batch`` for columns of ``dim``.

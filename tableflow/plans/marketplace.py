@@ -9,7 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from tableflow.operators.load import add_column, insert_new
-from tableflow.operators.lookups import resolve_keys
+from tableflow.operators.lookups import Coded, resolve_coded
 from tableflow.session import materialise
 from tableflow.sources.catalog import Schema
 from tableflow.sources.contracts import Contract
@@ -83,15 +83,16 @@ def empty_tables(spark: SparkSession,
     return {name: seed_frame(spark, [], contract.schema) for name, contract in contracts.items()}
 
 
-def resolved(tables: Mapping[str, DataFrame], name: str, batch: DataFrame, empty: bool = False) -> DataFrame:
+def resolved(tables: Mapping[str, DataFrame], name: str, batch: DataFrame | Coded,
+             empty: bool = False) -> DataFrame:
     """The batch with the ids its natural keys stand for. If it will be compared with rows that are
     there it is written out: it is then worked out once, and its size is known."""
-    for parent, on, take in LOOKUPS[name]:
-        batch = resolve_keys(batch, tables[parent], on, take)
+    coded = batch if isinstance(batch, Coded) else Coded(batch, {})
+    batch = resolve_coded(coded, tables, LOOKUPS[name])
     return materialise(batch) if LOOKUPS[name] and not empty else batch
 
 
-def load_table(tables: Mapping[str, DataFrame], name: str, batch: DataFrame,
+def load_table(tables: Mapping[str, DataFrame], name: str, batch: DataFrame | Coded,
                as_of: dt.datetime) -> tuple[DataFrame, DataFrame]:
     """Resolve the natural keys of one batch and insert its new rows; return the new table and the
     added rows."""
@@ -110,7 +111,7 @@ def levels(names: Iterable[str]) -> list[list[str]]:
             for number in sorted({step[name] for name in wanted})]
 
 
-def load(tables: Mapping[str, DataFrame], batches: Mapping[str, DataFrame],
+def load(tables: Mapping[str, DataFrame], batches: Mapping[str, DataFrame | Coded],
          as_of: dt.datetime) -> dict[str, DataFrame]:
     """Load the batches, parents first; a later table sees the rows of the earlier ones. The jobs
     of one step are handed to Spark together."""
@@ -123,7 +124,8 @@ def load(tables: Mapping[str, DataFrame], batches: Mapping[str, DataFrame],
     return tables
 
 
-def load_schema(schema: Schema, batches: Mapping[str, DataFrame], as_of: dt.datetime) -> dict[str, DataFrame]:
+def load_schema(schema: Schema, batches: Mapping[str, DataFrame | Coded],
+                as_of: dt.datetime) -> dict[str, DataFrame]:
     """The same load into stored tables, which are created if they are absent; return the added rows.
 
     Each table is appended to by itself, after the audit of its new rows: a bad batch stops the load,

@@ -48,8 +48,9 @@ def _local_folder(application: str) -> str:
     return tempfile.mkdtemp(prefix="run-")
 
 
-def materialise(df: DataFrame, reader: SparkSession | None = None) -> DataFrame:
+def materialise(df: DataFrame, reader: SparkSession | None = None, codec: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back (in the session ``reader``, if given).
+    ``codec`` is the compression of the files, if not that of the session.
 
     Cuts the lineage like ``checkpoint()`` does, but stays columnar, so later steps still prune
     columns and push filters. The rows survive the loss of any executor. The shuffle files of the step
@@ -60,7 +61,7 @@ def materialise(df: DataFrame, reader: SparkSession | None = None) -> DataFrame:
     before = df.sparkSession.conf.get(_CLEANUP_SETTING, "false")
     df.sparkSession.conf.set(_CLEANUP_SETTING, "true")
     try:
-        df.write.mode("errorifexists").parquet(path)
+        df.write.mode("errorifexists").parquet(path, compression=codec)
     finally:
         df.sparkSession.conf.set(_CLEANUP_SETTING, before)
     return (reader or df.sparkSession).read.schema(schema).parquet(path)

@@ -1,16 +1,19 @@
 """The marketplace load: row counts with fan-out, second load, stored load, contracts."""
 
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
 
 from tableflow.operators.audit import audit
 from tableflow.plans import marketplace
+from tableflow.queries import REGISTRY
+from tableflow.sources import standin
 from tableflow.sources.catalog import ContractViolation
 from tableflow.sources.contracts import children_first
 from tableflow.sources.marketplace import MARKETPLACE
-from tableflow.sources.tables import seed_frame
+from tableflow.sources.tables import Tables, seed_frame
 
 AS_OF = dt.datetime(2025, 2, 3, 4, 5)
 D = Decimal
@@ -78,6 +81,33 @@ def test_second_load_adds_nothing(batches, loaded):
         assert new.count() == EXPECTED[name]
 
 
+def carrying(df, column):
+    """Number of shuffles in the plan that carry the column."""
+    plan = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    return len(re.findall(rf"\) Exchange *\nInput[^\n]*\b{column}#", plan))
+
+
+@pytest.fixture
+def large(spark):
+    """A session in which every table is too large to be broadcast."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    session.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    return session
+
+
+def test_order_lines_are_not_shuffled_by_their_natural_keys(large):
+    t = Tables(large, "/root/testdata/sf0.001")
+    batches = standin.marketplace_batches(t)
+    tables = {
+        "users": t["customer"].selectExpr("c_custkey AS user_id", "c_name AS email"),
+        "buyers": t["customer"].selectExpr("c_custkey AS user_id", "c_custkey AS buyer_id"),
+        "orders": t["orders"].selectExpr("o_orderkey AS order_id", "o_orderdate AS created_at"),
+        "products": t["part"].selectExpr("p_partkey AS product_id", "p_name AS name")}
+    assert carrying(marketplace.resolved(tables, "order_items", batches["order_items"], True), "quantity") == 1
+    assert carrying(marketplace.resolved(tables, "reviews", batches["reviews"], True), "rating") == 2
+
+
 def test_values(loaded):
     assert sorted((r.discount_percent, r.discount_fraction) for r in loaded["discounts"].collect()) \
         == [(D("12.50"), D("0.13"))]

@@ -36,6 +36,27 @@ def test_resolve_keys_drops_unknown_and_repeats_for_several(spark):
     assert rows(resolve_keys(batch, dim, {"name": "name"}, {"id": "name_id"})) == [(1, 10), (1, 11)]
 
 
+def test_coded_rows_are_resolved_like_their_natural_keys(spark):
+    """A code without a name, one with two names, a name without an id and one with two ids."""
+    rows_ = seed_frame(spark, [(1, 7, "p"), (2, 7, "q"), (3, 8, "r"), (4, 9, "s"), (None, 7, "t"), (1, 8, "u")],
+                       "c int, d int, v string")
+    users = seed_frame(spark, [(1, "ann"), (2, "bea"), (2, "cid"), (4, "eve")], "c int, email string")
+    goods = seed_frame(spark, [(7, "jug"), (8, "cup")], "d int, product string")
+    dims = {"users": seed_frame(spark, [("ann", 10), ("bea", 20), ("cid", 30), ("cid", 31)], "email string, user_id int"),
+            "buyers": seed_frame(spark, [(10, 100), (20, 200), (30, 300)], "user_id int, buyer_id int"),
+            "goods": seed_frame(spark, [("jug", 70), ("cup", 80), ("cup", 81)], "name string, good_id int")}
+    steps = (("users", {"email": "email"}, {"user_id": "user_id"}),
+             ("buyers", {"user_id": "user_id"}, {"buyer_id": "buyer_id"}),
+             ("goods", {"product": "name"}, {"good_id": "good_id"}))
+    joined = rows_.join(users, "c").join(goods, "d").drop("c", "d")
+    coded = lookups.resolve_coded(lookups.Coded(rows_, {"c": users, "d": goods}), dims, steps)
+    for dim, on, take in steps:
+        joined = resolve_keys(joined, dims[dim], on, take)
+    assert sorted(coded.columns) == sorted(joined.columns)
+    assert rows(coded.select("v", "buyer_id", "good_id")) == rows(joined.select("v", "buyer_id", "good_id"))
+    assert coded.count() == 5
+
+
 @pytest.mark.parametrize("languages, films", [(0, 0), (1, 2), (2, 4)])
 def test_lookup_in_place_of_a_cross_join(spark, languages, films):
     batch = seed_frame(spark, [("x", "English"), ("y", "English")], "title string, language string")
