@@ -68,9 +68,10 @@ GROUP BY l_orderkey, c_name, o_orderdate, p_partkey, p_name""")
 def marketplace_items(t):
     """Order items with the user, day and product their generated ids lead back to."""
     m = _loaded(t, ("users", "buyers", "sellers", "products", "orders", "order_items"))
-    return (m["order_items"].join(m["orders"].drop("record_ts"), "order_id")
-            .join(m["buyers"].drop("record_ts"), "buyer_id")
-            .join(m["users"].select("user_id", "email"), "user_id")
+    placed = (m["orders"].drop("record_ts")
+              .join(m["buyers"].select("buyer_id", "user_id")
+                    .join(m["users"].select("user_id", "email"), "user_id"), "buyer_id"))
+    return (m["order_items"].join(placed, "order_id")
             .join(m["products"].select("product_id", F.col("name").alias("product")), "product_id")
             .select("email", F.date_trunc("day", "created_at").cast("timestamp_ntz")
                     .alias("order_day"), "product", "quantity", "price_snapshot", "record_ts"))

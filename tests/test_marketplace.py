@@ -108,6 +108,11 @@ def test_order_lines_are_not_shuffled_by_their_natural_keys(large):
     assert carrying(marketplace.resolved(tables, "reviews", batches["reviews"], True), "rating") == 2
 
 
+def test_items_are_shuffled_once_an_id(large):
+    items = REGISTRY["marketplace_items"](large, "/root/testdata/sf0.001")
+    assert carrying(items, "price_snapshot") == 2
+
+
 def test_values(loaded):
     assert sorted((r.discount_percent, r.discount_fraction) for r in loaded["discounts"].collect()) \
         == [(D("12.50"), D("0.13"))]
