@@ -9,7 +9,7 @@ The rules are SQL expressions, as the checks of a contract are.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Collection, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -40,13 +40,16 @@ def audit(tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract]) ->
     return _union(parts)
 
 
-def audit_added(added: DataFrame, contract: Contract, tables: Mapping[str, DataFrame]) -> DataFrame:
+def audit_added(added: DataFrame, contract: Contract, tables: Mapping[str, DataFrame],
+                whole: Collection[str] = (), empty: bool = False) -> DataFrame:
     """``audit`` of rows that are about to be appended to the table of the contract.
 
     Only the added rows are looked at, and the key columns of the target and of the parents, cut
     down to the keys of the added rows: a small batch never shuffles a large table. ``tables`` holds
     the target (if it is there) and the parents as they will be. A generated primary key is taken
-    for unique, since ids follow the highest one.
+    for unique, since ids follow the highest one. Parents named in ``whole``, those that are not much
+    larger than the batch, are not cut down, which would shuffle the batch once more; nor is a target
+    that is known to be ``empty``.
     """
     name, target = contract.name, tables.get(contract.name)
     parts: list[DataFrame] = []
@@ -57,17 +60,18 @@ def audit_added(added: DataFrame, contract: Contract, tables: Mapping[str, DataF
     for keys in (() if generated else contract.primary_key, *contract.uniques):
         if keys:
             own = added.select(*keys)
-            there = () if target is None else (target.select(*keys).join(own, list(keys), "left_semi"),)
+            there = () if target is None or empty else (target.select(*keys).join(own, list(keys), "left_semi"),)
             parts.append(unique_rule(_union([own, *there]), name, keys))
     for key in contract.foreign_keys:
         if key.parent not in tables:
             parts.append(unchecked_reference(added, name, key))
             continue
-        wanted = added.select(*[added[ours].alias(theirs) for ours, theirs in zip(key.columns, key.parent_columns)])
         parent = tables[key.parent].select(*key.parent_columns)
+        wanted = added.select(*[added[ours].alias(theirs) for ours, theirs in zip(key.columns, key.parent_columns)])
         if key.parent == name:  # rows that come together may refer to each other
             parent = parent.unionByName(added.select(*key.parent_columns))
-        parent = parent.join(wanted, list(key.parent_columns), "left_semi")
+        if key.parent not in whole:
+            parent = parent.join(wanted, list(key.parent_columns), "left_semi")
         parts.append(reference_rule(added, name, key, parent))
     return _union(parts)
 

@@ -71,7 +71,8 @@ def next_id(target: DataFrame, id_column: str) -> Column:
 
 
 def new_rows(target: DataFrame, batch: DataFrame, contract: Contract, keys: Sequence[str],
-             as_of: dt.datetime, first_id: int | Column | None = None, empty: bool = False) -> DataFrame:
+             as_of: dt.datetime, first_id: int | Column | None = None, empty: bool = False,
+             cut: bool = True) -> DataFrame:
     """The batch rows whose key is not in ``target``, as rows of it: typed, with defaults, computed
     columns and ids (after the highest of the target, if ``first_id`` is not given).
 
@@ -82,7 +83,7 @@ def new_rows(target: DataFrame, batch: DataFrame, contract: Contract, keys: Sequ
     known when the plan is made, so that a small one is broadcast to a large target.
     """
     if not empty:
-        batch = unseen(batch, target, keys)
+        batch = unseen(batch, target, keys, cut)
     added = apply_defaults(batch, contract, as_of)
     if contract.identity:
         first = next_id(target, contract.identity) if first_id is None else first_id

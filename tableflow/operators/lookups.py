@@ -131,14 +131,15 @@ def without(rows: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFram
     return rows.join(others.select(*keys).distinct(), keys, "left_anti").select(*rows.columns)
 
 
-def unseen(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+def unseen(batch: DataFrame, target: DataFrame, keys: Sequence[str], cut: bool = True) -> DataFrame:
     """``without``, for a batch that may be much smaller than the target.
 
-    Only keys of the batch can matter, so the target is first cut down to them. A small batch is
-    then broadcast over the target, and the target's rows are not shuffled.
+    Only keys of the batch can matter, so the target is first ``cut`` down to them. A small batch is
+    then broadcast over the target, and the target's rows are not shuffled. A batch that is known to
+    be too large for that would be shuffled twice: then the target is not cut.
     """
     keys = list(keys)
-    present = target.select(*keys).join(batch.select(*keys), keys, "left_semi")
+    present = target.select(*keys).join(batch.select(*keys), keys, "left_semi") if cut else target
     return without(batch, present, keys)
 
 

@@ -89,7 +89,7 @@ def resolved(tables: Mapping[str, DataFrame], name: str, batch: DataFrame | Code
     there it is written out: it is then worked out once, and its size is known."""
     coded = batch if isinstance(batch, Coded) else Coded(batch, {})
     batch = resolve_coded(coded, tables, LOOKUPS[name])
-    return materialise(batch) if LOOKUPS[name] and not empty else batch
+    return materialise(batch, codec="zstd") if LOOKUPS[name] and not empty else batch
 
 
 def load_table(tables: Mapping[str, DataFrame], name: str, batch: DataFrame | Coded,

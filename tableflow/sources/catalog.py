@@ -31,6 +31,8 @@ from tableflow.operators.load import new_rows
 from tableflow.session import materialise
 from tableflow.sources.contracts import Contract
 
+FAR_FEWER = 4  # a table is cut down to the keys of a batch if it has so many times its rows
+
 Hit = Column | Callable[[DataFrame], Column]
 
 
@@ -50,8 +52,9 @@ def refuse_violations(found: DataFrame) -> None:
 
 
 class Schema:
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.name = spark, name
+    def __init__(self, spark: SparkSession, name: str, codec: str | None = None):
+        """``codec`` compresses the files of tables that are made here, if not that of the session."""
+        self.spark, self.name, self.codec = spark, name, codec
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{name}`")
 
     # Reading
@@ -83,7 +86,9 @@ class Schema:
 
     def create_as(self, name: str, frame: DataFrame, partition_by: Sequence[str] = ()) -> None:
         """New table from a query; an error if the table is there."""
-        frame.write.format("parquet").partitionBy(*partition_by).mode("errorifexists").saveAsTable(self.full(name))
+        options = {"compression": self.codec} if self.codec else {}
+        (frame.write.format("parquet").options(**options).partitionBy(*partition_by).mode("errorifexists")
+         .saveAsTable(self.full(name)))
 
     def create_missing(self, contracts: Mapping[str, Contract],
                        partition_by: Mapping[str, Sequence[str]] | None = None) -> list[str]:
@@ -93,6 +98,7 @@ class Schema:
             columns = ", ".join(f"`{c.name}` {c.type.simpleString()}" for c in contract.columns)
             parts = ", ".join(f"`{c}`" for c in (partition_by or {}).get(name, ()))
             self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.full(name)} ({columns}) USING parquet"
+                           + (f" OPTIONS (compression '{self.codec}')" if self.codec else "")
                            + (f" PARTITIONED BY ({parts})" if parts else ""))
         return [name for name in contracts if name not in known]
 
@@ -118,18 +124,25 @@ class Schema:
         id are read. A second run of the same batch adds no row and no file.
         """
         added = self._new(contract, batch, keys, as_of)
-        refuse_violations(audit_added(added, contract, self._beside(contract)))
-        self.append(contract.name, added)
+        rows = added.count()
+        if rows:
+            beside = {name: (table, table.count()) for name, table in self._beside(contract).items()}
+            empty = contract.name in beside and not beside[contract.name][1]
+            whole = [name for name, (_, others) in beside.items() if others <= FAR_FEWER * rows]
+            refuse_violations(audit_added(added, contract, {name: table for name, (table, _) in beside.items()},
+                                          whole, empty))
+            self.append(contract.name, added)
         return added
 
     def _new(self, contract: Contract, batch: DataFrame, keys: Sequence[str], as_of: dt.datetime) -> DataFrame:
         """New rows, written out; ids are given once, so they do not move when the table has grown."""
         target = self.table(contract.name)
         empty = target.isEmpty()
+        cut = not empty and FAR_FEWER * batch.count() < target.count()
         if not contract.identity:
-            return materialise(new_rows(target, batch, contract, keys, as_of, empty=empty))
+            return materialise(new_rows(target, batch, contract, keys, as_of, empty=empty, cut=cut), codec="zstd")
         highest = None if empty else target.agg(F.max(contract.identity)).first()[0]
-        return new_rows(target, batch, contract, keys, as_of, (highest or 0) + 1, empty)
+        return new_rows(target, batch, contract, keys, as_of, (highest or 0) + 1, empty, cut)
 
     def _beside(self, contract: Contract) -> dict[str, DataFrame]:
         wanted = {contract.name, *(key.parent for key in contract.foreign_keys)}
@@ -280,7 +293,7 @@ class Schema:
             return len(touched)
         if small.isEmpty():
             return 0
-        packing = Schema(self._session(settings), self.name)
+        packing = Schema(self._session(settings), self.name, self.codec)
         packing.replace(name, packing.table(name).hint("rebalance"))
         self.spark.catalog.refreshTable(self.full(name))
         return 1

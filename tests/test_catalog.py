@@ -109,6 +109,43 @@ def test_the_audit_of_an_insert_reads_keys_of_the_target_only(spark, schema):
     assert plan.count("ReadSchema: struct<k:bigint>") == plan.count("ReadSchema") >= 2
 
 
+def test_files_of_created_rewritten_and_appended_tables_are_compressed_alike(schema):
+    import pyarrow.parquet as pq
+    log = Contract("log", (Column("k", ID), Column("v", TEXT)), primary_key=("k",))
+    schema.codec = "zstd"
+    schema.create_missing({"log": log})
+    schema.insert(log, seed_frame(schema.spark, [(1, "a")], "k long, v string"), ["k"], dt.datetime(2025, 1, 1))
+    schema.create_as("bare", seed_frame(schema.spark, [(1,)], "k long"))
+    assert schema.add_column("bare", "day", "date", dt.date(2025, 1, 1)) == 1
+    for name in ("log", "bare"):
+        for file in schema.files(name).collect():
+            assert pq.read_metadata(file.path.removeprefix("file:")).row_group(0).column(0).compression == "ZSTD"
+
+
+def test_a_large_batch_is_shuffled_once_a_rule(spark, schema):
+    """Parents that are not larger than the batch are taken whole; old repetitions still do not count."""
+    from tableflow.operators.audit import audit_added
+    session = spark.newSession()
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    log = Contract("log", (Column("k", ID), Column("p", ID)), uniques=(("k",),), foreign_keys=(reference("p", "top"),))
+    top = seed_frame(session, [(1,), (2,)], "p long")
+    batch = seed_frame(session, [(5, 1), (6, 2), (6, 9), (7, None)], "k long, p long")
+    old = seed_frame(session, [(1, 1), (1, 1), (5, 2)], "k long, p long")
+    for whole in ((), ("top",)):
+        found = audit_added(batch, log, {"log": old, "top": top}, whole)
+        assert {r.rule: (r.violations, r.sample) for r in found.where("violations > 0").collect()} == {
+            "unique k": (2, '{"k":5}'), "reference p -> top": (1, '{"p":9}')} | {
+            r.rule: (r.violations, r.sample) for r in found.where("violations > 0 AND rule LIKE 'not null%'").collect()}
+    cut, plain = (audit_added(batch, log, {"log": old, "top": top}, whole, True)
+                  ._jdf.queryExecution().executedPlan().toString().count("Exchange hash") for whole in ((), ("top",)))
+    assert plain < cut
+    from tableflow.operators.lookups import unseen
+    cut, plain = (unseen(batch, old, ["k"], way) for way in (True, False))
+    assert plain._jdf.queryExecution().executedPlan().toString().count("Exchange hash") == 2
+    assert sorted(map(tuple, cut.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str) == [
+        (6, 2), (6, 9), (7, None)]
+
+
 def test_columns_are_matched_by_name_when_appended(spark, schema):
     schema.create_as("t", seed_frame(spark, [(1, "a", 5)], "k int, s string, p int"), ["p"])
     schema.append("t", seed_frame(spark, [("b", 6, 2)], "s string, p int, k int"))
