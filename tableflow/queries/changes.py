@@ -41,9 +41,9 @@ def _order_log(t):
     return logged, batch
 
 
-def new_schema(t) -> Schema:
+def new_schema(t, codec: str | None = None) -> Schema:
     """A schema of its own for each run, in the warehouse of the session."""
-    return Schema(t.spark, f"tableflow_{uuid.uuid4().hex}")
+    return Schema(t.spark, f"tableflow_{uuid.uuid4().hex}", codec)
 
 
 # Inserts ----------------------------------------------------------------------------------------

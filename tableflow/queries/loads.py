@@ -106,7 +106,7 @@ SELECT table_name, row_count, 0 AS missing, TRUE AS audited FROM ({LOADED_COUNTS
 def backfill_all_tables(t):
     """All 14 tables are stored without their load day, orders with gaps in it. They get
     it; then it is audited that none is missing."""
-    schema = new_schema(t)
+    schema = new_schema(t, "zstd")
     late = F.when(F.col("total_price") < 1000, F.col("record_ts"))
     for name, df in _loaded(t).items():
         schema.create_as(name, df.withColumn("record_ts", late) if name == "orders" else df.drop("record_ts"))
@@ -124,7 +124,7 @@ def backfill_all_tables(t):
 SELECT table_name, row_count, CAST(0 AS BIGINT) AS added_again FROM ({LOADED_COUNTS})""")
 def stored_marketplace(t):
     """All 14 tables created and loaded in the catalog, and loaded again, which adds nothing."""
-    schema, batches = new_schema(t), standin.marketplace_batches(t)
+    schema, batches = new_schema(t, "zstd"), standin.marketplace_batches(t)
     marketplace.load_schema(schema, batches, AS_OF)
     again = row_counts(marketplace.load_schema(schema, batches, AS_OF)).withColumnRenamed("row_count", "added_again")
     return row_counts(schema.frames()).join(again, "table_name")
