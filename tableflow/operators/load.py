@@ -54,16 +54,17 @@ def assign_ids(df: DataFrame, id_column: str, first_id: int | Column = 1) -> Dat
     and the numbering see the same rows even if tasks are retried. Only one count per file comes to
     the driver; the size of the offsets is bounded by the number of files.
     """
-    staged = materialise(df, codec="zstd").select("*", "_metadata.file_name", "_metadata.row_index")
-    counts = staged.groupBy("file_name").count().collect()
+    staged = materialise(df, codec="zstd").select("*", F.col("_metadata.file_name").alias("_file"),
+                                                  F.col("_metadata.row_index").alias("_row"))
+    counts = staged.groupBy("_file").count().collect()
     offsets, total = [], 0
-    for file, rows in sorted((row["file_name"], row["count"]) for row in counts):
+    for file, rows in sorted((row["_file"], row["count"]) for row in counts):
         offsets.append((file, total))
         total += rows
-    start = seed_frame(df.sparkSession, offsets, "file_name string, _offset long")
+    start = seed_frame(df.sparkSession, offsets, "_file string, _offset long")
     first = F.lit(first_id) if isinstance(first_id, int) else first_id
-    numbered = staged.join(F.broadcast(start), "file_name")
-    return numbered.select((first + F.col("_offset") + F.col("row_index")).alias(id_column), *df.columns)
+    numbered = staged.join(F.broadcast(start), "_file")
+    return numbered.select((first + F.col("_offset") + F.col("_row")).alias(id_column), *df.columns)
 
 
 def next_id(target: DataFrame, id_column: str) -> Column:

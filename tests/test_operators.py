@@ -124,6 +124,11 @@ def test_assign_ids_has_no_gaps(spark, parts):
     assert rows(numbered.select("x")) == rows(series(spark, 1, 1000))
 
 
+def test_assign_ids_keeps_columns_named_like_those_of_files(spark):
+    frame = series(spark, 1, 9).selectExpr("x AS file_name", "x AS row_index", "x AS _part").repartition(3)
+    assert sorted(r.id for r in assign_ids(frame, "id").collect()) == list(range(1, 10))
+
+
 def test_assign_ids_of_nothing(spark):
     assert assign_ids(series(spark, 1, 0), "id").count() == 0
 
