@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableflow.llm.frames import column, reach
+from tableflow.llm.frames import column, give_back, reach
 from tableflow.llm.textbytes import LETTER_RUNS, SPACED, slices, text_column
 
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -230,6 +230,21 @@ class _Packer:
                 "offset": begin - cuts[sequence]}
 
 
+def packed(batches: Iterator[pa.RecordBatch], tokenizer_path: str, length: int, partition: int) -> Iterator[pa.RecordBatch]:
+    """The pieces of one partition's texts; memory goes back at the end, as workers and their tokenizers live on."""
+    packer = _Packer(length, partition)
+    for batch in batches:
+        names, at = column(batch, "doc_id").to_pylist(), 0
+        for ids, counts, stops in token_streams(column(batch, "text"), tokenizer_path):
+            packer.add(names[at:at + len(counts)], ids, counts, stops)
+            at += len(counts)
+            if packer.held >= BLOCK_TOKENS:
+                yield from _batches(packer.pack(False))
+    yield from _batches(packer.pack(True))
+    packer = batch = names = ids = counts = stops = None
+    give_back()
+
+
 def pack_documents(docs: DataFrame, tokenizer_path: str, length: int = 2048,
                    text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row for each piece of a document: where it starts in the document, its sequence and the
@@ -240,16 +255,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, length: int = 2048,
     their names. An empty table gives no rows.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = _Packer(length, TaskContext.get().partitionId())
-        for batch in batches:
-            names, at = column(batch, "doc_id").to_pylist(), 0
-            for ids, counts, stops in token_streams(column(batch, "text"), tokenizer_path):
-                packer.add(names[at:at + len(counts)], ids, counts, stops)
-                at += len(counts)
-                if packer.held >= BLOCK_TOKENS:
-                    yield from _batches(packer.pack(False))
-        yield from _batches(packer.pack(True))
-        pa.default_memory_pool().release_unused()
+        return packed(batches, tokenizer_path, length, TaskContext.get().partitionId())
 
     return reach(docs).select(F.col(doc_id).cast("long").alias("doc_id"),
                        F.col(text).cast("string").alias("text")).mapInArrow(run, SCHEMA)

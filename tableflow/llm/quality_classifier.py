@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tableflow.llm.frames import arrow_map, column, list_of, reach
+from tableflow.llm.frames import arrow_map, column, give_back, list_of, reach
 from tableflow.llm.textbytes import SPACED, Slice, slices
 
 BITS = 17
@@ -136,6 +136,18 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The model of all bags, in the order of ids, so that it is the same however the rows arrive."""
+    held = [(row, batch, at) for batch in batches for at, row in enumerate(column(batch, "doc_id").to_pylist())]
+    held.sort(key=lambda x: x[0])
+    bags_of = [tuple(column(batch, name)[at].values.to_numpy() for name in ("features", "shares")) for _, batch, at in held]
+    model = train(bags_of, [column(batch, "label")[at].as_py() for _, batch, at in held])
+    yield pa.RecordBatch.from_arrays([pa.array([model.weights.astype("<f4").tobytes()], pa.binary()), pa.array([model.bias])],
+                                     names=["weights", "bias"])
+    held = bags_of = model = None
+    give_back()
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> Model:
     """Learn from documents with a label of 0 or 1 whose id is not held out.
 
@@ -160,15 +172,6 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
                    "features": list_of(features.astype(np.int32), bounds),
                    "shares": list_of(shares.astype(np.float32), bounds)}
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """In the order of ids, so that the model is the same however the rows arrive."""
-        held = [(row, batch, at) for batch in batches for at, row in enumerate(column(batch, "doc_id").to_pylist())]
-        held.sort(key=lambda x: x[0])
-        bags_of = [tuple(column(batch, name)[at].values.to_numpy() for name in ("features", "shares")) for _, batch, at in held]
-        model = train(bags_of, [column(batch, "label")[at].as_py() for _, batch, at in held])
-        yield pa.RecordBatch.from_arrays([pa.array([model.weights.astype("<f4").tobytes()], pa.binary()), pa.array([model.bias])],
-                                         names=["weights", "bias"])
-
     counted = arrow_map(texts, "doc_id bigint, label bigint, features array<int>, shares array<float>", count)
     row = reach(counted).repartition(1).mapInArrow(learn, "weights binary, bias double").first()  # the bounded sample
     return Model(np.frombuffer(bytes(row.weights), dtype="<f4"), row.bias)
@@ -180,7 +183,9 @@ def scorer(docs: DataFrame, model: Model):
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        return pa.array(shared.value.scores(texts))
+        scores = pa.array(shared.value.scores(texts))
+        give_back()  # a batch is the only end that a column function sees
+        return scores
 
     return score
 
