@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tableflow.llm.frames import ROW, arrow_map, column, is_member, membership, numbered
 from tableflow.llm.linking import link_components, shared_lists
-from tableflow.llm.textbytes import mix, slices
+from tableflow.llm.textbytes import SPACED, hash_ranges, mix, slices
 from tableflow.session import materialise, release
 
 SHINGLE, HASHES, BANDS, ROWS = 5, 48, 20, 7
@@ -33,6 +33,8 @@ PERCENT = 80
 BLOCK = 1024
 #: So many lines are compared one by one, without an index.
 FEW = 12
+#: Lines of about so many bytes are signed at a time.
+PART = 1 << 15
 #: ``judged_lines`` gives lines of so many words unless told otherwise; the operator judges all with a word.
 LEAST_WORDS, ANY = 5, 1
 
@@ -57,44 +59,36 @@ class Lines:
         return self.data[self.low[i]:self.high[i]].tobytes()
 
 
-def _geometric(factor: int, n: int) -> np.ndarray:
-    out = np.full(n + 1, factor, dtype=np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
 def judged_lines(part, least_words: int = LEAST_WORDS) -> Lines:
+    """Of a slice; the hashes of its words are not needed."""
     feeds = np.flatnonzero(part.data == 10)  # also the one that closes each text
-    line = np.searchsorted(feeds, part.starts)
-    first = np.flatnonzero(np.diff(line, prepend=-1))
-    last = np.append(first[1:], len(line))
-    line = line[first]
-    # hash of a line's words: a difference of running sums, turned back to the line's start
-    up, down = _geometric(_POWER, len(part.hashes)), _geometric(pow(_POWER, -1, 1 << 64), len(part.hashes))
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(part.hashes) * up[:-1], dtype=np.uint64)])
-    node = mix((sums[last] - sums[first]) * down[first])
-    sizes = part.ends - part.starts + 1
-    at = np.concatenate([[0], np.cumsum(sizes)])
-    keep = np.zeros(len(part.data) + 1, dtype=np.int8)
-    keep[part.starts] += 1
-    keep[part.ends + 1] -= 1
-    data = part.data[np.cumsum(keep[:-1], dtype=np.int8).astype(bool)] if len(first) else part.data[:0]
-    data = data.copy()
+    before = np.append(0, np.searchsorted(part.starts, feeds))
+    counts = np.diff(before)
+    line = np.flatnonzero(counts)
+    first, last = before[line], before[line + 1]
+    at = np.append(0, np.cumsum(part.ends - part.starts + 1))
+    keep = SPACED[part.data]
+    keep[part.ends] = True
+    data = part.data[keep]
     data[at[1:] - 1] = 32
+    low, high = at[first], at[last] - 1
     row = np.searchsorted(part.bounds, feeds[line], side="right") - 1
     number = line - np.searchsorted(feeds, part.bounds[row])
-    long = last - first >= least_words
-    return Lines(row[long], number[long], node[long], at[first][long], (at[last] - 1)[long], data)
+    long = counts[line] >= least_words
+    low, high = low[long], high[long]
+    return Lines(row[long], number[long], hash_ranges(data, low, high), low, high, data)
 
 
 def _shingles(data: np.ndarray, kind: type = np.uint64) -> tuple[np.ndarray, np.ndarray]:
     """Offsets of the characters, and hashes of the shingles from each of them on."""
-    at = np.flatnonzero(data & 0xC0 != 0x80)
-    sizes = np.diff(at, append=len(data))
+    more = np.flatnonzero(data & 0xC0 == 0x80)
+    at = np.delete(np.arange(len(data)), more)
     values = data[at].astype(kind)
-    for more in range(1, 4 if len(at) < len(data) else 1):
-        long = np.flatnonzero(sizes > more)
-        values[long] |= data[at[long] + more].astype(kind) << kind(8 * more)
+    owner = more - np.arange(len(more)) - 1  # the character that each further byte belongs to
+    place = more - at[owner] if len(more) else more
+    for k in range(1, 4 if len(more) else 1):
+        own = place == k
+        values[owner[own]] |= data[more[own]].astype(kind) << kind(8 * k)
     n = max(len(at) - SHINGLE + 1, 0)
     total = values[:n].copy()
     for k in range(1, SHINGLE):
@@ -119,6 +113,13 @@ def line_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return keys & ((np.uint64(1) << bits) - np.uint64(1)), np.append(bounds, len(keys))
 
 
+def _side_by_side(items: list) -> tuple[np.ndarray, np.ndarray]:
+    """As ``line_sets``, of lines or of their sets."""
+    if not items or isinstance(items[0], bytes):
+        return line_sets(items)
+    return np.concatenate(items), np.cumsum([0, *map(len, items)])
+
+
 def line_shingles(text: bytes) -> np.ndarray:
     return line_sets([text])[0]
 
@@ -131,22 +132,38 @@ def _mix32(h: np.ndarray) -> np.ndarray:
 
 def band_keys(lines: Lines) -> tuple[np.ndarray, np.ndarray]:
     """Nodes of the lines with a shingle, and (lines, bands) keys of their MinHash signatures."""
-    at, values = _shingles(lines.data, np.uint32)
-    low, high = np.searchsorted(at, lines.low), np.searchsorted(at, lines.high)
-    long = np.flatnonzero(high - low >= SHINGLE)
-    if not len(long):
-        return lines.node[long], np.empty((0, BANDS), dtype=np.uint64)
-    sizes = (high - low)[long] - SHINGLE + 1
-    ends = np.stack([low[long], low[long] + sizes], axis=1).ravel()  # every other range lies between lines
-    values = np.append(_mix32(values), np.uint32(0))
-    least = [np.minimum.reduceat(values * factor, ends)[::2] for factor in _FACTORS]
-    out = np.empty((len(sizes), BANDS), dtype=np.uint64)
+    nodes, least = [lines.node[:0]], [np.empty((HASHES, 0), dtype=np.uint32)]
+    parts = np.flatnonzero(np.diff(lines.low // PART, prepend=-1))
+    for a, b in zip(parts, np.append(parts[1:], len(lines.low))):  # so that the minima stay in cache
+        start = lines.low[a]
+        long, found = _minima(lines.data[start:lines.high[b - 1]], lines.low[a:b] - start, lines.high[a:b] - start)
+        nodes.append(lines.node[a:b][long])
+        least.append(found)
+    nodes, least = np.concatenate(nodes), np.concatenate(least, axis=1)
+    out = np.empty((len(nodes), BANDS), dtype=np.uint64)
     for band, chosen in enumerate(_CHOSEN):
-        key = np.full(len(sizes), band, dtype=np.uint64)
+        key = np.full(len(nodes), band, dtype=np.uint64)
         for i in chosen:
             key = mix(key * np.uint64(_POWER) + least[i])
         out[:, band] = key
-    return lines.node[long], out
+    return nodes, out
+
+
+def _minima(data: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the byte ranges with a shingle, and (hashes, ranges) their least hashes."""
+    at, values = _shingles(data, np.uint32)
+    low, high = np.searchsorted(at, low), np.searchsorted(at, high)
+    long = np.flatnonzero(high - low >= SHINGLE)
+    out = np.empty((HASHES, len(long)), dtype=np.uint32)
+    if len(long):
+        # every other range lies between lines
+        ends = np.stack([low[long], high[long] - SHINGLE + 1], axis=1).ravel()
+        values = np.append(_mix32(values), np.uint32(0))
+        turned = np.empty_like(values)
+        for i, factor in enumerate(_FACTORS):
+            np.multiply(values, factor, out=turned)
+            out[i] = np.minimum.reduceat(turned, ends)[::2]
+    return long, out
 
 
 class SimilarLines:
@@ -170,16 +187,24 @@ class SimilarLines:
                 for found in self._like(values[bounds[low]:bounds[low + 1]], values[own[0]:own[-1]], own - own[0]).tolist():
                     yield low + 1 + found, low
 
-    def search(self, indexed: list[bytes], queries: list[bytes]) -> Iterator[tuple[int, int]]:
+    def prepare(self, items: list[bytes]) -> list[np.ndarray]:
+        """What ``search`` takes as well: the sets of the lines, of many blocks at once."""
+        values, bounds = line_sets(items)
+        return [values[low:high] for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+
+    def search(self, indexed: list, queries: list) -> Iterator[tuple[int, int]]:
         """Of a few lines by comparing with each, of more in an inverted index: the lists of a query's
-        shingles are counted together."""
-        values, bounds = line_sets(indexed)
-        own, own_bounds = (values, bounds) if queries is indexed else line_sets(queries)
+        shingles are counted together. A few lines that are their own queries meet once a pair."""
+        values, bounds = _side_by_side(indexed)
+        own, own_bounds = (values, bounds) if queries is indexed else _side_by_side(queries)
         sets = zip(own_bounds[:-1].tolist(), own_bounds[1:].tolist())
         if len(indexed) <= FEW:
             for number, (low, high) in enumerate(sets):
-                for found in self._like(own[low:high], values, bounds).tolist():
-                    yield number, found
+                skip = number + 1 if queries is indexed else 0
+                if skip < len(indexed):
+                    others = bounds[skip:]
+                    for found in self._like(own[low:high], values[others[0]:], others - others[0]).tolist():
+                        yield number, skip + found
             return
         sizes = np.diff(bounds)
         owner = np.repeat(np.arange(len(sizes)), sizes)
@@ -206,7 +231,7 @@ def _places(rows: np.ndarray, numbers: np.ndarray) -> np.ndarray:
 
 
 def _occurrences(batch: pa.RecordBatch):
-    for part in slices(column(batch, "text")):
+    for part in slices(column(batch, "text"), hashed=False):
         lines = judged_lines(part, ANY)
         rows = column(batch, ROW).to_numpy()[part.low + lines.row]
         yield {ROW: rows, "line": lines.number, "node": lines.node, "place": _places(rows, lines.number)}
@@ -228,7 +253,7 @@ def _pick(lines: Lines, at: np.ndarray) -> Lines:
 
 def _bands(batch: pa.RecordBatch):
     seen: set = set()
-    for part in slices(column(batch, "text")):
+    for part in slices(column(batch, "text"), hashed=False):
         lines = judged_lines(part, ANY)
         nodes, keys = band_keys(_pick(lines, _new(lines.node, seen)))
         if len(nodes):
@@ -240,8 +265,12 @@ def repeated_lines(source: DataFrame) -> tuple[DataFrame, DataFrame]:
     the numbers of the lines that are not the first of their component."""
     occurrences = materialise(arrow_map(source.select(ROW, "text"), f"{ROW} bigint, line bigint, node bigint, place bigint", _occurrences))
     lists = materialise(shared_lists(arrow_map(source.select("text"), "key bigint, node bigint", _bands)))
+    # most lines stand once and are in no list: nothing more is asked about them
+    nodes = (occurrences.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
+             .unionByName(listed := lists.select("node").distinct()).distinct())
+    shared = materialise(occurrences.join(nodes, "node", "left_semi"))
     # the text of a line in a list is taken from its first place only
-    first = materialise(occurrences.join(lists.select("node").distinct(), "node", "left_semi").groupBy("node")
+    first = materialise(shared.join(listed, "node", "left_semi").groupBy("node")
                         .agg(F.min_by(F.struct("place", ROW), F.struct(ROW, "line")).alias("first"))
                         .select("first.place", F.xxhash64(f"first.{ROW}").alias("bit")))
     send = source.sparkSession.sparkContext.broadcast
@@ -250,7 +279,7 @@ def repeated_lines(source: DataFrame) -> tuple[DataFrame, DataFrame]:
     def wanted(batch: pa.RecordBatch):
         holds = np.flatnonzero(is_member(rows.value, column(batch, "bit").to_numpy().view(np.uint64)))
         numbers = column(batch, ROW).to_numpy()[holds]
-        for part in slices(column(batch, "text").take(pa.array(holds))):
+        for part in slices(column(batch, "text").take(pa.array(holds)), hashed=False):
             lines = judged_lines(part, ANY)
             at = np.flatnonzero(is_member(places.value, _places(numbers[part.low + lines.row], lines.number)))
             yield {"node": lines.node[at], "items": [lines.text(i) for i in at]}
@@ -259,9 +288,9 @@ def repeated_lines(source: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows.destroy()
     places.destroy()
     alike = SimilarLines(PERCENT)
-    labels = link_components(lists, texts, alike.search, BLOCK, alike.stars)
+    labels = link_components(lists, texts, alike.search, BLOCK, alike.stars, alike.prepare)
     release(lists, first, texts)
-    named = occurrences.join(labels, "node", "left").select(ROW, "line", F.coalesce("label", "node").alias("label"))
+    named = shared.join(labels, "node", "left").select(ROW, "line", F.coalesce("label", "node").alias("label"))
     # written out, so that the join with it can be split where many lines have one label
     first = materialise(named.groupBy("label").agg(F.min(F.struct(ROW, "line")).alias("first"), F.count("*").alias("n"))
                         .where("n > 1").select("label", "first"))
@@ -286,7 +315,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     counts = occurrences.groupBy(ROW).agg(F.count("*").alias("judged_lines"))
     changes = counts.join(dropped, ROW, "left")
     kept = F.expr("array_join(filter(split(text, '\\n'), (x, i) -> NOT array_contains(dropped, cast(i AS BIGINT))), '\\n')")
-    return (source.join(changes, ROW, "left")
+    # a row has one change at most, so the texts need not be sorted to meet them
+    return (source.join(changes.hint("shuffle_hash"), ROW, "left")
             .withColumn("text", F.when(F.col("dropped").isNull(), F.col("text")).otherwise(kept))
             .withColumns({"dropped_lines": F.coalesce(F.size("dropped"), F.lit(0)).cast("long"),
                           "judged_lines": F.coalesce("judged_lines", F.lit(0)).cast("long")})

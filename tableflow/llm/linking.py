@@ -15,6 +15,7 @@ step 1 or 3, or both sides are tied by links already.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -26,11 +27,13 @@ from tableflow.llm.components import connected_components
 from tableflow.llm.frames import give_back, reach
 from tableflow.session import materialise, release
 
-BLOCK, STARS = 256, 256
+BLOCK, STARS, PREPARED = 256, 256, 2048
 
 #: Given the items of indexed sets and of queries, yields the numbers (query, indexed set) of those
 #: that link.
 Search = Callable[[list[bytes], list[bytes]], Iterator[tuple[int, int]]]
+#: Given the items of many blocks, what ``search`` takes for each of them.
+Prepare = Callable[[list[bytes]], list]
 #: Given the items of blocks that follow each other, each with its pivot first, and where they start,
 #: yields the places (query, pivot) of those that link.
 Stars = Callable[[list[bytes], list[int]], Iterator[tuple[int, int]]]
@@ -46,17 +49,18 @@ def shared_lists(rows: DataFrame, *more: str) -> DataFrame:
 
 
 def link_components(lists: DataFrame, sets: DataFrame, search: Search, block: int | None = None,
-                    stars: Stars | None = None) -> DataFrame:
+                    stars: Stars | None = None, prepare: Prepare | None = None) -> DataFrame:
     """(node, label) of the nodes that have a link; other nodes are alone.
 
     ``lists`` holds key, node, pivot and ``sets`` node, items (binary: what is compared); both are read several
-    times, so they should be written out. ``stars`` may compare many sets with their pivots faster than ``search``.
+    times, so they should be written out. ``stars`` may compare many sets with their pivots faster than ``search``, and
+    ``prepare`` may work on the items of several blocks at once, before ``search`` gets those of one.
     """
     block = block or BLOCK
-    tied = _links(_star_blocks(lists, block), sets, search, stars)
+    tied = _links(_star_blocks(lists, block), sets, search, stars, prepare)
     near = materialise(_near_labels(tied))
     rest = materialise(_unsettled(lists, near, block))
-    more = _links(_pair_blocks(rest), sets, search)
+    more = _links(_pair_blocks(rest), sets, search, prepare=prepare)
     labels = _all_labels(tied.unionByName(more), near)
     release(rest, tied, more, near)
     return labels
@@ -112,11 +116,24 @@ def _pair_blocks(rest: DataFrame) -> DataFrame:
         F.when(F.col("chunk") == F.col("other"), 2).when(F.col("chunk") < F.col("other"), 0).otherwise(1).alias("side"))
 
 
-def _links(blocks: DataFrame, sets: DataFrame, search: Search, stars: Stars | None = None) -> DataFrame:
+def _links(blocks: DataFrame, sets: DataFrame, search: Search, stars: Stars | None = None,
+           prepare: Prepare | None = None) -> DataFrame:
     """Links (a, b) that join components inside each block; with ``stars``, all with the pivot."""
-    def compare(table: pa.Table) -> tuple[list, list]:
-        side = table["side"].to_numpy()
-        own, nodes, labels = (table[name].to_pylist() for name in ("items", "node", "label"))
+    def compare(table: pa.Table, starts: list[int]) -> Iterator[tuple[list, list]]:
+        """Block by block; the items of about ``PREPARED`` rows are prepared at once, for memory."""
+        sides = table["side"].to_numpy()
+        nodes, labels = (table[name].to_pylist() for name in ("node", "label"))
+        low = 0
+        while low < len(starts) - 1:
+            high = max(bisect_right(starts, starts[low] + PREPARED) - 1, low + 1)
+            a, b = starts[low], starts[high]
+            items = table["items"].slice(a, b - a).to_pylist()
+            items = prepare(items) if prepare else items
+            for x, y in zip(starts[low:high], starts[low + 1:high + 1]):
+                yield one(sides[x:y], items[x - a:y - a], nodes[x:y], labels[x:y])
+            low = high
+
+    def one(side: np.ndarray, own: list, nodes: list, labels: list) -> tuple[list, list]:
         indexed, asking = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         joined = _Union(labels)
         a, b = [], []
@@ -149,10 +166,11 @@ def _links(blocks: DataFrame, sets: DataFrame, search: Search, stars: Stars | No
                     own = starts[low:low + STARS + 1]
                     yield _as_links([with_pivots(table.slice(own[0], own[-1] - own[0]), [x - own[0] for x in own])])
             else:
-                yield _as_links(compare(table.slice(low, high - low)) for low, high in zip(starts[:-1], starts[1:]))
+                yield _as_links(compare(table, starts))
             held = table.slice(starts[-1]) if len(starts) else None
         if held is not None and len(held):
-            yield _as_links([with_pivots(held, [0, len(held)]) if stars else compare(held)])
+            whole = [0, len(held)]
+            yield _as_links([with_pivots(held, whole)] if stars else compare(held, whole))
         held = table = None
         give_back()
 

@@ -98,7 +98,7 @@ class Slice:
         return np.repeat(np.arange(self.high - self.low), np.diff(self.first))
 
 
-def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Polynomial hashes of the byte ranges, piece by piece so that sums stay in cache."""
     out = np.empty(len(starts), dtype=np.uint64)
     up, down = _powers()
@@ -157,12 +157,16 @@ def slices(column: pa.Array | pa.ChunkedArray, word: np.ndarray = SPACED, lower:
 
 def _slice(low: int, high: int, data: np.ndarray, bounds: np.ndarray, word: np.ndarray,
            hashed: bool) -> Slice:
-    kind = np.zeros(len(data) + 1, dtype=np.uint8)
+    kind = np.zeros(len(data) + 1, dtype=word.dtype)
     kind[1:] = word[data]
-    pair = kind[:-1] * np.uint8(4) + kind[1:]
-    starts = np.flatnonzero(_STARTS.ravel()[pair])
-    ends = np.flatnonzero(_ENDS.ravel()[pair])  # data ends with a line feed, so every word ends
-    hashes = _hashes(data, starts, ends) if hashed else np.empty(0, dtype=np.uint64)
+    if word.dtype == bool:  # words start and end in turn; data ends with a line feed, so every word ends
+        edges = np.flatnonzero(kind[1:] != kind[:-1])
+        starts, ends = edges[::2].copy(), edges[1::2].copy()
+    else:
+        pair = kind[:-1] * np.uint8(4) + kind[1:]
+        starts = np.flatnonzero(_STARTS.ravel()[pair])
+        ends = np.flatnonzero(_ENDS.ravel()[pair])
+    hashes = hash_ranges(data, starts, ends) if hashed else np.empty(0, dtype=np.uint64)
     return Slice(low, high, data, bounds, starts, ends, hashes, np.searchsorted(starts, bounds))
 
 
