@@ -113,6 +113,24 @@ def _count(training: DataFrame, keys) -> DataFrame:
     return arrow_map(training, "key bigint, n bigint", count).groupBy("key").agg(F.sum("n").alias("n"))
 
 
+def _count_triples(training: DataFrame, pairs) -> DataFrame:
+    """(left, right, n) of the triples whose two pairs the filter ``pairs`` knows. A triple stands no more often
+    than its pairs, so if these are all pairs that stand ``LEAST`` times, none of the triples that do is passed over."""
+    def count(batch: pa.RecordBatch):
+        found = []
+        for part in slices(column(batch, "text")):
+            key, left, right = _triples(*_tokens(part))
+            at = np.flatnonzero(is_member(pairs.value, left))
+            at = at[is_member(pairs.value, right[at])]
+            found.append((key[at], left[at], right[at]))
+        if found:
+            key, left, right = map(np.concatenate, zip(*found))
+            _, first, n = np.unique(key, return_index=True, return_counts=True)
+            yield {"left": left[first], "right": right[first], "n": n}
+
+    return arrow_map(training, "left bigint, right bigint, n bigint", count).groupBy("left", "right").agg(F.sum("n").alias("n"))
+
+
 def _parts(training: DataFrame, keys, kept) -> DataFrame:
     """(left, right) of the keys that the filter ``kept`` knows, once each, written out: the parts make the
     key, so only they are shuffled, and that shuffle is gone when the joins have theirs."""
@@ -131,12 +149,12 @@ def _parts(training: DataFrame, keys, kept) -> DataFrame:
 
 
 def _named(parts: DataFrame) -> DataFrame:
-    """Parts with the key that they make."""
+    """Parts with the key that they make, and their number if it is there."""
     def name(batch: pa.RecordBatch):
         left, right = (column(batch, side).to_numpy() for side in ("left", "right"))
-        yield {"key": _joined(left.view(np.uint64), right.view(np.uint64)), "left": left, "right": right}
+        yield {"key": _joined(left.view(np.uint64), right.view(np.uint64)), **{x: column(batch, x) for x in batch.schema.names}}
 
-    return arrow_map(parts, "key bigint, left bigint, right bigint", name)
+    return arrow_map(parts, "key bigint, " + ", ".join(f"{x} bigint" for x in parts.columns), name)
 
 
 @dataclass
@@ -245,7 +263,8 @@ def local_automaton(tokens: np.ndarray, first: np.ndarray, entries: Entries, tot
 
 
 def model_entries(training: DataFrame, vocabulary: DataFrame, pairs: DataFrame, triples: DataFrame, totals: Totals, kept) -> DataFrame:
-    """(key, n, weight) of all words, the start, and the n-grams that are kept (which the filter knows)."""
+    """(key, n, weight) of all words, the start, and the n-grams that are kept (which the filter knows); triples
+    come with their parts."""
     end, start = (F.lit(int(x.view(np.int64))) for x in (END, START))
     # a text has one end and one start, and no word follows the end
     whole = vocabulary.select(F.when(F.col("key") == end, start).otherwise(F.col("key")).alias("left"), F.col("n").alias("whole"))
@@ -257,10 +276,7 @@ def model_entries(training: DataFrame, vocabulary: DataFrame, pairs: DataFrame,
     release(parts)
     whole = pairs.select(F.col("key").alias("left"), F.col("n").alias("whole"))
     inner = pairs.select(F.col("key").alias("right"), F.col("p2").alias("lower"))
-    parts = _parts(training, _triples, kept)
-    triples = materialise(triples.join(_named(parts), "key").join(whole, "left").join(inner, "right")
-                          .select("key", "left", "n", "whole", "lower"))
-    release(parts)
+    triples = materialise(triples.join(whole, "left").join(inner, "right").select("key", "left", "n", "whole", "lower"))
     contexts = vocabulary.select("key", "n").unionByName(vocabulary.where(F.col("key") == end).select(start.alias("key"), "n"))
     entries = materialise(
         contexts.join(_failure(pairs), "key", "left")
@@ -312,8 +328,11 @@ def score_documents(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str
     texts = F.sum(F.when(F.col("key") == int(END.view(np.int64)), F.col("n")))
     totals = Totals(*vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(texts, F.lit(0))).first())
     pairs = materialise(_count(training, _pairs).where(F.col("n") >= LEAST))
-    triples = materialise(_count(training, _triples).where(F.col("n") >= LEAST))
-    kept = docs.sparkSession.sparkContext.broadcast(membership(pairs.select("key").unionByName(triples.select("key")), "key"))
+    send = docs.sparkSession.sparkContext.broadcast
+    frequent = send(membership(pairs, "key"))
+    triples = materialise(_named(_count_triples(training, frequent).where(F.col("n") >= LEAST)))
+    frequent.destroy()
+    kept = send(membership(pairs.select("key").unionByName(triples.select("key")), "key"))
     entries = model_entries(training, vocabulary, pairs, triples, totals, kept)
     found = materialise(_asked(source, kept).join(entries, "key").select("group", "key", "n", "weight"))
     kept.destroy()
