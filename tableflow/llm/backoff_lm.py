@@ -7,13 +7,16 @@ the failure arc, which costs the state's backoff weight, to the state of the con
 shorter, at last to the root. There every token has its smoothed count.
 
 Counts and weights stay in one table that grows with the corpus. Each group of texts asks for the
-entries of its own words, pairs and triples by a join; a task then builds the part of the automaton
-that these texts can reach, and walks it once from left to right.
+entries of its own words, pairs and triples; questions and entries meet in blocks of the range of keys,
+and the answers come in the order of the questions, without the keys. A task then builds the part of the
+automaton that the texts of a group can reach, and walks it once from left to right.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +32,17 @@ LEAST = 2
 DISCOUNT = 0.6
 SMOOTHING = 0.1
 #: Bits of a row's number in its group: texts that stand next to each other share their entries.
-GROUP_BITS = 11
+GROUP_BITS = 12
+#: About so many tokens, or keys asked for, are held by a task at a time.
+CHUNK = 1 << 20
+#: Training tokens, and blocks of a group of texts, by which the number of blocks of keys grows.
+BLOCK_BITS, GROUP_BLOCKS = 17, 8
 _WIDTH = 24  # bits of a word's number in a slice of texts
 #: A word that no text has, since it holds a space: the end of a text.
 END = np.uint64(hash_bytes(b" end"))
 #: The context of the first token of a text, and the pair before it.
 START, OPEN = np.uint64(hash_bytes(b" start")), np.uint64(hash_bytes(b" open"))
-_STEPS = 512
+_STEPS = 64
 
 
 def _tokens(part) -> tuple[np.ndarray, np.ndarray]:
@@ -102,50 +109,49 @@ def _triples(tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
     return _joined(outer[inside], pairs[inside]), outer[inside], pairs[inside]
 
 
-def _count(training: DataFrame, keys) -> DataFrame:
-    """Occurrences of the keys that ``keys`` finds in tokens, summed up in each batch first."""
+def _chunks(batch: pa.RecordBatch, find) -> Iterator[list[np.ndarray]]:
+    """What ``find`` gives for the tokens of a batch, about ``CHUNK`` of them at a time, for memory."""
+    found, size = [], 0
+    for part in slices(column(batch, "text")):
+        tokens, first = _tokens(part)
+        found.append(find(tokens, first))
+        size += len(tokens)
+        if size >= CHUNK:
+            yield [np.concatenate(x) for x in zip(*found)]
+            found, size = [], 0
+    if found:
+        yield [np.concatenate(x) for x in zip(*found)]
+
+
+def _summed(training: DataFrame, names: list[str], find) -> DataFrame:
+    """Occurrences of what ``find`` gives, key first, as columns ``names``, summed up in each chunk first."""
     def count(batch: pa.RecordBatch):
-        found = [keys(*_tokens(part))[0] for part in slices(column(batch, "text"))]
-        if found:
-            key, n = np.unique(np.concatenate(found), return_counts=True)
-            yield {"key": key, "n": n}
+        for found in _chunks(batch, find):
+            _, first, n = np.unique(found[0], return_index=True, return_counts=True)
+            yield {"n": n, **{name: values[first] for name, values in zip(names, found[-len(names):])}}
+
+    rows = arrow_map(training, ", ".join(f"{name} bigint" for name in [*names, "n"]), count)
+    return rows.groupBy(*names).agg(F.sum("n").alias("n"))
 
-    return arrow_map(training, "key bigint, n bigint", count).groupBy("key").agg(F.sum("n").alias("n"))
+
+def _count(training: DataFrame, keys, least: int = 1) -> DataFrame:
+    """Occurrences of the keys that ``keys`` finds in tokens, if there are ``least``. Keys with parts come with
+    them: the parts make the key, so only they are shuffled."""
+    if keys is _words:
+        return _summed(training, ["key"], keys).where(F.col("n") >= least)
+    return _named(_summed(training, ["left", "right"], keys).where(F.col("n") >= least))
 
 
 def _count_triples(training: DataFrame, pairs) -> DataFrame:
     """(left, right, n) of the triples whose two pairs the filter ``pairs`` knows. A triple stands no more often
     than its pairs, so if these are all pairs that stand ``LEAST`` times, none of the triples that do is passed over."""
-    def count(batch: pa.RecordBatch):
-        found = []
-        for part in slices(column(batch, "text")):
-            key, left, right = _triples(*_tokens(part))
-            at = np.flatnonzero(is_member(pairs.value, left))
-            at = at[is_member(pairs.value, right[at])]
-            found.append((key[at], left[at], right[at]))
-        if found:
-            key, left, right = map(np.concatenate, zip(*found))
-            _, first, n = np.unique(key, return_index=True, return_counts=True)
-            yield {"left": left[first], "right": right[first], "n": n}
-
-    return arrow_map(training, "left bigint, right bigint, n bigint", count).groupBy("left", "right").agg(F.sum("n").alias("n"))
-
-
-def _parts(training: DataFrame, keys, kept) -> DataFrame:
-    """(left, right) of the keys that the filter ``kept`` knows, once each, written out: the parts make the
-    key, so only they are shuffled, and that shuffle is gone when the joins have theirs."""
-    def find(batch: pa.RecordBatch):
-        held: set = set()
-        for part in slices(column(batch, "text")):
-            key, left, right = keys(*_tokens(part))
-            at = np.flatnonzero(is_member(kept.value, key))
-            key, first = np.unique(key[at], return_index=True)
-            new = np.array([i for i, x in enumerate(key.tolist()) if x not in held], dtype=np.int64)
-            held.update(key[new].tolist())
-            at = at[first[new]]
-            yield {"left": left[at], "right": right[at]}
-
-    return materialise(arrow_map(training, "left bigint, right bigint", find).distinct())
+    def find(tokens: np.ndarray, first: np.ndarray):
+        key, left, right = _triples(tokens, first)
+        at = np.flatnonzero(is_member(pairs.value, left))
+        at = at[is_member(pairs.value, right[at])]
+        return key[at], left[at], right[at]
+
+    return _summed(training, ["left", "right"], find)
 
 
 def _named(parts: DataFrame) -> DataFrame:
@@ -222,12 +228,27 @@ class Entries:
         keys, at = np.unique(keys, return_index=True)
         return Entries(keys, counts[at], weights[at])
 
+    @cached_property
+    def _starts(self) -> tuple[np.ndarray, np.ndarray, np.uint64]:
+        """Keys are hashes, so their first bits tell nearly where they are: the places where those begin, the keys
+        with one more behind them, and how many bits are left out."""
+        shift = np.uint64(65 - max(len(self.keys).bit_length(), 2))
+        many = np.bincount((self.keys >> shift).astype(np.int64), minlength=1 << 64 - int(shift))
+        return np.cumsum(many) - many, np.append(self.keys, np.uint64(2**64 - 1)), shift
+
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(count, weight), 0 and 1 for a key without entry."""
-        place = _lookup(self.keys, keys)
-        there = place >= 0
         if not len(self.keys):
             return np.zeros(len(keys), dtype=np.int64), np.ones(len(keys))
+        starts, own, shift = self._starts
+        place = starts[(keys >> shift).astype(np.int64)]
+        behind = np.flatnonzero(own[place] < keys)
+        while len(behind):
+            place[behind] += 1
+            behind = behind[own[place[behind]] < keys[behind]]
+        there = own[place] == keys
+        there &= place < len(self.keys)
+        place = np.minimum(place, len(self.keys) - 1)
         return np.where(there, self.counts[place], 0), np.where(there, self.weights[place], 1.0)
 
 
@@ -239,9 +260,10 @@ def local_automaton(tokens: np.ndarray, first: np.ndarray, entries: Entries, tot
     whole = np.append(counts[:-1], totals.texts)
     before = _context(numbers, first, start)
     key, _, _ = _pairs(tokens, first)
-    codes, at = np.unique(before << _WIDTH | numbers, return_index=True)
+    codes, at, place = np.unique(before << _WIDTH | numbers, return_index=True, return_inverse=True)
     pair_counts, weight2 = entries.find(key[at])
     kept = pair_counts > 0
+    place = (np.cumsum(kept) - 1)[place]  # of the pair that each token ends, if it is kept
     codes, pair_counts, weight2 = codes[kept], pair_counts[kept], weight2[kept]
     p2 = (pair_counts - DISCOUNT) / whole[codes >> _WIDTH]
     triple, _, _ = _triples(tokens, first)
@@ -249,8 +271,7 @@ def local_automaton(tokens: np.ndarray, first: np.ndarray, entries: Entries, tot
     triple, at = np.unique(triple, return_index=True)
     triple_counts, _ = entries.find(triple)
     at, triple_counts = ends[at[triple_counts > 0]], triple_counts[triple_counts > 0]
-    outer = _lookup(codes, before[at - 1] << _WIDTH | numbers[at - 1])
-    inner = _lookup(codes, before[at] << _WIDTH | numbers[at])
+    outer, inner = place[at - 1], place[at]  # both are kept, as they stand as often as the triple
     p3 = (triple_counts - DISCOUNT) / pair_counts[outer]
     arcs = np.concatenate([1 + (codes >> _WIDTH) << _WIDTH | (codes & ((1 << _WIDTH) - 1)), 1 + n + outer << _WIDTH | numbers[at]])
     order = np.argsort(arcs)
@@ -262,18 +283,17 @@ def local_automaton(tokens: np.ndarray, first: np.ndarray, entries: Entries, tot
         log_share(counts[:-1], totals.tokens, totals.kinds)), numbers, counts[numbers]
 
 
-def model_entries(training: DataFrame, vocabulary: DataFrame, pairs: DataFrame, triples: DataFrame, totals: Totals, kept) -> DataFrame:
-    """(key, n, weight) of all words, the start, and the n-grams that are kept (which the filter knows); triples
-    come with their parts."""
+def model_entries(_training, vocabulary: DataFrame, pairs: DataFrame, triples: DataFrame, totals: Totals, _kept=None) -> DataFrame:
+    """(key, n, weight) of all words, the start, and the n-grams that are kept, which come with their parts: the
+    training part is not read again."""
     end, start = (F.lit(int(x.view(np.int64))) for x in (END, START))
     # a text has one end and one start, and no word follows the end
-    whole = vocabulary.select(F.when(F.col("key") == end, start).otherwise(F.col("key")).alias("left"), F.col("n").alias("whole"))
+    often = vocabulary.where(F.col("n") >= LEAST)  # a word of a pair that is kept stands as often as the pair
+    whole = often.select(F.when(F.col("key") == end, start).otherwise(F.col("key")).alias("left"), F.col("n").alias("whole"))
     share = (F.col("n") + SMOOTHING) / (totals.tokens + SMOOTHING * (totals.kinds + 1))
-    words = vocabulary.select(F.col("key").alias("right"), share.alias("lower"))
-    parts = _parts(training, _pairs, kept)
-    pairs = materialise(pairs.join(_named(parts), "key").join(whole, "left").join(words, "right")
+    words = often.select(F.col("key").alias("right"), share.alias("lower"))
+    pairs = materialise(pairs.join(whole, "left").join(words, "right")
                         .select("key", "left", "n", "whole", "lower", ((F.col("n") - DISCOUNT) / F.col("whole")).alias("p2")))
-    release(parts)
     whole = pairs.select(F.col("key").alias("left"), F.col("n").alias("whole"))
     inner = pairs.select(F.col("key").alias("right"), F.col("p2").alias("lower"))
     triples = materialise(triples.join(whole, "left").join(inner, "right").select("key", "left", "n", "whole", "lower"))
@@ -294,24 +314,81 @@ def _failure(arcs: DataFrame) -> DataFrame:
     return arcs.groupBy(F.col("left").alias("key")).agg(weight.alias("weight"))
 
 
-def _asked(source: DataFrame, kept) -> DataFrame:
-    """(group, key) of all words of a group of texts, and of its pairs and triples that may be kept."""
-    def ask(batch: pa.RecordBatch):
-        groups, found = column(batch, "group").to_numpy(), {}
-        for part in slices(column(batch, "text")):
-            own = groups[part.low:part.high]
-            for group in np.unique(own).tolist():  # texts of a group follow each other
-                low, high = np.searchsorted(own, [group, group + 1])
-                tokens, first = _tokens(part)
-                first = first[low:high + 1]
-                tokens, first = tokens[first[0]:first[-1]], first - first[0]
-                grams = np.concatenate([_pairs(tokens, first)[0], _triples(tokens, first)[0]])
-                keys = np.concatenate([tokens, grams[is_member(kept.value, grams)], [START]])
-                found[group] = np.union1d(found.get(group, keys[:0]), keys)
-        for group, keys in found.items():
-            yield {"group": np.full(len(keys), group), "key": keys}
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers of 64 bits, their first bytes first, then the second ones: most places hold few values, so
+    they compress well."""
+    return numbers.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _from_planes(planes: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(8, -1).T).view(kind).ravel()
+
+
+def _distinct(found: list[np.ndarray]) -> np.ndarray:
+    keys = np.sort(np.concatenate(found))
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
+
+
+def _group_keys(streams: Iterable[tuple[np.ndarray, np.ndarray]], kept) -> np.ndarray:
+    """Sorted keys of all words of some texts and of the start, and of the pairs and triples that may be kept;
+    the order and the cut of the texts change nothing."""
+    found, size = [np.array([START])], 0
+    for tokens, first in streams:
+        grams = np.concatenate([_pairs(tokens, first)[0], _triples(tokens, first)[0]])
+        found += [tokens, grams[is_member(kept.value, grams)]]
+        size += len(tokens)
+        if size >= CHUNK:
+            found, size = [_distinct(found)], 0
+    return _distinct(found)
+
+
+def _asked(source: DataFrame, kept, bits: int) -> DataFrame:
+    """(group, block, keys): what each group of texts asks for, by block of the range of keys; a block is
+    named by the first ``bits`` of its keys."""
+    def ask(texts: pa.Table, group: int) -> pa.RecordBatch:
+        keys = _group_keys((_tokens(part) for part in slices(texts["text"])), kept)
+        blocks = (keys >> np.uint64(64 - bits)).astype(np.int64)
+        starts = np.flatnonzero(np.diff(blocks, prepend=-1))
+        rows = [_planes(np.diff(keys[a:b], prepend=np.uint64(0))) for a, b in zip(starts, np.append(starts[1:], len(keys)))]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), group)), pa.array(blocks[starts]), pa.array(rows, pa.binary())],
+                                          names=["group", "block", "keys"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Texts of a group follow each other; the last group of a batch may go on in the next."""
+        held = None
+        for batch in batches:
+            held = pa.concat_tables([*([held] if held is not None else []), pa.Table.from_batches([batch])])
+            groups = held["group"].to_numpy()
+            starts = np.flatnonzero(np.diff(groups, prepend=-1)).tolist()
+            for low, high in zip(starts, starts[1:]):
+                yield ask(held.slice(low, high - low), groups[low])
+            held = held.slice(starts[-1]) if starts else None
+        if held is not None:
+            yield ask(held, held["group"][0].as_py())
+        held = None
+        give_back()
+
+    return reach(source.select("group", "text")).mapInArrow(run, "group bigint, block bigint, keys binary")
+
+
+def _answers(asked: DataFrame, entries: DataFrame, bits: int) -> DataFrame:
+    """(group, block, n, weight): counts and weights of the keys of a question, in their order; 0 and 1 for a key
+    without entry."""
+    def find(asked: pa.Table, entries: pa.Table) -> pa.Table:
+        rest = np.uint64(bits)  # the bits that all keys of a block have would tell nothing of their places
+        own = Entries.of(entries["key"].to_numpy().view(np.uint64) << rest, entries["n"].to_numpy(),
+                         np.nan_to_num(entries["weight"].to_numpy(), nan=1.0))
+        counts, weights = [], []
+        for keys in asked["keys"]:
+            n, weight = own.find(np.cumsum(_from_planes(keys.as_py(), np.uint64), dtype=np.uint64) << rest)
+            counts.append(_planes(n))
+            weights.append(_planes(weight))
+        return pa.table({"group": asked["group"], "block": asked["block"], "n": pa.array(counts, pa.binary()),
+                         "weight": pa.array(weights, pa.binary())})
 
-    return arrow_map(source.select("group", "text"), "group bigint, key bigint", ask)
+    blocks = entries.select(F.shiftrightunsigned("key", 64 - bits).alias("block"), "key", "n", "weight")
+    return reach(asked).groupBy("block").cogroup(blocks.groupBy("block")).applyInArrow(
+        find, "group bigint, block bigint, n binary, weight binary")
 
 
 def score_documents(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -327,24 +404,27 @@ def score_documents(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str
     vocabulary = materialise(_count(training, _words))
     texts = F.sum(F.when(F.col("key") == int(END.view(np.int64)), F.col("n")))
     totals = Totals(*vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(texts, F.lit(0))).first())
-    pairs = materialise(_count(training, _pairs).where(F.col("n") >= LEAST))
+    pairs = materialise(_count(training, _pairs, LEAST))
     send = docs.sparkSession.sparkContext.broadcast
     frequent = send(membership(pairs, "key"))
     triples = materialise(_named(_count_triples(training, frequent).where(F.col("n") >= LEAST)))
     frequent.destroy()
     kept = send(membership(pairs.select("key").unionByName(triples.select("key")), "key"))
-    entries = model_entries(training, vocabulary, pairs, triples, totals, kept)
-    found = materialise(_asked(source, kept).join(entries, "key").select("group", "key", "n", "weight"))
-    kept.destroy()
-    release(vocabulary, pairs, triples, entries)
+    entries = model_entries(training, vocabulary, pairs, triples, totals)
+    release(vocabulary, pairs, triples)
+    # a block gets few keys from each group, however often the corpus says the same
+    bits = max(totals.tokens >> BLOCK_BITS, (source.count() >> GROUP_BITS) * GROUP_BLOCKS, 1).bit_length()
+    found = materialise(_answers(_asked(source, kept, bits), entries, bits))
+    release(entries)
 
     def score(texts: pa.Table, found: pa.Table) -> pa.Table:
-        keys, counts = (found[name].to_numpy() for name in ("key", "n"))
-        own = Entries.of(keys.view(np.uint64), counts, np.nan_to_num(found["weight"].to_numpy(), nan=1.0))
+        streams = [_tokens(part) for part in slices(texts["text"])]
+        found = found.sort_by("block")
+        answers = (np.concatenate([_from_planes(x.as_py(), kind) for x in found[name]]) for name, kind in (("n", np.int64), ("weight", np.float64)))
+        own = Entries(_group_keys(streams, kept), *answers)
         names = ("n_tokens", "n_known", "base_score", "score")
         columns: dict[str, list] = {name: [] for name in names}
-        for part in slices(texts["text"]):
-            tokens, first = _tokens(part)
+        for tokens, first in streams:
             model, numbers, known = local_automaton(tokens, first, own, totals)
             figures = (np.diff(first), np.add.reduceat((known > 0).astype(np.int64), first[:-1]),
                        np.add.reduceat(model.root[numbers], first[:-1]), np.add.reduceat(model.traverse(numbers, first), first[:-1]))
