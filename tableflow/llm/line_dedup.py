@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableflow.llm.frames import ROW, arrow_map, column, is_member, membership, numbered
-from tableflow.llm.linking import link_components, shared_lists
+from tableflow.llm.linking import link_components
 from tableflow.llm.textbytes import SPACED, hash_ranges, mix, slices
 from tableflow.session import materialise, release
 
@@ -35,6 +35,8 @@ BLOCK = 1024
 FEW = 12
 #: Lines of about so many bytes are signed at a time.
 PART = 1 << 15
+#: Judged lines by which the number of blocks of band keys grows.
+BLOCK_LINES = 1 << 13
 #: ``judged_lines`` gives lines of so many words unless told otherwise; the operator judges all with a word.
 LEAST_WORDS, ANY = 5, 1
 
@@ -251,20 +253,58 @@ def _pick(lines: Lines, at: np.ndarray) -> Lines:
     return Lines(lines.row[at], lines.number[at], lines.node[at], lines.low[at], lines.high[at], lines.data)
 
 
-def _bands(batch: pa.RecordBatch):
+def _bands(batch: pa.RecordBatch, bits: int):
+    """(block, keys, nodes): the sorted band keys of the lines of a batch and their nodes, as the bytes of 64-bit
+    numbers, by block of the range of keys; a block is named by the first ``bits`` of its keys."""
     seen: set = set()
+    nodes, keys = [], []
     for part in slices(column(batch, "text"), hashed=False):
         lines = judged_lines(part, ANY)
-        nodes, keys = band_keys(_pick(lines, _new(lines.node, seen)))
-        if len(nodes):
-            yield {"key": keys.ravel(), "node": np.repeat(nodes, BANDS)}
+        own, found = band_keys(_pick(lines, _new(lines.node, seen)))
+        nodes.append(np.repeat(own, BANDS))
+        keys.append(found.ravel())
+    if nodes:
+        nodes, keys = np.concatenate(nodes), np.concatenate(keys)
+        order = np.argsort(keys)
+        nodes, keys = nodes[order], keys[order]
+        blocks = (keys >> np.uint64(64 - bits)).astype(np.int64)
+        starts = np.flatnonzero(np.diff(blocks, prepend=-1))
+        bounds = list(zip(starts.tolist(), [*starts[1:].tolist(), len(keys)]))
+        yield {"block": blocks[starts], **{name: [x[low:high].tobytes() for low, high in bounds] for name, x in (("keys", keys), ("nodes", nodes))}}
+
+
+def _lists(block: pa.Table) -> pa.Table:
+    """(key, node, pivot) of the band keys of a block that several nodes have, once each; the pivot is the smallest."""
+    keys, nodes = (np.frombuffer(b"".join(block[name].to_pylist()), dtype=np.int64) for name in ("keys", "nodes"))
+    order = np.argsort(keys)
+    keys, nodes = keys[order], nodes[order]
+    same = np.concatenate([[False], keys[1:] == keys[:-1], [False]])[-len(keys) - 1:]
+    often = same[1:] | same[:-1]  # most keys stand once
+    keys, nodes = keys[often], nodes[often]
+    order = np.lexsort((nodes, keys))
+    keys, nodes = keys[order], nodes[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
+    keys, nodes = keys[new], nodes[new]
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
+    size = np.diff(starts, append=len(keys))
+    pivots, size = np.repeat(nodes[starts], size), np.repeat(size, size)
+    shared = size > 1
+    return pa.table({"key": keys[shared], "node": nodes[shared], "pivot": pivots[shared]})
+
+
+def _band_lists(source: DataFrame, lines: int) -> DataFrame:
+    """Lists of lines that agree in a band. A block takes so many keys of about ``BLOCK_LINES`` lines, however many there are."""
+    bits = (max(lines, 1) // BLOCK_LINES + 1).bit_length()
+    blocks = arrow_map(source.select("text"), "block bigint, keys binary, nodes binary", lambda batch: _bands(batch, bits))
+    return blocks.groupBy("block").applyInArrow(_lists, "key bigint, node bigint, pivot bigint")
 
 
 def repeated_lines(source: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(row, line, node) of all judged lines, and (row, dropped, judged) of the rows that lose lines:
     the numbers of the lines that are not the first of their component."""
     occurrences = materialise(arrow_map(source.select(ROW, "text"), f"{ROW} bigint, line bigint, node bigint, place bigint", _occurrences))
-    lists = materialise(shared_lists(arrow_map(source.select("text"), "key bigint, node bigint", _bands)))
+    lists = materialise(_band_lists(source, occurrences.count()))
     # most lines stand once and are in no list: nothing more is asked about them
     nodes = (occurrences.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
              .unionByName(listed := lists.select("node").distinct()).distinct())
