@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableflow.llm.frames import ROW, arrow_map, column, give_back, is_member, membership, numbered, reach
-from tableflow.llm.textbytes import hash_bytes, mix, slices
+from tableflow.llm.textbytes import hash_bytes, mix, slices, unmix
 from tableflow.session import materialise, release
 
 #: Pairs and triples that stand less often in the training part are no n-grams of the model.
@@ -36,13 +36,14 @@ GROUP_BITS = 12
 #: About so many tokens, or keys asked for, are held by a task at a time.
 CHUNK = 1 << 20
 #: Training tokens, and blocks of a group of texts, by which the number of blocks of keys grows.
-BLOCK_BITS, GROUP_BLOCKS = 17, 8
+BLOCK_BITS, GROUP_BLOCKS = 19, 4
 _WIDTH = 24  # bits of a word's number in a slice of texts
 #: A word that no text has, since it holds a space: the end of a text.
 END = np.uint64(hash_bytes(b" end"))
 #: The context of the first token of a text, and the pair before it.
 START, OPEN = np.uint64(hash_bytes(b" start")), np.uint64(hash_bytes(b" open"))
 _STEPS = 64
+_FACTOR = np.uint64(0xD1342543DE82EF95)
 
 
 def _tokens(part) -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +88,12 @@ def _context(numbers: np.ndarray, first: np.ndarray, start) -> np.ndarray:
 
 
 def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return mix(left * np.uint64(0xD1342543DE82EF95) + right)
+    return mix(left * _FACTOR + right)
+
+
+def _right(key: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """The right part of a key, which was joined from this left one."""
+    return unmix(key) - left * _FACTOR
 
 
 def _words(tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -123,44 +129,85 @@ def _chunks(batch: pa.RecordBatch, find) -> Iterator[list[np.ndarray]]:
         yield [np.concatenate(x) for x in zip(*found)]
 
 
-def _summed(training: DataFrame, names: list[str], find) -> DataFrame:
-    """Occurrences of what ``find`` gives, key first, as columns ``names``, summed up in each chunk first."""
-    def count(batch: pa.RecordBatch):
-        for found in _chunks(batch, find):
-            _, first, n = np.unique(found[0], return_index=True, return_counts=True)
-            yield {"n": n, **{name: values[first] for name, values in zip(names, found[-len(names):])}}
-
-    rows = arrow_map(training, ", ".join(f"{name} bigint" for name in [*names, "n"]), count)
-    return rows.groupBy(*names).agg(F.sum("n").alias("n"))
+def _count(training: DataFrame, keys, least: int = 1, bits: int = 1) -> DataFrame:
+    """Occurrences of the keys that ``keys`` finds in tokens, if there are ``least``; keys with parts come with them."""
+    if keys is not _words:
+        return _named(_in_blocks(training, keys, bits), least)
 
+    def count(batch: pa.RecordBatch):
+        for tokens, in _chunks(batch, keys):
+            key, n = np.unique(tokens, return_counts=True)
+            yield {"key": key, "n": n}
 
-def _count(training: DataFrame, keys, least: int = 1) -> DataFrame:
-    """Occurrences of the keys that ``keys`` finds in tokens, if there are ``least``. Keys with parts come with
-    them: the parts make the key, so only they are shuffled."""
-    if keys is _words:
-        return _summed(training, ["key"], keys).where(F.col("n") >= least)
-    return _named(_summed(training, ["left", "right"], keys).where(F.col("n") >= least))
+    rows = arrow_map(training, "key bigint, n bigint", count)
+    return rows.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
-def _count_triples(training: DataFrame, pairs) -> DataFrame:
-    """(left, right, n) of the triples whose two pairs the filter ``pairs`` knows. A triple stands no more often
+def _count_triples(training: DataFrame, pairs, bits: int = 1) -> DataFrame:
+    """Counts in blocks of the triples whose two pairs the filter ``pairs`` knows. A triple stands no more often
     than its pairs, so if these are all pairs that stand ``LEAST`` times, none of the triples that do is passed over."""
     def find(tokens: np.ndarray, first: np.ndarray):
         key, left, right = _triples(tokens, first)
         at = np.flatnonzero(is_member(pairs.value, left))
         at = at[is_member(pairs.value, right[at])]
-        return key[at], left[at], right[at]
+        return key[at], left[at]
+
+    return _in_blocks(training, find, bits)
+
+
+def _in_blocks(training: DataFrame, find, bits: int) -> DataFrame:
+    """(block, keys, left, n): distinct keys that ``find`` gives, their left parts and how often they stand, chunk by
+    chunk of tokens. The right part follows from the others, so it is not shuffled."""
+    def count(batch: pa.RecordBatch):
+        for keys, left, *_ in _chunks(batch, find):
+            order = np.argsort(keys)
+            keys = keys[order]
+            starts = _starts(keys)
+            yield _by_block(keys[starts], bits, left=left[order[starts]], n=np.diff(starts, append=len(keys)))
+
+    return arrow_map(training, "block bigint, keys binary, left binary, n binary", count)
+
+
+def _named(counts: DataFrame, least: int = 1) -> DataFrame:
+    """(key, left, right, n) of counts in blocks, summed up, if there are ``least``."""
+    def add(block: pa.Table) -> pa.Table:
+        keys = _keys_of(block["keys"])
+        order = np.argsort(keys, kind="stable")  # sorted runs follow each other
+        keys = keys[order]
+        starts = _starts(keys)
+        n = np.add.reduceat(_numbers_of(block["n"], np.int64)[order], starts)
+        starts, n = starts[n >= least], n[n >= least]
+        key, left = keys[starts], _numbers_of(block["left"], np.uint64)[order[starts]]
+        return pa.table({"key": key.view(np.int64), "left": left.view(np.int64), "right": _right(key, left).view(np.int64), "n": n})
+
+    return reach(counts).groupBy("block").applyInArrow(add, "key bigint, left bigint, right bigint, n bigint")
+
+
+def _starts(keys: np.ndarray) -> np.ndarray:
+    """Where the distinct ones of sorted keys begin."""
+    return np.flatnonzero(np.concatenate([np.ones(min(len(keys), 1), dtype=bool), keys[1:] != keys[:-1]]))
 
-    return _summed(training, ["left", "right"], find)
 
+def _by_block(keys: np.ndarray, bits: int, **more: np.ndarray) -> dict:
+    """Columns block, keys and ``more``: sorted keys and what goes with them as planes, by block of the range of keys;
+    a block is named by the first ``bits`` of its keys."""
+    blocks = (keys >> np.uint64(64 - bits)).astype(np.int64)
+    starts = np.flatnonzero(np.diff(blocks, prepend=-1))
+    bounds = list(zip(starts, np.append(starts[1:], len(keys))))
+    return {"block": blocks[starts], "keys": [_planes(np.diff(keys[a:b], prepend=np.uint64(0))) for a, b in bounds],
+            **{name: [_planes(values[a:b]) for a, b in bounds] for name, values in more.items()}}
 
-def _named(parts: DataFrame) -> DataFrame:
-    """Parts with the key that they make, and their number if it is there."""
-    def name(batch: pa.RecordBatch):
-        left, right = (column(batch, side).to_numpy() for side in ("left", "right"))
-        yield {"key": _joined(left.view(np.uint64), right.view(np.uint64)), **{x: column(batch, x) for x in batch.schema.names}}
 
-    return arrow_map(parts, "key bigint, " + ", ".join(f"{x} bigint" for x in parts.columns), name)
+def _keys(planes: bytes) -> np.ndarray:
+    return np.cumsum(_from_planes(planes, np.uint64), dtype=np.uint64)
+
+
+def _keys_of(rows: pa.ChunkedArray) -> np.ndarray:
+    return np.concatenate([np.empty(0, dtype=np.uint64), *(_keys(x.as_py()) for x in rows)])
+
+
+def _numbers_of(rows: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.concatenate([np.empty(0, dtype=kind), *(_from_planes(x.as_py(), kind) for x in rows)])
 
 
 @dataclass
@@ -283,50 +330,62 @@ def local_automaton(tokens: np.ndarray, first: np.ndarray, entries: Entries, tot
         log_share(counts[:-1], totals.tokens, totals.kinds)), numbers, counts[numbers]
 
 
-def model_entries(_training, vocabulary: DataFrame, pairs: DataFrame, triples: DataFrame, totals: Totals, _kept=None) -> DataFrame:
+def model_entries(_training, vocabulary: DataFrame, pairs: DataFrame, triples: DataFrame, totals: Totals, _kept=None,
+                  finish=lambda rows: rows) -> DataFrame:
     """(key, n, weight) of all words, the start, and the n-grams that are kept, which come with their parts: the
-    training part is not read again."""
+    training part is not read again. ``finish`` changes the rows before they are written."""
     end, start = (F.lit(int(x.view(np.int64))) for x in (END, START))
     # a text has one end and one start, and no word follows the end
     often = vocabulary.where(F.col("n") >= LEAST)  # a word of a pair that is kept stands as often as the pair
     whole = often.select(F.when(F.col("key") == end, start).otherwise(F.col("key")).alias("left"), F.col("n").alias("whole"))
     share = (F.col("n") + SMOOTHING) / (totals.tokens + SMOOTHING * (totals.kinds + 1))
     words = often.select(F.col("key").alias("right"), share.alias("lower"))
-    pairs = materialise(pairs.join(whole, "left").join(words, "right")
-                        .select("key", "left", "n", "whole", "lower", ((F.col("n") - DISCOUNT) / F.col("whole")).alias("p2")))
-    whole = pairs.select(F.col("key").alias("left"), F.col("n").alias("whole"))
-    inner = pairs.select(F.col("key").alias("right"), F.col("p2").alias("lower"))
-    triples = materialise(triples.join(whole, "left").join(inner, "right").select("key", "left", "n", "whole", "lower"))
+    arcs = materialise(pairs.join(whole, "left").join(words, "right")
+                       .select("key", "left", "n", "lower", ((F.col("n") - DISCOUNT) / F.col("whole")).alias("p2")))
+    inner = arcs.select(F.col("key").alias("right"), F.col("p2").alias("lower"))
     contexts = vocabulary.select("key", "n").unionByName(vocabulary.where(F.col("key") == end).select(start.alias("key"), "n"))
-    entries = materialise(
-        contexts.join(_failure(pairs), "key", "left")
-        .unionByName(pairs.select("key", "n").join(_failure(triples), "key", "left"))
-        .unionByName(triples.select("key", "n", F.lit(None).cast("double").alias("weight"))))
-    release(pairs, triples)
+    entries = materialise(finish(
+        _with_weight(contexts, arcs)
+        .unionByName(_with_weight(arcs, triples.select("left", "right", "n").join(inner, "right")))
+        .unionByName(triples.select("key", "n", F.lit(None).cast("double").alias("weight")))), codec="zstd")
+    release(arcs)
     return entries
 
 
-def _failure(arcs: DataFrame) -> DataFrame:
-    """What a context leaves for words without an arc, over what the shorter context gives them, from
-    exact sums of the counts."""
-    left = (F.max("whole") - F.sum("n") + DISCOUNT * F.count("*")) / F.max("whole")
-    weight = F.greatest(left, F.lit(1e-12)) / F.greatest(1 - F.sum("lower"), F.lit(1e-12))
-    return arcs.groupBy(F.col("left").alias("key")).agg(weight.alias("weight"))
+def _with_weight(contexts: DataFrame, arcs: DataFrame) -> DataFrame:
+    """(key, n, weight) of contexts: what is left for words without an arc, over what the shorter context gives them,
+    from exact sums of the counts; null where nothing follows."""
+    followed = arcs.groupBy(F.col("left").alias("key")).agg(
+        F.sum("n").alias("taken"), F.count("*").alias("arcs"), F.sum("lower").alias("lower"))
+    left = (F.col("n") - F.col("taken") + DISCOUNT * F.col("arcs")) / F.col("n")
+    weight = F.greatest(left, F.lit(1e-12)) / F.greatest(1 - F.col("lower"), F.lit(1e-12))
+    return (contexts.select("key", "n").join(followed, "key", "left")
+            .select("key", "n", F.when(F.col("arcs").isNotNull(), weight).alias("weight")))
 
 
 def _planes(numbers: np.ndarray) -> bytes:
     """Numbers of 64 bits, their first bytes first, then the second ones: most places hold few values, so
-    they compress well."""
+    they compress well. Of weights, which are floats, only those that are not 1, and a bit for each that tells which."""
+    if numbers.dtype == np.float64:
+        odd = numbers != 1
+        return np.int64(len(odd)).tobytes() + np.packbits(odd).tobytes() + _planes(numbers[odd].view(np.uint64))
     return numbers.view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
 def _from_planes(planes: bytes, kind: type) -> np.ndarray:
+    if kind is np.float64:
+        n = int(np.frombuffer(planes, dtype=np.int64, count=1)[0])
+        rest = 8 + (n + 7) // 8
+        numbers = np.ones(n)
+        odd = np.unpackbits(np.frombuffer(planes[8:rest], dtype=np.uint8), count=n).view(bool)
+        numbers[odd] = _from_planes(planes[rest:], np.uint64).view(np.float64)
+        return numbers
     return np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(8, -1).T).view(kind).ravel()
 
 
 def _distinct(found: list[np.ndarray]) -> np.ndarray:
     keys = np.sort(np.concatenate(found))
-    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
+    return keys[_starts(keys)]
 
 
 def _group_keys(streams: Iterable[tuple[np.ndarray, np.ndarray]], kept) -> np.ndarray:
@@ -343,14 +402,11 @@ def _group_keys(streams: Iterable[tuple[np.ndarray, np.ndarray]], kept) -> np.nd
 
 
 def _asked(source: DataFrame, kept, bits: int) -> DataFrame:
-    """(group, block, keys): what each group of texts asks for, by block of the range of keys; a block is
-    named by the first ``bits`` of its keys."""
+    """(group, block, keys): what each group of texts asks for, by block of the range of keys."""
     def ask(texts: pa.Table, group: int) -> pa.RecordBatch:
         keys = _group_keys((_tokens(part) for part in slices(texts["text"])), kept)
-        blocks = (keys >> np.uint64(64 - bits)).astype(np.int64)
-        starts = np.flatnonzero(np.diff(blocks, prepend=-1))
-        rows = [_planes(np.diff(keys[a:b], prepend=np.uint64(0))) for a, b in zip(starts, np.append(starts[1:], len(keys)))]
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), group)), pa.array(blocks[starts]), pa.array(rows, pa.binary())],
+        rows = _by_block(keys, bits)
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(rows["keys"]), group)), pa.array(rows["block"]), pa.array(rows["keys"], pa.binary())],
                                           names=["group", "block", "keys"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -371,22 +427,47 @@ def _asked(source: DataFrame, kept, bits: int) -> DataFrame:
     return reach(source.select("group", "text")).mapInArrow(run, "group bigint, block bigint, keys binary")
 
 
+def _packed(entries: DataFrame, bits: int) -> DataFrame:
+    """(block, keys, n, weight): rows of entries by block of the range of keys, about ``CHUNK`` of a task at a time."""
+    def pack(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held)
+        keys = rows["key"].to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        found = _by_block(keys[order], bits, n=rows["n"].to_numpy()[order], weight=np.nan_to_num(rows["weight"].to_numpy(), nan=1.0)[order])
+        return pa.RecordBatch.from_arrays([pa.array(found["block"]), *(pa.array(found[x], pa.binary()) for x in ("keys", "n", "weight"))],
+                                          names=["block", "keys", "n", "weight"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= CHUNK:
+                yield pack(held)
+                held, size = [], 0
+        if size:
+            yield pack(held)
+        held = []
+        give_back()
+
+    return reach(entries).mapInArrow(run, "block bigint, keys binary, n binary, weight binary")
+
+
 def _answers(asked: DataFrame, entries: DataFrame, bits: int) -> DataFrame:
     """(group, block, n, weight): counts and weights of the keys of a question, in their order; 0 and 1 for a key
-    without entry."""
+    without entry. Entries come as rows, or packed by the same ``bits``."""
     def find(asked: pa.Table, entries: pa.Table) -> pa.Table:
         rest = np.uint64(bits)  # the bits that all keys of a block have would tell nothing of their places
-        own = Entries.of(entries["key"].to_numpy().view(np.uint64) << rest, entries["n"].to_numpy(),
-                         np.nan_to_num(entries["weight"].to_numpy(), nan=1.0))
+        own = Entries.of(_keys_of(entries["keys"]) << rest, _numbers_of(entries["n"], np.int64), _numbers_of(entries["weight"], np.float64))
         counts, weights = [], []
         for keys in asked["keys"]:
-            n, weight = own.find(np.cumsum(_from_planes(keys.as_py(), np.uint64), dtype=np.uint64) << rest)
+            n, weight = own.find(_keys(keys.as_py()) << rest)
             counts.append(_planes(n))
             weights.append(_planes(weight))
         return pa.table({"group": asked["group"], "block": asked["block"], "n": pa.array(counts, pa.binary()),
                          "weight": pa.array(weights, pa.binary())})
 
-    blocks = entries.select(F.shiftrightunsigned("key", 64 - bits).alias("block"), "key", "n", "weight")
+    blocks = entries if "block" in entries.columns else _packed(entries, bits)
     return reach(asked).groupBy("block").cogroup(blocks.groupBy("block")).applyInArrow(
         find, "group bigint, block bigint, n binary, weight binary")
 
@@ -404,17 +485,17 @@ def score_documents(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str
     vocabulary = materialise(_count(training, _words))
     texts = F.sum(F.when(F.col("key") == int(END.view(np.int64)), F.col("n")))
     totals = Totals(*vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(texts, F.lit(0))).first())
-    pairs = materialise(_count(training, _pairs, LEAST))
+    # a block gets few keys from each group, however often the corpus says the same
+    bits = max(totals.tokens >> BLOCK_BITS, (source.count() >> GROUP_BITS) * GROUP_BLOCKS, 1).bit_length()
+    pairs = materialise(_count(training, _pairs, LEAST, bits))
     send = docs.sparkSession.sparkContext.broadcast
     frequent = send(membership(pairs, "key"))
-    triples = materialise(_named(_count_triples(training, frequent).where(F.col("n") >= LEAST)))
+    triples = materialise(_named(_count_triples(training, frequent, bits), LEAST))
     frequent.destroy()
     kept = send(membership(pairs.select("key").unionByName(triples.select("key")), "key"))
-    entries = model_entries(training, vocabulary, pairs, triples, totals)
+    entries = model_entries(training, vocabulary, pairs, triples, totals, finish=lambda rows: _packed(rows, bits))
     release(vocabulary, pairs, triples)
-    # a block gets few keys from each group, however often the corpus says the same
-    bits = max(totals.tokens >> BLOCK_BITS, (source.count() >> GROUP_BITS) * GROUP_BLOCKS, 1).bit_length()
-    found = materialise(_answers(_asked(source, kept, bits), entries, bits))
+    found = materialise(_answers(_asked(source, kept, bits), entries, bits), codec="zstd")
     release(entries)
 
     def score(texts: pa.Table, found: pa.Table) -> pa.Table:

@@ -67,6 +67,15 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+def unmix(h: np.ndarray) -> np.ndarray:
+    """What ``mix`` has spread."""
+    h = h ^ (h >> np.uint64(33))
+    h = h * np.uint64(pow(0xC4CEB9FE1A85EC53, -1, 1 << 64))
+    h = h ^ (h >> np.uint64(33))
+    h = h * np.uint64(pow(0xFF51AFD7ED558CCD, -1, 1 << 64))
+    return h ^ (h >> np.uint64(33))
+
+
 def hash_bytes(text: bytes) -> int:
     """The hash that a word of these bytes has."""
     value = 0
