@@ -331,9 +331,10 @@ def local_automaton(tokens: np.ndarray, first: np.ndarray, entries: Entries, tot
 
 
 def model_entries(_training, vocabulary: DataFrame, pairs: DataFrame, triples: DataFrame, totals: Totals, _kept=None,
-                  finish=lambda rows: rows) -> DataFrame:
+                  finish=lambda rows: rows, done=lambda *frames: None) -> DataFrame:
     """(key, n, weight) of all words, the start, and the n-grams that are kept, which come with their parts: the
-    training part is not read again. ``finish`` changes the rows before they are written."""
+    training part is not read again. ``finish`` changes the rows before they are written; ``done`` is told what nothing
+    here will read again."""
     end, start = (F.lit(int(x.view(np.int64))) for x in (END, START))
     # a text has one end and one start, and no word follows the end
     often = vocabulary.where(F.col("n") >= LEAST)  # a word of a pair that is kept stands as often as the pair
@@ -342,6 +343,7 @@ def model_entries(_training, vocabulary: DataFrame, pairs: DataFrame, triples: D
     words = often.select(F.col("key").alias("right"), share.alias("lower"))
     arcs = materialise(pairs.join(whole, "left").join(words, "right")
                        .select("key", "left", "n", "lower", ((F.col("n") - DISCOUNT) / F.col("whole")).alias("p2")))
+    done(pairs)
     inner = arcs.select(F.col("key").alias("right"), F.col("p2").alias("lower"))
     contexts = vocabulary.select("key", "n").unionByName(vocabulary.where(F.col("key") == end).select(start.alias("key"), "n"))
     entries = materialise(finish(
@@ -349,6 +351,7 @@ def model_entries(_training, vocabulary: DataFrame, pairs: DataFrame, triples: D
         .unionByName(_with_weight(arcs, triples.select("left", "right", "n").join(inner, "right")))
         .unionByName(triples.select("key", "n", F.lit(None).cast("double").alias("weight")))), codec="zstd")
     release(arcs)
+    done(vocabulary, triples)
     return entries
 
 
@@ -493,8 +496,7 @@ def score_documents(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str
     triples = materialise(_named(_count_triples(training, frequent, bits), LEAST))
     frequent.destroy()
     kept = send(membership(pairs.select("key").unionByName(triples.select("key")), "key"))
-    entries = model_entries(training, vocabulary, pairs, triples, totals, finish=lambda rows: _packed(rows, bits))
-    release(vocabulary, pairs, triples)
+    entries = model_entries(training, vocabulary, pairs, triples, totals, finish=lambda rows: _packed(rows, bits), done=release)
     found = materialise(_answers(_asked(source, kept, bits), entries, bits), codec="zstd")
     release(entries)
 
